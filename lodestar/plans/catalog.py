@@ -23,6 +23,7 @@ from lodestar.plans.extras import map_totals, order_totals, quote_series
 from lodestar.plans.gold import constellation_snapshot, headline, project_to_target
 from lodestar.plans.silver import parse_launches, parse_satellites
 from lodestar.session import configure
+from lodestar.sources.layers import fingerprint, materialized
 from lodestar.sources.derived import (launch_documents, market_replies, order_maps,
                                       rocket_documents, run_log_from_events,
                                       satellite_documents, table)
@@ -48,21 +49,39 @@ def comparable(df: DataFrame) -> DataFrame:
 
 # ---- building blocks ---------------------------------------------------------------
 
+# bump when a derivation rule changes: stored bronze of older rules is not reused
+DERIVATION_VERSION = "1"
+
+
+def _landed(spark, d, name, sources, build):
+    """Bronze relation ``name`` landed from driver tables ``sources``: stored once
+    per source content as Parquet with a VARIANT document column, then read."""
+    paths = [f"{d.rstrip('/')}/{s}.parquet" for s in sources]
+    key = fingerprint(spark, paths, salt=f"{name}:{DERIVATION_VERSION}")
+    return materialized(spark, "bronze", name, key, build)
+
+
 def bronze_launches(spark, d):
-    return launch_documents(table(spark, d, "orders"))
+    return _landed(spark, d, "launches", ["orders"],
+                   lambda: launch_documents(table(spark, d, "orders")))
 
 
 def satellite_log(spark, d):
-    return satellite_documents(table(spark, d, "lineitem"))
+    """The satellite landing log: every document version with its (batch, pos)."""
+    return _landed(spark, d, "satellite_log", ["lineitem"],
+                   lambda: satellite_documents(table(spark, d, "lineitem")))
 
 
 def bronze_satellites(spark, d):
-    """Current state of the satellite log in one aggregation (last write wins)."""
-    return current_state(satellite_log(spark, d), order=("batch", "pos"))
+    """Current state of the satellite log (last write wins), stored like the
+    bronze table an upsert maintains."""
+    return _landed(spark, d, "satellites", ["lineitem"],
+                   lambda: current_state(satellite_log(spark, d), order=("batch", "pos")))
 
 
 def bronze_rockets(spark, d):
-    return rocket_documents(table(spark, d, "customer"))
+    return _landed(spark, d, "rockets", ["customer"],
+                   lambda: rocket_documents(table(spark, d, "customer")))
 
 
 def silver_launches_df(spark, d):

@@ -87,3 +87,21 @@ def main(argv):
 
 if __name__ == "__main__":
     sys.exit(main(sys.argv))
+
+
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "StringType": "VARCHAR",
+                 "DoubleType": "DOUBLE", "BooleanType": "BOOLEAN", "DateType": "DATE",
+                 "TimestampNTZType": "TIMESTAMP", "TimestampType": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_mismatches(spark, name: str, sf_dir: str, con) -> list[str]:
+    from __spark_entry__ import oracle_sql, queries
+    sdf = queries()[name](spark, sf_dir)
+    rel = con.sql(oracle_sql()[name])
+    o_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for f in sdf.schema.fields:
+        s = SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__)
+        if o_types.get(f.name) != s:
+            out.append(f"{f.name}: spark={s} oracle={o_types.get(f.name)}")
+    return out
