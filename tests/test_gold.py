@@ -1,0 +1,101 @@
+import datetime as dt
+
+from lodestar.plans.gold import constellation_snapshot, headline, project_to_target
+from lodestar.plans.silver import parse_launches, parse_satellites
+
+AS_OF = "2025-07-31"
+
+
+def _golden_inputs(docs):
+    """3,268 active satellites; 65 Starlink launches dated 2018-2022, 62 successful:
+    one test flight of 2 satellites, 61 batches of 60."""
+    launches = []
+    dates = [f"{2018 + (i % 5)}-{1 + (i % 12):02d}-15T12:00:00.000Z" for i in range(65)]
+    dates[0], dates[1] = "2018-02-22T14:17:00.000Z", "2022-12-28T09:34:00.000Z"
+    for i in range(65):
+        name = "Starlink Demo" if i == 2 else f"Starlink-{i} (v1.0)"
+        launches.append({"id": f"L{i}", "name": name, "date_utc": dates[i], "success": i not in (0, 1, 4),
+                         "upcoming": False, "rocket": "f9"})
+    # launches that must not count: not Starlink, and Starlink without a date
+    launches.append({"id": "C1", "name": "Crew-1", "date_utc": "2020-11-16T00:27:00.000Z", "success": True,
+                     "upcoming": False, "rocket": "f9"})
+    launches.append({"id": "N1", "name": "Starlink 9-9", "date_utc": None, "success": True,
+                     "upcoming": True, "rocket": "f9"})
+    sats = [{"id": f"S{i}", "launch": "L3", "spaceTrack": {"OBJECT_NAME": f"STARLINK-{i}", "DECAYED": 0,
+                                                          "LAUNCH_DATE": "2019-05-24"}} for i in range(3268)]
+    sats += [{"id": f"D{i}", "launch": "L3", "spaceTrack": {"OBJECT_NAME": f"STARLINK-D{i}", "DECAYED": 1,
+                                                           "LAUNCH_DATE": "2019-05-24"}} for i in range(100)]
+    return parse_launches(docs(launches)), parse_satellites(docs(sats), AS_OF)
+
+
+def test_golden_projection(spark, docs):
+    la, sa = _golden_inputs(docs)
+    p = project_to_target(la, sa, AS_OF, target=42000, recent_year=2022).collect()
+    assert len(p) == 1
+    r = p[0]
+    assert r["current_satellites"] == 3268 and r["satellites_needed"] == 38732
+    assert float(r["progress_percent"]) == 7.8
+    assert r["total_launches"] == 65 and r["successful_launches"] == 62
+    assert float(r["avg_satellites_per_launch"]) == 59
+    assert float(r["avg_monthly_launch_rate"]) == 1.29
+    assert r["launches_needed"] == 656
+    assert float(r["months_to_completion"]) == 507.9
+    assert r["estimated_completion_date"] == dt.date(2067, 11, 27)
+    assert r["projection_confidence"] == "Medium Confidence"
+    assert r["first_launch_date"] == dt.date(2018, 1, 15) or r["first_launch_date"].year == 2018
+    assert r["data_summary"] == "Projection based on 62 successful launches from 2018 to 2022"
+    h = headline(project_to_target(la, sa, AS_OF)).collect()
+    assert len(h) == 1 and h[0]["launches_needed"] == 656 and h[0]["completion_date"] == dt.date(2067, 11, 27)
+
+
+def test_projection_on_empty_input_is_one_row(spark, docs):
+    la, sa = _golden_inputs(docs)
+    r = project_to_target(la.limit(0), sa.limit(0), AS_OF).collect()
+    assert len(r) == 1
+    r = r[0]
+    assert r["current_satellites"] == 0 and r["total_launches"] == 0
+    assert r["launches_needed"] is None and r["months_to_completion"] is None
+    assert r["data_summary"] is None and r["projection_confidence"] == "Insufficient Data"
+    assert float(r["avg_monthly_launch_rate"]) == 0.0
+
+
+def test_same_year_span_gives_null_rate(spark, docs):
+    launches = [{"id": f"L{i}", "name": "Starlink x", "date_utc": f"2021-0{i + 1}-01T00:00:00Z",
+                 "success": True, "upcoming": False, "rocket": "f9"} for i in range(3)]
+    la = parse_launches(docs(launches))
+    sa = parse_satellites(docs([{"id": "S1", "spaceTrack": {"DECAYED": 0}}]), AS_OF)
+    r = project_to_target(la, sa, AS_OF).first()
+    assert r["avg_monthly_launch_rate"] is None and r["months_to_completion"] is None
+    assert r["launches_needed"] == 700   # ceil(41999 / 60)
+
+
+def test_fractional_month_dates(spark):
+    from pyspark.sql import functions as F
+    from lodestar.functions.exprs import add_fractional_months
+    df = spark.createDataFrame([("2025-01-31", "1.7"), ("2025-07-31", "507.9"), ("2025-03-31", "-1.7")],
+                               "d string, m string")
+    got = [r[0] for r in df.select(add_fractional_months(F.col("d").cast("date"), F.col("m"))).collect()]
+    assert got == [dt.date(2025, 3, 21), dt.date(2067, 11, 27), dt.date(2025, 2, 7)]
+
+
+def test_exact_ratio_rounding(spark):
+    from pyspark.sql import functions as F
+    from lodestar.functions.exprs import ceil_ratio, round_ratio
+    df = spark.createDataFrame([(38732 * 62, 3662), (1312, 2), (-7, 2), (7, 2), (1, 8)], "a long, b long")
+    rows = df.select(ceil_ratio("a", "b").alias("c"), round_ratio("a", "b", 0).alias("r0"),
+                     round_ratio("a", "b", 2).alias("r2")).collect()
+    assert [r["c"] for r in rows] == [656, 656, -3, 4, 1]
+    assert [float(r["r0"]) for r in rows] == [656, 656, -4, 4, 0]
+    assert float(rows[4]["r2"]) == 0.13   # 0.125 rounds half up
+    assert df.select(ceil_ratio(F.col("a"), F.lit(0))).first()[0] is None
+
+
+def test_snapshot(spark, docs):
+    la, sa = _golden_inputs(docs)
+    r = constellation_snapshot(sa, "2025-07-31 12:00:00").collect()
+    assert len(r) == 1
+    r = r[0]
+    assert (r["total_satellites"], r["active_satellites"], r["inactive_satellites"]) == (3368, 3268, 100)
+    assert float(r["active_percentage"]) == 97.0
+    # extracted 2025-07-30 00:00 (fixture default), analysed 36 hours later
+    assert float(r["data_age_hours"]) == 36.0
