@@ -24,7 +24,7 @@ def read_documents(spark: SparkSession, path: str, layout: str = "lines",
     ``layout="lines"``: JSON Lines, one document per line, split across tasks by
     file range like any text source.
     ``layout="array"``: each file holds one reply that is a JSON array; the array
-    is exploded with ``variant_explode``, which also yields the element position
+    is exploded with ``posexplode``, which also yields the element position
     used to order repeated keys inside one reply.  A reply file is read by one
     task (it is one JSON value), which matches how replies are produced.
     """
@@ -38,8 +38,8 @@ def read_documents(spark: SparkSession, path: str, layout: str = "lines",
     elif layout == "array":
         text = (spark.read.text(path, wholetext=True)
                 .select(F.parse_json("value").alias("reply"), F.input_file_name().alias("file")))
-        raw = (text.select("file", F.expr("variant_explode(reply)").alias("pos", "k", "data"))
-               .select("data", "file", "pos"))
+        elements = F.variant_get(F.col("reply"), "$", "array<variant>")
+        raw = text.select("file", F.posexplode(elements).alias("pos", "data")).select("data", "file", "pos")
     else:
         raise ValueError(f"unknown layout {layout!r}")
     return raw.select(jtext("data", key).alias("id"), "data", "file", F.col("pos").cast("long"))

@@ -25,8 +25,8 @@ def _documents(raw: DataFrame, layout: str, key: str) -> DataFrame:
             F.monotonically_increasing_id().alias("line"))
         pos = F.struct(F.col("file"), F.col("line"))
     elif layout == "array":
-        docs = raw.select(F.col("file"), F.expr("variant_explode(parse_json(value))")
-                          .alias("idx", "k", "data"))
+        elements = F.variant_get(F.parse_json("value"), "$", "array<variant>")
+        docs = raw.select(F.col("file"), F.posexplode(elements).alias("idx", "data"))
         pos = F.struct(F.col("file"), F.col("idx").cast("long").alias("line"))
     else:
         raise ValueError(f"unknown layout {layout!r}")
