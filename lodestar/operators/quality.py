@@ -47,13 +47,35 @@ def check_results(checks: Sequence[DataFrame], severity: str = "warn") -> DataFr
     for c in checks:
         out = c if out is None else out.unionByName(c)
     fail = F.col("failures") != 0
-    return out.select("check", F.col("failures").cast("long").alias("failures"),
+    return out.select("check", F.coalesce(F.col("failures").cast("long"), F.lit(0)).alias("failures"),
                       fail.alias("should_warn"), fail.alias("should_error"),
                       F.lit(severity).alias("severity"))
 
 
+def fused_checks(name: str, df: DataFrame, key: str, not_null: Sequence[str] = ()) -> DataFrame:
+    """The unique check on ``key`` and the not-null checks of one table from a
+    single grouped aggregate: one scan and one shuffle for all of them.
+
+    Per key: row count and null counts (partial aggregation on the map side, so
+    a hot key is one row per task); then one global fold: duplicated keys are
+    groups with a non-NULL key and more than one row, and a column's NULL count
+    is the sum of its per-group NULL counts."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
+                                  *[F.count_if(F.col(c).isNull()).alias(f"_nn{i}")
+                                    for i, c in enumerate(not_null)])
+    folded = per_key.agg(F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("_u"),
+                         *[F.sum(f"_nn{i}").alias(f"_nn{i}") for i in range(len(not_null))])
+    pairs = [f"'unique_{name}_{key}', `_u`"] + \
+        [f"'not_null_{name}_{c}', `_nn{i}`" for i, c in enumerate(not_null)]
+    return folded.select(F.expr(f"stack({len(pairs)}, {', '.join(pairs)}) AS (check, failures)"))
+
+
 def table_checks(name: str, df: DataFrame, unique: Sequence[str] = (),
                  not_null: Sequence[str] = ()) -> list[DataFrame]:
+    """Check rows for one table.  With a single unique key everything is fused
+    into one aggregate (``fused_checks``)."""
+    if len(unique) == 1:
+        return [fused_checks(name, df, unique[0], not_null)]
     out = [check_unique(df, k, f"unique_{name}_{k}") for k in unique]
     if not_null:
         out.append(check_not_null(df, not_null, prefix=f"not_null_{name}_"))

@@ -49,16 +49,30 @@ def comparable(df: DataFrame) -> DataFrame:
 
 # ---- building blocks ---------------------------------------------------------------
 
-# bump when a derivation rule changes: stored bronze of older rules is not reused
-DERIVATION_VERSION = "1"
+def _code_version() -> str:
+    """Hash of the code that produces stored bronze: when a derivation, landing or
+    upsert rule changes, bronze stored by the older code is not reused."""
+    import hashlib
+    import inspect
 
+    from lodestar.functions import json as _json
+    from lodestar.operators import upsert as _upsert
+    from lodestar.sources import derived as _derived, documents as _documents
+    h = hashlib.sha1()
+    for mod in (_derived, _documents, _upsert, _json):
+        h.update(inspect.getsource(mod).encode())
+    return h.hexdigest()[:12]
 
-def _landed(spark, d, name, sources, build):
+
+DERIVATION_VERSION = _code_version()
+
+
+def _landed(spark, d, name, sources, build, shred=True):
     """Bronze relation ``name`` landed from driver tables ``sources``: stored once
     per source content as Parquet with a VARIANT document column, then read."""
     paths = [f"{d.rstrip('/')}/{s}.parquet" for s in sources]
     key = fingerprint(spark, paths, salt=f"{name}:{DERIVATION_VERSION}")
-    return materialized(spark, "bronze", name, key, build)
+    return materialized(spark, "bronze", name, key, build, shred=shred)
 
 
 def bronze_launches(spark, d):
@@ -68,8 +82,9 @@ def bronze_launches(spark, d):
 
 def satellite_log(spark, d):
     """The satellite landing log: every document version with its (batch, pos)."""
+    # read whole by the upsert only, so written unshredded
     return _landed(spark, d, "satellite_log", ["lineitem"],
-                   lambda: satellite_documents(table(spark, d, "lineitem")))
+                   lambda: satellite_documents(table(spark, d, "lineitem")), shred=False)
 
 
 def bronze_satellites(spark, d):

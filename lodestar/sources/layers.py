@@ -38,8 +38,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+WAREHOUSE_CONF = "spark.lodestar.warehouse"
+
+
 def layer_root(spark: SparkSession, root: str | None = None) -> str:
-    return (root or shared_dir(spark) + "/warehouse").rstrip("/")
+    """Root of the layer tables: ``root``, else ``spark.lodestar.warehouse``, else
+    ``<spark.checkpoint.dir>/warehouse``."""
+    return (root or spark.conf.get(WAREHOUSE_CONF, None) or shared_dir(spark) + "/warehouse").rstrip("/")
 
 
 def _versions(spark: SparkSession, base: str) -> list[str]:
@@ -54,17 +59,33 @@ def _versions(spark: SparkSession, base: str) -> list[str]:
     return sorted(out)
 
 
+SHRED_CONF = "spark.sql.variant.writeShredding.enabled"
+
+
 def publish_table(df: DataFrame, layer: str, name: str, root: str | None = None,
-                  version: str | None = None, partition_by: Sequence[str] = ()) -> str:
+                  version: str | None = None, partition_by: Sequence[str] = (),
+                  shred: bool | None = None) -> str:
     """Write ``df`` as a new complete version of ``layer.name``; return its path
-    and point the session view ``{layer}_{name}`` at it."""
+    and point the session view ``{layer}_{name}`` at it.
+
+    ``shred`` controls VARIANT shredding of the write: shredded documents let
+    path reads fetch typed sub-columns, which pays off for tables queried by
+    path (silver inputs); a log that is only ever read whole is cheaper to write
+    unshredded.  None keeps the session setting."""
     spark = df.sparkSession
     version = version or time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + f"{time.time_ns() % 10**9:09d}"
     path = f"{layer_root(spark, root)}/{layer}/{name}/v={version}"
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    before = spark.conf.get(SHRED_CONF, None)
+    if shred is not None:
+        spark.conf.set(SHRED_CONF, str(bool(shred)).lower())
+    try:
+        w.parquet(path)
+    finally:
+        if shred is not None and before is not None:
+            spark.conf.set(SHRED_CONF, before)
     spark.read.parquet(path).createOrReplaceTempView(f"{layer}_{name}")
     return path
 
@@ -102,10 +123,11 @@ def fingerprint(spark: SparkSession, paths: Sequence[str], salt: str = "") -> st
 
 def materialized(spark: SparkSession, layer_name: str, name: str, key: str,
                  build: Callable[[], DataFrame], root: str | None = None,
-                 partition_by: Sequence[str] = ()) -> DataFrame:
+                 partition_by: Sequence[str] = (), shred: bool | None = None) -> DataFrame:
     """Read ``layer.name`` version ``key``; build and write it first if missing.
     A version without ``_SUCCESS`` (a failed earlier write) is rewritten."""
     path = f"{layer_root(spark, root)}/{layer_name}/{name}/v={key}"
     if not _exists(spark, path + "/_SUCCESS"):
-        publish_table(build(), layer_name, name, root, version=key, partition_by=partition_by)
+        publish_table(build(), layer_name, name, root, version=key, partition_by=partition_by,
+                      shred=shred)
     return spark.read.parquet(path)
