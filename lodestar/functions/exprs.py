@@ -123,6 +123,17 @@ def round_ratio(num, den, digits: int = 0) -> Column:
     return F.when(d != 0, out.cast(f"decimal(20,{digits})"))
 
 
+def avg_if(x, cond, scale: int = 18) -> Column:
+    """Aggregate: average of ``x`` over rows where ``cond`` holds (``AVG(CASE WHEN
+    cond THEN x END)``), in DECIMAL: sum and count are exact, the quotient keeps
+    ``scale`` digits.  AVG over INT would be DOUBLE and unsafe before CEIL."""
+    picked = F.when(_c(cond), _c(x))
+    # DECIMAL(20,0) / DECIMAL(20,0): Spark keeps 18 fraction digits (38 - 20)
+    total = F.sum(picked.cast("decimal(20,0)")).cast("decimal(20,0)")
+    n = F.count(picked)
+    return F.when(n > 0, (total / n.cast("decimal(20,0)")).cast(f"decimal(38,{scale})"))
+
+
 def percent(num, den, digits: int = 1) -> Column:
     """``round(num * 100.0 / den, digits)``; NULL on an empty denominator."""
     return round_ratio(_c(num).cast("long") * 100, den, digits)

@@ -67,12 +67,12 @@ def _code_version() -> str:
 DERIVATION_VERSION = _code_version()
 
 
-def _landed(spark, d, name, sources, build, shred=True):
+def _landed(spark, d, name, sources, build, shred=True, partition_by=()):
     """Bronze relation ``name`` landed from driver tables ``sources``: stored once
     per source content as Parquet with a VARIANT document column, then read."""
     paths = [f"{d.rstrip('/')}/{s}.parquet" for s in sources]
     key = fingerprint(spark, paths, salt=f"{name}:{DERIVATION_VERSION}")
-    return materialized(spark, "bronze", name, key, build, shred=shred)
+    return materialized(spark, "bronze", name, key, build, shred=shred, partition_by=partition_by)
 
 
 def bronze_launches(spark, d):
@@ -82,9 +82,11 @@ def bronze_launches(spark, d):
 
 def satellite_log(spark, d):
     """The satellite landing log: every document version with its (batch, pos)."""
-    # read whole by the upsert only, so written unshredded
+    # read whole by the upsert only, so written unshredded; partitioned by landing
+    # batch, so applying one batch reads only that batch's files
     return _landed(spark, d, "satellite_log", ["lineitem"],
-                   lambda: satellite_documents(table(spark, d, "lineitem")), shred=False)
+                   lambda: satellite_documents(table(spark, d, "lineitem")), shred=False,
+                   partition_by=["batch"])
 
 
 def bronze_satellites(spark, d):

@@ -99,3 +99,12 @@ def test_snapshot(spark, docs):
     assert float(r["active_percentage"]) == 97.0
     # extracted 2025-07-30 00:00 (fixture default), analysed 36 hours later
     assert float(r["data_age_hours"]) == 36.0
+
+
+def test_avg_if_is_exact_decimal(spark):
+    from pyspark.sql import functions as F
+    from lodestar.functions.exprs import avg_if
+    df = spark.createDataFrame([(60, True)] * 61 + [(2, True), (60, False)], "x int, ok boolean")
+    r = df.agg(avg_if("x", F.col("ok")).alias("a")).first()["a"]
+    assert str(r).startswith("59.06451612903225806")
+    assert df.agg(avg_if("x", F.lit(False)).alias("a")).first()["a"] is None
