@@ -25,22 +25,29 @@ from lodestar.functions.json import json_null, to_document
 from lodestar.sources.documents import DEFAULT_SOURCE_SYSTEM
 
 
-def spread(df: DataFrame) -> DataFrame:
+# inputs up to this size may be spread across all cores by one extra exchange
+SPREAD_MAX_BYTES = 1 << 30
+
+
+def spread(df: DataFrame, input_bytes: int, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
     """Give a small input at least one partition per core.
 
     The per-row document work is CPU-bound; a file with a single row group is a
-    single scan split, which would put the whole table on one core.  When the
-    scan already has as many splits as the cluster has cores (any large input),
-    nothing is added; otherwise one round-robin exchange spreads the rows.  The
-    split count comes from planning the scan, no job runs."""
+    single scan split, which would put the whole table on one core.  Only a
+    small input (at most ``max_bytes`` on disk) with fewer splits than the
+    cluster has cores gets one round-robin exchange; a large input is left to
+    its scan splits, so at scale this adds no shuffle.  The split count comes
+    from planning the scan, no job runs."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if input_bytes > max_bytes or df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    from lodestar.sources.layers import path_bytes
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spread(spark.read.parquet(path), path_bytes(spark, path))
 
 
 # ---- fixed derivation rules (shared with the oracle SQL) --------------------------

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import time
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 WAREHOUSE_CONF = "spark.lodestar.warehouse"
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes under ``path`` (a file or a directory tree)."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
 def layer_root(spark: SparkSession, root: str | None = None) -> str:
     """Root of the layer tables: ``root``, else ``spark.lodestar.warehouse``, else
     ``<spark.checkpoint.dir>/warehouse``."""
@@ -64,7 +71,7 @@ SHRED_CONF = "spark.sql.variant.writeShredding.enabled"
 
 def publish_table(df: DataFrame, layer: str, name: str, root: str | None = None,
                   version: str | None = None, partition_by: Sequence[str] = (),
-                  shred: bool | None = None) -> str:
+                  shred: bool | None = None, prefix: str = "v=") -> str:
     """Write ``df`` as a new complete version of ``layer.name``; return its path
     and point the session view ``{layer}_{name}`` at it.
 
@@ -74,7 +81,7 @@ def publish_table(df: DataFrame, layer: str, name: str, root: str | None = None,
     unshredded.  None keeps the session setting."""
     spark = df.sparkSession
     version = version or time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + f"{time.time_ns() % 10**9:09d}"
-    path = f"{layer_root(spark, root)}/{layer}/{name}/v={version}"
+    path = f"{layer_root(spark, root)}/{layer}/{name}/{prefix}{version}"
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -86,7 +93,8 @@ def publish_table(df: DataFrame, layer: str, name: str, root: str | None = None,
     finally:
         if shred is not None and before is not None:
             spark.conf.set(SHRED_CONF, before)
-    spark.read.parquet(path).createOrReplaceTempView(f"{layer}_{name}")
+    if prefix == "v=":
+        spark.read.parquet(path).createOrReplaceTempView(f"{layer}_{name}")
     return path
 
 
@@ -125,9 +133,21 @@ def materialized(spark: SparkSession, layer_name: str, name: str, key: str,
                  build: Callable[[], DataFrame], root: str | None = None,
                  partition_by: Sequence[str] = (), shred: bool | None = None) -> DataFrame:
     """Read ``layer.name`` version ``key``; build and write it first if missing.
-    A version without ``_SUCCESS`` (a failed earlier write) is rewritten."""
-    path = f"{layer_root(spark, root)}/{layer_name}/{name}/v={key}"
+
+    The build is written to a hidden ``_tmp-*`` directory (ignored by readers)
+    and renamed into place only after its job committed; a version without
+    ``_SUCCESS`` (a failed earlier write) is replaced.  Two runs racing on the
+    same key both produce complete, identical versions; the first rename wins
+    and the loser's copy stays hidden."""
+    base = f"{layer_root(spark, root)}/{layer_name}/{name}"
+    path = f"{base}/v={key}"
     if not _exists(spark, path + "/_SUCCESS"):
-        publish_table(build(), layer_name, name, root, version=key, partition_by=partition_by,
-                      shred=shred)
+        tmp_version = f"{key}-{uuid.uuid4().hex[:8]}"
+        tmp = publish_table(build(), layer_name, name, root, version=tmp_version,
+                            partition_by=partition_by, shred=shred, prefix="_tmp-")
+        fs, final = _fs(spark, path)
+        if not fs.exists(final.suffix("/_SUCCESS")):
+            if fs.exists(final):
+                fs.delete(final, True)
+            fs.rename(_fs(spark, tmp)[1], final)
     return spark.read.parquet(path)

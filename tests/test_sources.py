@@ -96,3 +96,22 @@ def test_stream_landing_is_incremental_and_idempotent(spark):
     q = land_stream(spark, landing, out, checkpoint=ckpt)
     q.awaitTermination(120)
     assert spark.read.parquet(out).count() == 3
+
+
+def test_materialized_replaces_incomplete_version(spark):
+    root = _tmp()
+    stale = os.path.join(root, "bronze", "m", "v=k2")
+    os.makedirs(stale)
+    open(os.path.join(stale, "part-0.parquet"), "w").write("not parquet")   # a crashed write
+    assert materialized(spark, "bronze", "m", "k2", lambda: spark.range(4), root=root).count() == 4
+    assert os.path.exists(os.path.join(stale, "_SUCCESS"))
+    # hidden temp directories are never read as data
+    assert not any(n.startswith("v=") and "-" in n for n in os.listdir(os.path.join(root, "bronze", "m")))
+
+
+def test_spread_only_small_inputs(spark):
+    from lodestar.sources.derived import spread
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(df, 10_000).rdd.getNumPartitions() == cores
+    assert spread(df, 10 << 30).rdd.getNumPartitions() == df.rdd.getNumPartitions()
