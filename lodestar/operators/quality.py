@@ -140,6 +140,28 @@ def quality_metrics(launches: DataFrame, satellites: DataFrame, as_of) -> DataFr
     )
 
 
+def parse_rejects(df: DataFrame, fields: Mapping[str, tuple[str, str]], data: str = "data") -> DataFrame:
+    """One row: per field, documents whose text is present but does not cast to
+    the field's type -- the rows a strict (ANSI) parse would fail on and a
+    lenient parse turns into NULL.  ``fields``: name -> (document path, type)."""
+    aggs = []
+    for name, (path, dtype) in fields.items():
+        text = jtext(data, path)
+        aggs.append(F.count_if(text.isNotNull() & text.try_cast(dtype).isNull()).alias(f"{name}_rejects"))
+    return df.agg(*aggs)
+
+
+LAUNCH_PARSE_FIELDS = {"launch_date_utc": ("date_utc", "timestamp_ntz"),
+                       "flight_number": ("flight_number", "int")}
+SATELLITE_PARSE_FIELDS = {
+    "launch_date": ("spaceTrack.LAUNCH_DATE", "date"),
+    "tracking_creation_date": ("spaceTrack.CREATION_DATE", "timestamp_ntz"),
+    "semimajor_axis_km": ("spaceTrack.SEMIMAJOR_AXIS", "decimal(30,10)"),
+    "inclination_deg": ("spaceTrack.INCLINATION", "decimal(30,10)"),
+    "altitude_km": ("height_km", "decimal(30,10)"),
+}
+
+
 DEFAULT_GATE = (
     ("launches_missing_data", ">", 50, "Too many launches with missing data"),
     ("starlink_total", "==", 0, "No Starlink satellite data found"),

@@ -23,8 +23,10 @@ from lodestar.plans.extras import map_totals, order_totals, quote_series
 from lodestar.plans.gold import constellation_snapshot, headline, project_to_target
 from lodestar.plans.silver import parse_launches, parse_satellites
 from lodestar.session import configure
-from lodestar.sources.layers import fingerprint, materialized
-from lodestar.sources.derived import (launch_documents, market_replies, order_maps,
+from lodestar.sources.documents import read_documents
+from lodestar.sources.layers import fingerprint, landed_text, materialized
+from lodestar.sources.derived import (launch_documents, launch_json_lines, launch_reply_lines,
+                                      market_replies, order_maps,
                                       rocket_documents, run_log_from_events,
                                       satellite_documents, table)
 from lodestar.sources.runlog import recent_runs
@@ -96,6 +98,16 @@ def bronze_satellites(spark, d):
                    lambda: current_state(satellite_log(spark, d), order=("batch", "pos")))
 
 
+def landed_launch_files(spark, d, layout):
+    """Launch documents landed as files in the shared folder (JSON Lines, or one
+    reply array per line); returns the folder."""
+    paths = [f"{d.rstrip('/')}/orders.parquet"]
+    key = fingerprint(spark, paths, salt=f"launch_files:{layout}:{DERIVATION_VERSION}")
+    build = {"lines": lambda: launch_json_lines(bronze_launches(spark, d)),
+             "array_lines": lambda: launch_reply_lines(bronze_launches(spark, d))}[layout]
+    return landed_text(spark, f"launches_{layout}", key, build)
+
+
 def bronze_rockets(spark, d):
     return _landed(spark, d, "rockets", ["customer"],
                    lambda: rocket_documents(table(spark, d, "customer")))
@@ -186,6 +198,20 @@ def _satellite_batches(spark, d):
     return log.where(F.col("batch") == 0), log.where(F.col("batch") == 1)
 
 
+def q_read_landed_lines(spark, d):
+    docs = read_documents(spark, landed_launch_files(spark, d, "lines"), layout="lines")
+    return docs.select("id", jtext("data", "name").alias("mission_name"),
+                       jabsent("data", "success").alias("success_absent"),
+                       jlen("data", "payloads").alias("payload_count"))
+
+
+def q_read_landed_replies(spark, d):
+    docs = read_documents(spark, landed_launch_files(spark, d, "array_lines"), layout="array_lines")
+    return docs.select("id", F.col("pos.idx").alias("pos_in_reply"),
+                       jtext("data", "name").alias("mission_name"),
+                       jbool("data", "success").alias("launch_success"))
+
+
 def q_upsert_latest(spark, d):
     b0, b1 = _satellite_batches(spark, d)
     state = upsert(upsert(None, b0, order="pos"), b1, order="pos")
@@ -321,6 +347,8 @@ QUERIES: dict[str, Query] = {
     "json_map_total": q_json_map_total,
     "order_totals": q_order_totals,
     "document_roundtrip": q_document_roundtrip,
+    "read_landed_lines": q_read_landed_lines,
+    "read_landed_replies": q_read_landed_replies,
     "upsert_latest": q_upsert_latest,
     "upsert_stats": q_upsert_stats,
     "silver_launches": q_silver_launches,

@@ -229,6 +229,11 @@ ORACLE_SQL: dict[str, str] = {
       FROM orders GROUP BY o_orderpriority""",
     "document_roundtrip": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
         o_orderpriority FROM orders""",
+    "read_landed_lines": _with(LO) + """SELECT CAST(k AS VARCHAR) AS id, mission_name,
+        k % 11 = 0 AS success_absent,
+        CAST(CASE WHEN k % 13 = 0 THEN 0 ELSE k % 4 END AS INTEGER) AS payload_count FROM lo""",
+    "read_landed_replies": _with(LO) + """SELECT CAST(k AS VARCHAR) AS id, CAST(k % 100 AS BIGINT) AS pos_in_reply,
+        mission_name, launch_success FROM lo""",
     "upsert_latest": _with(SV) + f"""SELECT id, l_shipdate AS extracted_at, first_ship AS created_at,
         '{SRC}' AS source_system, launch_id AS launch_ref, CAST(semimajor AS DOUBLE) AS semimajor_axis_km
       FROM sv WHERE rn = 1""",

@@ -63,7 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="lodestar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/") if not path.endswith("://") else path
 
 

@@ -182,6 +182,27 @@ def satellite_documents(lineitem: DataFrame, source_system: str = DEFAULT_SOURCE
     )
 
 
+# documents per landed reply in the reply-per-line landing
+REPLY_SIZE = 100
+
+
+def launch_reply_lines(launches: DataFrame, reply_size: int = REPLY_SIZE) -> DataFrame:
+    """Bronze launch documents -> landed replies, one JSON array per line, holding
+    the documents of ``reply_size`` consecutive keys in key order.  A reply is a
+    bounded group (at most ``reply_size`` documents), sorted inside the group."""
+    k = F.col("id").cast("long")
+    grouped = (launches.select((k / reply_size).cast("long").alias("reply"), k.alias("k"),
+                               F.col("data").cast("string").alias("doc"))
+               .groupBy("reply").agg(F.sort_array(F.collect_list(F.struct("k", "doc"))).alias("docs")))
+    body = F.concat_ws(",", F.transform("docs", lambda d: d["doc"]))
+    return grouped.select(F.concat(F.lit("["), body, F.lit("]")).alias("value"))
+
+
+def launch_json_lines(launches: DataFrame) -> DataFrame:
+    """Bronze launch documents -> JSON Lines text, one document per line."""
+    return launches.select(F.col("data").cast("string").alias("value"))
+
+
 def rocket_documents(customer: DataFrame, source_system: str = DEFAULT_SOURCE_SYSTEM) -> DataFrame:
     rid = F.concat(F.lit("R"), F.col("c_custkey").cast("string"))
     doc = F.struct(rid.alias("id"), F.col("c_name").alias("name"),

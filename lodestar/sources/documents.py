@@ -27,6 +27,8 @@ def read_documents(spark: SparkSession, path: str, layout: str = "lines",
     is exploded with ``posexplode``, which also yields the element position
     used to order repeated keys inside one reply.  A reply file is read by one
     task (it is one JSON value), which matches how replies are produced.
+    ``layout="array_lines"``: one reply (a JSON array) per line, so a landing of
+    many replies is splittable like JSON Lines; ``pos`` is (line order, element).
     """
     if layout == "lines":
         raw = (spark.read.option("singleVariantColumn", "data").json(path)
@@ -40,6 +42,14 @@ def read_documents(spark: SparkSession, path: str, layout: str = "lines",
                 .select(F.parse_json("value").alias("reply"), F.input_file_name().alias("file")))
         elements = F.variant_get(F.col("reply"), "$", "array<variant>")
         raw = text.select("file", F.posexplode(elements).alias("pos", "data")).select("data", "file", "pos")
+    elif layout == "array_lines":
+        lines = (spark.read.text(path)
+                 .select(F.parse_json("value").alias("reply"), F.input_file_name().alias("file"),
+                         F.monotonically_increasing_id().alias("line")))
+        elements = F.variant_get(F.col("reply"), "$", "array<variant>")
+        raw = (lines.select("file", "line", F.posexplode(elements).alias("idx", "data"))
+               .select("data", "file", F.struct(F.col("line"), F.col("idx").cast("long").alias("idx")).alias("pos")))
+        return raw.select(jtext("data", key).alias("id"), "data", "file", "pos")
     else:
         raise ValueError(f"unknown layout {layout!r}")
     return raw.select(jtext("data", key).alias("id"), "data", "file", F.col("pos").cast("long"))

@@ -129,6 +129,24 @@ def fingerprint(spark: SparkSession, paths: Sequence[str], salt: str = "") -> st
     return h.hexdigest()[:16]
 
 
+def landed_text(spark: SparkSession, name: str, key: str, build: Callable[[], DataFrame],
+                root: str | None = None) -> str:
+    """Land a one-column text DataFrame as text files under ``landing/name`` once
+    per ``key`` (same commit-then-rename protocol as ``materialized``); returns
+    the folder to read."""
+    base = f"{layer_root(spark, root)}/landing/{name}"
+    path = f"{base}/v={key}"
+    if not _exists(spark, path + "/_SUCCESS"):
+        tmp = f"{base}/_tmp-{key}-{uuid.uuid4().hex[:8]}"
+        build().write.mode("overwrite").text(tmp)
+        fs, final = _fs(spark, path)
+        if not fs.exists(final.suffix("/_SUCCESS")):
+            if fs.exists(final):
+                fs.delete(final, True)
+            fs.rename(_fs(spark, tmp)[1], final)
+    return path
+
+
 def materialized(spark: SparkSession, layer_name: str, name: str, key: str,
                  build: Callable[[], DataFrame], root: str | None = None,
                  partition_by: Sequence[str] = (), shred: bool | None = None) -> DataFrame:
