@@ -72,6 +72,33 @@ def upsert(state: DataFrame | None, batch: DataFrame, key: str = "id",
     return out.withColumn(ORDER_COL, F.col(f"{ORDER_COL}.o"))
 
 
+def merge_state(state: DataFrame | None, batch: DataFrame, key: str = "id",
+                order: Sequence[str] | str | Column = ("batch", "pos"),
+                update_cols: Sequence[str] = UPDATE_COLS, keep_cols: Sequence[str] = KEEP_COLS) -> DataFrame:
+    """Apply one batch to a state as a join: the same result as ``upsert``.
+
+    The batch is first reduced to one row per key (partial aggregation absorbs
+    hot keys), then full-outer joined with the state on the key: batch values win
+    for the update columns, state values for the keep columns.  Both sides are
+    unique on the key, so the join has no hot key.  When the state is stored
+    bucketed by the key (``lodestar.sources.layers.bucketed``), Spark shuffles
+    only the batch side and the state is read in place: a daily batch costs a
+    shuffle of the batch, not of the whole state."""
+    b = current_state(batch.withColumn(ORDER_COL, _order(order)), key, ORDER_COL,
+                      update_cols, keep_cols, keep_order=True)
+    if state is None:
+        return b
+    s = state.select(key, *update_cols, *keep_cols, ORDER_COL)
+    j = s.alias("s").join(b.alias("b"), key, "full_outer")
+    in_b = F.col(f"b.{ORDER_COL}").isNotNull()
+    in_s = F.col(f"s.{ORDER_COL}").isNotNull()
+    cols = [F.col(key)]
+    cols += [F.when(in_b, F.col(f"b.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in update_cols]
+    cols += [F.when(in_s, F.col(f"s.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in keep_cols]
+    cols.append(F.when(in_b, F.col(f"b.{ORDER_COL}")).otherwise(F.col(f"s.{ORDER_COL}")).alias(ORDER_COL))
+    return j.select(*cols)
+
+
 def upsert_stats(state: DataFrame | None, batch: DataFrame, key: str = "id") -> DataFrame:
     """One row (rows, inserted, updated) for applying ``batch`` to ``state``.
 

@@ -18,13 +18,14 @@ from lodestar.operators.consistency import deployment_check
 from lodestar.operators.quality import (check_not_null, check_results, check_unique,
                                         extraction_summary, layer_report, quality_metrics,
                                         table_checks)
-from lodestar.operators.upsert import current_state, upsert, upsert_stats
+from lodestar.operators.upsert import current_state, merge_state, upsert, upsert_stats
 from lodestar.plans.extras import map_totals, order_totals, quote_series
 from lodestar.plans.gold import constellation_snapshot, headline, project_to_target
 from lodestar.plans.silver import parse_launches, parse_satellites
 from lodestar.session import configure
 from lodestar.sources.documents import read_documents
-from lodestar.sources.layers import fingerprint, landed_text, materialized
+from lodestar.sources.layers import (bucketed, buckets_for, fingerprint, landed_text, materialized,
+                                     path_bytes)
 from lodestar.sources.derived import (launch_documents, launch_json_lines, launch_reply_lines,
                                       market_replies, order_maps,
                                       rocket_documents, run_log_from_events,
@@ -93,9 +94,14 @@ def satellite_log(spark, d):
 
 def bronze_satellites(spark, d):
     """Current state of the satellite log (last write wins), stored like the
-    bronze table an upsert maintains."""
-    return _landed(spark, d, "satellites", ["lineitem"],
-                   lambda: current_state(satellite_log(spark, d), order=("batch", "pos")))
+    bronze table an upsert maintains: the second batch merged into the stored
+    state of the first (only the batch is shuffled); equal to
+    ``current_state(log, ("batch", "pos"))`` over the whole log."""
+    def build():
+        b1 = satellite_log(spark, d).where(F.col("batch") == 1)
+        merged = merge_state(satellite_state_before(spark, d), b1, order="pos")
+        return merged.select("id", "data", "extracted_at", "source_system", "created_at")
+    return _landed(spark, d, "satellites", ["lineitem"], build)
 
 
 def landed_launch_files(spark, d, layout):
@@ -108,6 +114,17 @@ def landed_launch_files(spark, d, layout):
     return landed_text(spark, f"launches_{layout}", key, build)
 
 
+def satellite_state_before(spark, d):
+    """The satellite state after the first landing batch, stored bucketed by id:
+    the state a daily run finds when the next batch arrives."""
+    paths = [f"{d.rstrip('/')}/lineitem.parquet"]
+    key = fingerprint(spark, paths, salt=f"satellite_state_b0:{DERIVATION_VERSION}")
+    n = buckets_for(spark, path_bytes(spark, paths[0]))
+    b0 = satellite_log(spark, d).where(F.col("batch") == 0)
+    return bucketed(spark, "bronze", "satellite_state_b0", key, "id", n,
+                    lambda: merge_state(None, b0, order="pos"))
+
+
 def bronze_rockets(spark, d):
     return _landed(spark, d, "rockets", ["customer"],
                    lambda: rocket_documents(table(spark, d, "customer")))
@@ -213,8 +230,10 @@ def q_read_landed_replies(spark, d):
 
 
 def q_upsert_latest(spark, d):
-    b0, b1 = _satellite_batches(spark, d)
-    state = upsert(upsert(None, b0, order="pos"), b1, order="pos")
+    """Apply the second landing batch to the stored (bucketed) state of the first:
+    only the new batch is shuffled."""
+    b1 = satellite_log(spark, d).where(F.col("batch") == 1)
+    state = merge_state(satellite_state_before(spark, d), b1, order="pos")
     return state.select(
         "id", "extracted_at", "created_at", "source_system",
         jtext("data", "launch").alias("launch_ref"),

@@ -169,3 +169,49 @@ def materialized(spark: SparkSession, layer_name: str, name: str, key: str,
                 fs.delete(final, True)
             fs.rename(_fs(spark, tmp)[1], final)
     return spark.read.parquet(path)
+
+
+def buckets_for(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20) -> int:
+    """Bucket count for a keyed table: about ``target_bytes`` per bucket and never
+    fewer than ``spark.sql.shuffle.partitions`` -- with fewer buckets than the
+    other side's shuffle partitions, Spark re-shuffles the bucketed side of a
+    join, which is what the bucketing is there to avoid."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(max(shuffle, -(-input_bytes // target_bytes)))
+
+
+def _ddl(schema) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def bucketed(spark: SparkSession, layer_name: str, name: str, key: str, by: str, buckets: int,
+             build: Callable[[], DataFrame], root: str | None = None) -> DataFrame:
+    """A table stored bucketed (and sorted) by ``by`` into ``buckets`` files, built
+    once per ``key``.  Joins and aggregations on ``by`` then read it in place
+    without a shuffle.  The bucket layout lives in the table definition, so the
+    definition is (re)registered from the stored files when the session does not
+    know it yet."""
+    base = f"{layer_root(spark, root)}/{layer_name}/{name}"
+    # the bucket layout is part of the version: files written with one bucket
+    # count must never be registered under another
+    key = f"{key}_{by}_{buckets}"
+    path = f"{base}/b={key}"
+    table = f"{layer_name}_{name}_{key}"
+    if not _exists(spark, path + "/_SUCCESS"):
+        tmp_table = f"{table}_tmp_{uuid.uuid4().hex[:8]}"
+        tmp = f"{base}/_tmp-{key}-{uuid.uuid4().hex[:8]}"
+        # one task per bucket: each task then writes exactly one file
+        (build().repartition(buckets, by).write.bucketBy(buckets, by).sortBy(by)
+         .mode("overwrite").option("path", tmp).saveAsTable(tmp_table))
+        spark.sql(f"DROP TABLE IF EXISTS {tmp_table}")          # external: files stay
+        fs, final = _fs(spark, path)
+        if not fs.exists(final.suffix("/_SUCCESS")):
+            if fs.exists(final):
+                fs.delete(final, True)
+            fs.rename(_fs(spark, tmp)[1], final)
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if not spark.catalog.tableExists(table):
+        schema = spark.read.parquet(path).schema
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(schema)}) USING parquet "
+                  f"CLUSTERED BY (`{by}`) SORTED BY (`{by}`) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(table)

@@ -53,3 +53,24 @@ def test_hot_key_is_preaggregated(spark):
     plan = st._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan or "Partial" in plan
     assert _view(st)["hot"][0] == "v299"
+
+
+def test_merge_state_matches_upsert_and_reads_bucketed_state_in_place(spark):
+    import os
+    import tempfile
+    from lodestar.operators.upsert import merge_state
+    from lodestar.sources.layers import bucketed
+    b1 = _batch(spark, [("a", "a1", 0), ("b", "b1", 1), ("a", "a2", 2)], "2024-01-01 00:00:00")
+    b2 = _batch(spark, [("b", "b2", 0), ("c", "c1", 1), ("b", "b3", 2)], "2024-02-01 00:00:00")
+    root = tempfile.mkdtemp(prefix="lodestar-bk-")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    state = bucketed(spark, "bronze", "st", "k1", "id", n, lambda: merge_state(None, b1, order="pos"), root=root)
+    merged = merge_state(state, b2, order="pos")
+    assert _view(merged) == _view(upsert(upsert(None, b1, order="pos"), b2, order="pos"))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1          # only the batch moves
+    assert len([f for f in os.listdir(os.path.join(root, "bronze", "st", f"b=k1_id_{n}"))
+                if f.endswith(".parquet")]) <= n                  # one file per bucket at most
+    # a different bucket count is a different stored version, never a relabelling
+    other = bucketed(spark, "bronze", "st", "k1", "id", n * 2, lambda: merge_state(None, b1, order="pos"), root=root)
+    assert _view(merge_state(other, b2, order="pos")) == _view(merged)
