@@ -19,7 +19,8 @@ DEFAULT_SOURCE_SYSTEM = "api_v4"
 
 def read_documents(spark: SparkSession, path: str, layout: str = "lines",
                    key: str = "id") -> DataFrame:
-    """Read landed documents -> (id, data VARIANT, file, pos).
+    """Read landed documents -> (id, data VARIANT, file, pos); ``pos`` orders the
+    documents of a landing (repeated keys resolve to the last).
 
     ``layout="lines"``: JSON Lines, one document per line, split across tasks by
     file range like any text source.
@@ -32,11 +33,15 @@ def read_documents(spark: SparkSession, path: str, layout: str = "lines",
     """
     if layout == "lines":
         raw = (spark.read.option("singleVariantColumn", "data").json(path)
-               .select(F.col("data"), F.input_file_name().alias("file")))
-        # position of a line inside its file is not exposed by the JSON source;
-        # monotonically_increasing_id is increasing within a split, which is the
-        # file order for an unsplit file and split order otherwise
-        raw = raw.withColumn("pos", F.monotonically_increasing_id())
+               .select(F.col("data"), F.col("_metadata.file_path").alias("file"),
+                       F.col("_metadata.file_block_start").alias("block"),
+                       F.monotonically_increasing_id().alias("row")))
+        # order of a line in the landing: its file, the byte offset of its split
+        # inside the file, then read order inside the split (increasing within a
+        # task); splits are packed into tasks by size, so the task-wide id alone
+        # would not follow the file order
+        pos = F.struct(F.col("file"), F.col("block"), F.col("row"))
+        return raw.select(jtext("data", key).alias("id"), "data", "file", pos.alias("pos"))
     elif layout == "array":
         text = (spark.read.text(path, wholetext=True)
                 .select(F.parse_json("value").alias("reply"), F.input_file_name().alias("file")))
@@ -44,11 +49,13 @@ def read_documents(spark: SparkSession, path: str, layout: str = "lines",
         raw = text.select("file", F.posexplode(elements).alias("pos", "data")).select("data", "file", "pos")
     elif layout == "array_lines":
         lines = (spark.read.text(path)
-                 .select(F.parse_json("value").alias("reply"), F.input_file_name().alias("file"),
+                 .select(F.parse_json("value").alias("reply"), F.col("_metadata.file_path").alias("file"),
+                         F.col("_metadata.file_block_start").alias("block"),
                          F.monotonically_increasing_id().alias("line")))
         elements = F.variant_get(F.col("reply"), "$", "array<variant>")
-        raw = (lines.select("file", "line", F.posexplode(elements).alias("idx", "data"))
-               .select("data", "file", F.struct(F.col("line"), F.col("idx").cast("long").alias("idx")).alias("pos")))
+        raw = (lines.select("file", "block", "line", F.posexplode(elements).alias("idx", "data"))
+               .select("data", "file", F.struct("file", "block", "line",
+                                                F.col("idx").cast("long").alias("idx")).alias("pos")))
         return raw.select(jtext("data", key).alias("id"), "data", "file", "pos")
     else:
         raise ValueError(f"unknown layout {layout!r}")

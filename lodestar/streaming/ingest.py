@@ -21,13 +21,13 @@ from lodestar.sources.documents import DEFAULT_SOURCE_SYSTEM
 def _documents(raw: DataFrame, layout: str, key: str) -> DataFrame:
     if layout == "lines":
         docs = raw.where(F.length(F.trim("value")) > 0).select(
-            F.parse_json("value").alias("data"), F.col("file"),
+            F.parse_json("value").alias("data"), F.col("file"), F.col("block"),
             F.monotonically_increasing_id().alias("line"))
-        pos = F.struct(F.col("file"), F.col("line"))
+        pos = F.struct(F.col("file"), F.col("block"), F.col("line"))
     elif layout == "array":
         elements = F.variant_get(F.parse_json("value"), "$", "array<variant>")
         docs = raw.select(F.col("file"), F.posexplode(elements).alias("idx", "data"))
-        pos = F.struct(F.col("file"), F.col("idx").cast("long").alias("line"))
+        pos = F.struct(F.col("file"), F.lit(0).cast("long").alias("block"), F.col("idx").cast("long").alias("line"))
     else:
         raise ValueError(f"unknown layout {layout!r}")
     return docs.select(jtext("data", key).alias("id"), "data", pos.alias("pos"))
@@ -43,7 +43,8 @@ def land_stream(spark: SparkSession, landing_dir: str, log_path: str, name: str
     scheduling with streaming bookkeeping); otherwise it runs continuously."""
     checkpoint = checkpoint or f"{shared_dir(spark)}/streams/{name}"
     raw = (spark.readStream.format("text").option("wholetext", str(layout == "array").lower())
-           .load(landing_dir).withColumn("file", F.col("_metadata.file_path")))
+           .load(landing_dir).withColumn("file", F.col("_metadata.file_path"))
+           .withColumn("block", F.col("_metadata.file_block_start")))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         at = (F.lit(extracted_at).cast("timestamp_ntz") if extracted_at

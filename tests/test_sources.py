@@ -115,3 +115,24 @@ def test_spread_only_small_inputs(spark):
     cores = spark.sparkContext.defaultParallelism
     assert spread(df, 10_000).rdd.getNumPartitions() == cores
     assert spread(df, 10 << 30).rdd.getNumPartitions() == df.rdd.getNumPartitions()
+
+
+def test_line_order_survives_file_splits(spark):
+    """A landing file cut into many splits: the last line of a repeated key wins."""
+    from lodestar.operators.upsert import current_state
+    d = _tmp()
+    with open(os.path.join(d, "big.jsonl"), "w") as f:
+        for i in range(400):
+            f.write(json.dumps({"id": f"k{i % 7}", "v": i, "pad": "x" * 40}) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        docs = read_documents(spark, d, layout="lines")
+        assert docs.rdd.getNumPartitions() > 4
+        log = docs.withColumn("extracted_at", F.lit(None).cast("timestamp_ntz")) \
+                  .withColumn("source_system", F.lit("s")).withColumn("created_at", F.col("extracted_at"))
+        state = {r["id"]: int(r["v"]) for r in current_state(log, order="pos")
+                 .select("id", jtext("data", "v").alias("v")).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert state == {f"k{j}": max(i for i in range(400) if i % 7 == j) for j in range(7)}
