@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions.json import jtext
+from lodestar.operators.upsert import merge_state
 from lodestar.session import shared_dir
 from lodestar.sources.documents import DEFAULT_SOURCE_SYSTEM
+from lodestar.sources.layers import _fs, bucketed, layer_root
 
 
 def _documents(raw: DataFrame, layout: str, key: str) -> DataFrame:
@@ -58,3 +60,67 @@ def land_stream(spark: SparkSession, landing_dir: str, log_path: str, name: str
     writer = raw.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def _state_versions(spark: SparkSession, name: str, key: str, buckets: int, root: str | None):
+    """Committed state versions of ``name``: {batch id: None}, ascending."""
+    base = f"{layer_root(spark, root)}/bronze/{name}"
+    fs, p = _fs(spark, base)
+    out = []
+    if fs.exists(p):
+        suffix = f"_{key}_{buckets}"
+        for st in fs.listStatus(p):
+            n = st.getPath().getName()
+            if n.startswith("b=") and n.endswith(suffix) and fs.exists(st.getPath().suffix("/_SUCCESS")):
+                out.append(int(n[2:-len(suffix)]))
+    return sorted(out)
+
+
+def stream_state(spark: SparkSession, name: str, key: str = "id", buckets: int | None = None,
+                 root: str | None = None) -> DataFrame | None:
+    """The latest committed state written by ``upsert_stream`` (None before the first)."""
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    versions = _state_versions(spark, name, key, buckets, root)
+    if not versions:
+        return None
+    return bucketed(spark, "bronze", name, f"{versions[-1]:012d}", key, buckets,
+                    lambda: None, root=root)
+
+
+def upsert_stream(spark: SparkSession, landing_dir: str, name: str, key: str = "id",
+                  layout: str = "lines", buckets: int | None = None,
+                  source_system: str = DEFAULT_SOURCE_SYSTEM, root: str | None = None,
+                  checkpoint: str | None = None, extracted_at: str | None = None,
+                  available_now: bool = True):
+    """Keyed upsert as a stream: every micro-batch of landed documents is merged
+    into the previous state, and the result is stored as state version
+    ``<batch id>``, bucketed by the key.
+
+    Each micro-batch shuffles only its own documents (the state is read in place
+    thanks to the bucketing).  The version is committed by rename after the job
+    succeeded, so a replayed micro-batch (same id, same files, per the stream
+    checkpoint) finds its version already committed and does nothing, and a
+    crashed one leaves only a hidden temporary folder.  Readers take the latest
+    committed version (``stream_state``)."""
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint = checkpoint or f"{shared_dir(spark)}/streams/{name}"
+    raw = (spark.readStream.format("text").option("wholetext", str(layout == "array").lower())
+           .load(landing_dir).withColumn("file", F.col("_metadata.file_path"))
+           .withColumn("block", F.col("_metadata.file_block_start")))
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        versions = [v for v in _state_versions(spark, name, key, buckets, root) if v < batch_id]
+        prev = (bucketed(spark, "bronze", name, f"{versions[-1]:012d}", key, buckets, lambda: None, root=root)
+                if versions else None)
+        at = (F.lit(extracted_at).cast("timestamp_ntz") if extracted_at
+              else F.current_timestamp().cast("timestamp_ntz"))
+        docs = (_documents(batch, layout, key)
+                .select(key, "data", at.alias("extracted_at"), F.lit(source_system).alias("source_system"),
+                        at.alias("created_at"),
+                        F.struct(F.lit(batch_id).cast("long").alias("batch"), F.col("pos")).alias("order")))
+        bucketed(spark, "bronze", name, f"{batch_id:012d}", key, buckets,
+                 lambda: merge_state(prev, docs, key=key, order="order"), root=root)
+
+    writer = raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
