@@ -125,6 +125,20 @@ def satellite_state_before(spark, d):
                     lambda: merge_state(None, b0, order="pos"))
 
 
+def landed_satellite_lines(spark, d):
+    """The satellite landing log as JSON Lines files, one folder per landing
+    batch (``batch=0``, ``batch=1``); inside a file the versions of an id are
+    consecutive and in write order.  Returns the landing folder."""
+    paths = [f"{d.rstrip('/')}/lineitem.parquet"]
+    key = fingerprint(spark, paths, salt=f"satellite_lines:{DERIVATION_VERSION}")
+
+    def build():
+        log = satellite_log(spark, d)
+        return (log.repartition("id").sortWithinPartitions("batch", "id", "pos")
+                .select(F.col("data").cast("string").alias("value"), "batch"))
+    return landed_text(spark, "satellite_lines", key, build, partition_by=["batch"])
+
+
 def bronze_rockets(spark, d):
     return _landed(spark, d, "rockets", ["customer"],
                    lambda: rocket_documents(table(spark, d, "customer")))
@@ -247,6 +261,26 @@ def q_upsert_stats(spark, d):
     return first.unionByName(second)
 
 
+def q_stream_upsert_state(spark, d):
+    """Structured Streaming upsert over the landed satellite lines: every
+    micro-batch merged into the previous bucketed state; the answer is the last
+    committed state.  Runs to completion (availableNow) and is idempotent: a
+    rerun finds no new files and keeps the state."""
+    from lodestar.session import shared_dir
+    from lodestar.streaming import stream_state, upsert_stream
+    landing = landed_satellite_lines(spark, d)
+    name = "stream_satellites_" + landing.rstrip("/").rsplit("v=", 1)[-1]
+    q = upsert_stream(spark, landing, name, checkpoint=f"{shared_dir(spark)}/streams/{name}",
+                      extracted_at="2024-01-01 00:00:00")
+    q.awaitTermination()
+    state = stream_state(spark, name)
+    return state.select(
+        "id", jtext("data", "launch").alias("launch_ref"),
+        jtext("data", "spaceTrack.OBJECT_NAME").alias("object_name"),
+        jtext("data", "spaceTrack.DECAYED").alias("decayed"),
+        jnum("data", "spaceTrack.SEMIMAJOR_AXIS", "double").alias("semimajor_axis_km"))
+
+
 def q_silver_launches(spark, d):
     return comparable(silver_launches_df(spark, d))
 
@@ -370,6 +404,7 @@ QUERIES: dict[str, Query] = {
     "read_landed_replies": q_read_landed_replies,
     "upsert_latest": q_upsert_latest,
     "upsert_stats": q_upsert_stats,
+    "stream_upsert_state": q_stream_upsert_state,
     "silver_launches": q_silver_launches,
     "silver_satellites": q_silver_satellites,
     "mission_type_counts": q_mission_type_counts,

@@ -237,6 +237,8 @@ ORACLE_SQL: dict[str, str] = {
     "upsert_latest": _with(SV) + f"""SELECT id, l_shipdate AS extracted_at, first_ship AS created_at,
         '{SRC}' AS source_system, launch_id AS launch_ref, CAST(semimajor AS DOUBLE) AS semimajor_axis_km
       FROM sv WHERE rn = 1""",
+    "stream_upsert_state": _with(SV) + """SELECT id, launch_id AS launch_ref, satellite_name AS object_name,
+        decayed, CAST(semimajor AS DOUBLE) AS semimajor_axis_km FROM sv WHERE rn = 1""",
     "upsert_stats": _with(LOG_IDS, "b0 AS (SELECT DISTINCT id FROM logids WHERE batch = 0)",
                           "n1 AS (SELECT DISTINCT id FROM logids WHERE batch = 1 "
                           "AND id NOT IN (SELECT id FROM b0))") + _union(

@@ -38,10 +38,14 @@ def spread(df: DataFrame, input_bytes: int, max_bytes: int = SPREAD_MAX_BYTES) -
     cluster has cores gets one round-robin exchange; a large input is left to
     its scan splits, so at scale this adds no shuffle.  The split count comes
     from planning the scan, no job runs."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if input_bytes > max_bytes or df.rdd.getNumPartitions() >= cores:
+    if input_bytes > max_bytes:
         return df
-    return df.repartition(cores)
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: keep the scan as is
+        return df
+    return df if splits >= cores else df.repartition(cores)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

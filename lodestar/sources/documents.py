@@ -44,7 +44,7 @@ def read_documents(spark: SparkSession, path: str, layout: str = "lines",
         return raw.select(jtext("data", key).alias("id"), "data", "file", pos.alias("pos"))
     elif layout == "array":
         text = (spark.read.text(path, wholetext=True)
-                .select(F.parse_json("value").alias("reply"), F.input_file_name().alias("file")))
+                .select(F.parse_json("value").alias("reply"), F.col("_metadata.file_path").alias("file")))
         elements = F.variant_get(F.col("reply"), "$", "array<variant>")
         raw = text.select("file", F.posexplode(elements).alias("pos", "data")).select("data", "file", "pos")
     elif layout == "array_lines":

@@ -130,7 +130,7 @@ def fingerprint(spark: SparkSession, paths: Sequence[str], salt: str = "") -> st
 
 
 def landed_text(spark: SparkSession, name: str, key: str, build: Callable[[], DataFrame],
-                root: str | None = None) -> str:
+                root: str | None = None, partition_by: Sequence[str] = ()) -> str:
     """Land a one-column text DataFrame as text files under ``landing/name`` once
     per ``key`` (same commit-then-rename protocol as ``materialized``); returns
     the folder to read."""
@@ -138,7 +138,10 @@ def landed_text(spark: SparkSession, name: str, key: str, build: Callable[[], Da
     path = f"{base}/v={key}"
     if not _exists(spark, path + "/_SUCCESS"):
         tmp = f"{base}/_tmp-{key}-{uuid.uuid4().hex[:8]}"
-        build().write.mode("overwrite").text(tmp)
+        w = build().write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.text(tmp)
         fs, final = _fs(spark, path)
         if not fs.exists(final.suffix("/_SUCCESS")):
             if fs.exists(final):
