@@ -18,7 +18,7 @@ from lodestar.operators.consistency import deployment_check
 from lodestar.operators.quality import (check_not_null, check_results, check_unique,
                                         extraction_summary, layer_report, quality_metrics,
                                         table_checks)
-from lodestar.operators.upsert import current_state, merge_state, upsert, upsert_stats
+from lodestar.operators.upsert import merge_state, upsert_stats
 from lodestar.plans.extras import map_totals, order_totals, quote_series
 from lodestar.plans.gold import constellation_snapshot, headline, project_to_target
 from lodestar.plans.silver import parse_launches, parse_satellites

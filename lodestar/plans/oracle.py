@@ -10,7 +10,7 @@ so rounding is exact on both sides.
 from __future__ import annotations
 
 from lodestar.plans.catalog import AS_OF, FRESH_AS_OF, RECENT_YEAR, RUN_LOG_AS_OF, TARGET
-from lodestar.sources.derived import ABSENT, LAUNCH_NAMES, ROCKET_EXTRACTED_AT, SATELLITE_BATCH_SPLIT
+from lodestar.sources.derived import ABSENT, LAUNCH_NAMES, SATELLITE_BATCH_SPLIT
 from lodestar.sources.documents import DEFAULT_SOURCE_SYSTEM as SRC
 
 

@@ -11,9 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.exprs import (NUMERIC, age_days, cast_date, cast_int, cast_num,
-                                      cast_ts, dow_sunday0)
-from lodestar.functions.json import jabsent, jbool, jlen, jnum, jtext, jvalue
+from lodestar.functions.exprs import NUMERIC, age_days, cast_date, cast_int, cast_ts, dow_sunday0
+from lodestar.functions.json import jabsent, jbool, jlen, jnum, jtext
 from lodestar.functions.rules import band, case_when, contains_any, contains_ci, quality_flag
 
 # ---- fixed values of the domain rules -------------------------------------------

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from lodestar.operators.quality import (QualityGateError, check_not_null, check_results,
                                         check_unique, enforce, extraction_summary, gate,
