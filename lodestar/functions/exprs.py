@@ -25,8 +25,11 @@ def _c(x) -> Column:
     return F.lit(x)
 
 
-def as_of_ts(as_of) -> Column:
-    """A fixed analysis time (never the wall clock inside a registered query)."""
+def as_of_ts(as_of=None) -> Column:
+    """The analysis time.  Registered queries always pass a fixed value; ``None``
+    means now (the session clock, in UTC)."""
+    if as_of is None:
+        return F.current_timestamp().cast("timestamp_ntz")
     if isinstance(as_of, Column):
         return as_of.cast("timestamp_ntz")
     if isinstance(as_of, (_dt.date, _dt.datetime)):
@@ -34,7 +37,7 @@ def as_of_ts(as_of) -> Column:
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
-def as_of_date(as_of) -> Column:
+def as_of_date(as_of=None) -> Column:
     return as_of_ts(as_of).cast("date")
 
 

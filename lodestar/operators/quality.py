@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.exprs import as_of_ts
-from lodestar.functions.json import jtext
+from lodestar.functions.json import jabsent, jpath, jtext
 
 
 class QualityGateError(Exception):
@@ -146,13 +146,20 @@ def parse_rejects(df: DataFrame, fields: Mapping[str, tuple[str, str]], data: st
     lenient parse turns into NULL.  ``fields``: name -> (document path, type)."""
     aggs = []
     for name, (path, dtype) in fields.items():
-        text = jtext(data, path)
-        aggs.append(F.count_if(text.isNotNull() & text.try_cast(dtype).isNull()).alias(f"{name}_rejects"))
+        if dtype.startswith("array"):
+            # present (JSON null included) but not an array: an array-length read
+            # fails on it in the reference; ours gives NULL, counted here
+            bad = ~jabsent(data, path) & F.try_variant_get(F.col(data), jpath(path), dtype).isNull()
+        else:
+            text = jtext(data, path)
+            bad = text.isNotNull() & text.try_cast(dtype).isNull()
+        aggs.append(F.count_if(bad).alias(f"{name}_rejects"))
     return df.agg(*aggs)
 
 
 LAUNCH_PARSE_FIELDS = {"launch_date_utc": ("date_utc", "timestamp_ntz"),
-                       "flight_number": ("flight_number", "int")}
+                       "flight_number": ("flight_number", "int"),
+                       "payload_count": ("payloads", "array<variant>")}
 SATELLITE_PARSE_FIELDS = {
     "launch_date": ("spaceTrack.LAUNCH_DATE", "date"),
     "tracking_creation_date": ("spaceTrack.CREATION_DATE", "timestamp_ntz"),
@@ -199,6 +206,18 @@ def extraction_summary(collections: Mapping[str, DataFrame], last_update: Sequen
     return u.agg(*aggs)
 
 
+def summary_dict(summary: DataFrame) -> dict:
+    """The one summary row as a dict; an error while computing it gives ``{}``
+    (a report must not fail the run it reports on)."""
+    try:
+        rows = summary.limit(1).collect()
+    except Exception as exc:  # noqa: BLE001 - reporting is best effort by design
+        import logging
+        logging.getLogger(__name__).error("summary failed: %s", exc)
+        return {}
+    return rows[0].asDict() if rows else {}
+
+
 def layer_report(layers: Mapping[str, DataFrame]) -> DataFrame:
     """One (component, status, details) row per relation: OK when it has rows.
     A union of one-row aggregates."""

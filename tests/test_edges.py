@@ -42,3 +42,21 @@ def test_parse_rejects_count_what_lenient_parsing_drops(spark, docs):
     r = parse_rejects(sa, SATELLITE_PARSE_FIELDS).first()
     assert r["altitude_km_rejects"] == 1 and r["semimajor_axis_km_rejects"] == 0
     assert r["launch_date_rejects"] == 1
+
+
+def test_payload_rejects_and_summary_dict(spark, docs):
+    from lodestar.operators.quality import extraction_summary, summary_dict
+    la = docs([{"id": "1", "payloads": [1]}, {"id": "2", "payloads": None}, {"id": "3", "payloads": {"a": 1}},
+               {"id": "4"}])
+    assert parse_rejects(la, LAUNCH_PARSE_FIELDS).first()["payload_count_rejects"] == 2
+    good = summary_dict(extraction_summary({"launches": la}))
+    assert good["launches_count"] == 4
+    bad = la.select(F.col("id").cast("int").alias("x")).where("x > 0 or assert_true(false) is null")
+    assert summary_dict(bad.select(F.assert_true(F.lit(False)).alias("boom"))) == {}
+
+
+def test_as_of_defaults_to_now(spark):
+    import datetime as dt
+    from lodestar.functions.exprs import as_of_ts
+    now = spark.range(1).select(as_of_ts().alias("t")).first()["t"]
+    assert abs((dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - now).total_seconds()) < 600
