@@ -42,3 +42,17 @@ def test_summary_and_layer_report(spark, docs):
     assert str(s["last_starlink_update"]) == "2024-01-03 00:00:00"
     rep = {r["component"]: (r["status"], r["details"]) for r in layer_report({"a": a, "e": a.limit(0)}).collect()}
     assert rep == {"a": ("OK", "Found 2 rows in a"), "e": ("ERROR", "Found 0 rows in e")}
+
+
+def test_gate_on_driver_data(spark):
+    """The derived launches carry >50 documents without name or date, so the
+    reference gate (missing > 50 fails; 50 passes) stops the run."""
+    from conftest import SF_SMALL
+    from lodestar.plans import catalog
+    m = catalog.q_quality_metrics(spark, SF_SMALL)
+    row = m.first()
+    assert row["launches_missing_data"] > 50 and row["starlink_total"] > 0
+    with pytest.raises(QualityGateError, match="Too many launches"):
+        gate(m)
+    limit = row["launches_missing_data"]
+    assert gate(m, [("launches_missing_data", ">", limit, "x")])["starlink_total"] == row["starlink_total"]
