@@ -58,11 +58,14 @@ def _code_version() -> str:
     import hashlib
     import inspect
 
+    import sys
+
     from lodestar.functions import json as _json
     from lodestar.operators import upsert as _upsert
-    from lodestar.sources import derived as _derived, documents as _documents
+    from lodestar.sources import derived as _derived, documents as _documents, layers as _layers
+    from lodestar.streaming import ingest as _ingest
     h = hashlib.sha1()
-    for mod in (_derived, _documents, _upsert, _json):
+    for mod in (_derived, _documents, _upsert, _json, _layers, _ingest, sys.modules[__name__]):
         h.update(inspect.getsource(mod).encode())
     return h.hexdigest()[:12]
 

@@ -17,11 +17,14 @@ work on any cluster file system.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 import time
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lodestar.session import shared_dir
 
@@ -42,6 +45,25 @@ def _exists(spark: SparkSession, path: str) -> bool:
 WAREHOUSE_CONF = "spark.lodestar.warehouse"
 
 
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Total bytes under ``path`` (a file or a directory tree)."""
     fs, p = _fs(spark, path)
@@ -187,6 +209,22 @@ def _ddl(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def bucketed_versions(spark: SparkSession, layer_name: str, name: str, by: str, buckets: int,
+                      root: str | None = None) -> list[str]:
+    """Committed version keys of a bucketed table with this layout, ascending."""
+    base = f"{layer_root(spark, root)}/{layer_name}/{name}"
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
+        return []
+    suffix = f"_{by}_{buckets}"
+    out = []
+    for st in fs.listStatus(p):
+        n = st.getPath().getName()
+        if n.startswith("b=") and n.endswith(suffix) and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            out.append(n[2:-len(suffix)])
+    return sorted(out)
+
+
 def bucketed(spark: SparkSession, layer_name: str, name: str, key: str, by: str, buckets: int,
              build: Callable[[], DataFrame], root: str | None = None) -> DataFrame:
     """A table stored bucketed (and sorted) by ``by`` into ``buckets`` files, built
@@ -199,14 +237,18 @@ def bucketed(spark: SparkSession, layer_name: str, name: str, key: str, by: str,
     # count must never be registered under another
     key = f"{key}_{by}_{buckets}"
     path = f"{base}/b={key}"
-    table = f"{layer_name}_{name}_{key}"
+    table = re.sub(r"\W", "_", f"{layer_name}_{name}_{key}")
     if not _exists(spark, path + "/_SUCCESS"):
-        tmp_table = f"{table}_tmp_{uuid.uuid4().hex[:8]}"
+        tmp_table = f"{table}_tmp_{uuid.uuid4().hex[:8]}"  # noqa: S608
         tmp = f"{base}/_tmp-{key}-{uuid.uuid4().hex[:8]}"
+        built = build()
         # one task per bucket: each task then writes exactly one file
-        (build().repartition(buckets, by).write.bucketBy(buckets, by).sortBy(by)
+        (built.repartition(buckets, by).write.bucketBy(buckets, by).sortBy(by)
          .mode("overwrite").option("path", tmp).saveAsTable(tmp_table))
         spark.sql(f"DROP TABLE IF EXISTS {tmp_table}")          # external: files stay
+        # the schema travels with the files (an empty version has no data file
+        # to infer it from); hidden name, so readers skip it
+        _write_text(spark, f"{tmp}/_schema.json", built.schema.json())
         fs, final = _fs(spark, path)
         if not fs.exists(final.suffix("/_SUCCESS")):
             if fs.exists(final):
@@ -214,7 +256,7 @@ def bucketed(spark: SparkSession, layer_name: str, name: str, key: str, by: str,
             fs.rename(_fs(spark, tmp)[1], final)
         spark.sql(f"DROP TABLE IF EXISTS {table}")
     if not spark.catalog.tableExists(table):
-        schema = spark.read.parquet(path).schema
+        schema = T.StructType.fromJson(json.loads(_read_text(spark, f"{path}/_schema.json")))
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(schema)}) USING parquet "
                   f"CLUSTERED BY (`{by}`) SORTED BY (`{by}`) INTO {buckets} BUCKETS LOCATION '{path}'")
     return spark.table(table)

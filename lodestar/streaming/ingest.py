@@ -17,7 +17,7 @@ from lodestar.functions.json import jtext
 from lodestar.operators.upsert import merge_state
 from lodestar.session import shared_dir
 from lodestar.sources.documents import DEFAULT_SOURCE_SYSTEM
-from lodestar.sources.layers import _fs, bucketed, layer_root
+from lodestar.sources.layers import bucketed, bucketed_versions
 
 
 def _documents(raw: DataFrame, layout: str, key: str) -> DataFrame:
@@ -63,17 +63,8 @@ def land_stream(spark: SparkSession, landing_dir: str, log_path: str, name: str
 
 
 def _state_versions(spark: SparkSession, name: str, key: str, buckets: int, root: str | None):
-    """Committed state versions of ``name``: {batch id: None}, ascending."""
-    base = f"{layer_root(spark, root)}/bronze/{name}"
-    fs, p = _fs(spark, base)
-    out = []
-    if fs.exists(p):
-        suffix = f"_{key}_{buckets}"
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if n.startswith("b=") and n.endswith(suffix) and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(int(n[2:-len(suffix)]))
-    return sorted(out)
+    """Committed state versions of ``name`` (micro-batch ids), ascending."""
+    return sorted(int(v) for v in bucketed_versions(spark, "bronze", name, key, buckets, root))
 
 
 def stream_state(spark: SparkSession, name: str, key: str = "id", buckets: int | None = None,
