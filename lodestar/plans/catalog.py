@@ -260,7 +260,8 @@ def q_upsert_latest(spark, d):
 def q_upsert_stats(spark, d):
     b0, b1 = _satellite_batches(spark, d)
     first = upsert_stats(None, b0).select(F.lit(0).alias("batch"), "*")
-    second = upsert_stats(b0.select("id"), b1).select(F.lit(1).alias("batch"), "*")
+    # against the stored state (bucketed by id): only the batch keys move
+    second = upsert_stats(satellite_state_before(spark, d), b1).select(F.lit(1).alias("batch"), "*")
     return first.unionByName(second)
 
 
