@@ -100,19 +100,22 @@ def merge_state(state: DataFrame | None, batch: DataFrame, key: str = "id",
 
 
 def upsert_stats(state: DataFrame | None, batch: DataFrame, key: str = "id") -> DataFrame:
-    """One row (rows, inserted, updated) for applying ``batch`` to ``state``.
+    """One row (batch_rows, inserted, updated) for applying ``batch`` to ``state``.
 
     A row-at-a-time upsert counts an insert for the first row of each new key and
-    an update for every other row, so inserted = distinct batch keys absent from
-    the state, updated = batch rows - inserted.  Keys are de-duplicated before the
-    anti join, so a hot key cannot skew it."""
-    keys = batch.where(F.col(key).isNotNull()).select(key).distinct()
+    an update for every other row, so inserted = distinct non-NULL batch keys
+    absent from the state, updated = batch rows - inserted.
+
+    Plan: rows per batch key (partial aggregation, so a hot key is one row per
+    task), a left join of those keys with the state's keys (unique by
+    construction; with the state bucketed by key only the batch side moves), and
+    one global fold."""
+    per_key = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    is_new = F.col(key).isNotNull()
     if state is not None:
-        keys = keys.join(state.select(key), key, "left_anti")
-    rows = batch.agg(F.count(F.lit(1)).alias("batch_rows"))
-    new = keys.agg(F.count(F.lit(1)).alias("inserted"))
-    # two one-row aggregates side by side without a join: tag and fold
-    tagged = (rows.select(F.col("batch_rows"), F.lit(None).cast("long").alias("inserted"))
-              .unionByName(new.select(F.lit(None).cast("long").alias("batch_rows"), "inserted")))
-    folded = tagged.agg(F.max("batch_rows").alias("batch_rows"), F.max("inserted").alias("inserted"))
+        known = state.select(F.col(key).alias("_known"))
+        per_key = per_key.join(known, per_key[key] == known["_known"], "left")
+        is_new = is_new & F.col("_known").isNull()
+    folded = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("batch_rows"),
+                         F.count_if(is_new).alias("inserted"))
     return folded.select("batch_rows", "inserted", (F.col("batch_rows") - F.col("inserted")).alias("updated"))
