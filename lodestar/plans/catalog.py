@@ -7,6 +7,9 @@ DOUBLE at this boundary only, so results compare with the DuckDB oracles.
 
 from __future__ import annotations
 
+import hashlib
+import inspect
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,11 +58,6 @@ def comparable(df: DataFrame) -> DataFrame:
 def _code_version() -> str:
     """Hash of the code that produces stored bronze: when a derivation, landing or
     upsert rule changes, bronze stored by the older code is not reused."""
-    import hashlib
-    import inspect
-
-    import sys
-
     from lodestar.functions import json as _json
     from lodestar.operators import upsert as _upsert
     from lodestar.sources import derived as _derived, documents as _documents, layers as _layers
@@ -130,15 +128,17 @@ def satellite_state_before(spark, d):
 
 def landed_satellite_lines(spark, d):
     """The satellite landing log as JSON Lines files, one folder per landing
-    batch (``batch=0``, ``batch=1``); inside a file the versions of an id are
-    consecutive and in write order.  Returns the landing folder."""
+    batch (``batch=0``, ``batch=1``), in write order: a global sort by
+    (batch, pos) range-partitions the log, so file names follow the ranges and
+    (file, offset, line) is the write order.  Range partitioning splits by the
+    ordering, not by id, so a hot id's versions spread over many tasks.
+    Returns the landing folder."""
     paths = [f"{d.rstrip('/')}/lineitem.parquet"]
     key = fingerprint(spark, paths, salt=f"satellite_lines:{DERIVATION_VERSION}")
 
     def build():
         log = satellite_log(spark, d)
-        return (log.repartition("id").sortWithinPartitions("batch", "id", "pos")
-                .select(F.col("data").cast("string").alias("value"), "batch"))
+        return log.orderBy("batch", "pos").select(F.col("data").cast("string").alias("value"), "batch")
     return landed_text(spark, "satellite_lines", key, build, partition_by=["batch"])
 
 

@@ -8,6 +8,9 @@
 * ``layer``          read the latest complete version of a relation.
 * ``materialized``   read a relation stored under a content fingerprint, building
   and writing it first when missing (the landed bronze of a source).
+* ``bucketed``       the same for a table bucketed by a key (the upsert state), so
+  joins and aggregations on the key read it without a shuffle.
+* ``landed_text``    land text files (JSON Lines, reply arrays) once per key.
 
 Everything lives under one root, by default the session's shared folder
 (``spark.checkpoint.dir``); paths go through the Hadoop FileSystem API so they
@@ -113,8 +116,11 @@ def publish_table(df: DataFrame, layer: str, name: str, root: str | None = None,
     try:
         w.parquet(path)
     finally:
-        if shred is not None and before is not None:
-            spark.conf.set(SHRED_CONF, before)
+        if shred is not None:
+            if before is None:
+                spark.conf.unset(SHRED_CONF)
+            else:
+                spark.conf.set(SHRED_CONF, before)
     if prefix == "v=":
         spark.read.parquet(path).createOrReplaceTempView(f"{layer}_{name}")
     return path
