@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPDATE_COLS = ("data", "extracted_at")
 KEEP_COLS = ("source_system", "created_at")
@@ -72,6 +73,13 @@ def upsert(state: DataFrame | None, batch: DataFrame, key: str = "id",
     return out.withColumn(ORDER_COL, F.col(f"{ORDER_COL}.o"))
 
 
+def _order_text(df: DataFrame) -> Column:
+    c = F.col(ORDER_COL)
+    if isinstance(df.schema[ORDER_COL].dataType, T.StringType):
+        return c
+    return F.to_json(F.struct(c.alias("o")))
+
+
 def merge_state(state: DataFrame | None, batch: DataFrame, key: str = "id",
                 order: Sequence[str] | str | Column = ("batch", "pos"),
                 update_cols: Sequence[str] = UPDATE_COLS, keep_cols: Sequence[str] = KEEP_COLS) -> DataFrame:
@@ -86,9 +94,13 @@ def merge_state(state: DataFrame | None, batch: DataFrame, key: str = "id",
     shuffle of the batch, not of the whole state."""
     b = current_state(batch.withColumn(ORDER_COL, _order(order)), key, ORDER_COL,
                       update_cols, keep_cols, keep_order=True)
+    # the winning write order is kept as JSON text: orders of different batches
+    # are never compared (the batch always wins), and text keeps the state's
+    # schema independent of the landing layout that produced each batch
+    b = b.withColumn(ORDER_COL, _order_text(b))
     if state is None:
         return b
-    s = state.select(key, *update_cols, *keep_cols, ORDER_COL)
+    s = state.select(key, *update_cols, *keep_cols, _order_text(state).alias(ORDER_COL))
     j = s.alias("s").join(b.alias("b"), key, "full_outer")
     in_b = F.col(f"b.{ORDER_COL}").isNotNull()
     in_s = F.col(f"s.{ORDER_COL}").isNotNull()

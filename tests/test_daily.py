@@ -61,3 +61,21 @@ def test_daily_run_gate_and_failed_load(spark):
                   as_of=dt.datetime(2025, 7, 30), root=root)
     log = read_run_log(spark, os.path.join(root, "bronze", "pipeline_metadata"))
     assert log.where("status = 'failed' AND pipeline_name = 'daily.extract_launches'").count() == 1
+
+
+def test_daily_run_survives_a_layout_change(spark):
+    root = tempfile.mkdtemp(prefix="lodestar-daily-")
+    daily_run(spark, {"launches": _land(_launches(5)), "starlink": _land(_sats(3))},
+              as_of=dt.datetime(2025, 7, 30), root=root, layout="array")
+    lines = tempfile.mkdtemp(prefix="lodestar-land-")
+    with open(os.path.join(lines, "part.jsonl"), "w") as f:
+        for o in _sats(2, decayed=1) + [{"id": "S9", "spaceTrack": {"DECAYED": 0}}]:
+            f.write(json.dumps(o) + "\n")
+    lines_l = tempfile.mkdtemp(prefix="lodestar-land-")
+    with open(os.path.join(lines_l, "part.jsonl"), "w") as f:
+        for o in _launches(5):
+            f.write(json.dumps(o) + "\n")
+    out = daily_run(spark, {"launches": lines_l, "starlink": lines}, as_of=dt.datetime(2025, 7, 31),
+                    root=root, layout="lines")
+    assert out["upserts"]["starlink"] == {"batch_rows": 3, "inserted": 1, "updated": 2}
+    assert spark.table("gold_constellation_status").first()["active_satellites"] == 2
