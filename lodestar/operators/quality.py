@@ -192,17 +192,20 @@ def gate(metrics: DataFrame, rules: Sequence[tuple[str, str, float, str]] = DEFA
 
 # ---- completeness --------------------------------------------------------------------
 
-def extraction_summary(collections: Mapping[str, DataFrame], last_update: Sequence[str] = ()) -> DataFrame:
-    """One row: ``<name>_count`` for every collection and ``last_<name>_update``
-    (max extracted_at) for the named ones, from one tagged aggregate."""
+def extraction_summary(collections: Mapping[str, DataFrame],
+                       last_update: Sequence[str] | Mapping[str, str] = ()) -> DataFrame:
+    """One row: ``<name>_count`` for every collection and the latest extracted_at
+    of the named ones (``last_<name>_update``, or the given column name when
+    ``last_update`` maps collection -> column), from one tagged aggregate."""
     names = list(collections)
     u = None
     for i, n in enumerate(names):
         part = collections[n].select(F.lit(i).alias("_t"), F.col("extracted_at"))
         u = part if u is None else u.unionByName(part)
     aggs = [F.count_if(F.col("_t") == i).alias(f"{n}_count") for i, n in enumerate(names)]
-    aggs += [F.max(F.when(F.col("_t") == names.index(n), F.col("extracted_at"))).alias(f"last_{n}_update")
-             for n in last_update]
+    out_names = dict(last_update) if isinstance(last_update, Mapping) else {n: f"last_{n}_update" for n in last_update}
+    aggs += [F.max(F.when(F.col("_t") == names.index(n), F.col("extracted_at"))).alias(col)
+             for n, col in out_names.items()]
     return u.agg(*aggs)
 
 

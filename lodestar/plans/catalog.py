@@ -363,7 +363,8 @@ def q_extraction_summary(spark, d):
     return extraction_summary({"launches": bronze_launches(spark, d),
                                "starlink": bronze_satellites(spark, d),
                                "rockets": bronze_rockets(spark, d)},
-                              last_update=["launches", "starlink"])
+                              last_update={"launches": "last_launch_update",
+                                           "starlink": "last_starlink_update"})
 
 
 def q_layer_report(spark, d):

@@ -172,7 +172,7 @@ proj AS (
     CASE WHEN last_d > first_d THEN
            CASE WHEN span > 0 THEN CAST({_rhu('succ * 100', 'span')} AS DOUBLE) / 100 END
          ELSE 0.0 END AS avg_monthly_launch_rate,
-    recent AS launches_recent_year,
+    recent AS launches_{RECENT_YEAR},
     CAST(ln AS BIGINT) AS launches_needed,
     CAST(m10 AS DOUBLE) / 10 AS months_to_completion,
     CAST(DATE '{AS_OF[:10]}' + to_months(CAST(m10 // 10 AS INTEGER))
@@ -293,7 +293,7 @@ ORACLE_SQL: dict[str, str] = {
     "extraction_summary": f"""SELECT (SELECT count(*) FROM orders) AS launches_count,
         (SELECT count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem) AS starlink_count,
         (SELECT count(*) FROM customer) AS rockets_count,
-        (SELECT max(o_orderdate) FROM orders) AS last_launches_update,
+        (SELECT max(o_orderdate) FROM orders) AS last_launch_update,
         (SELECT max(l_shipdate) FROM lineitem) AS last_starlink_update""",
     "layer_report": _with(
         "c AS (SELECT (SELECT count(*) FROM orders) AS nl, "
