@@ -169,10 +169,12 @@ SATELLITE_PARSE_FIELDS = {
 }
 
 
+# ---- fixed values: the reference's gate (metric, comparison, limit, message) ---------
 DEFAULT_GATE = (
     ("launches_missing_data", ">", 50, "Too many launches with missing data"),
     ("starlink_total", "==", 0, "No Starlink satellite data found"),
 )
+# ----------------------------------------------------------------------------------------
 
 
 def gate(metrics: DataFrame, rules: Sequence[tuple[str, str, float, str]] = DEFAULT_GATE) -> dict:
