@@ -102,6 +102,7 @@ def bronze_satellites(spark, d):
         b1 = satellite_log(spark, d).where(F.col("batch") == 1)
         merged = merge_state(satellite_state_before(spark, d), b1, order="pos")
         return merged.select("id", "data", "extracted_at", "source_system", "created_at")
+    # written shredded for path reads (silver), straight from the merge tasks
     return _landed(spark, d, "satellites", ["lineitem"], build)
 
 

@@ -232,12 +232,20 @@ def bucketed_versions(spark: SparkSession, layer_name: str, name: str, by: str,
 
 
 def bucketed(spark: SparkSession, layer_name: str, name: str, key: str, by: str, buckets: int,
-             build: Callable[[], DataFrame], root: str | None = None) -> DataFrame:
+             build: Callable[[], DataFrame], root: str | None = None,
+             prepartitioned: bool = False) -> DataFrame:
     """A table stored bucketed (and sorted) by ``by`` into ``buckets`` files, built
     once per ``key``.  Joins and aggregations on ``by`` then read it in place
     without a shuffle.  The bucket layout lives in the table definition, so the
     definition is (re)registered from the stored files when the session does not
-    know it yet."""
+    know it yet.
+
+    ``prepartitioned``: the built rows already sit one bucket per task -- the
+    output of ``merge_state`` against a state with the same bucketing, where each
+    join task is one bucket -- so the write needs no shuffle.  Without it the
+    rows are first repartitioned by ``by`` (one file per bucket).  Either way the
+    writer puts each row in the bucket of its key; the flag only saves the
+    shuffle."""
     base = f"{layer_root(spark, root)}/{layer_name}/{name}"
     # the bucket layout is part of the version: files written with one bucket
     # count must never be registered under another
@@ -248,8 +256,8 @@ def bucketed(spark: SparkSession, layer_name: str, name: str, key: str, by: str,
         tmp_table = f"{table}_tmp_{uuid.uuid4().hex[:8]}"  # noqa: S608
         tmp = f"{base}/_tmp-{key}-{uuid.uuid4().hex[:8]}"
         built = build()
-        # one task per bucket: each task then writes exactly one file
-        (built.repartition(buckets, by).write.bucketBy(buckets, by).sortBy(by)
+        rows = built if prepartitioned else built.repartition(buckets, by)   # one file per bucket
+        (rows.write.bucketBy(buckets, by).sortBy(by)
          .mode("overwrite").option("path", tmp).saveAsTable(tmp_table))
         spark.sql(f"DROP TABLE IF EXISTS {tmp_table}")          # external: files stay
         # the schema travels with the files (an empty version has no data file

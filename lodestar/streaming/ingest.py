@@ -110,7 +110,8 @@ def upsert_stream(spark: SparkSession, landing_dir: str, name: str, key: str = "
                         at.alias("created_at"),
                         F.struct(F.lit(batch_id).cast("long").alias("batch"), F.col("pos")).alias("order")))
         bucketed(spark, "bronze", name, f"{batch_id:012d}", key, buckets,
-                 lambda: merge_state(prev, docs, key=key, order="order"), root=root)
+                 lambda: merge_state(prev, docs, key=key, order="order"), root=root,
+                 prepartitioned=prev is not None)
 
     writer = raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

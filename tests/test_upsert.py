@@ -74,3 +74,27 @@ def test_merge_state_matches_upsert_and_reads_bucketed_state_in_place(spark):
     # a different bucket count is a different stored version, never a relabelling
     other = bucketed(spark, "bronze", "st", "k1", "id", n * 2, lambda: merge_state(None, b1, order="pos"), root=root)
     assert _view(merge_state(other, b2, order="pos")) == _view(merged)
+
+
+def test_merge_into_bucketed_state_writes_one_file_per_bucket_without_reshuffle(spark):
+    import os
+    import tempfile
+    from lodestar.operators.upsert import merge_state
+    from lodestar.sources.layers import bucketed
+    rows1 = [(f"k{i}", f"a{i}", i) for i in range(200)]
+    rows2 = [(f"k{i}", f"b{i}", i) for i in range(100, 300)]
+    b1 = _batch(spark, rows1, "2024-01-01 00:00:00")
+    b2 = _batch(spark, rows2, "2024-02-01 00:00:00")
+    root = tempfile.mkdtemp(prefix="lodestar-bk2-")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    s1 = bucketed(spark, "bronze", "st2", "v1", "id", n, lambda: merge_state(None, b1, order="pos"), root=root)
+    s2 = bucketed(spark, "bronze", "st2", "v2", "id", n, lambda: merge_state(s1, b2, order="pos"),
+                  root=root, prepartitioned=True)
+    files = [f for f in os.listdir(os.path.join(root, "bronze", "st2", f"b=v2_id_{n}")) if f.endswith(".parquet")]
+    assert len(files) <= n
+    got = _view(s2)
+    assert len(got) == 300 and got["k0"][0] == "a0" and got["k150"][0] == "b150" and got["k299"][0] == "b299"
+    # bucket ids in file names agree with the keys' hash buckets
+    bucket_of_file = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d{5})\.c\d{3}", 1).cast("int")
+    bad = s2.where(F.expr(f"pmod(hash(id), {n})") != bucket_of_file)
+    assert bad.count() == 0
