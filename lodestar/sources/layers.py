@@ -215,19 +215,21 @@ def _ddl(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def bucketed_versions(spark: SparkSession, layer_name: str, name: str, by: str, buckets: int,
-                      root: str | None = None) -> list[str]:
-    """Committed version keys of a bucketed table with this layout, ascending."""
+def bucketed_versions(spark: SparkSession, layer_name: str, name: str, by: str,
+                      buckets: int | None = None, root: str | None = None) -> list[tuple[str, int]]:
+    """Committed versions ``(key, bucket count)`` of a table bucketed by ``by``,
+    ascending by key; only those with ``buckets`` when given."""
     base = f"{layer_root(spark, root)}/{layer_name}/{name}"
     fs, p = _fs(spark, base)
     if not fs.exists(p):
         return []
-    suffix = f"_{by}_{buckets}"
+    pattern = re.compile(rf"^b=(.+)_{re.escape(by)}_(\d+)$")
     out = []
     for st in fs.listStatus(p):
-        n = st.getPath().getName()
-        if n.startswith("b=") and n.endswith(suffix) and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(n[2:-len(suffix)])
+        m = pattern.match(st.getPath().getName())
+        if m and (buckets is None or int(m.group(2)) == buckets) \
+                and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            out.append((m.group(1), int(m.group(2))))
     return sorted(out)
 
 

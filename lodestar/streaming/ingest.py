@@ -62,20 +62,21 @@ def land_stream(spark: SparkSession, landing_dir: str, log_path: str, name: str
     return writer.start()
 
 
-def _state_versions(spark: SparkSession, name: str, key: str, buckets: int, root: str | None):
-    """Committed state versions of ``name`` (micro-batch ids), ascending."""
-    return sorted(int(v) for v in bucketed_versions(spark, "bronze", name, key, buckets, root))
+def _state_versions(spark: SparkSession, name: str, key: str, root: str | None):
+    """Committed state versions of ``name``: (micro-batch id, bucket count), ascending."""
+    return sorted((int(v), n) for v, n in bucketed_versions(spark, "bronze", name, key, root=root))
 
 
 def stream_state(spark: SparkSession, name: str, key: str = "id", buckets: int | None = None,
                  root: str | None = None) -> DataFrame | None:
     """The latest committed state written by ``upsert_stream`` (None before the first)."""
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    versions = _state_versions(spark, name, key, buckets, root)
+    versions = _state_versions(spark, name, key, root)
+    if buckets:
+        versions = [v for v in versions if v[1] == buckets]
     if not versions:
         return None
-    return bucketed(spark, "bronze", name, f"{versions[-1]:012d}", key, buckets,
-                    lambda: None, root=root)
+    batch_id, n = versions[-1]
+    return bucketed(spark, "bronze", name, f"{batch_id:012d}", key, n, lambda: None, root=root)
 
 
 def upsert_stream(spark: SparkSession, landing_dir: str, name: str, key: str = "id",
@@ -100,9 +101,12 @@ def upsert_stream(spark: SparkSession, landing_dir: str, name: str, key: str = "
            .withColumn("block", F.col("_metadata.file_block_start")))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        versions = [v for v in _state_versions(spark, name, key, buckets, root) if v < batch_id]
-        prev = (bucketed(spark, "bronze", name, f"{versions[-1]:012d}", key, buckets, lambda: None, root=root)
-                if versions else None)
+        versions = [v for v in _state_versions(spark, name, key, root) if v[0] < batch_id]
+        prev, prev_buckets = None, 0
+        if versions:
+            prev_id, prev_buckets = versions[-1]
+            prev = bucketed(spark, "bronze", name, f"{prev_id:012d}", key, prev_buckets,
+                            lambda: None, root=root)
         at = (F.lit(extracted_at).cast("timestamp_ntz") if extracted_at
               else F.current_timestamp().cast("timestamp_ntz"))
         docs = (_documents(batch, layout, key)
@@ -111,7 +115,7 @@ def upsert_stream(spark: SparkSession, landing_dir: str, name: str, key: str = "
                         F.struct(F.lit(batch_id).cast("long").alias("batch"), F.col("pos")).alias("order")))
         bucketed(spark, "bronze", name, f"{batch_id:012d}", key, buckets,
                  lambda: merge_state(prev, docs, key=key, order="order"), root=root,
-                 prepartitioned=prev is not None)
+                 prepartitioned=prev is not None and prev_buckets == buckets)
 
     writer = raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

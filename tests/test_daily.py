@@ -79,3 +79,18 @@ def test_daily_run_survives_a_layout_change(spark):
                     root=root, layout="lines")
     assert out["upserts"]["starlink"] == {"batch_rows": 3, "inserted": 1, "updated": 2}
     assert spark.table("gold_constellation_status").first()["active_satellites"] == 2
+
+
+def test_daily_run_keeps_state_across_a_bucket_count_change(spark):
+    root = tempfile.mkdtemp(prefix="lodestar-daily-")
+    daily_run(spark, {"launches": _land(_launches(5)), "starlink": _land(_sats(4))},
+              as_of=dt.datetime(2025, 7, 30), root=root)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        out = daily_run(spark, {"launches": _land(_launches(5)), "starlink": _land(_sats(1, decayed=1))},
+                        as_of=dt.datetime(2025, 7, 31), root=root)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out["upserts"]["starlink"] == {"batch_rows": 1, "inserted": 0, "updated": 1}
+    assert out["quality"]["starlink_total"] == 4
