@@ -5,11 +5,18 @@ update columns (``data``, ``extracted_at``) and keep the rest (``source_system``
 ``created_at``) from the first insert; statements run in order, so a key repeated
 inside one batch resolves to its *last* row.
 
-Spark form: the current state is an aggregation over an append-only log,
-``max_by(update cols, order)`` and ``min_by(keep cols, order)`` per key.  Both are
-declarative aggregates, so the map side pre-aggregates each partition before the
-shuffle on the key: a key holding a third of all rows still leaves every map
-task as one row, and no reducer ever sees the hot key's full history.
+Spark forms:
+
+* ``current_state(log)``: an aggregation over an append-only log,
+  ``max_by(update cols, order)`` and ``min_by(keep cols, order)`` per key.  Both
+  are declarative aggregates, so the map side pre-aggregates each partition
+  before the shuffle on the key: a key holding a third of all rows still leaves
+  every map task as one row, and no reducer sees the hot key's full history.
+* ``upsert(state, batch)``: the same over state + batch (one shuffle of both).
+* ``merge_state(state, batch)``: the batch reduced per key, then a full outer
+  join with the state.  With the state stored bucketed by key (the daily and
+  streaming paths), only the batch is shuffled and the merged state is written
+  back bucket by bucket from the join tasks.
 """
 
 from __future__ import annotations
