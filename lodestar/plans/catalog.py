@@ -27,8 +27,8 @@ from lodestar.plans.gold import constellation_snapshot, headline, project_to_tar
 from lodestar.plans.silver import parse_launches, parse_satellites
 from lodestar.session import configure
 from lodestar.sources.documents import read_documents
-from lodestar.sources.layers import (bucketed, buckets_for, fingerprint, landed_text, materialized,
-                                     path_bytes)
+from lodestar.sources.layers import (aligned, bucketed, buckets_for, fingerprint, landed_text,
+                                     materialized, path_bytes)
 from lodestar.sources.derived import (launch_documents, launch_json_lines, launch_reply_lines,
                                       market_replies, order_maps,
                                       rocket_documents, run_log_from_events,
@@ -124,7 +124,7 @@ def satellite_state_before(spark, d):
     n = buckets_for(spark, path_bytes(spark, paths[0]))
     b0 = satellite_log(spark, d).where(F.col("batch") == 0)
     return bucketed(spark, "bronze", "satellite_state_b0", key, "id", n,
-                    lambda: merge_state(None, b0, order="pos"))
+                    lambda: merge_state(None, b0, order="pos"), prepartitioned=aligned(spark, n, None))
 
 
 def landed_satellite_lines(spark, d):

@@ -211,6 +211,16 @@ def buckets_for(spark: SparkSession, input_bytes: int, target_bytes: int = 256 <
     return int(max(shuffle, -(-input_bytes // target_bytes)))
 
 
+def aligned(spark: SparkSession, buckets: int, state_buckets: int | None) -> bool:
+    """Whether the output of ``merge_state`` already sits one bucket per task:
+    against a stored state with the same bucket count (each join task is a
+    bucket), or, without a state, when the key aggregation shuffles into exactly
+    ``buckets`` partitions (AQE may coalesce them, but only whole partitions)."""
+    if state_buckets:
+        return state_buckets == buckets
+    return int(spark.conf.get("spark.sql.shuffle.partitions")) == buckets
+
+
 def _ddl(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 

@@ -17,7 +17,7 @@ from lodestar.functions.json import jtext
 from lodestar.operators.upsert import merge_state
 from lodestar.session import shared_dir
 from lodestar.sources.documents import DEFAULT_SOURCE_SYSTEM
-from lodestar.sources.layers import bucketed, bucketed_versions
+from lodestar.sources.layers import aligned, bucketed, bucketed_versions
 
 
 def _documents(raw: DataFrame, layout: str, key: str) -> DataFrame:
@@ -115,7 +115,7 @@ def upsert_stream(spark: SparkSession, landing_dir: str, name: str, key: str = "
                         F.struct(F.lit(batch_id).cast("long").alias("batch"), F.col("pos")).alias("order")))
         bucketed(spark, "bronze", name, f"{batch_id:012d}", key, buckets,
                  lambda: merge_state(prev, docs, key=key, order="order"), root=root,
-                 prepartitioned=prev is not None and prev_buckets == buckets)
+                 prepartitioned=aligned(spark, buckets, prev_buckets if prev is not None else None))
 
     writer = raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
