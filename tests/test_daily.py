@@ -47,7 +47,7 @@ def test_daily_run_twice(spark):
     # created_at of a re-landed satellite is its first insert, extracted_at the latest
     s0 = spark.table("silver_starlink").where("satellite_id = 'S0'").first()
     assert s0["is_active"] is False and s0["extracted_at"] == dt.datetime(2025, 7, 31)
-    log = read_run_log(spark, os.path.join(root, "bronze", "pipeline_metadata"))
+    log = read_run_log(spark, os.path.join(root, "bronze", "run_log"))
     assert log.where("status = 'success'").count() == 6
 
 
@@ -59,7 +59,7 @@ def test_daily_run_gate_and_failed_load(spark):
     with pytest.raises(Exception):
         daily_run(spark, {"launches": "/nonexistent/landing", "starlink": _land(_sats(1))},
                   as_of=dt.datetime(2025, 7, 30), root=root)
-    log = read_run_log(spark, os.path.join(root, "bronze", "pipeline_metadata"))
+    log = read_run_log(spark, os.path.join(root, "bronze", "run_log"))
     assert log.where("status = 'failed' AND pipeline_name = 'daily.extract_launches'").count() == 1
 
 
