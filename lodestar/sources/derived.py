@@ -35,9 +35,14 @@ def spread(df: DataFrame, input_bytes: int, max_bytes: int = SPREAD_MAX_BYTES) -
     The per-row document work is CPU-bound; a file with a single row group is a
     single scan split, which would put the whole table on one core.  Only a
     small input (at most ``max_bytes`` on disk) with fewer splits than the
-    cluster has cores gets one round-robin exchange; a large input is left to
-    its scan splits, so at scale this adds no shuffle.  The split count comes
-    from planning the scan, no job runs."""
+    cluster has cores gets one exchange; a large input is left to its scan
+    splits, so at scale this adds no shuffle.  The split count comes from
+    planning the scan, no job runs.
+
+    The exchange hashes a row number taken in the scan task: unique, so the
+    spread is even however many copies of a row exist, and the same on a task
+    retry (a split is read in the same order).  A round-robin exchange would
+    first sort the rows inside the single scan task to get that determinism."""
     if input_bytes > max_bytes:
         return df
     try:
@@ -45,7 +50,10 @@ def spread(df: DataFrame, input_bytes: int, max_bytes: int = SPREAD_MAX_BYTES) -
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - sessions without RDD access: keep the scan as is
         return df
-    return df if splits >= cores else df.repartition(cores)
+    if splits >= cores:
+        return df
+    return (df.withColumn("_row", F.monotonically_increasing_id())
+              .repartition(cores, "_row").drop("_row"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
