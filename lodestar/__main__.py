@@ -26,8 +26,36 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--target", type=int, default=42000)
     d.add_argument("--recent-year", type=int, default=2022)
     d.add_argument("--master", help="Spark master for a local run, e.g. local[8]")
+    r = sub.add_parser("runs", help="runs of the last HOURS hours, newest first (top K)")
+    r.add_argument("--hours", type=int, default=24)
+    r.add_argument("-k", type=int, default=10)
+    r.add_argument("--as-of")
+    r.add_argument("--master")
+    s = sub.add_parser("summary", help="document counts and last extraction of each collection")
+    s.add_argument("--master")
     args = ap.parse_args(argv)
 
+    if args.cmd == "runs":
+        from lodestar.functions.exprs import as_of_ts
+        from lodestar.plans.daily import run_log_path
+        from lodestar.session import get_spark
+        from lodestar.sources.runlog import read_run_log, recent_runs
+        spark = get_spark(args.master)
+        as_of = as_of_ts(args.as_of) if args.as_of else None
+        rows = recent_runs(read_run_log(spark, run_log_path(spark)), as_of, args.hours, args.k).collect()
+        print(json.dumps({"recent_runs": [r.asDict() for r in rows]}, default=str))
+        return 0
+    if args.cmd == "summary":
+        from lodestar.operators.quality import extraction_summary, summary_dict
+        from lodestar.plans.daily import latest_states
+        from lodestar.session import get_spark
+        spark = get_spark(args.master)
+        states = latest_states(spark)
+        names = {"launches": "last_launch_update", "starlink": "last_starlink_update"}
+        print(json.dumps(summary_dict(extraction_summary(
+            states, {k: v for k, v in names.items() if k in states})) if states else {}, default=str))
+        return 0
+
     from lodestar.plans.daily import daily_run
     from lodestar.session import get_spark
     spark = get_spark(args.master)

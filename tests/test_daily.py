@@ -94,3 +94,22 @@ def test_daily_run_keeps_state_across_a_bucket_count_change(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert out["upserts"]["starlink"] == {"batch_rows": 1, "inserted": 0, "updated": 1}
     assert out["quality"]["starlink_total"] == 4
+
+
+def test_cli_daily_runs_and_summary(spark, capsys):
+    from lodestar.__main__ import main
+    from lodestar.sources.layers import WAREHOUSE_CONF
+    root = tempfile.mkdtemp(prefix="lodestar-cli-")
+    spark.conf.set(WAREHOUSE_CONF, root)
+    try:
+        assert main(["daily", "--launches", _land(_launches(3)), "--starlink", _land(_sats(2)),
+                     "--as-of", "2025-07-31T00:00:00"]) == 0
+        assert main(["runs", "--as-of", "2025-07-31 01:00:00"]) == 0
+        assert main(["summary"]) == 0
+    finally:
+        spark.conf.unset(WAREHOUSE_CONF)
+    out = [json.loads(line) for line in capsys.readouterr().out.strip().splitlines()]
+    assert out[0]["upserts"]["starlink"]["inserted"] == 2
+    assert [r["pipeline_name"] for r in out[1]["recent_runs"]] == ["daily.extract_launches", "daily.extract_starlink"] \
+        or len(out[1]["recent_runs"]) == 2
+    assert out[2]["launches_count"] == 3 and out[2]["starlink_count"] == 2
