@@ -113,3 +113,14 @@ def test_cli_daily_runs_and_summary(spark, capsys):
     assert [r["pipeline_name"] for r in out[1]["recent_runs"]] == ["daily.extract_launches", "daily.extract_starlink"] \
         or len(out[1]["recent_runs"]) == 2
     assert out[2]["launches_count"] == 3 and out[2]["starlink_count"] == 2
+
+
+def test_cli_runs_without_a_run_log(spark, capsys):
+    from lodestar.__main__ import main
+    from lodestar.sources.layers import WAREHOUSE_CONF
+    spark.conf.set(WAREHOUSE_CONF, tempfile.mkdtemp(prefix="lodestar-empty-"))
+    try:
+        assert main(["runs"]) == 0
+    finally:
+        spark.conf.unset(WAREHOUSE_CONF)
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"recent_runs": []}
