@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from lodestar.functions.json import jabsent, jbool, jlen, jnull, jnum, jtext, to_document
 from lodestar.operators.consistency import deployment_check
-from lodestar.operators.quality import (check_not_null, check_results, check_unique,
+from lodestar.operators.quality import (check_not_null, check_results, check_unique, duplicates,
                                         extraction_summary, layer_report, quality_metrics,
                                         table_checks)
 from lodestar.operators.upsert import merge_state, upsert_stats
@@ -312,6 +312,11 @@ def q_quality_flag_counts(spark, d):
     return la.unionByName(sa).groupBy("relation", "data_quality_flag").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_duplicate_keys(spark, d):
+    """Satellite ids landed more than once, with their version counts (A7)."""
+    return duplicates(satellite_log(spark, d), "id")
+
+
 def q_check_unique(spark, d):
     return check_unique(satellite_log(spark, d), "id", "unique_satellite_log_id") \
         .withColumnRenamed("check", "check_name")
@@ -416,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "mission_type_counts": q_mission_type_counts,
     "orbital_regime_counts": q_orbital_regime_counts,
     "quality_flag_counts": q_quality_flag_counts,
+    "duplicate_keys": q_duplicate_keys,
     "check_unique": q_check_unique,
     "check_not_null": q_check_not_null,
     "check_results": q_check_results,

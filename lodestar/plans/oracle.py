@@ -255,6 +255,8 @@ ORACLE_SQL: dict[str, str] = {
     "quality_flag_counts": _with(LO, SL, SV, SS) + _union(
         "SELECT 'launches' AS relation, data_quality_flag, count(*) AS n FROM sl GROUP BY data_quality_flag",
         "SELECT 'satellites' AS relation, data_quality_flag, count(*) AS n FROM ss GROUP BY data_quality_flag"),
+    "duplicate_keys": """SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id,
+        count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "check_unique": """SELECT 'unique_satellite_log_id' AS check_name, count(*) AS failures FROM (
         SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""",
     "check_not_null": _with(LO, SL) + _union(*[
