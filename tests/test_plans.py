@@ -46,3 +46,16 @@ def test_partial_aggregation_before_shuffle(spark):
     plan = _plan(catalog.q_deployment_check(spark, SF_SMALL))
     # satellites are aggregated per launch before the join
     assert "partial_count" in plan
+
+
+def test_top_k_is_not_a_global_sort(spark):
+    from lodestar.plans import catalog
+    plan = _plan(catalog.q_recent_runs(spark, SF_SMALL))
+    assert "TakeOrderedAndProject" in plan and "Exchange rangepartitioning" not in plan
+
+
+def test_incremental_upsert_moves_only_the_batch(spark):
+    from lodestar.plans import catalog
+    plan = _plan(catalog.q_upsert_latest(spark, SF_SMALL))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Bucketed: true" in plan
