@@ -59,3 +59,12 @@ def test_incremental_upsert_moves_only_the_batch(spark):
     plan = _plan(catalog.q_upsert_latest(spark, SF_SMALL))
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Bucketed: true" in plan
+
+
+@pytest.mark.parametrize("name", ["silver_launches", "silver_satellites"])
+def test_silver_is_one_codegen_stage_without_shuffle(spark, name):
+    from lodestar.plans import catalog
+    plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
+    assert "Exchange" not in plan
+    ops = [ln.strip(" +-:") for ln in plan.splitlines() if ln.strip(" +-:")]
+    assert all(op.startswith("*(1)") for op in ops if not op.startswith("FileScan")), ops
