@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodestar.session import configure, shared_dir
 
@@ -47,7 +48,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the packed training sequences (operator 4)."""
     from lodestar.llm.packing import pack
-    return pack(docs).drop("ids")
+    pieces = pack(docs)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 STAGES = [

@@ -20,14 +20,37 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from lodestar.llm.packing import pack
+    pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), window=2048, end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestar.llm.simhash import near_duplicates
     rows = near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm.lines import line_quality, train_line_model
+    docs = _table(spark, sf_dir, "documents")
+    model = train_line_model(docs, _table(spark, sf_dir, "labels"))
+    return line_quality(docs, model)
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from lodestar.llm.tokens import count_tokens
+    return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_packing": op4_packing,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_line_quality": op8_line_quality,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}

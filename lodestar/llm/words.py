@@ -172,3 +172,11 @@ def per_text(flags: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sum of ``flags`` over each text's range."""
     total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
     return total[first[1:]] - total[first[:-1]]
+
+
+def dictionary(raw: np.ndarray, keep: np.ndarray, sizes: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """(distinct strings, index of each) of the consecutive runs of kept bytes with
+    the given sizes."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    made = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends), pa.py_buffer(raw[keep])).dictionary_encode()
+    return made.dictionary.to_pylist(), made.indices.to_numpy()
