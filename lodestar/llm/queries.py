@@ -46,11 +46,25 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm.secrets import BASE, scan, spans_text
+    findings, _ = scan(_table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+
+    def n(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter(spans, lambda s: s["kind"].isin([r.kind for r in BASE]))
+    return findings.select(F.col("path").alias("doc_id"), n("assign"), n("access"), n("hex"),
+                           F.sha2(spans_text(base), 256).alias("base_sha256"), spans_text(spans).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_line_quality": op8_line_quality,
     "op9_token_counts": op9_token_counts,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {}
