@@ -20,6 +20,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm.urls import UrlRule, filter_urls, labelled_urls, train_url_model
+    rules = [UrlRule("block", "net/"), UrlRule("allow", "example.net/en/"), UrlRule("block", "example.com/de/"), UrlRule("allow", "org/fr/")]
+    pages = _table(spark, sf_dir, "pages")
+    return filter_urls(pages, train_url_model(labelled_urls(pages)), rules)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from lodestar.llm.packing import pack
@@ -27,6 +34,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm.chat import digest, events_of_rows, format_conversations
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    test = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return digest(format_conversations(events_of_rows(turns.unionByName(test))))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestar.llm.simhash import near_duplicates
     rows = near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
@@ -60,7 +75,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_url_filter": op3_url_filter,
     "op4_packing": op4_packing,
+    "op5_chat_format": op5_chat_format,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_line_quality": op8_line_quality,
     "op9_token_counts": op9_token_counts,
