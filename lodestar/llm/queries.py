@@ -42,6 +42,11 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(format_conversations(events_of_rows(turns.unionByName(test))))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm.decontaminate import find_contamination
+    return find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestar.llm.simhash import near_duplicates
     rows = near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_packing": op4_packing,
     "op5_chat_format": op5_chat_format,
+    "op6_decontamination": op6_decontamination,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_line_quality": op8_line_quality,
     "op9_token_counts": op9_token_counts,
