@@ -20,6 +20,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm.lm import score_texts
+    return score_texts(_table(spark, sf_dir, "documents"), order=3, fold=10)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestar.llm.urls import UrlRule, filter_urls, labelled_urls, train_url_model
     rules = [UrlRule("block", "net/"), UrlRule("allow", "example.net/en/"), UrlRule("block", "example.com/de/"), UrlRule("allow", "org/fr/")]
@@ -80,6 +85,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op3_url_filter": op3_url_filter,
     "op4_packing": op4_packing,
     "op5_chat_format": op5_chat_format,
