@@ -25,6 +25,12 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"), order=3, fold=10)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm.substrings import remove_repeats
+    rows = remove_repeats(_table(spark, sf_dir, "documents"), window=20)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestar.llm.urls import UrlRule, filter_urls, labelled_urls, train_url_model
     rules = [UrlRule("block", "net/"), UrlRule("allow", "example.net/en/"), UrlRule("block", "example.com/de/"), UrlRule("allow", "org/fr/")]
@@ -86,6 +92,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_packing": op4_packing,
     "op5_chat_format": op5_chat_format,
