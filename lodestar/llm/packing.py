@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.tokens import UNSURE, load, special_strings
-from lodestar.llm.words import SPACE, dictionary, find_words, slices, texts
+from lodestar.llm.words import SPACE, dictionary, find_words, slices, texts, worker_cache
 
 WINDOW = 2048
 END_ID = 1
@@ -34,8 +35,8 @@ GROUP_WINDOWS = 128
 #: Remainders are cut to at most so many tokens: several a window, or differencing
 #: cannot come near the capacity.
 PART = 512
-#: Words kept by a task's cache.
-CACHE = 400_000
+#: Words kept by a worker's cache.
+CACHE = 500_000
 # fixed values: the vocabulary's pre-token pattern, over lower-cased text
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -59,17 +60,20 @@ class WordIds:
         self.reset()
 
     def reset(self):
+        """Empty the caches."""
         self.slot, self.start, self.size, self.store, self.used = {}, [], [], np.zeros(1 << 16, np.uint32), 0
         self.pieces: dict[str, list[int]] = {}
 
-    def keep(self, word: str, ids: list[int]):
-        if self.used + len(ids) > len(self.store):
-            self.store = np.concatenate([self.store, np.zeros(len(self.store) + len(ids), np.uint32)])
-        self.store[self.used:self.used + len(ids)] = ids
-        self.slot[word] = len(self.start)
-        self.start.append(self.used)
-        self.size.append(len(ids))
-        self.used += len(ids)
+    def keep(self, words: list[str], ids: list[list[int]]):
+        sizes = list(map(len, ids))
+        total = sum(sizes)
+        if self.used + total > len(self.store):
+            self.store = np.concatenate([self.store, np.zeros(len(self.store) + total, np.uint32)])
+        self.store[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
+        self.slot.update(zip(words, range(len(self.start), len(self.start) + len(words))))
+        self.start.extend((np.cumsum([0, *sizes[:-1]]) + self.used).tolist())
+        self.size.extend(sizes)
+        self.used += total
 
     def whole(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
@@ -92,13 +96,17 @@ class WordIds:
         if len(self.slot) > CACHE:
             self.reset()
         missing = [w for w in words if w not in self.slot]
-        odd = [w for w in missing if UNSURE.search(w) or self.special.search(w)]
-        for w, ids in zip(odd, self.whole(odd)):
-            self.keep(w, ids)
-        plain = [(w, self.split(w.lower())) for w in missing if w not in self.slot]
-        self.learn(list({p for _, parts in plain for p in parts} - self.pieces.keys()))
-        for w, parts in plain:
-            self.keep(w, self.pieces[parts[0]] if len(parts) == 1 else [i for p in parts for i in self.pieces[p]])
+        if missing:
+            together = " ".join(missing)
+            if UNSURE.search(together) or self.special.search(together):
+                odd = [w for w in missing if UNSURE.search(w) or self.special.search(w)]
+                self.keep(odd, self.whole(odd))
+                missing = [w for w in missing if w not in self.slot]
+            low = [w.lower() for w in missing]
+            parts = [[w] if w.isalpha() else self.split(w) for w in low]
+            self.learn(list(set(chain.from_iterable(parts)) - self.pieces.keys()))
+            ids = self.pieces
+            self.keep(missing, [ids[p[0]] if len(p) == 1 else list(chain.from_iterable(ids[x] for x in p)) for p in parts])
         return np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +176,9 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDO
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        encoder = WordIds(shared.value)
+        spec = shared.value
+        encoder = worker_cache().setdefault(("word ids", hash(spec)), None) or WordIds(spec)
+        worker_cache()["word ids", hash(spec)] = encoder
         at = TaskContext.get().partitionId() << 33
         out, held = [], []   # rows; remainders (doc, start, doc_tokens, ids)
 

@@ -8,6 +8,8 @@ Word and n-gram identities are 64-bit hashes.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,6 +18,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
+_WORKER = "_lodestar_worker_cache"
+
+
+def worker_cache() -> dict:
+    """A dictionary that lives as long as this Python worker, whatever tasks it runs."""
+    return sys.modules.setdefault(_WORKER, types.ModuleType(_WORKER)).__dict__
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
