@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>\n"
 #: The first character of a control string, where it starts one.
-CONTROL = re.compile(r"<(?=\||/?s>|</?SYS>|start_of_turn>|end_of_turn>)|\[(?=/?INST\]|/?SYSTEM_PROMPT\])")
+CONTROL = re.compile(r"<(?=\||/?s>|/?SYS>|start_of_turn>|end_of_turn>)|\[(?=/?INST\]|/?SYSTEM_PROMPT\])")
 DELTA = 1024
 
 

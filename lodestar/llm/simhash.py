@@ -174,9 +174,11 @@ def fingerprint_links(distinct: DataFrame, distance: int = DISTANCE, chain: int
     two, and three once the fingerprints outnumber the two-segment keys (both find
     every link; a longer chain has fewer chance candidates and more variants)."""
     if chain is None:
-        chain = min(distance + 1, 2 if distinct.count() <= 1 << key_bits(distance, min(2, distance + 1)) else 3)
+        chain = 2 if distinct.count() <= 1 << key_bits(distance, 2) else 3
     if distance == 0:
         return distinct.sparkSession.createDataFrame([], "u long, v long")
+    while key_bits(distance, chain) > 60 or chain > distance + 1:      # the start has to fit above
+        chain -= 1
     top = key_bits(distance, chain)
 
     def explode(batches):
