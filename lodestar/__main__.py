@@ -21,7 +21,8 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--launches", required=True)
     d.add_argument("--starlink", required=True)
     d.add_argument("--rockets")
-    d.add_argument("--layout", default="array", choices=["array", "lines", "array_lines"])
+    d.add_argument("--layout", default="lines", choices=["lines", "array_lines", "array"])
+    d.add_argument("--lenient", action="store_true", help="store malformed documents as rejects instead of failing")
     d.add_argument("--as-of", help="analysis time, ISO format (default: now, UTC)")
     d.add_argument("--target", type=int, default=42000)
     d.add_argument("--recent-year", type=int, default=2022)
@@ -67,7 +68,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.rockets:
         landed["rockets"] = args.rockets
     as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else None
-    out = daily_run(spark, landed, as_of=as_of, layout=args.layout, target=args.target,
+    out = daily_run(spark, landed, as_of=as_of, layout=args.layout, strict=not args.lenient, target=args.target,
                     recent_year=args.recent_year)
     print(json.dumps(out, default=str))
     return 0

@@ -49,6 +49,8 @@ def current_state(log: DataFrame, key: str = "id", order: Sequence[str] | str |
     ties per key for a deterministic result.  With ``keep_order`` the winning
     order value is kept as ``_order`` so the state can take further upserts."""
     o = _order(order)
+    # a row without a key cannot be stored (landing reports it): it takes no part
+    log = log.where((key if isinstance(key, Column) else F.col(key)).isNotNull())
     agg = [F.max_by(F.struct(*update_cols), o).alias("_u"),
            F.min_by(F.struct(*keep_cols), o).alias("_k")]
     if keep_order:
@@ -122,15 +124,15 @@ def upsert_stats(state: DataFrame | None, batch: DataFrame, key: str = "id") ->
     """One row (batch_rows, inserted, updated) for applying ``batch`` to ``state``.
 
     A row-at-a-time upsert counts an insert for the first row of each new key and
-    an update for every other row, so inserted = distinct non-NULL batch keys
-    absent from the state, updated = batch rows - inserted.
+    an update for every other row, so inserted = distinct batch keys absent from the
+    state, updated = batch rows - inserted.  Rows without a key are not counted.
 
     Plan: rows per batch key (partial aggregation, so a hot key is one row per
     task), a left join of those keys with the state's keys (unique by
     construction; with the state bucketed by key only the batch side moves), and
     one global fold."""
-    per_key = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    is_new = F.col(key).isNotNull()
+    per_key = batch.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    is_new = F.lit(True)
     if state is not None:
         known = state.select(F.col(key).alias("_known"))
         per_key = per_key.join(known, per_key[key] == known["_known"], "left")

@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 # SQL settings every lodestar job needs; applied at runtime to whatever session
 # the caller hands us, so they also hold inside a cluster-provided session.
 RUNTIME_CONF = {
+    # strict casts raise on malformed text, whatever the caller's session says
+    "spark.sql.ansi.enabled": "true",
     # timestamps are compared and printed in UTC
     "spark.sql.session.timeZone": "UTC",
     # documents with a repeated key keep the last value instead of failing

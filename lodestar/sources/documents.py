@@ -13,53 +13,74 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.json import jtext
 
-# Default value of the envelope's source_system column.
+# Default value of the envelope's source_system column (set ``source_system`` to name another).
 DEFAULT_SOURCE_SYSTEM = "api_v4"
 
 
+class LandingError(Exception):
+    """Raised by strict landings on documents that cannot be stored."""
+
+
+def natural(path: Column) -> Column:
+    """A path with every number in it padded to 20 digits, so that text order is number
+    order (``part-99999`` before ``part-100000``)."""
+    return F.regexp_replace(F.regexp_replace(path, r"(\d+)", "00000000000000000000$1"), r"\d*(\d{20})(?!\d)", "$1")
+
+
 def read_documents(spark: SparkSession, path: str, layout: str = "lines",
-                   key: str = "id") -> DataFrame:
+                   key: str = "id", keep_rejects: bool = False) -> DataFrame:
     """Read landed documents -> (id, data VARIANT, file, pos); ``pos`` orders the
-    documents of a landing (repeated keys resolve to the last).
+    documents of a landing (repeated keys resolve to the last): the file (numbers in
+    its name as numbers), the byte offset of the split, the line in it, the element.
 
     ``layout="lines"``: JSON Lines, one document per line, split across tasks by
     file range like any text source.
-    ``layout="array"``: each file holds one reply that is a JSON array; the array
-    is exploded with ``posexplode``, which also yields the element position
-    used to order repeated keys inside one reply.  A reply file is read by one
-    task (it is one JSON value), which matches how replies are produced.
-    ``layout="array_lines"``: one reply (a JSON array) per line, so a landing of
-    many replies is splittable like JSON Lines; ``pos`` is (line order, element).
-    """
+    ``layout="array_lines"``: one reply (a JSON array) per line, splittable likewise.
+    ``layout="array"``: each file holds one reply that is a JSON array, as replies
+    are produced; a file is read by one task (it is one JSON value), so a reply has to
+    fit there: use the other layouts for large dumps.
+
+    ``keep_rejects`` adds ``raw`` (the text) and ``reason`` for what cannot be stored
+    (malformed text, a reply that is no array, a missing key), see ``rejects`` and
+    ``documents``; without it such rows come as they are, with NULL data or id."""
+    if layout not in ("lines", "array", "array_lines"):
+        raise ValueError(f"unknown layout {layout!r}")
+    text = (spark.read.text(path, wholetext=layout == "array")
+            .select(F.col("value"), F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+            .where(F.length(F.trim("value")) > 0))
+    parsed = text.withColumn("data", F.try_parse_json("value"))
+    malformed = F.col("data").isNull()
     if layout == "lines":
-        raw = (spark.read.option("singleVariantColumn", "data").json(path)
-               .select(F.col("data"), F.col("_metadata.file_path").alias("file"),
-                       F.col("_metadata.file_block_start").alias("block"),
-                       F.monotonically_increasing_id().alias("row")))
-        # order of a line in the landing: its file, the byte offset of its split
-        # inside the file, then read order inside the split (increasing within a
-        # task); splits are packed into tasks by size, so the task-wide id alone
-        # would not follow the file order
-        pos = F.struct(F.col("file"), F.col("block"), F.col("row"))
-        return raw.select(jtext("data", key).alias("id"), "data", "file", pos.alias("pos"))
-    elif layout == "array":
-        text = (spark.read.text(path, wholetext=True)
-                .select(F.parse_json("value").alias("reply"), F.col("_metadata.file_path").alias("file")))
-        elements = F.variant_get(F.col("reply"), "$", "array<variant>")
-        raw = text.select("file", F.posexplode(elements).alias("pos", "data")).select("data", "file", "pos")
-    elif layout == "array_lines":
-        lines = (spark.read.text(path)
-                 .select(F.parse_json("value").alias("reply"), F.col("_metadata.file_path").alias("file"),
-                         F.col("_metadata.file_block_start").alias("block"),
-                         F.monotonically_increasing_id().alias("line")))
-        elements = F.variant_get(F.col("reply"), "$", "array<variant>")
-        raw = (lines.select("file", "block", "line", F.posexplode(elements).alias("idx", "data"))
-               .select("data", "file", F.struct("file", "block", "line",
-                                                F.col("idx").cast("long").alias("idx")).alias("pos")))
-        return raw.select(jtext("data", key).alias("id"), "data", "file", "pos")
+        rows = parsed.select("file", "block", "row", F.lit(0).cast("long").alias("idx"), "data",
+                             F.when(malformed, "malformed").alias("reason"), F.when(malformed, F.col("value")).alias("raw"))
     else:
-        raise ValueError(f"unknown layout {layout!r}")
-    return raw.select(jtext("data", key).alias("id"), "data", "file", F.col("pos").cast("long"))
+        elements = F.try_variant_get("data", "$", "array<variant>")
+        reason = F.when(malformed, "malformed").when(elements.isNull(), "not_an_array")
+        # a reply that cannot be read stays as one row without data
+        items = F.when(reason.isNull(), elements).otherwise(F.array(F.lit(None).cast("variant")))
+        rows = (parsed.select("file", "block", "row", reason.alias("reason"), F.when(reason.isNotNull(), F.col("value")).alias("raw"),
+                              F.posexplode(items).alias("idx", "data"))
+                .withColumn("idx", F.col("idx").cast("long")))
+    ident = jtext("data", key)
+    pos = F.struct(natural(F.col("file")).alias("file"), "block", "row", "idx")
+    out = rows.select(ident.alias("id"), "data", "file", pos.alias("pos"), "raw", "reason")
+    if keep_rejects:
+        missing = F.col("reason").isNull() & F.col("id").isNull()
+        return (out.withColumn("raw", F.when(missing, F.to_json("data")).otherwise(F.col("raw")))
+                   .withColumn("reason", F.when(missing, "missing_key").otherwise(F.col("reason"))))
+    return out.drop("raw", "reason")
+
+
+def rejects(landed: DataFrame) -> DataFrame:
+    """(file, pos, reason, raw) of what a landing read with ``keep_rejects`` cannot store."""
+    return landed.where(F.col("reason").isNotNull()).select("file", "pos", "reason", "raw")
+
+
+def documents(landed: DataFrame) -> DataFrame:
+    """The documents of a landing read with ``keep_rejects`` that can be stored."""
+    return landed.where(F.col("reason").isNull()).drop("raw", "reason")
 
 
 def stamp(df: DataFrame, source_system: str = DEFAULT_SOURCE_SYSTEM,

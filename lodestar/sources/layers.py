@@ -48,6 +48,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 WAREHOUSE_CONF = "spark.lodestar.warehouse"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _fs(spark, path)
     out = fs.create(p, True)
@@ -79,16 +84,19 @@ def layer_root(spark: SparkSession, root: str | None = None) -> str:
     return (root or spark.conf.get(WAREHOUSE_CONF, None) or shared_dir(spark) + "/warehouse").rstrip("/")
 
 
-def _versions(spark: SparkSession, base: str) -> list[str]:
+def _latest_version(spark: SparkSession, base: str) -> str | None:
+    """The complete version that was committed last (by the time of its ``_SUCCESS``
+    marker, then by name), however versions are named."""
     fs, p = _fs(spark, base)
     if not fs.exists(p):
-        return []
-    out = []
+        return None
+    found = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and _exists(spark, f"{base}/{name}/_SUCCESS"):
-            out.append(name[2:])
-    return sorted(out)
+        mark = st.getPath().suffix("/_SUCCESS")
+        if st.isDirectory() and name.startswith("v=") and fs.exists(mark):
+            found.append((fs.getFileStatus(mark).getModificationTime(), name[2:]))
+    return max(found)[1] if found else None
 
 
 SHRED_CONF = "spark.sql.variant.writeShredding.enabled"
@@ -129,10 +137,10 @@ def publish_table(df: DataFrame, layer: str, name: str, root: str | None = None,
 def layer(spark: SparkSession, layer_name: str, name: str, root: str | None = None) -> DataFrame:
     """The latest complete version of ``layer.name``."""
     base = f"{layer_root(spark, root)}/{layer_name}/{name}"
-    versions = _versions(spark, base)
-    if not versions:
+    version = _latest_version(spark, base)
+    if version is None:
         raise FileNotFoundError(f"no complete version of {layer_name}.{name} under {base}")
-    return spark.read.parquet(f"{base}/v={versions[-1]}")
+    return spark.read.parquet(f"{base}/v={version}")
 
 
 def publish_view(df: DataFrame, name: str, comment: str | None = None) -> DataFrame:

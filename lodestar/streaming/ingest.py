@@ -1,122 +1,143 @@
 """Incremental landing with Structured Streaming.
 
-New reply files under a landing folder are picked up by a file-source stream;
-each micro-batch is parsed into documents, stamped, and appended to the bronze
-landing log as partition ``batch=<batch id>``.  The write overwrites exactly
-that partition, so a micro-batch replayed after a failure (same batch id, same
-files, per the checkpoint) replaces its own earlier partial output instead of
-duplicating it.  The current state is then ``current_state(log, ("batch","pos"))``.
+New reply files under a landing folder are picked up by a file-source stream; each
+micro-batch is parsed into documents and either appended to a landing log
+(``land_stream``) or applied to a keyed state (``upsert_stream``).
+
+A stream is known by the id in its checkpoint.  Batches are replayed with the same
+number after a failure, so both sinks key their output by (stream id, batch number):
+a replay replaces or skips its own earlier output, and a stream with a new
+checkpoint, whose numbers start at 0 again, is a different stream and never mistaken
+for an earlier one's replay.  Malformed text and documents without a key go to
+``<sink>_rejects``.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions.json import jtext
-from lodestar.operators.upsert import merge_state
 from lodestar.session import shared_dir
-from lodestar.sources.documents import DEFAULT_SOURCE_SYSTEM
-from lodestar.sources.layers import aligned, bucketed, bucketed_versions
+from lodestar.sources.documents import DEFAULT_SOURCE_SYSTEM, natural
+from lodestar.sources.layers import _exists, _fs, _read_text, _write_text, layer_root
+from lodestar.sources.state import append_batch, read_state
+
+
+def _raw(spark: SparkSession, landing_dir: str, layout: str, max_files: int | None):
+    reader = spark.readStream.format("text").option("wholetext", str(layout == "array").lower())
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return (reader.load(landing_dir).withColumn("file", F.col("_metadata.file_path"))
+            .withColumn("block", F.col("_metadata.file_block_start")))
 
 
 def _documents(raw: DataFrame, layout: str, key: str) -> DataFrame:
+    """(id, data, pos, raw, reason) of a micro-batch's text rows."""
+    text = raw.where(F.length(F.trim("value")) > 0).select(
+        "value", F.try_parse_json("value").alias("data"), "file", "block", F.monotonically_increasing_id().alias("row"))
+    malformed = F.col("data").isNull()
     if layout == "lines":
-        docs = raw.where(F.length(F.trim("value")) > 0).select(
-            F.parse_json("value").alias("data"), F.col("file"), F.col("block"),
-            F.monotonically_increasing_id().alias("line"))
-        pos = F.struct(F.col("file"), F.col("block"), F.col("line"))
+        rows = text.select("file", "block", "row", F.lit(0).cast("long").alias("idx"), "data",
+                           F.when(malformed, "malformed").alias("reason"), "value")
     elif layout == "array":
-        elements = F.variant_get(F.parse_json("value"), "$", "array<variant>")
-        docs = raw.select(F.col("file"), F.posexplode(elements).alias("idx", "data"))
-        pos = F.struct(F.col("file"), F.lit(0).cast("long").alias("block"), F.col("idx").cast("long").alias("line"))
+        elements = F.try_variant_get("data", "$", "array<variant>")
+        reason = F.when(malformed, "malformed").when(elements.isNull(), "not_an_array")
+        items = F.when(reason.isNull(), elements).otherwise(F.array(F.lit(None).cast("variant")))
+        rows = text.select("file", "block", "row", reason.alias("reason"), "value", F.posexplode(items).alias("idx", "data")) \
+            .withColumn("idx", F.col("idx").cast("long"))
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    return docs.select(jtext("data", key).alias("id"), "data", pos.alias("pos"))
+    ident = jtext("data", key)
+    pos = F.struct(natural(F.col("file")).alias("file"), "block", "row", "idx")
+    reason = F.coalesce(F.col("reason"), F.when(ident.isNull(), "missing_key"))
+    return rows.select(ident.alias(key), "data", pos.alias("pos"), "file", F.when(reason.isNotNull(), F.col("value")).alias("raw"),
+                       reason.alias("reason"))
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    return json.loads(_read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
+def _store_rejects(docs: DataFrame, path: str, stream: str, batch_id: int) -> None:
+    bad = docs.where(F.col("reason").isNotNull()).select(
+        "file", "reason", "raw", F.lit(stream).alias("stream"), F.lit(batch_id).cast("long").alias("batch"))
+    if not bad.isEmpty():
+        (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("stream", "batch").parquet(path))
+
+
+def _first_batch(spark: SparkSession, log_path: str, stream: str) -> int:
+    """The log's batch number of the stream's batch 0: after all batches that were
+    there when the stream first wrote."""
+    note = f"{log_path}/_streams/{stream}.json"
+    if _exists(spark, note):
+        return json.loads(_read_text(spark, note))["first"]
+    fs, p = _fs(spark, log_path)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    first = 1 + max((int(n[6:]) for n in names if n.startswith("batch=")), default=-1)
+    _write_text(spark, note, json.dumps({"first": first}))
+    return first
 
 
 def land_stream(spark: SparkSession, landing_dir: str, log_path: str, name: str = "landing",
                 layout: str = "lines", key: str = "id", source_system: str = DEFAULT_SOURCE_SYSTEM,
                 checkpoint: str | None = None, extracted_at: str | None = None,
-                available_now: bool = True):
+                available_now: bool = True, max_files: int | None = None):
     """Start the landing stream; returns the StreamingQuery.
 
+    Each micro-batch is the partition ``batch=<number>`` of the log, which it
+    overwrites; the current state is ``current_state(log, ("batch", "pos"))``.
     ``available_now`` processes every file present now, then stops (batch-like
     scheduling with streaming bookkeeping); otherwise it runs continuously."""
     checkpoint = checkpoint or f"{shared_dir(spark)}/streams/{name}"
-    raw = (spark.readStream.format("text").option("wholetext", str(layout == "array").lower())
-           .load(landing_dir).withColumn("file", F.col("_metadata.file_path"))
-           .withColumn("block", F.col("_metadata.file_block_start")))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         at = (F.lit(extracted_at).cast("timestamp_ntz") if extracted_at
               else F.current_timestamp().cast("timestamp_ntz"))
-        out = (_documents(batch, layout, key)
-               .select("id", "data", at.alias("extracted_at"), F.lit(source_system).alias("source_system"),
-                       at.alias("created_at"), "pos", F.lit(batch_id).cast("long").alias("batch")))
+        stream = _stream_id(spark, checkpoint)
+        number = _first_batch(spark, log_path, stream) + batch_id
+        docs = _documents(batch, layout, key)
+        _store_rejects(docs, log_path.rstrip("/") + "_rejects", stream, batch_id)
+        out = (docs.where(F.col("reason").isNull())
+               .select(F.col(key).alias("id"), "data", at.alias("extracted_at"), F.lit(source_system).alias("source_system"),
+                       at.alias("created_at"), "pos", F.lit(number).cast("long").alias("batch")))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch").parquet(log_path))
 
-    writer = raw.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = _raw(spark, landing_dir, layout, max_files).writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
-def _state_versions(spark: SparkSession, name: str, key: str, root: str | None):
-    """Committed state versions of ``name``: (micro-batch id, bucket count), ascending."""
-    return sorted((int(v), n) for v, n in bucketed_versions(spark, "bronze", name, key, root=root))
-
-
-def stream_state(spark: SparkSession, name: str, key: str = "id", buckets: int | None = None,
-                 root: str | None = None) -> DataFrame | None:
-    """The latest committed state written by ``upsert_stream`` (None before the first)."""
-    versions = _state_versions(spark, name, key, root)
-    if buckets:
-        versions = [v for v in versions if v[1] == buckets]
-    if not versions:
-        return None
-    batch_id, n = versions[-1]
-    return bucketed(spark, "bronze", name, f"{batch_id:012d}", key, n, lambda: None, root=root)
+def stream_state(spark: SparkSession, name: str, key: str = "id", root: str | None = None) -> DataFrame | None:
+    """The current state written by ``upsert_stream`` (None before the first batch)."""
+    return read_state(spark, name, key=key, root=root)
 
 
 def upsert_stream(spark: SparkSession, landing_dir: str, name: str, key: str = "id",
                   layout: str = "lines", buckets: int | None = None,
                   source_system: str = DEFAULT_SOURCE_SYSTEM, root: str | None = None,
                   checkpoint: str | None = None, extracted_at: str | None = None,
-                  available_now: bool = True):
-    """Keyed upsert as a stream: every micro-batch of landed documents is merged
-    into the previous state, and the result is stored as state version
-    ``<batch id>``, bucketed by the key.
-
-    Each micro-batch shuffles only its own documents (the state is read in place
-    thanks to the bucketing).  The version is committed by rename after the job
-    succeeded, so a replayed micro-batch (same id, same files, per the stream
-    checkpoint) finds its version already committed and does nothing, and a
-    crashed one leaves only a hidden temporary folder.  Readers take the latest
-    committed version (``stream_state``)."""
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+                  available_now: bool = True, max_files: int | None = None):
+    """Keyed upsert as a stream: every micro-batch is appended to the collection's state
+    as a delta of its own size (``sources.state``), committed under the stream's id and
+    the batch number, so a replayed micro-batch does nothing.  Readers resolve the
+    latest commit (``stream_state``)."""
     checkpoint = checkpoint or f"{shared_dir(spark)}/streams/{name}"
-    raw = (spark.readStream.format("text").option("wholetext", str(layout == "array").lower())
-           .load(landing_dir).withColumn("file", F.col("_metadata.file_path"))
-           .withColumn("block", F.col("_metadata.file_block_start")))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        versions = [v for v in _state_versions(spark, name, key, root) if v[0] < batch_id]
-        prev, prev_buckets = None, 0
-        if versions:
-            prev_id, prev_buckets = versions[-1]
-            prev = bucketed(spark, "bronze", name, f"{prev_id:012d}", key, prev_buckets,
-                            lambda: None, root=root)
         at = (F.lit(extracted_at).cast("timestamp_ntz") if extracted_at
               else F.current_timestamp().cast("timestamp_ntz"))
-        docs = (_documents(batch, layout, key)
-                .select(key, "data", at.alias("extracted_at"), F.lit(source_system).alias("source_system"),
-                        at.alias("created_at"),
-                        F.struct(F.lit(batch_id).cast("long").alias("batch"), F.col("pos")).alias("order")))
-        bucketed(spark, "bronze", name, f"{batch_id:012d}", key, buckets,
-                 lambda: merge_state(prev, docs, key=key, order="order"), root=root,
-                 prepartitioned=aligned(spark, buckets, prev_buckets if prev is not None else None))
-
-    writer = raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+        stream = _stream_id(spark, checkpoint)
+        docs = _documents(batch, layout, key)
+        _store_rejects(docs, f"{layer_root(spark, root)}/bronze/{name}_rejects", stream, batch_id)
+        rows = docs.where(F.col("reason").isNull()).select(
+            key, "data", at.alias("extracted_at"), F.lit(source_system).alias("source_system"), at.alias("created_at"), "pos")
+        append_batch(spark, name, rows, key=key, order="pos", root=root, stream=(stream, batch_id), buckets=buckets)
+
+    writer = _raw(spark, landing_dir, layout, max_files).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -11,6 +11,13 @@ from lodestar.sources.runlog import read_run_log
 
 
 def _land(objs):
+    d = tempfile.mkdtemp(prefix="lodestar-land-")
+    with open(os.path.join(d, "reply.json"), "w") as f:
+        f.writelines(json.dumps(o) + "\n" for o in objs)
+    return d
+
+
+def _land_array(objs):
     d = tempfile.mkdtemp(prefix="lodestar-land-")
     with open(os.path.join(d, "reply.json"), "w") as f:
         json.dump(objs, f)
@@ -65,7 +72,7 @@ def test_daily_run_gate_and_failed_load(spark):
 
 def test_daily_run_survives_a_layout_change(spark):
     root = tempfile.mkdtemp(prefix="lodestar-daily-")
-    daily_run(spark, {"launches": _land(_launches(5)), "starlink": _land(_sats(3))},
+    daily_run(spark, {"launches": _land_array(_launches(5)), "starlink": _land_array(_sats(3))},
               as_of=dt.datetime(2025, 7, 30), root=root, layout="array")
     lines = tempfile.mkdtemp(prefix="lodestar-land-")
     with open(os.path.join(lines, "part.jsonl"), "w") as f:
@@ -124,3 +131,30 @@ def test_cli_runs_without_a_run_log(spark, capsys):
     finally:
         spark.conf.unset(WAREHOUSE_CONF)
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"recent_runs": []}
+
+
+def test_backfill_and_same_day_rerun_lose_nothing(spark):
+    """Versions rise whatever ``as_of`` says: an earlier day run later and a second run
+    of the same day both build on the newest state."""
+    from lodestar.plans.daily import latest_states
+    root = tempfile.mkdtemp(prefix="lodestar-daily-")
+    for day, ids in [(2, "AB"), (1, "C"), (2, "D"), (2, "E")]:
+        daily_run(spark, {"launches": _land(_launches(2)), "starlink": _land([{"id": i, "spaceTrack": {"DECAYED": 0}} for i in ids])},
+                  as_of=dt.datetime(2025, 8, day), root=root)
+    assert sorted(r["id"] for r in latest_states(spark, root)["starlink"].collect()) == list("ABCDE")
+
+
+def test_strict_and_lenient_landings(spark):
+    from lodestar.plans.daily import latest_states
+    from lodestar.sources.documents import LandingError
+    from lodestar.sources.layers import layer
+    root = tempfile.mkdtemp(prefix="lodestar-daily-")
+    bad = _land(_sats(2) + [{"name": "no id"}])
+    with open(os.path.join(bad, "z.json"), "w") as f:
+        f.write("{cut off")
+    with pytest.raises(LandingError):
+        daily_run(spark, {"launches": _land(_launches(2)), "starlink": bad}, as_of=dt.datetime(2025, 7, 30), root=root)
+    out = daily_run(spark, {"launches": _land(_launches(2)), "starlink": bad}, as_of=dt.datetime(2025, 7, 30), root=root, strict=False)
+    assert out["upserts"]["starlink"] == {"batch_rows": 2, "inserted": 2, "updated": 0, "rejected": 2}
+    assert latest_states(spark, root)["starlink"].count() == 2
+    assert sorted(r["reason"] for r in layer(spark, "bronze", "starlink_rejects", root=root).collect()) == ["malformed", "missing_key"]

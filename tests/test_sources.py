@@ -20,7 +20,7 @@ def test_read_documents_array_and_lines(spark):
     d = _tmp()
     with open(os.path.join(d, "reply1.json"), "w") as f:
         json.dump([{"id": "a", "n": 1}, {"id": "b", "n": 2}, {"id": "a", "n": 3}], f, indent=2)
-    got = read_documents(spark, d, layout="array").select("id", "pos", jtext("data", "n").alias("n")).collect()
+    got = read_documents(spark, d, layout="array").select("id", F.col("pos.idx").alias("pos"), jtext("data", "n").alias("n")).collect()
     assert sorted((r["id"], r["pos"], r["n"]) for r in got) == [("a", 0, "1"), ("a", 2, "3"), ("b", 1, "2")]
     d2 = _tmp()
     with open(os.path.join(d2, "part.jsonl"), "w") as f:
@@ -109,14 +109,6 @@ def test_materialized_replaces_incomplete_version(spark):
     assert not any(n.startswith("v=") and "-" in n for n in os.listdir(os.path.join(root, "bronze", "m")))
 
 
-def test_spread_only_small_inputs(spark):
-    from lodestar.sources.derived import spread
-    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(df, 10_000).rdd.getNumPartitions() == cores
-    assert spread(df, 10 << 30).rdd.getNumPartitions() == df.rdd.getNumPartitions()
-
-
 def test_line_order_survives_file_splits(spark):
     """A landing file cut into many splits: the last line of a repeated key wins."""
     from lodestar.operators.upsert import current_state
@@ -160,5 +152,136 @@ def test_upsert_stream_versions_and_replay(spark):
     # nothing new: no new version, same state
     upsert_stream(spark, landing, "sats", root=root, checkpoint=ckpt).awaitTermination(120)
     assert stream_state(spark, "sats", root=root).count() == 3
-    versions = [n for n in os.listdir(os.path.join(root, "bronze", "sats")) if n.startswith("b=")]
-    assert len(versions) == 2
+    from lodestar.sources.state import latest_commit
+    assert latest_commit(spark, "sats", root=root)["version"] == 2
+
+
+def _lines(folder, name, objs):
+    with open(os.path.join(folder, name), "w") as f:
+        for o in objs:
+            f.write((o if isinstance(o, str) else json.dumps(o)) + "\n")
+
+
+def test_a_new_checkpoint_loses_nothing(spark):
+    from lodestar.streaming import stream_state, upsert_stream
+    landing, root = _tmp(), _tmp()
+    _lines(landing, "r1.jsonl", [{"id": "a", "v": 1}])
+    upsert_stream(spark, landing, "c", root=root, checkpoint=_tmp() + "/one").awaitTermination(120)
+    landing2 = _tmp()
+    _lines(landing2, "r2.jsonl", [{"id": "b", "v": 1}, "{broken", {"v": 2}])
+    upsert_stream(spark, landing2, "c", root=root, checkpoint=_tmp() + "/two").awaitTermination(120)
+    assert sorted(r["id"] for r in stream_state(spark, "c", root=root).collect()) == ["a", "b"]
+    bad = spark.read.parquet(os.path.join(root, "bronze", "c_rejects")).collect()
+    assert sorted(r["reason"] for r in bad) == ["malformed", "missing_key"]
+
+
+def test_a_new_landing_checkpoint_appends(spark):
+    from lodestar.operators.upsert import current_state
+    from lodestar.streaming import land_stream
+    out, first, second = os.path.join(_tmp(), "log"), _tmp(), _tmp()
+    _lines(first, "r1.jsonl", [{"id": "a", "v": 1}])
+    _lines(second, "r2.jsonl", [{"id": "a", "v": 2}, {"id": "b", "v": 1}])
+    for landing in (first, second):
+        land_stream(spark, landing, out, checkpoint=_tmp() + "/c").awaitTermination(120)
+    log = spark.read.parquet(out)
+    state = {r["id"]: r["v"] for r in current_state(log).select("id", jtext("data", "v").alias("v")).collect()}
+    assert log.count() == 3 and state == {"a": "2", "b": "1"}
+
+
+def test_array_landing_orders_by_file_then_element(spark):
+    from lodestar.operators.upsert import current_state
+    d = _tmp()
+    for name, v in (("2025-07-30.json", 1), ("2025-07-31.json", 2)):
+        body = [{"id": "x", "v": v}] if v == 2 else [{"id": "p", "v": 0}, {"id": "q", "v": 0}, {"id": "x", "v": v}]
+        with open(os.path.join(d, name), "w") as f:
+            json.dump(body, f)
+    docs = stamp(read_documents(spark, d, layout="array"), at="2024-01-01 00:00:00")
+    got = {r["id"]: r["v"] for r in current_state(docs, order="pos").select("id", jtext("data", "v").alias("v")).collect()}
+    assert got == {"p": "0", "q": "0", "x": "2"}
+
+
+def test_file_numbers_order_as_numbers(spark):
+    from lodestar.sources.documents import natural
+    names = ["part-99999.json", "part-100000.json", "a2b10", "a2b9", "a10b1"]
+    df = spark.createDataFrame([(n,) for n in names], "n string").orderBy(natural(F.col("n")))
+    assert [r["n"] for r in df.collect()] == ["a2b9", "a2b10", "a10b1", "part-99999.json", "part-100000.json"]
+
+
+def test_rejects_of_every_layout(spark):
+    from lodestar.sources.documents import documents, rejects
+    d = _tmp()
+    _lines(d, "a.jsonl", [{"id": "a"}, "{oops", {"n": 1}, "", "null", "17"])
+    landed = read_documents(spark, d, layout="lines", keep_rejects=True)
+    assert sorted((r["reason"], r["raw"]) for r in rejects(landed).collect()) == [
+        ("malformed", "{oops"), ("missing_key", "17"), ("missing_key", "null"), ("missing_key", '{"n":1}')]
+    assert [r["id"] for r in documents(landed).collect()] == ["a"]
+    for layout in ("array", "array_lines"):
+        d = _tmp()
+        _lines(d, "r1.json", ['[{"id": "a"}, {"n": 1}]'])
+        _lines(d, "r2.json", ['{"id": "no array"}'])
+        _lines(d, "r3.json", ["[broken"])
+        landed = read_documents(spark, d, layout=layout, keep_rejects=True)
+        assert sorted(r["reason"] for r in rejects(landed).collect()) == ["malformed", "missing_key", "not_an_array"]
+        assert [r["id"] for r in documents(landed).collect()] == ["a"]
+
+
+def test_state_deltas_compaction_and_retention(spark, monkeypatch):
+    from lodestar.operators.upsert import current_state
+    from lodestar.sources import state
+    monkeypatch.setattr(state, "KEEP_COMMITS", 3)
+    root, logs = _tmp(), []
+    for day in range(10):
+        rows = [(f"k{i}", f"d{day}", i) for i in range(day, day + 4)] + [(None, "x", 9)]
+        b = (spark.createDataFrame(rows, "id string, v string, pos long")
+             .select("id", F.parse_json(F.concat(F.lit('{"v":"'), "v", F.lit('"}'))).alias("data"),
+                     F.lit(f"2024-01-{20 - day:02d} 00:00:00").cast("timestamp_ntz").alias("extracted_at"),
+                     F.lit(f"s{day}").alias("source_system"), F.current_timestamp().cast("timestamp_ntz").alias("created_at"), "pos"))
+        logs.append(b.withColumn("batch", F.lit(day)))
+        files = set(os.listdir(os.path.join(root, "bronze", "t", "data"))) if day else set()
+        state.append_batch(spark, "t", b, root=root, compact_every=4)
+        new = set(os.listdir(os.path.join(root, "bronze", "t", "data"))) - files
+        # a batch writes its own delta; the base only at a compaction
+        assert sum(n.startswith("delta-") for n in new) == 1 and len(new) <= 2
+        assert any(n.startswith("base-") for n in new) == (day % 4 == 3)
+        log = logs[0]
+        for x in logs[1:]:
+            log = log.unionByName(x)
+        view = lambda df: sorted((r["id"], r["v"], r["source_system"]) for r in df.select("id", jtext("data", "v").alias("v"), "source_system").collect())
+        assert view(state.read_state(spark, "t", root=root)) == view(current_state(log.where("id is not null"), order=("batch", "pos")))
+    state.compact(spark, "t", root=root)
+    state._expire(spark, os.path.join(root, "bronze", "t"), keep=1)
+    left = os.listdir(os.path.join(root, "bronze", "t", "data"))
+    assert len(left) == 1 and left[0].startswith("base-")
+    assert state.read_state(spark, "t", root=root).count() == 13
+
+
+def test_two_writers_and_a_cut_pointer(spark):
+    from lodestar.sources import state
+    root = _tmp()
+    def batch(k):
+        return (spark.createDataFrame([(k, 1)], "id string, pos long")
+                .select("id", F.parse_json(F.lit("{}")).alias("data"), F.lit("2024-01-01").cast("timestamp_ntz").alias("extracted_at"),
+                        F.lit("s").alias("source_system"), F.lit("2024-01-01").cast("timestamp_ntz").alias("created_at"), "pos"))
+    state.append_batch(spark, "w", batch("a"), root=root)
+    base = os.path.join(root, "bronze", "w")
+    # a writer that saw version 1 as the latest finds 2 taken and goes on top of it
+    assert not state._write_pointer(spark, base, {"version": 1, "base": None, "deltas": [], "streams": {}})
+    open(os.path.join(base, "_commits", f"{2:012d}.json"), "w").write('{"vers')      # crashed while writing
+    assert state.latest_commit(spark, "w", root=root)["version"] == 1
+    assert state.append_batch(spark, "w", batch("b"), root=root)["version"] == 3
+    assert sorted(r["id"] for r in state.read_state(spark, "w", root=root).collect()) == ["a", "b"]
+
+
+def test_layer_takes_the_version_committed_last(spark):
+    import time
+    root = _tmp()
+    materialized(spark, "bronze", "m2", "ffff", lambda: spark.range(1), root=root)
+    time.sleep(1.1)
+    materialized(spark, "bronze", "m2", "0000", lambda: spark.range(5), root=root)
+    assert layer(spark, "bronze", "m2", root=root).count() == 5
+
+
+def test_run_log_takes_large_counts(spark):
+    path = os.path.join(_tmp(), "run_log")
+    assert log_run(spark, path, "dag", "step", "success", 3_000_000_000)
+    assert read_run_log(spark, path).first()["records_processed"] == 3_000_000_000
