@@ -14,7 +14,10 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMERIC = "decimal(30,10)"
+#: Numbers of documents: 20 digits before and 18 after the point.  More digits before
+#: it are an error of strict parsing; more after it are rounded and counted by
+#: ``lodestar.operators.quality.parse_rejects`` (type ``NUMERIC``).
+NUMERIC = "decimal(38,18)"
 
 
 def _c(x) -> Column:

@@ -78,21 +78,22 @@ def jlen(v, path: str) -> Column:
              .when(arr.isNotNull(), F.size(arr)))
 
 
-def jnum(v, path: str, dtype: str = "decimal(30,10)", lenient: bool = False) -> Column:
+def jnum(v, path: str, dtype: str = "decimal(38,18)", lenient: bool = False) -> Column:
     """Number at ``path`` as ``dtype``; a JSON number and a numeric string both work.
     Strict mode raises on malformed text (like a ``::numeric`` cast), lenient gives NULL."""
     fn = F.try_variant_get if lenient else F.variant_get
     return fn(_col(v), jpath(path), dtype)
 
 
-def jmap(s, schema: str = "map<string,double>") -> Column:
-    """Flat JSON object text -> MAP."""
+def jmap(s, schema: str = "map<string,decimal(20,6)>") -> Column:
+    """Flat JSON object text -> MAP; values as DECIMAL, so sums are exact in any order."""
     return F.from_json(_col(s), schema)
 
 
 def map_sum(m) -> Column:
     """Sum of a map's values (0 for an empty map, NULL for a NULL map)."""
-    return F.aggregate(F.map_values(_col(m)), F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+    return F.aggregate(F.map_values(_col(m)), F.lit(0).cast("decimal(38,6)"),
+                       lambda acc, x: (acc + F.coalesce(x, F.lit(0).cast("decimal(20,6)"))).cast("decimal(38,6)"))
 
 
 def json_null() -> Column:

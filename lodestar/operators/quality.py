@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.exprs import as_of_ts
+from lodestar.functions.exprs import NUMERIC, as_of_ts
 from lodestar.functions.json import jabsent, jpath, jtext
 
 
@@ -153,6 +153,9 @@ def parse_rejects(df: DataFrame, fields: Mapping[str, tuple[str, str]], data: st
         else:
             text = jtext(data, path)
             bad = text.isNotNull() & text.try_cast(dtype).isNull()
+            if dtype == NUMERIC:
+                # digits past the scale would be rounded away without an error
+                bad = bad | text.rlike(r"\.\d{18}\d*[1-9]")
         aggs.append(F.count_if(bad).alias(f"{name}_rejects"))
     return df.agg(*aggs)
 
@@ -163,9 +166,9 @@ LAUNCH_PARSE_FIELDS = {"launch_date_utc": ("date_utc", "timestamp_ntz"),
 SATELLITE_PARSE_FIELDS = {
     "launch_date": ("spaceTrack.LAUNCH_DATE", "date"),
     "tracking_creation_date": ("spaceTrack.CREATION_DATE", "timestamp_ntz"),
-    "semimajor_axis_km": ("spaceTrack.SEMIMAJOR_AXIS", "decimal(30,10)"),
-    "inclination_deg": ("spaceTrack.INCLINATION", "decimal(30,10)"),
-    "altitude_km": ("height_km", "decimal(30,10)"),
+    "semimajor_axis_km": ("spaceTrack.SEMIMAJOR_AXIS", NUMERIC),
+    "inclination_deg": ("spaceTrack.INCLINATION", NUMERIC),
+    "altitude_km": ("height_km", NUMERIC),
 }
 
 
@@ -192,6 +195,19 @@ def gate(metrics: DataFrame, rules: Sequence[tuple[str, str, float, str]] = DEFA
     return m
 
 
+def gate_rows(metrics: DataFrame, rules: Sequence[tuple[str, str, float, str]] = DEFAULT_GATE) -> DataFrame:
+    """The gate as rows (rule, metric, value, limit, passed, message) of the one-row
+    metrics, one for each rule; nothing is collected and nothing raised."""
+    ops = {">": lambda a, b: a > b, ">=": lambda a, b: a >= b, "==": lambda a, b: a == b,
+           "<": lambda a, b: a < b, "<=": lambda a, b: a <= b, "!=": lambda a, b: a != b}
+    rows = []
+    for i, (metric, op, limit, message) in enumerate(rules):
+        value, bound = F.coalesce(F.col(metric).cast("long"), F.lit(0)), F.lit(int(limit)).cast("long")
+        rows.append(F.struct(F.lit(i + 1).alias("rule"), F.lit(metric).alias("metric"), value.alias("value"),
+                             bound.alias("limit"), (~ops[op](value, bound)).alias("passed"), F.lit(message).alias("message")))
+    return metrics.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 # ---- completeness --------------------------------------------------------------------
 
 def extraction_summary(collections: Mapping[str, DataFrame],
@@ -225,12 +241,14 @@ def summary_dict(summary: DataFrame) -> dict:
 
 def layer_report(layers: Mapping[str, DataFrame]) -> DataFrame:
     """One (component, status, details) row per relation: OK when it has rows.
-    A union of one-row aggregates."""
-    out = None
+    All relations are tagged and counted by one aggregate."""
+    tagged = None
     for name, df in layers.items():
-        row = df.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("component"),
-            F.when(F.col("n") > 0, "OK").otherwise("ERROR").alias("status"),
-            F.concat(F.lit("Found "), F.col("n").cast("string"), F.lit(f" rows in {name}")).alias("details"))
-        out = row if out is None else out.unionByName(row)
-    return out
+        part = df.select(F.lit(name).alias("component"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    names = list(layers)
+    counts = tagged.agg(*[F.count_if(F.col("component") == name).alias(f"n{i}") for i, name in enumerate(names)])
+    rows = F.array(*[F.struct(F.lit(name).alias("component"), F.col(f"n{i}").alias("n")) for i, name in enumerate(names)])
+    return counts.select(F.explode(rows).alias("r")).select(
+        "r.component", F.when(F.col("r.n") > 0, "OK").otherwise("ERROR").alias("status"),
+        F.concat(F.lit("Found "), F.col("r.n").cast("string"), F.lit(" rows in "), F.col("r.component")).alias("details"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import inspect
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,21 +20,23 @@ from pyspark.sql import types as T
 from lodestar.functions.json import jabsent, jbool, jlen, jnull, jnum, jtext, to_document
 from lodestar.operators.consistency import deployment_check
 from lodestar.operators.quality import (check_not_null, check_results, check_unique, duplicates,
-                                        extraction_summary, layer_report, quality_metrics,
+                                        extraction_summary, gate_rows, layer_report, quality_metrics,
                                         table_checks)
-from lodestar.operators.upsert import merge_state, upsert_stats
+from lodestar.operators.upsert import current_state, merge_state, upsert_stats
 from lodestar.plans.extras import map_totals, order_totals, quote_series
 from lodestar.plans.gold import constellation_snapshot, headline, project_to_target
 from lodestar.plans.silver import parse_launches, parse_satellites
 from lodestar.session import configure
-from lodestar.sources.documents import read_documents
-from lodestar.sources.layers import (aligned, bucketed, buckets_for, fingerprint, landed_text,
-                                     materialized, path_bytes)
-from lodestar.sources.derived import (launch_documents, launch_json_lines, launch_reply_lines,
+from lodestar.sources.documents import read_documents, stamp
+from lodestar.sources.layers import (aligned, bucketed, buckets_for, fingerprint, landed_text, layer,
+                                     materialized, path_bytes, publish_table)
+from lodestar.sources.derived import (SATELLITE_BATCH_SPLIT, faulty_launch_lines, faulty_launches,
+                                      launch_documents, launch_json_lines, launch_reply_files, launch_reply_lines,
                                       market_replies, order_maps,
                                       rocket_documents, run_log_from_events,
                                       satellite_documents, table)
-from lodestar.sources.runlog import recent_runs
+from lodestar.sources.runlog import append_runs, read_run_log, recent_runs
+from lodestar.sources.state import append_batch, read_state
 
 # ---- fixed parameters of the registered queries ---------------------------------
 AS_OF = "2025-07-31 00:00:00"         # analysis time of silver ages and gold
@@ -71,12 +74,12 @@ def _code_version() -> str:
 DERIVATION_VERSION = _code_version()
 
 
-def _landed(spark, d, name, sources, build, shred=True, partition_by=()):
+def _landed(spark, d, name, sources, build, partition_by=()):
     """Bronze relation ``name`` landed from driver tables ``sources``: stored once
     per source content as Parquet with a VARIANT document column, then read."""
     paths = [f"{d.rstrip('/')}/{s}.parquet" for s in sources]
     key = fingerprint(spark, paths, salt=f"{name}:{DERIVATION_VERSION}")
-    return materialized(spark, "bronze", name, key, build, shred=shred, partition_by=partition_by)
+    return materialized(spark, "bronze", name, key, build, partition_by=partition_by)
 
 
 def bronze_launches(spark, d):
@@ -86,24 +89,20 @@ def bronze_launches(spark, d):
 
 def satellite_log(spark, d):
     """The satellite landing log: every document version with its (batch, pos)."""
-    # read whole by the upsert only, so written unshredded; partitioned by landing
-    # batch, so applying one batch reads only that batch's files
+    # partitioned by landing batch, so applying one batch reads only that batch's files
     return _landed(spark, d, "satellite_log", ["lineitem"],
-                   lambda: satellite_documents(table(spark, d, "lineitem")), shred=False,
-                   partition_by=["batch"])
+                   lambda: satellite_documents(table(spark, d, "lineitem")), partition_by=["batch"])
 
 
 def bronze_satellites(spark, d):
-    """Current state of the satellite log (last write wins), stored like the
-    bronze table an upsert maintains: the second batch merged into the stored
-    state of the first (only the batch is shuffled); equal to
-    ``current_state(log, ("batch", "pos"))`` over the whole log."""
-    def build():
-        b1 = satellite_log(spark, d).where(F.col("batch") == 1)
-        merged = merge_state(satellite_state_before(spark, d), b1, order="pos")
-        return merged.select("id", "data", "extracted_at", "source_system", "created_at")
-    # written shredded for path reads (silver), straight from the merge tasks
-    return _landed(spark, d, "satellites", ["lineitem"], build)
+    """Current state of the satellite log (last write wins), stored once, bucketed by
+    id like the state that an upsert compacts: checks and merges on the id read it in
+    place, path reads its typed sub-columns."""
+    paths = [f"{d.rstrip('/')}/lineitem.parquet"]
+    key = fingerprint(spark, paths, salt=f"satellites:{DERIVATION_VERSION}")
+    n = buckets_for(spark, path_bytes(spark, paths[0]))
+    return bucketed(spark, "bronze", "satellites", key, "id", n,
+                    lambda: current_state(satellite_log(spark, d), order=("batch", "pos")), prepartitioned=aligned(spark, n, None))
 
 
 def landed_launch_files(spark, d, layout):
@@ -127,20 +126,28 @@ def satellite_state_before(spark, d):
                     lambda: merge_state(None, b0, order="pos"), prepartitioned=aligned(spark, n, None))
 
 
-def landed_satellite_lines(spark, d):
-    """The satellite landing log as JSON Lines files, one folder per landing
-    batch (``batch=0``, ``batch=1``), in write order: a global sort by
-    (batch, pos) range-partitions the log, so file names follow the ranges and
-    (file, offset, line) is the write order.  Range partitioning splits by the
-    ordering, not by id, so a hot id's versions spread over many tasks.
-    Returns the landing folder."""
+STREAM_SLICES = ("1995-01-01", SATELLITE_BATCH_SPLIT)     # landings of the streamed log, by ship date
+
+
+def landed_satellite_slice(spark, d, k):
+    """One landing of the satellite log as JSON Lines, in write order: a range partition
+    by (batch, pos) splits by the ordering, not by id, so a hot id's versions spread
+    over many tasks; file numbers follow the ranges.  Returns the landing folder."""
     paths = [f"{d.rstrip('/')}/lineitem.parquet"]
     key = fingerprint(spark, paths, salt=f"satellite_lines:{DERIVATION_VERSION}")
+    low, high = ((None,) + STREAM_SLICES)[k], (STREAM_SLICES + (None,))[k]
 
     def build():
         log = satellite_log(spark, d)
-        return log.orderBy("batch", "pos").select(F.col("data").cast("string").alias("value"), "batch")
-    return landed_text(spark, "satellite_lines", key, build, partition_by=["batch"])
+        ship = F.col("pos.ship")
+        if low:
+            log = log.where(ship >= F.lit(low).cast("timestamp_ntz"))
+        if high:
+            log = log.where(ship < F.lit(high).cast("timestamp_ntz"))
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return (log.repartitionByRange(n, "batch", "pos").sortWithinPartitions("batch", "pos")
+                .select(F.col("data").cast("string").alias("value")))
+    return landed_text(spark, f"satellite_lines_{key}", f"{k}", build)
 
 
 def bronze_rockets(spark, d):
@@ -206,12 +213,13 @@ def q_json_array_element(spark, d):
 def q_json_map_total(spark, d):
     ev = map_totals(table(spark, d, "events"), "props")
     return (ev.groupBy("event_type").agg(F.sum("map_total").alias("total_k"))
-            .withColumn("total_k_text", F.format_string("%.2f", F.col("total_k"))))
+            .select("event_type", F.col("total_k").cast("double").alias("total_k"),
+                    F.col("total_k").cast("decimal(38,2)").cast("string").alias("total_k_text")))
 
 
 def q_order_totals(spark, d):
     out = order_totals(order_maps(table(spark, d, "orders")), "order_map", by="o_orderpriority")
-    return out.select("o_orderpriority", F.round("total_order_value", 2).alias("total_order_value"),
+    return out.select("o_orderpriority", F.col("total_order_value").cast("double").alias("total_order_value"),
                       "total_order_value_text")
 
 
@@ -267,17 +275,17 @@ def q_upsert_stats(spark, d):
 
 
 def q_stream_upsert_state(spark, d):
-    """Structured Streaming upsert over the landed satellite lines: every
-    micro-batch merged into the previous bucketed state; the answer is the last
-    committed state.  Runs to completion (availableNow) and is idempotent: a
-    rerun finds no new files and keeps the state."""
+    """Structured Streaming upsert over satellite lines that land three times: every
+    micro-batch is appended to the state, and the answer is resolved from the last
+    commit.  Each run of the stream (availableNow) takes what has landed since;
+    running the query again finds no new files and keeps the state."""
     from lodestar.session import shared_dir
     from lodestar.streaming import stream_state, upsert_stream
-    landing = landed_satellite_lines(spark, d)
-    name = "stream_satellites_" + landing.rstrip("/").rsplit("v=", 1)[-1]
-    q = upsert_stream(spark, landing, name, checkpoint=f"{shared_dir(spark)}/streams/{name}",
-                      extracted_at="2024-01-01 00:00:00")
-    q.awaitTermination()
+    for k in range(len(STREAM_SLICES) + 1):
+        landing = landed_satellite_slice(spark, d, k).rsplit("/v=", 1)[0]
+        name = "stream_" + landing.rsplit("/", 1)[-1]
+        upsert_stream(spark, landing, name, checkpoint=f"{shared_dir(spark)}/streams/{name}",
+                      extracted_at="2024-01-01 00:00:00").awaitTermination()
     state = stream_state(spark, name)
     return state.select(
         "id", jtext("data", "launch").alias("launch_ref"),
@@ -286,6 +294,81 @@ def q_stream_upsert_state(spark, d):
         jnum("data", "spaceTrack.SEMIMAJOR_AXIS", "double").alias("semimajor_axis_km"))
 
 
+def q_state_backfill(spark, d):
+    """Three batches applied to a stored state, the second for an earlier day than the
+    first: versions follow the order of application, not the days."""
+    log = satellite_log(spark, d)
+    odd = F.split("id", "-")[1].cast("int") % 2 == 1
+    parts = [(F.col("batch") == 0, "2025-08-02 00:00:00"), ((F.col("batch") == 1) & odd, "2025-08-01 00:00:00"),
+             ((F.col("batch") == 1) & ~odd, "2025-08-03 00:00:00")]
+    name = "backfill_" + uuid.uuid4().hex
+    for which, at in parts:
+        batch = stamp(log.where(which).select("id", "data", "pos"), "backfill", at)
+        append_batch(spark, name, batch, order="pos")
+    return read_state(spark, name).select("id", "extracted_at", "created_at", jtext("data", "launch").alias("launch_ref"),
+                                          jtext("data", "spaceTrack.OBJECT_ID").alias("object_id"))
+
+
+def q_read_landed_array(spark, d):
+    """Several reply files, one JSON array each, that repeat ids: the later reply wins."""
+    paths = [f"{d.rstrip('/')}/orders.parquet"]
+    key = fingerprint(spark, paths, salt=f"launch_array:{DERIVATION_VERSION}")
+    folder = landed_text(spark, "launches_array", key, lambda: launch_reply_files(bronze_launches(spark, d)), partition_by=["reply"])
+    docs = stamp(read_documents(spark, folder, layout="array"), "array_files", "2024-05-01 10:00:00")
+    return current_state(docs, order="pos").select("id", jtext("data", "name").alias("mission_name"), "source_system", "extracted_at")
+
+
+def _faulty_landing(spark, d):
+    paths = [f"{d.rstrip('/')}/orders.parquet"]
+    key = fingerprint(spark, paths, salt=f"launch_faulty:{DERIVATION_VERSION}")
+    folder = landed_text(spark, "launches_faulty", key, lambda: faulty_launch_lines(bronze_launches(spark, d)))
+    return read_documents(spark, folder, layout="lines", keep_rejects=True)
+
+
+def q_landing_rejects(spark, d):
+    """What a faulty landing refuses, by reason, beside what it stores."""
+    landed = _faulty_landing(spark, d).select(F.coalesce("reason", F.lit("stored")).alias("reason"))
+    return landed.groupBy("reason").agg(F.count(F.lit(1)).alias("documents"))
+
+
+def q_gate_rows(spark, d):
+    """The quality gate, row by row: value, limit and whether it passes."""
+    return gate_rows(quality_metrics(bronze_launches(spark, d), bronze_satellites(spark, d), FRESH_AS_OF))
+
+
+def q_check_errors(spark, d):
+    """Checks of error severity on launches with seeded faults."""
+    checks = table_checks("faulty_launches", faulty_launches(bronze_launches(spark, d)), ["id"], ["id", "data"])
+    return check_results(checks, severity="error").withColumnRenamed("check", "check_name")
+
+
+def q_run_log_roundtrip(spark, d):
+    """Runs appended to a stored log in two parts and read back."""
+    from lodestar.session import shared_dir
+    path = f"{shared_dir(spark)}/run_logs/{uuid.uuid4().hex}"
+    runs = run_log_from_events(table(spark, d, "events"))
+    for part in (F.col("status") == "failed", F.col("status") == "success"):
+        append_runs(runs.where(part), path)
+    log = read_run_log(spark, path)
+    return log.groupBy("pipeline_name", "status").agg(
+        F.count(F.lit(1)).alias("runs"), F.sum("records_processed").alias("records"), F.max("run_date").alias("last_run"))
+
+
+def q_layer_roundtrip(spark, d):
+    """A table published twice and scanned: the version committed last."""
+    name = "regimes_" + uuid.uuid4().hex
+    silver = silver_satellites_df(spark, d)
+    publish_table(silver.where("is_active").groupBy("orbital_regime").agg(F.count(F.lit(1)).alias("satellites")), "gold", name, version="zz-first")
+    publish_table(silver.groupBy("orbital_regime").agg(F.count(F.lit(1)).alias("satellites")), "gold", name, version="aa-second")
+    return layer(spark, "gold", name)
+
+
+def q_quote_series_json(spark, d):
+    """The JSON text of the first series of each reply."""
+    replies = market_replies(table(spark, d, "events").withColumn("value", F.floor(F.col("value") * 100)))
+    return quote_series(replies).select("reply_id", "series_json")
+
+
 def q_silver_launches(spark, d):
     return comparable(silver_launches_df(spark, d))
 
@@ -329,7 +412,7 @@ def q_check_not_null(spark, d):
 
 
 def q_check_results(spark, d):
-    checks = (table_checks("launches", bronze_launches(spark, d), ["id"], ["id", "data"])
+    checks = (table_checks("launches", faulty_launches(bronze_launches(spark, d)), ["id"], ["id", "data"])
               + table_checks("satellites", bronze_satellites(spark, d), ["id"], ["id", "data"])
               + table_checks("satellite_log", satellite_log(spark, d), ["id"], [])
               + table_checks("rockets", bronze_rockets(spark, d), ["id"], ["id"]))
@@ -416,6 +499,14 @@ QUERIES: dict[str, Query] = {
     "upsert_latest": q_upsert_latest,
     "upsert_stats": q_upsert_stats,
     "stream_upsert_state": q_stream_upsert_state,
+    "state_backfill": q_state_backfill,
+    "read_landed_array": q_read_landed_array,
+    "landing_rejects": q_landing_rejects,
+    "gate_rows": q_gate_rows,
+    "check_errors": q_check_errors,
+    "run_log_roundtrip": q_run_log_roundtrip,
+    "layer_roundtrip": q_layer_roundtrip,
+    "quote_series_json": q_quote_series_json,
     "silver_launches": q_silver_launches,
     "silver_satellites": q_silver_satellites,
     "mission_type_counts": q_mission_type_counts,

@@ -34,6 +34,30 @@ def _name_case() -> str:
     return "CASE o_orderkey % 20 " + " ".join(arms) + " ELSE NULL END"
 
 
+# What each name slot (o_orderkey % 20) has to come out as: Starlink mission, satellites
+# on board, mission type.
+SLOTS = [
+    (True, 60, "Starlink"), (True, 60, "Starlink"), (True, 60, "Starlink"), (True, 23, "Starlink"),
+    (True, 2, "Starlink"), (True, 2, "Starlink"), (True, 2, "Starlink"), (True, 60, "Starlink"),
+    (False, 0, "Crew"), (False, 0, "Cargo"), (False, 0, "Cargo"), (False, 0, "Commercial Satellite"),
+    (False, 0, "Other"), (True, 60, "Starlink"), (True, 60, "Starlink"), (False, 0, "Other"),
+    (True, 60, "Starlink"), (True, 60, "Starlink"), (False, 0, "Other"), (False, 0, "Other"),
+]
+
+
+def _slot(what: str) -> str:
+    """The expected value of a launch's slot, from a literal list."""
+    at = {"starlink": 0, "satellites": 1, "type": 2}[what]
+    kind = {"starlink": "BOOLEAN", "satellites": "INTEGER", "type": "VARCHAR"}[what]
+    values = ", ".join(f"'{row[at]}'" for row in SLOTS)
+    return f"CAST(list_extract([{values}], CAST(k % 20 AS INTEGER) + 1) AS {kind})"
+
+
+def _first(rules: list[tuple[str, str]], otherwise: str) -> str:
+    """The label of the first residue rule that holds."""
+    return "coalesce(" + ", ".join(f"if({cond}, '{label}', NULL)" for cond, label in rules) + f", '{otherwise}')"
+
+
 LO = f"""lo AS (
   SELECT o_orderkey AS k, o_custkey, o_orderstatus, o_orderpriority, o_orderdate,
     {_name_case()} AS mission_name,
@@ -53,29 +77,17 @@ SL = f"""sl AS (
     CASE WHEN k % 41 = 0 THEN NULL ELSE CAST(k AS INTEGER) END AS flight_number,
     'LP-' || CAST(o_custkey % 5 AS VARCHAR) AS launchpad_id,
     CASE WHEN k % 3 = 0 THEN NULL ELSE o_orderpriority END AS mission_details,
-    coalesce(lower(mission_name) LIKE '%starlink%', FALSE) AS is_starlink_mission,
-    CASE WHEN lower(mission_name) LIKE '%starlink%' THEN
-      CASE WHEN lower(mission_name) LIKE '%demo%' OR lower(mission_name) LIKE '%test%'
-                OR mission_name ILIKE '%tintin%' THEN 2
-           WHEN mission_name ILIKE '%v1.0%' THEN 60
-           WHEN mission_name ILIKE '%v2%' THEN 23
-           ELSE 60 END
-      ELSE 0 END AS estimated_satellite_count,
+    {_slot('starlink')} AS is_starlink_mission,
+    {_slot('satellites')} AS estimated_satellite_count,
     CAST(CASE WHEN k % 13 = 0 THEN 0 ELSE k % 4 END AS INTEGER) AS payload_count,
-    CASE WHEN launch_date_utc IS NULL THEN 'missing_launch_date'
-         WHEN mission_name IS NULL THEN 'missing_mission_name'
-         WHEN success_absent AND is_upcoming = FALSE THEN 'missing_success_status'
-         WHEN rocket_id IS NULL THEN 'missing_rocket_info'
-         ELSE 'valid' END AS data_quality_flag,
+    {_first([("k % 97 = 0", "missing_launch_date"), ("k % 20 IN (18, 19)", "missing_mission_name"),
+             ("k % 11 = 0 AND k % 31 <> 0 AND o_orderpriority <> '5-LOW'", "missing_success_status"),
+             ("k % 89 = 0", "missing_rocket_info")], "valid")} AS data_quality_flag,
     o_orderdate AS extracted_at, '{SRC}' AS source_system,
     CAST(year(launch_date_utc) AS INTEGER) AS launch_year,
     CAST(month(launch_date_utc) AS INTEGER) AS launch_month,
     CAST(dayofweek(launch_date_utc) AS INTEGER) AS launch_day_of_week,
-    CASE WHEN coalesce(lower(mission_name) LIKE '%starlink%', FALSE) THEN 'Starlink'
-         WHEN lower(mission_name) LIKE '%crew%' THEN 'Crew'
-         WHEN lower(mission_name) LIKE '%cargo%' OR lower(mission_name) LIKE '%crs%' THEN 'Cargo'
-         WHEN lower(mission_name) LIKE '%satellite%' THEN 'Commercial Satellite'
-         ELSE 'Other' END AS mission_type
+    {_slot('type')} AS mission_type
   FROM lo)"""
 
 SV = """sv AS (
@@ -103,17 +115,17 @@ SV = """sv AS (
          WHEN l_linestatus = 'F' THEN strftime(l_shipdate, '%Y-%m-%d')
          ELSE '' END AS decay_date_raw,
     CASE WHEN l_partkey % 43 = 0 OR l_tax = 0 THEN NULL
-         ELSE 6371 + CAST(l_quantity AS INTEGER) * 900 END AS semimajor
+         ELSE CAST(6371 + CAST(l_quantity AS INTEGER) * 900 AS DECIMAL(20, 10))
+              + CAST(l_partkey % 1000 AS DECIMAL(10, 0)) * CAST('0.0010000001' AS DECIMAL(11, 10)) END AS semimajor,
+    l_returnflag, l_linestatus, l_tax
   FROM lineitem)"""
 
 SS = f"""ss AS (
   SELECT id AS satellite_id, satellite_name, launch_id,
     CAST(launch_date_text AS DATE) AS launch_date,
     CASE WHEN no_st THEN NULL ELSE l_shipdate + to_hours(l_linenumber) END AS tracking_creation_date,
-    CASE WHEN decayed IN ('0', 'false', 'False') THEN TRUE
-         WHEN decayed IN ('1', 'true', 'True') THEN FALSE
-         WHEN decay_date_raw IS NULL OR decay_date_raw = '' THEN TRUE
-         ELSE FALSE END AS is_active,
+    -- A: flown and up; N and odd R: down; even R and unknown: by the line status
+    if(no_st, TRUE, if(l_returnflag = 'A', TRUE, if(l_returnflag = 'N' OR l_linenumber % 2 = 1, FALSE, l_linestatus <> 'F'))) AS is_active,
     CAST(CASE WHEN no_st THEN NULL ELSE (530 + l_partkey % 20) / 10.0 END AS DOUBLE) AS inclination_deg,
     CAST(semimajor AS DOUBLE) AS semimajor_axis_km,
     CAST(CASE WHEN no_st THEN NULL ELSE 90 + q END AS DOUBLE) AS orbital_period_min,
@@ -126,17 +138,13 @@ SS = f"""ss AS (
     CASE WHEN no_st THEN NULL ELSE CAST(l_partkey + 40000 AS VARCHAR) END AS norad_catalog_id,
     CASE WHEN no_st THEN NULL ELSE '2019-' || CAST(l_suppkey AS VARCHAR) END AS object_id,
     decay_date_raw,
-    CASE WHEN satellite_name IS NULL THEN 'missing_satellite_name'
-         WHEN launch_id IS NULL THEN 'missing_launch_reference'
-         WHEN decayed IS NULL AND decay_date_raw IS NULL THEN 'missing_status_info'
-         WHEN launch_date_text IS NULL THEN 'missing_launch_date'
-         ELSE 'valid' END AS data_quality_flag,
+    {_first([("l_partkey % 43 = 0 OR l_partkey % 53 = 0", "missing_satellite_name"),
+             ("l_suppkey % 37 = 0", "missing_launch_reference"), ("l_suppkey % 17 = 0", "missing_launch_date")], "valid")} AS data_quality_flag,
     l_shipdate AS extracted_at, '{SRC}' AS source_system,
-    CAST(semimajor - 6371.0 AS DOUBLE) AS calculated_altitude_km,
-    CASE WHEN semimajor - 6371.0 BETWEEN 160 AND 2000 THEN 'Low Earth Orbit (LEO)'
-         WHEN semimajor - 6371.0 BETWEEN 2000 AND 35786 THEN 'Medium Earth Orbit (MEO)'
-         WHEN semimajor - 6371.0 > 35786 THEN 'Geostationary Orbit (GEO)'
-         ELSE 'Unknown' END AS orbital_regime,
+    CAST(semimajor - 6371 AS DOUBLE) AS calculated_altitude_km,
+    -- 900 km a unit of quantity: 1 and 2 are low, 3 to 39 medium, 40 and more high
+    if(no_st OR l_tax = 0, 'Unknown', list_extract(['Low Earth Orbit (LEO)', 'Medium Earth Orbit (MEO)', 'Geostationary Orbit (GEO)'],
+       1 + CAST(q >= 3 AS INTEGER) + CAST(q >= 40 AS INTEGER))) AS orbital_regime,
     CAST(DATE '{AS_OF[:10]}' - CAST(launch_date_text AS DATE) AS INTEGER) AS satellite_age_days
   FROM sv WHERE rn = 1)"""
 
@@ -206,7 +214,47 @@ def _union(*selects: str) -> str:
     return "\nUNION ALL\n".join(selects)
 
 
+# launches with seeded faults: keys that repeat, rows without an id or a document
+FAULTY = """faulty AS (SELECT
+    count(*) FILTER (WHERE k % 227 = 0 AND k % 223 <> 0) AS u,
+    sum(n) FILTER (WHERE k % 223 = 0) AS i,
+    sum(n) FILTER (WHERE k % 211 = 0) AS d
+  FROM (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 227 = 0 THEN 2 ELSE 1 END AS n FROM orders))"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "state_backfill": _with("v AS (SELECT *, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, "
+                            f"CASE WHEN l_shipdate < TIMESTAMP '{SATELLITE_BATCH_SPLIT}' THEN 0 WHEN l_linenumber % 2 = 1 THEN 1 ELSE 2 END AS b FROM lineitem)",
+                            "r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY b DESC, l_shipdate DESC, l_extendedprice DESC, "
+                            "l_partkey DESC, l_suppkey DESC) AS rn, min(b) OVER (PARTITION BY id) AS first_b FROM v)") + """
+        SELECT id, list_extract([TIMESTAMP '2025-08-02', TIMESTAMP '2025-08-01', TIMESTAMP '2025-08-03'], b + 1) AS extracted_at,
+          list_extract([TIMESTAMP '2025-08-02', TIMESTAMP '2025-08-01', TIMESTAMP '2025-08-03'], first_b + 1) AS created_at,
+          CASE WHEN l_suppkey % 37 = 0 THEN NULL WHEN l_partkey % 101 = 0 THEN 'X' || CAST(l_orderkey AS VARCHAR)
+               ELSE CAST(l_orderkey AS VARCHAR) END AS launch_ref,
+          CASE WHEN l_partkey % 43 = 0 THEN NULL ELSE '2019-' || CAST(l_suppkey AS VARCHAR) END AS object_id
+        FROM r WHERE rn = 1""",
+    "read_landed_array": _with(LO) + """SELECT CAST(k AS VARCHAR) AS id,
+        CASE WHEN k % 10 = 0 THEN 'Revised ' || CAST(k AS VARCHAR) ELSE mission_name END AS mission_name,
+        'array_files' AS source_system, TIMESTAMP '2024-05-01 10:00:00' AS extracted_at FROM lo""",
+    "landing_rejects": """SELECT CASE o_orderkey % 50 WHEN 7 THEN 'malformed' WHEN 11 THEN 'missing_key' ELSE 'stored' END AS reason,
+        count(*) AS documents FROM orders GROUP BY 1""",
+    "gate_rows": _with(SV) + """SELECT 1 AS rule, 'launches_missing_data' AS metric, n AS value, CAST(50 AS BIGINT) AS "limit", n <= 50 AS passed,
+        'Too many launches with missing data' AS message
+      FROM (SELECT count(*) FILTER (WHERE o_orderkey % 20 IN (18, 19) OR o_orderkey % 97 = 0) AS n FROM orders)
+      UNION ALL SELECT 2, 'starlink_total', n, CAST(0 AS BIGINT), n <> 0, 'No Starlink satellite data found'
+      FROM (SELECT count(*) AS n FROM sv WHERE rn = 1)""",
+    "check_errors": _with(FAULTY) + """SELECT check_name, CAST(failures AS BIGINT) AS failures, failures <> 0 AS should_warn,
+        failures <> 0 AS should_error, 'error' AS severity FROM (
+          SELECT 'unique_faulty_launches_id' AS check_name, u AS failures FROM faulty
+          UNION ALL SELECT 'not_null_faulty_launches_id', i FROM faulty
+          UNION ALL SELECT 'not_null_faulty_launches_data', d FROM faulty)""",
+    "run_log_roundtrip": """SELECT 'etl_' || CAST(user_id % 3 AS VARCHAR) || '.extract_' || event_type AS pipeline_name,
+        CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status, count(*) AS runs,
+        CAST(sum(CASE WHEN event_type = 'error' THEN 0 ELSE CAST(floor(value) AS BIGINT) END) AS BIGINT) AS records, max(ts) AS last_run
+      FROM events GROUP BY 1, 2""",
+    "layer_roundtrip": _with(SV, SS) + "SELECT orbital_regime, count(*) AS satellites FROM ss GROUP BY orbital_regime",
+    "quote_series_json": """SELECT event_id AS reply_id, '{"close":' || CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR)
+        || ',"meta":{"account":' || CAST(user_id AS VARCHAR) || ',"symbol":"' || upper(event_type) || '"}}' AS series_json FROM events""",
     "json_text_field": "SELECT event_id, json_extract_string(props, '$.k') AS k_text FROM events",
     "json_nested_field": _with(SV) + "SELECT id, satellite_name AS object_name, decayed, "
                                      "decay_date_raw AS decay_date FROM sv",
@@ -221,11 +269,11 @@ ORACLE_SQL: dict[str, str] = {
         CAST(CASE WHEN o_orderkey % 13 = 0 THEN 0 ELSE o_orderkey % 4 END AS INTEGER) AS payload_count
       FROM orders""",
     "json_array_element": "SELECT event_id AS reply_id, upper(event_type) AS symbol, value AS close FROM events",
-    "json_map_total": """SELECT event_type, sum(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS total_k,
-        printf('%.2f', sum(CAST(json_extract_string(props, '$.k') AS DOUBLE))) AS total_k_text
+    "json_map_total": """SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS DECIMAL(20, 6))) AS DOUBLE) AS total_k,
+        CAST(CAST(sum(CAST(json_extract_string(props, '$.k') AS DECIMAL(20, 6))) AS DECIMAL(38, 2)) AS VARCHAR) AS total_k_text
       FROM events GROUP BY event_type""",
-    "order_totals": """SELECT o_orderpriority, round(sum(o_totalprice), 2) AS total_order_value,
-        printf('%.2f', sum(o_totalprice)) AS total_order_value_text
+    "order_totals": """SELECT o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(20, 6))) AS DOUBLE) AS total_order_value,
+        CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(20, 6))) AS DECIMAL(38, 2)) AS VARCHAR) AS total_order_value_text
       FROM orders GROUP BY o_orderpriority""",
     "document_roundtrip": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
         o_orderpriority FROM orders""",
@@ -262,19 +310,19 @@ ORACLE_SQL: dict[str, str] = {
     "check_not_null": _with(LO, SL) + _union(*[
         f"SELECT 'not_null_silver_launches_{c}' AS check_name, count(*) FILTER (WHERE {c} IS NULL) AS failures FROM sl"
         for c in ["mission_name", "launch_date", "launch_success", "rocket_id", "flight_number"]]),
-    "check_results": _with("dup AS (SELECT count(*) AS n FROM (SELECT l_orderkey, l_linenumber FROM lineitem "
+    "check_results": _with(SV, FAULTY, "dup AS (SELECT count(*) AS n FROM (SELECT l_orderkey, l_linenumber FROM lineitem "
                            "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))") + """SELECT check_name,
         CAST(failures AS BIGINT) AS failures, failures <> 0 AS should_warn, failures <> 0 AS should_error,
         'warn' AS severity FROM (
-          SELECT 'unique_launches_id' AS check_name, 0 AS failures
-          UNION ALL SELECT 'not_null_launches_id', 0
-          UNION ALL SELECT 'not_null_launches_data', 0
-          UNION ALL SELECT 'unique_satellites_id', 0
-          UNION ALL SELECT 'not_null_satellites_id', 0
-          UNION ALL SELECT 'not_null_satellites_data', 0
+          SELECT 'unique_launches_id' AS check_name, (SELECT u FROM faulty) AS failures
+          UNION ALL SELECT 'not_null_launches_id', (SELECT i FROM faulty)
+          UNION ALL SELECT 'not_null_launches_data', (SELECT d FROM faulty)
+          UNION ALL SELECT 'unique_satellites_id', (SELECT count(*) - count(DISTINCT id) FROM sv WHERE rn = 1)
+          UNION ALL SELECT 'not_null_satellites_id', (SELECT count(*) FROM sv WHERE rn = 1 AND id IS NULL)
+          UNION ALL SELECT 'not_null_satellites_data', (SELECT count(*) FROM sv WHERE rn = 1 AND l_partkey IS NULL)
           UNION ALL SELECT 'unique_satellite_log_id', (SELECT n FROM dup)
-          UNION ALL SELECT 'unique_rockets_id', 0
-          UNION ALL SELECT 'not_null_rockets_id', 0)""",
+          UNION ALL SELECT 'unique_rockets_id', (SELECT count(*) - count(DISTINCT c_custkey) FROM customer)
+          UNION ALL SELECT 'not_null_rockets_id', (SELECT count(*) FROM customer WHERE c_custkey IS NULL))""",
     "duplicate_rows": """SELECT count(*) AS total_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_ids,
         count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_rows FROM lineitem""",
     "missing_rows": """SELECT count(*) FILTER (WHERE o_orderkey % 20 IN (18, 19) OR o_orderkey % 97 = 0)

@@ -8,6 +8,8 @@ inside whole-stage codegen, with no shuffle.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ STARLINK_TYPE, OTHER_TYPE = "Starlink", "Other"
 # Satellite rules
 ACTIVE_DECAYED = ("0", "false", "False")
 INACTIVE_DECAYED = ("1", "true", "True")
-EARTH_RADIUS_KM = 6371.0
+EARTH_RADIUS_KM = Decimal("6371.0")
 ORBIT_BANDS = [  # inclusive bands on altitude km, first match wins at shared edges
     (160, 2000, "Low Earth Orbit (LEO)"),
     (2000, 35786, "Medium Earth Orbit (MEO)"),

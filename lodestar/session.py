@@ -16,7 +16,9 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # documents with a repeated key keep the last value instead of failing
     "spark.sql.variant.allowDuplicateKeys": "true",
-    # VARIANT path reads become typed sub-columns of the Parquet scan
+    # VARIANT columns are written shredded, and path reads become typed sub-columns
+    # of the Parquet scan
+    "spark.sql.variant.writeShredding.enabled": "true",
     "spark.sql.variant.pushVariantIntoScan": "true",
     # runtime re-planning: partition coalescing and skew-join splitting
     "spark.sql.adaptive.enabled": "true",

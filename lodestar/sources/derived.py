@@ -18,6 +18,8 @@ their answers from the base columns.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,41 +27,8 @@ from lodestar.functions.json import json_null, to_document
 from lodestar.sources.documents import DEFAULT_SOURCE_SYSTEM
 
 
-# inputs up to this size may be spread across all cores by one extra exchange
-SPREAD_MAX_BYTES = 1 << 30
-
-
-def spread(df: DataFrame, input_bytes: int, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    """Give a small input at least one partition per core.
-
-    The per-row document work is CPU-bound; a file with a single row group is a
-    single scan split, which would put the whole table on one core.  Only a
-    small input (at most ``max_bytes`` on disk) with fewer splits than the
-    cluster has cores gets one exchange; a large input is left to its scan
-    splits, so at scale this adds no shuffle.  The split count comes from
-    planning the scan, no job runs.
-
-    The exchange hashes a row number taken in the scan task: unique, so the
-    spread is even however many copies of a row exist, and the same on a task
-    retry (a split is read in the same order).  A round-robin exchange would
-    first sort the rows inside the single scan task to get that determinism."""
-    if input_bytes > max_bytes:
-        return df
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: keep the scan as is
-        return df
-    if splits >= cores:
-        return df
-    return (df.withColumn("_row", F.monotonically_increasing_id())
-              .repartition(cores, "_row").drop("_row"))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from lodestar.sources.layers import path_bytes
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread(spark.read.parquet(path), path_bytes(spark, path))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---- fixed derivation rules (shared with the oracle SQL) --------------------------
@@ -164,7 +133,8 @@ def satellite_documents(lineitem: DataFrame, source_system: str = DEFAULT_SOURCE
         decayed.alias("DECAYED"),
         F.when(F.col("l_linestatus") == "F", _date_text(ship)).otherwise(F.lit("")).alias("DECAY_DATE"),
         ((F.lit(530) + pk % 20).cast("decimal(10,0)") / F.lit(10)).cast("decimal(10,1)").alias("INCLINATION"),
-        F.when(F.col("l_tax") == 0, json_null()).otherwise((F.lit(6371) + qty * 900).cast("variant")).alias("SEMIMAJOR_AXIS"),
+        F.when(F.col("l_tax") == 0, json_null()).otherwise(
+            ((F.lit(6371) + qty * 900).cast("decimal(20,10)") + (pk % 1000).cast("decimal(10,0)") * F.lit(Decimal("0.0010000001"))).cast("decimal(20,10)").cast("variant")).alias("SEMIMAJOR_AXIS"),
         (F.lit(90) + qty).alias("PERIOD"),
         (qty * 900 + 5).alias("APOAPSIS"),
         (qty * 900 - 5).alias("PERIAPSIS"),
@@ -210,6 +180,40 @@ def launch_reply_lines(launches: DataFrame, reply_size: int = REPLY_SIZE) -> Dat
     return grouped.select(F.concat(F.lit("["), body, F.lit("]")).alias("value"))
 
 
+def launch_reply_files(launches: DataFrame, reply_size: int = 2000) -> DataFrame:
+    """(reply, value): one JSON array per reply, ``reply_size`` consecutive keys in each,
+    then further replies that revise the documents of every tenth key."""
+    k = F.col("id").cast("long")
+    first = launches.select((k / reply_size).cast("long").alias("reply"), k.alias("k"), F.col("data").cast("string").alias("doc"))
+    again = launches.where(k % 10 == 0).select(
+        ((k / (10 * reply_size)).cast("long") + 1_000_000).alias("reply"), k.alias("k"),
+        to_document(F.struct(F.col("id"), F.concat(F.lit("Revised "), "id").alias("name"))).alias("doc"))
+    grouped = first.unionByName(again).groupBy("reply").agg(F.sort_array(F.collect_list(F.struct("k", "doc"))).alias("docs"))
+    body = F.concat_ws(",", F.transform("docs", lambda d: d["doc"]))
+    return grouped.select(F.concat(F.lit("["), body, F.lit("]")).alias("value"), "reply")
+
+
+def faulty_launch_lines(launches: DataFrame) -> DataFrame:
+    """JSON Lines with faults: every key that is 7 mod 50 is cut off in the middle, every
+    one that is 11 mod 50 has lost its ``id``."""
+    k = F.col("id").cast("long")
+    text = F.col("data").cast("string")
+    return launches.select(F.when(k % 50 == 7, F.concat(F.lit('{"id":"'), "id"))
+                            .when(k % 50 == 11, F.concat(F.lit('{"lost":"'), "id", F.lit('"}')))
+                            .otherwise(text).alias("value"))
+
+
+def faulty_launches(launches: DataFrame) -> DataFrame:
+    """Bronze launches with rows that break the source checks: every key that is 0 mod
+    211 has no document, 0 mod 223 no id, and 0 mod 227 is there twice."""
+    k = F.col("id").cast("long")
+    twice = launches.where(k % 227 == 0)
+    cols = [c for c in launches.columns if c not in ("id", "data")]
+    return launches.unionByName(twice).select(
+        F.when(k % 223 != 0, F.col("id")).alias("id"),
+        F.when(k % 211 != 0, F.col("data")).alias("data"), *cols)
+
+
 def launch_json_lines(launches: DataFrame) -> DataFrame:
     """Bronze launch documents -> JSON Lines text, one document per line."""
     return launches.select(F.col("data").cast("string").alias("value"))

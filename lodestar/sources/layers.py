@@ -99,36 +99,18 @@ def _latest_version(spark: SparkSession, base: str) -> str | None:
     return max(found)[1] if found else None
 
 
-SHRED_CONF = "spark.sql.variant.writeShredding.enabled"
-
-
 def publish_table(df: DataFrame, layer: str, name: str, root: str | None = None,
                   version: str | None = None, partition_by: Sequence[str] = (),
-                  shred: bool | None = None, prefix: str = "v=") -> str:
+                  prefix: str = "v=") -> str:
     """Write ``df`` as a new complete version of ``layer.name``; return its path
-    and point the session view ``{layer}_{name}`` at it.
-
-    ``shred`` controls VARIANT shredding of the write: shredded documents let
-    path reads fetch typed sub-columns, which pays off for tables queried by
-    path (silver inputs); a log that is only ever read whole is cheaper to write
-    unshredded.  None keeps the session setting."""
+    and point the session view ``{layer}_{name}`` at it."""
     spark = df.sparkSession
     version = version or time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + f"{time.time_ns() % 10**9:09d}"
     path = f"{layer_root(spark, root)}/{layer}/{name}/{prefix}{version}"
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    before = spark.conf.get(SHRED_CONF, None)
-    if shred is not None:
-        spark.conf.set(SHRED_CONF, str(bool(shred)).lower())
-    try:
-        w.parquet(path)
-    finally:
-        if shred is not None:
-            if before is None:
-                spark.conf.unset(SHRED_CONF)
-            else:
-                spark.conf.set(SHRED_CONF, before)
+    w.parquet(path)
     if prefix == "v=":
         spark.read.parquet(path).createOrReplaceTempView(f"{layer}_{name}")
     return path
@@ -188,7 +170,7 @@ def landed_text(spark: SparkSession, name: str, key: str, build: Callable[[], Da
 
 def materialized(spark: SparkSession, layer_name: str, name: str, key: str,
                  build: Callable[[], DataFrame], root: str | None = None,
-                 partition_by: Sequence[str] = (), shred: bool | None = None) -> DataFrame:
+                 partition_by: Sequence[str] = ()) -> DataFrame:
     """Read ``layer.name`` version ``key``; build and write it first if missing.
 
     The build is written to a hidden ``_tmp-*`` directory (ignored by readers)
@@ -201,7 +183,7 @@ def materialized(spark: SparkSession, layer_name: str, name: str, key: str,
     if not _exists(spark, path + "/_SUCCESS"):
         tmp_version = f"{key}-{uuid.uuid4().hex[:8]}"
         tmp = publish_table(build(), layer_name, name, root, version=tmp_version,
-                            partition_by=partition_by, shred=shred, prefix="_tmp-")
+                            partition_by=partition_by, prefix="_tmp-")
         fs, final = _fs(spark, path)
         if not fs.exists(final.suffix("/_SUCCESS")):
             if fs.exists(final):

@@ -27,7 +27,8 @@ from lodestar.sources.state import append_batch, read_state
 
 
 def _raw(spark: SparkSession, landing_dir: str, layout: str, max_files: int | None):
-    reader = spark.readStream.format("text").option("wholetext", str(layout == "array").lower())
+    reader = (spark.readStream.format("text").option("wholetext", str(layout == "array").lower())
+              .option("recursiveFileLookup", "true"))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return (reader.load(landing_dir).withColumn("file", F.col("_metadata.file_path"))
