@@ -34,7 +34,7 @@ from lodestar.llm.words import buffers, cover, find_words, mix, ngrams, per_text
 from lodestar.session import shared_dir
 
 WINDOW, ANCHOR = 20, 8
-BLOCK_BYTES = 28 << 20
+BLOCK_BYTES = 13 << 20
 SHARD_WORDS = 1_000_000
 #: Occurrences from which an anchor's windows are sent by their own hash.
 HOT = 30_000
