@@ -41,11 +41,7 @@ ORBIT_BANDS = [  # inclusive bands on altitude km, first match wins at shared ed
     (35786, None, "Geostationary Orbit (GEO)"),
 ]
 UNKNOWN_ORBIT = "Unknown"
-# Row quality flags, in rule order
-LAUNCH_FLAGS = ("missing_launch_date", "missing_mission_name", "missing_success_status",
-                "missing_rocket_info")
-SATELLITE_FLAGS = ("missing_satellite_name", "missing_launch_reference", "missing_status_info",
-                   "missing_launch_date")
+# Row quality flags stand beside their conditions in the parsers
 VALID_FLAG = "valid"
 # ----------------------------------------------------------------------------------
 
@@ -112,12 +108,12 @@ def parse_launches(bronze: DataFrame, lenient: bool = False) -> DataFrame:
         ts.cast("date").alias("launch_date"),
         starlink.alias("is_starlink_mission"),
         estimated_satellites(name).alias("estimated_satellite_count"),
-        quality_flag(list(zip([
-            F.col("_date_text").isNull(),
-            name.isNull(),
-            F.col("_success_absent") & (F.col("is_upcoming") == F.lit(False)),
-            F.col("rocket_id").isNull(),
-        ], LAUNCH_FLAGS)), VALID_FLAG).alias("data_quality_flag"),
+        quality_flag([
+            (F.col("_date_text").isNull(), "missing_launch_date"),
+            (name.isNull(), "missing_mission_name"),
+            (F.col("_success_absent") & (F.col("is_upcoming") == F.lit(False)), "missing_success_status"),
+            (F.col("rocket_id").isNull(), "missing_rocket_info"),
+        ], VALID_FLAG).alias("data_quality_flag"),
         F.year(ts).alias("launch_year"),
         F.month(ts).alias("launch_month"),
         dow_sunday0(ts).alias("launch_day_of_week"),
@@ -172,12 +168,12 @@ def parse_satellites(bronze: DataFrame, as_of, lenient: bool = False) -> DataFra
     out = parsed.select(
         "*",
         is_active(decayed, decay_date).alias("is_active"),
-        quality_flag(list(zip([
-            F.col("satellite_name").isNull(),
-            F.col("launch_id").isNull(),
-            decayed.isNull() & decay_date.isNull(),
-            F.col("_no_launch_date"),
-        ], SATELLITE_FLAGS)), VALID_FLAG).alias("data_quality_flag"),
+        quality_flag([
+            (F.col("satellite_name").isNull(), "missing_satellite_name"),
+            (F.col("launch_id").isNull(), "missing_launch_reference"),
+            (decayed.isNull() & decay_date.isNull(), "missing_status_info"),
+            (F.col("_no_launch_date"), "missing_launch_date"),
+        ], VALID_FLAG).alias("data_quality_flag"),
         (axis - F.lit(EARTH_RADIUS_KM)).cast(NUMERIC).alias("calculated_altitude_km"),
         orbital_regime(axis).alias("orbital_regime"),
         age_days(F.col("launch_date"), as_of).alias("satellite_age_days"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -70,7 +69,3 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/") if not path.endswith("://") else path
-
-
-def scratch_path(spark: SparkSession, *parts: str) -> str:
-    return os.path.join(shared_dir(spark), *parts)

@@ -92,11 +92,3 @@ def stamp(df: DataFrame, source_system: str = DEFAULT_SOURCE_SYSTEM,
     return (df.withColumn("extracted_at", when)
               .withColumn("source_system", F.lit(source_system))
               .withColumn("created_at", F.col("extracted_at")))
-
-
-ENVELOPE = ["id", "data", "extracted_at", "source_system", "created_at"]
-
-
-def envelope(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Project to the bronze envelope (plus ordering columns such as batch/pos)."""
-    return df.select(*ENVELOPE, *(extra or []))

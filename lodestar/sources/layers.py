@@ -4,8 +4,9 @@
   directory; readers only trust versions whose ``_SUCCESS`` marker exists
   (written by Spark at job commit), so a failed or half-written run is never
   read and a rerun simply writes the version again.
-* ``publish_view``   silver-style relation: a lazy, replaceable view.
-* ``layer``          read the latest complete version of a relation.
+* ``publish_view``   silver-style relation: a lazy, replaceable view, with a comment
+  that other sessions can read.
+* ``layer``          read the complete version of a relation that was committed last.
 * ``materialized``   read a relation stored under a content fingerprint, building
   and writing it first when missing (the landed bronze of a source).
 * ``bucketed``       the same for a table bucketed by a key (the upsert state), so
@@ -31,9 +32,6 @@ from pyspark.sql import types as T
 
 from lodestar.session import shared_dir
 
-_VIEW_COMMENTS: dict[str, str] = {}
-
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -125,16 +123,31 @@ def layer(spark: SparkSession, layer_name: str, name: str, root: str | None = No
     return spark.read.parquet(f"{base}/v={version}")
 
 
-def publish_view(df: DataFrame, name: str, comment: str | None = None) -> DataFrame:
-    """Publish a lazy relation under ``name`` (replacing any previous one)."""
+def publish_view(df: DataFrame, name: str, comment: str | None = None, root: str | None = None) -> DataFrame:
+    """Publish a lazy relation under ``name`` (replacing any previous one), for this
+    session and as ``global_temp.<name>`` for the application's other sessions.  The
+    comment is kept under the layer root, where every session and job finds it."""
     df.createOrReplaceTempView(name)
+    df.createOrReplaceGlobalTempView(name)
     if comment is not None:
-        _VIEW_COMMENTS[name] = comment
+        _write_text(df.sparkSession, f"{layer_root(df.sparkSession, root)}/_comments/{name}.txt", comment)
     return df.sparkSession.table(name)
 
 
-def view_comment(name: str) -> str | None:
-    return _VIEW_COMMENTS.get(name)
+def view_comment(spark: SparkSession, name: str, root: str | None = None) -> str | None:
+    path = f"{layer_root(spark, root)}/_comments/{name}.txt"
+    return _read_text(spark, path) if _exists(spark, path) else None
+
+
+def relations(spark: SparkSession, root: str | None = None) -> dict[str, list[str]]:
+    """The stored relations by layer, from the listing of the layer root."""
+    base = layer_root(spark, root)
+    out = {}
+    for name in ("bronze", "silver", "gold"):
+        fs, p = _fs(spark, f"{base}/{name}")
+        if fs.exists(p):
+            out[name] = sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+    return out
 
 
 def fingerprint(spark: SparkSession, paths: Sequence[str], salt: str = "") -> str:

@@ -56,6 +56,9 @@ def test_daily_run_twice(spark):
     assert s0["is_active"] is False and s0["extracted_at"] == dt.datetime(2025, 7, 31)
     log = read_run_log(spark, os.path.join(root, "bronze", "run_log"))
     assert log.where("status = 'success'").count() == 6
+    from lodestar.plans.daily import setup_check
+    assert [r["status"] for r in setup_check(spark, root).collect()] == ["OK", "OK"]
+    assert [r["status"] for r in setup_check(spark, tempfile.mkdtemp(prefix="lodestar-none-")).collect()] == ["ERROR", "ERROR"]
 
 
 def test_daily_run_gate_and_failed_load(spark):

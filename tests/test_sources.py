@@ -71,8 +71,10 @@ def test_publish_versions_and_materialized(spark):
     assert len(calls) == 1
     with pytest.raises(FileNotFoundError):
         layer(spark, "silver", "missing", root=root)
-    v = publish_view(spark.range(2), "silver_x", comment="cleaned rows")
-    assert v.count() == 2 and view_comment("silver_x") == "cleaned rows"
+    v = publish_view(spark.range(2), "silver_x", comment="cleaned rows", root=root)
+    assert v.count() == 2 and view_comment(spark, "silver_x", root) == "cleaned rows"
+    assert view_comment(spark, "silver_y", root) is None
+    assert spark.newSession().table("global_temp.silver_x").count() == 2
 
 
 def test_stream_landing_is_incremental_and_idempotent(spark):
