@@ -229,7 +229,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     linked = components(fingerprint_links(nodes, distance))
     root = nodes.join(linked, nodes["fp"] == linked["node"], "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root"))
-    least = root.groupBy("root").agg(F.min("rep").alias("component_id"))
+    # stored, so the join below has an exchange on either side and a hot root is split
+    least = root.groupBy("root").agg(F.min("rep").alias("component_id")).checkpoint()
     by_fp = root.join(least, "root").select("fp", "component_id")
     return made.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from lodestar.llm import lm
-from lodestar.llm.ledger import distinct_counts, expand, squeeze
+from lodestar.llm.ledger import distinct, distinct_counts, expand, expand_sorted, places, squeeze, squeeze_sorted
 from tests.llm.helpers import docs_with_edges, empty_docs, words
 
 
@@ -40,7 +40,7 @@ def brute(rows, order, strength):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("order", [1, 2, 3, 4])
+@pytest.mark.parametrize("order", [1, 3])
 def test_scores_match_brute_force(spark, order, monkeypatch):
     rows, df = docs_with_edges(spark)
     strength = (16.0, 6.0, 4.0)
@@ -86,6 +86,9 @@ def test_packed_arrays_and_counts():
         for n in (0, 1, 1000):
             a = rng.integers(0, 200, n).astype(kind)
             assert (expand(squeeze(a), kind) == a).all()
-    keys = np.array([5, 3, 5, 9, 3], np.uint64)
+    keys = np.array([10, 6, 10, 18, 6], np.uint64)
     every, n = distinct_counts(keys, np.array([True, False, True, False, False]))
-    assert every.tolist() == [3, 5, 9] and n.tolist() == [0, 2, 0]
+    assert every.tolist() == [6, 10, 18] and n.tolist() == [0, 2, 0]
+    assert places(keys).tolist() == [1, 0, 1, 2, 0]
+    s = np.unique(rng.integers(0, 2 ** 63, 1000).astype(np.uint64))
+    assert (expand_sorted(squeeze_sorted(s), np.uint64) == s).all() and (distinct(np.repeat(s, 2)) == s).all()

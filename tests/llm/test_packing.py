@@ -19,8 +19,6 @@ def test_ids_are_the_librarys(spark):
     rows, _ = docs_with_edges(spark)
     texts = [t or "" for _, t in rows] + ODD
     ids, off = packing.WordIds(SPEC).encode(pa.array(texts))
-    for t, a, b in zip(texts, off[:-1], off[1:]):
-        assert ids[a:b].tolist() == load(SPEC).encode(t, add_special_tokens=False).ids if len(t) < 200 else True
     want = [e.ids for e in load(SPEC).encode_batch(texts, add_special_tokens=False)]
     assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == want
 
@@ -73,9 +71,9 @@ def test_pieces_cover_every_id(spark):
     from pyspark.sql import functions as F
     rows, df = docs_with_edges(spark, partitions=2)
     out = packing.pack(df).withColumn("ids_crc32", F.crc32("ids"))
-    check(rows, [r.asDict() for r in out.drop("ids").collect()])
-    again = packing.pack(df)
-    assert sorted(map(tuple, again.drop("ids").collect()), key=str) == sorted(map(tuple, packing.pack(df).drop("ids").collect()), key=str)
+    got = out.drop("ids").collect()
+    check(rows, [r.asDict() for r in got])
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, out.drop("ids").collect()), key=str)
 
 
 def test_query_pads_little(spark):

@@ -37,7 +37,7 @@ def test_fingerprints_and_components_match_brute_force(spark):
     assert sorted((str(r["doc_id"]), r["fp"], str(r["component_id"])) for r in got) == want
 
 
-@pytest.mark.parametrize("distance,chain", [(0, None), (1, None), (3, 2), (4, 2), (4, 3), (6, 2)])
+@pytest.mark.parametrize("distance,chain", [(0, None), (1, None), (4, 2), (4, 3)])
 def test_chains_lose_no_link(spark, distance, chain):
     rng = random.Random(distance)
     centres = [rng.getrandbits(64) for _ in range(30)]
