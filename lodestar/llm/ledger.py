@@ -3,17 +3,22 @@
 Documents are cut into blocks of a bounded number of words.  A block hands each
 bucket of the hash space its sorted distinct items with their counts there (one
 row a block and bucket: hot items are pre-aggregated before the shuffle), the
-bucket adds up the counts of all blocks and replies to every block with the totals
-of the items it asked about, in the order it asked.
+bucket adds up the counts of all blocks and replies to every block with the other
+blocks' counts of the items it asked about (mostly 0, so short), in the order it
+asked.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.session import shared_dir
+
 #: Items of a bucket, about: sets the number of buckets.
 BUCKET_ITEMS = 2_000_000
 
@@ -34,18 +39,57 @@ def expand(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, n).T).view(kind).reshape(n)
 
 
+def squeeze_sorted(a: np.ndarray) -> bytes:
+    """Numbers in (mostly) rising order, by their differences."""
+    return squeeze(np.diff(a, prepend=np.zeros(1, a.dtype)))
+
+
+def expand_sorted(data: bytes, kind) -> np.ndarray:
+    return np.cumsum(expand(data, kind), dtype=kind)
+
+
+def squeeze_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys: their differences, halved when all keys are even."""
+    even = np.uint64(not (keys & np.uint64(1)).any())
+    return int(even).to_bytes(1, "little") + squeeze_sorted(keys >> even)
+
+
+def expand_keys(data: bytes) -> np.ndarray:
+    return expand_sorted(data[1:], np.uint64) << np.uint64(data[0])
+
+
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys."""
+    keys = np.sort(keys)
+    return keys[np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))] if len(keys) else keys
+
+
 def distinct_counts(keys: np.ndarray, counted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct keys, how many of each are counted); all by default."""
-    some = np.sort(keys if counted is None else keys[counted])
-    edge = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]])) if len(some) else np.zeros(0, np.int64)
-    found, n = some[edge], np.diff(np.append(edge, len(some)))
-    if counted is None or counted.all():
-        return found, n.astype(np.uint32)
-    rest = np.unique(keys[~counted])
-    every = np.union1d(found, rest)
-    out = np.zeros(len(every), np.uint32)
-    out[np.searchsorted(every, found)] = n
-    return every, out
+    """(sorted distinct keys, how many of each are counted); all by default.  With
+    ``counted`` the keys have to be even: the flag is sorted along in the lowest bit."""
+    s = np.sort(keys if counted is None else keys | counted.astype(np.uint64))
+    if not len(s):
+        return s, np.zeros(0, np.uint32)
+    key = s if counted is None else s & ~np.uint64(1)
+    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    if counted is None:
+        n = np.diff(np.append(edge, len(s)))
+    else:
+        ones = np.concatenate([[0], np.cumsum(s & np.uint64(1), dtype=np.int64)])
+        n = ones[np.append(edge[1:], len(s))] - ones[edge]
+    return key[edge], n.astype(np.uint32)
+
+
+def places(keys: np.ndarray) -> np.ndarray:
+    """The place of each key among the sorted distinct keys."""
+    order = np.argsort(keys)
+    s = keys[order]
+    new = np.zeros(len(keys), np.int32)
+    if len(keys):
+        new[1:] = np.cumsum(s[1:] != s[:-1])
+    out = np.empty(len(keys), np.int32)
+    out[order] = new
+    return out
 
 
 def bucket_edges(n: int) -> np.ndarray:
@@ -59,7 +103,7 @@ def asked(block: int, keys: np.ndarray, counts: np.ndarray, buckets: int):
     full = np.flatnonzero(np.diff(at))
     return pa.record_batch(
         [pa.array(full, pa.int64()), pa.array(np.full(len(full), block), pa.int64()),
-         pa.array([squeeze(keys[at[i]:at[i + 1]]) for i in full], pa.binary()),
+         pa.array([squeeze_keys(keys[at[i]:at[i + 1]]) for i in full], pa.binary()),
          pa.array([squeeze(counts[at[i]:at[i + 1]]) for i in full], pa.binary())],
         names=["bucket", "block", "keys", "counts"])
 
@@ -69,24 +113,26 @@ TOLD = "block long, bucket long, totals binary, known long"
 
 
 def tally(requests: DataFrame) -> DataFrame:
-    """Replies (block, bucket, totals, known) to request rows; ``known`` is the bucket's
+    """Replies (block, bucket, totals, known) to request rows; ``totals`` are the counts
+    of the other blocks, to which a block adds its own; ``known`` is the bucket's
     number of items with a count, on one reply of each bucket (0 on the others)."""
     def run(batches):
         now, rows = None, []
 
         def reply():
-            runs = [expand(k, np.uint64) for _, k, _ in rows]
-            every = np.unique(np.concatenate(runs))
+            runs = [expand_keys(k) for _, k, _ in rows]
+            every = distinct(np.concatenate(runs))
             total = np.zeros(len(every), np.uint64)
-            places = []
+            found, owns = [], []
             for keys, (_, _, counts) in zip(runs, rows):
                 at = np.searchsorted(every, keys)
-                total[at] += expand(counts, np.uint32)
-                places.append(at)
+                owns.append(expand(counts, np.uint32).astype(np.uint64))
+                total[at] += owns[-1]
+                found.append(at)
             known = [int(np.count_nonzero(total))] + [0] * (len(rows) - 1)
-            for at, (block, _, _), k in zip(places, rows, known):
+            for at, own, (block, _, _), k in zip(found, owns, rows, known):
                 yield pa.record_batch([pa.array([block], pa.int64()), pa.array([now], pa.int64()),
-                                       pa.array([squeeze(np.minimum(total[at], 2 ** 32 - 1).astype(np.uint32))], pa.binary()),
+                                       pa.array([squeeze(np.minimum(total[at] - own, 2 ** 32 - 1).astype(np.uint32))], pa.binary()),
                                        pa.array([k], pa.int64())], names=["block", "bucket", "totals", "known"])
 
         for batch in batches:
@@ -106,6 +152,31 @@ def bucket_count(spark, items: int) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-items // BUCKET_ITEMS))
 
 
+def stored_blocks(blocks: DataFrame, name: str) -> DataFrame:
+    """``blocks`` written once into the shared folder, bucketed by block, so that every
+    later read scans just its columns and ``joined_replies`` moves none of them."""
+    spark = blocks.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    (blocks.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").sortBy("block")
+     .option("path", f"{shared_dir(spark)}/blocks/{table}").saveAsTable(table))
+    return spark.table(table)
+
+
+def joined_replies(blocks: DataFrame, payload: list[str], replies: DataFrame) -> DataFrame:
+    """Rows of ``stored_blocks`` with ``told``, the replies (ask, bucket, totals) to each
+    block in order; there are at most buckets times asks of them."""
+    told = replies.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("ask", "bucket", "totals"))).alias("told"))
+    return blocks.select("block", *payload).join(told.hint("merge"), "block", "left")
+
+
+def replied(batch, row: int) -> dict[int, np.ndarray]:
+    """{ask: the counts replied} of a row of ``joined_replies``."""
+    got: dict[int, list] = {}
+    for r in batch.column("told")[row].as_py() or []:
+        got.setdefault(r["ask"], []).append(expand(r["totals"], np.uint32))
+    return {k: np.concatenate(v) for k, v in got.items()}
+
+
 def with_replies(blocks: DataFrame, payload: list[str], replies: DataFrame, kinds: dict[str, str]) -> DataFrame:
     """Rows of ``blocks`` (block and the payload columns) and of ``replies`` (block, ask,
     bucket, totals), each block's together: first its payload row (ask -1), then the

@@ -25,25 +25,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.ledger import ASKED, asked, blocks_of, bucket_count, distinct_counts, expand, squeeze, tally, with_replies
+from lodestar.llm.ledger import (ASKED, asked, bucket_count, distinct_counts, expand, expand_sorted, joined_replies, places, replied,
+                                 squeeze, squeeze_sorted, stored_blocks, tally)
 from lodestar.llm.words import find_words, mix, powers, slices, texts
 from lodestar.session import shared_dir
 
 ORDER = 3
 STRENGTH = (16.0, 6.0)      # K of the second and third order
 #: Tokens of a block.
-BLOCK_TOKENS = 4_500_000
+BLOCK_TOKENS = 2_200_000
 END, START = np.uint64(1), np.uint64(2)     # word hashes of the text's end and start
 ALPHA = 0.1
 
 
 def gram_keys(h: np.ndarray, n: int) -> np.ndarray:
-    """Keys of the n-grams that end at each position (positions before n-1: of no use)."""
+    """Keys (even) of the n-grams that end at each position (before n-1: of no use)."""
     p = powers(n)
     out = np.full(len(h), n, np.uint64)
     for i in range(n):
         out[n - 1:] += h[i:len(h) - n + 1 + i] * p[i]
-    return mix(out)
+    return mix(out) & ~np.uint64(1)
 
 
 def _blocks(docs: DataFrame, id_col: str, text_col: str, fold: int) -> DataFrame:
@@ -61,7 +62,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, fold: int) -> DataFrame
             h = np.concatenate(parts)
             encoded = pa.array(h).dictionary_encode()
             vocabulary, index = encoded.dictionary.to_numpy(), encoded.indices.to_numpy()
-            order = np.argsort(-np.bincount(index, minlength=len(vocabulary)), kind="stable")
+            order = np.lexsort((vocabulary, -np.bincount(index, minlength=len(vocabulary))))
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
             n = np.concatenate(sizes)
@@ -69,7 +70,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, fold: int) -> DataFrame
             out = pa.record_batch(
                 [pa.array([base + made], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), pa.concat_arrays(ids)),
                  pa.array([squeeze(flag.astype(np.uint8))], pa.binary()), pa.array([squeeze(n.astype(np.uint32))], pa.binary()),
-                 pa.array([squeeze(vocabulary[order])], pa.binary()), pa.array([squeeze(rank[index])], pa.binary()),
+                 pa.array([squeeze_sorted(vocabulary[order])], pa.binary()), pa.array([squeeze(rank[index])], pa.binary()),
                  pa.array([int(n.sum())], pa.int64()), pa.array([int((n - 1)[~flag].sum())], pa.int64())],
                 names=["block", "doc_ids", "held", "sizes", "vocabulary", "words", "tokens", "train_tokens"])
             return out
@@ -113,86 +114,73 @@ class Texts:
         self.held = expand(held, np.uint8).astype(bool)
         self.sizes = expand(sizes, np.uint32).astype(np.int64)
         self.first = np.concatenate([[0], np.cumsum(self.sizes)])
-        self.vocabulary = expand(vocabulary, np.uint64)
+        self.vocabulary = expand_sorted(vocabulary, np.uint64)
         self.words = expand(words, np.uint32)
 
     def hashes(self) -> np.ndarray:
         return self.vocabulary[self.words]
 
+    def ends(self, n: int) -> np.ndarray:
+        """Where n-grams end; the start mark is a history only."""
+        ok = np.ones(len(self.words), dtype=bool)
+        for k in range(max(1, n - 1)):
+            ok[np.minimum(self.first[:-1] + k, self.first[1:] - 1)[self.sizes > k]] = False
+        return ok
+
     def keys(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(keys of all n-grams of the texts, whether each is in a training text); the
-        start mark is a history only."""
-        place = np.arange(len(self.words)) - np.repeat(self.first[:-1], self.sizes)
-        ok = place >= max(1, n - 1)
-        return gram_keys(self.hashes(), n)[ok], ~np.repeat(self.held, self.sizes)[ok]
+        """(keys of all n-grams of the texts, whether each is in a training text)."""
+        ok = self.ends(n)
+        return gram_keys(self.hashes(), n)[ok], np.repeat(~self.held, self.sizes)[ok]
 
     def table(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         return distinct_counts(*self.keys(n))
 
+    def arcs(self, n: int, others: np.ndarray) -> np.ndarray:
+        """The training count of the n-gram that ends at each position (0: none ends), from
+        the other blocks' counts of the block's n-grams."""
+        out = np.zeros(len(self.words), np.float64)
+        ok = self.ends(n)
+        if len(others):
+            total = self.table(n)[1].astype(np.float64) + others
+            out[ok] = total[places(gram_keys(self.hashes(), n)[ok])]
+        return out
+
 
 class Automaton:
     """The part of the backoff automaton that a block's texts can reach: for each order
-    the sorted keys of its n-grams and their training counts."""
+    the training counts of the arcs along the texts, from which their weights and the
+    failure arcs' follow."""
 
-    def __init__(self, keys: list[np.ndarray], counts: list[np.ndarray], train_tokens: int, train_words: int, strength):
-        self.keys, self.counts, self.strength = keys, [c.astype(np.float64) for c in counts], strength
+    def __init__(self, arcs: list[np.ndarray], starts: float, train_tokens: int, train_words: int, strength):
+        self.arcs, self.starts, self.strength = arcs, starts, strength
         self.total = train_tokens + ALPHA * (train_words + 1)
 
-    def count(self, n: int, key: np.ndarray) -> np.ndarray:
-        table = self.keys[n - 1]
-        if not len(table):
-            return np.zeros(len(key))
-        at = np.minimum(np.searchsorted(table, key), len(table) - 1)
-        return np.where(table[at] == key, self.counts[n - 1][at], 0.0)
-
     def walk(self, t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(score, base score, known tokens) of each text.  The state of a text is its
-        last words (at most order - 1, those that training has as a history) with the
-        counts of its histories."""
-        order_n = len(self.keys)
-        h = t.hashes()
+        """(score, base score, known tokens) of each text, in one traversal from left to
+        right.  The state of a text is the histories of its last words that training
+        has, as their counts (0: no such state), shortest first."""
+        orders = len(self.arcs)
         order = np.argsort(-t.sizes, kind="stable")
-        size = t.sizes[order]
-        at = t.first[order]
-        n = len(order)
+        size, at, n = t.sizes[order], t.first[order], len(order)
         score, base, known = np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
-        # the vocabulary's counts, so a step needs no search for words
-        word_count = self.count(1, mix(t.vocabulary * powers(1)[0] + np.uint64(1)))
-        p = [powers(k + 1) for k in range(order_n)]
-        starts = self.count(1, mix(np.array([END]) * powers(1)[0] + np.uint64(1)))[0]
-        last = [np.full(n, START)] + [np.zeros(n, np.uint64) for _ in range(order_n - 2)]    # newest first
-        seen = [np.full(n, starts)] + [np.zeros(n) for _ in range(order_n - 2)]              # counts of the histories
+        state = [np.full(n, float(self.starts))] + [np.zeros(n) for _ in range(orders - 2)]
         for step in range(1, int(size[0]) if n else 0):
             live = int(np.searchsorted(-size, -step, side="left"))
             here = at[:live] + step
-            w = h[here]
-            c = word_count[t.words[here]]
-            prob = (c + ALPHA) / self.total
-            base[:live] += np.log10(prob)
-            known[:live] += c > 0
+            taken = [a[here] for a in self.arcs]
+            prob = (taken[0] + ALPHA) / self.total
             logp = np.log10(prob)
-            counts = [c]
-            for k in range(1, order_n):
-                history = seen[k - 1][:live]
-                has = history > 0                     # otherwise this state does not exist
-                key = w * p[k][k] + np.uint64(k + 1)
-                for j in range(k):
-                    key = key + last[j][:live] * p[k][k - 1 - j]
-                arc = np.zeros(live)
-                arc[has] = self.count(k + 1, mix(key[has]))
-                strength = self.strength[k - 1]
-                prob = np.where(has, (arc + strength * prob) / (history + strength), prob)
+            base[:live] += logp
+            known[:live] += taken[0] > 0
+            for k in range(1, orders):
+                seen, arc, strength = state[k - 1][:live], taken[k], self.strength[k - 1]
+                there = seen > 0
+                prob = np.where(there, (arc + strength * prob) / (seen + strength), prob)
                 # an arc has its own weight; without one the failure arc's is added
-                failure = np.log10(strength / (history + strength))
-                logp = np.where(arc > 0, np.log10(prob), np.where(has, logp + failure, logp))
-                counts.append(arc)
+                logp = np.where(arc > 0, np.log10(prob), np.where(there, logp + np.log10(strength / (seen + strength)), logp))
             score[:live] += logp
-            for j in range(order_n - 2, 0, -1):
-                last[j][:live] = last[j - 1][:live]
-            if order_n > 1:
-                last[0][:live] = w
-            for j in range(order_n - 1):
-                seen[j][:live] = counts[j]
+            for k in range(orders - 1):
+                state[k][:live] = taken[k]
         out = [np.empty(n), np.empty(n), np.empty(n, np.int64)]
         for x, y in zip(out, (score, base, known)):
             x[order] = y
@@ -208,7 +196,7 @@ def score_texts(docs: DataFrame, order: int = ORDER, strength=STRENGTH, fold: in
     spark = docs.sparkSession
     shared_dir(spark)
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    blocks = _blocks(docs, id_col, text_col, fold).checkpoint()
+    blocks = stored_blocks(_blocks(docs, id_col, text_col, fold), "lm_blocks")
     size = blocks.agg(F.sum("tokens").alias("n"), F.sum("train_tokens").alias("train")).first()
     train = int(size["train"] or 0)
 
@@ -230,18 +218,18 @@ def score_texts(docs: DataFrame, order: int = ORDER, strength=STRENGTH, fold: in
     strengths = tuple(strength[:order - 1])
 
     def score(batches):
-        for _, (ids, *packed), totals in blocks_of(batches, PAYLOAD):
-            t = Texts(*packed)
-            keys = [t.table(n)[0] for n in range(1, order + 1)]
-            none = np.zeros(0, np.uint32)
-            model = Automaton(keys, [totals.get(n, none) for n in range(1, order + 1)], train, train_words, strengths)
-            total, base, known = model.walk(t)
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array(ids, type=types[0]), "held_out": t.held, "n_tokens": t.sizes - 1, "n_known": known,
-                "train_tokens": np.full(len(ids), train), "base_score": base, "score": total})
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, *packed = [batch.column(c)[i].as_py() for c in PAYLOAD]
+                t, others, none = Texts(*packed), replied(batch, i), np.zeros(0, np.uint32)
+                arcs = [t.arcs(n, others.pop(n, none)) for n in range(1, order + 1)]
+                starts = arcs[0][t.first[1:] - 1].max(initial=0)      # texts start as often as they end
+                total, base, known = Automaton(arcs, starts, train, train_words, strengths).walk(t)
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": pa.array(ids, type=types[0]), "held_out": t.held, "n_tokens": t.sizes - 1, "n_known": known,
+                    "train_tokens": np.full(len(ids), train), "base_score": base, "score": total})
 
     from pyspark.sql.pandas.types import to_arrow_type
     types = [to_arrow_type(docs.select(id_col).schema[0].dataType)]
-    together = with_replies(blocks, PAYLOAD, replies, dict(blocks.dtypes))
-    return together.mapInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+    return joined_replies(blocks, PAYLOAD, replies).mapInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                                       "base_score double, score double")

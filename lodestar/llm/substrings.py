@@ -108,11 +108,11 @@ class Block:
         used[self.where] = True
         return distinct_counts(self.grams[np.flatnonzero(used)])
 
-    def cut(self, totals: np.ndarray, shards: int, hot: int = HOT):
+    def cut(self, others: np.ndarray, shards: int, hot: int = HOT):
         """Segments of the windows with repeated anchors: the distinct ones in the order in
         which they are sent, and for each segment the one it equals."""
-        keys, _ = self.anchors()
-        n = totals[np.searchsorted(keys, self.grams[self.where])] if len(self.at) else np.zeros(0)
+        keys, own = self.anchors()
+        n = (others.astype(np.int64) + own)[np.searchsorted(keys, self.grams[self.where])] if len(self.at) else np.zeros(0)
         some = n >= 2
         at, where, busy = self.at[some], self.where[some], n[some] >= hot
         new = np.ones(len(at), dtype=bool)
