@@ -211,10 +211,10 @@ def blocks(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", ite
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
     for k in range(2 * n if n > 1 else n):
         block = Block.of([(r["item_id"], bytes(r["words"])) for r in passages.where(key == k).orderBy("words", "item_id").collect()])
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+        shared = docs.sparkSession.sparkContext.broadcast(vars(block))     # plain values: workers need no import
 
         def count(batches):
-            block = shared.value
+            block = Block(**shared.value)
             total = np.zeros(len(block.seed), dtype=np.int64)
             for part in slices(batches):
                 w, h = bare_words(texts(part.column("text")))
@@ -228,7 +228,7 @@ def blocks(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", ite
         frequency = np.zeros(len(block.seed), dtype=np.int64)
         for r in rows.mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect():
             frequency[r["seed"]] = r["n"]
-        yield docs.sparkSession.sparkContext.broadcast(block.rare(frequency))
+        yield docs.sparkSession.sparkContext.broadcast(vars(block.rare(frequency)))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, least_score: float = SCORE, id_col: str = "doc_id",
@@ -246,8 +246,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, least_score: float
     parts = []
     for shared in blocks(docs, benchmark, item_col, item_text, text_col):
         def run(batches, shared=shared):
+            block = Block(**shared.value)
             for part in slices(batches):
-                found = hits(texts(part.column("text")), shared.value, least_score)
+                found = hits(texts(part.column("text")), block, least_score)
                 if found:
                     text, item, score, a, b = zip(*found)
                     yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id").take(pa.array(text)), "item_id": list(item),
@@ -270,9 +271,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float
     out = docs
     for shared in blocks(docs, benchmark, item_col, item_text, text_col):
         def run(batches, shared=shared):
+            block = Block(**shared.value)
             for part in slices(batches, text_col):
                 hit = np.zeros(part.num_rows, dtype=bool)
-                hit[[f[0] for f in hits(texts(part.column(text_col)), shared.value, least_score)]] = True
+                hit[[f[0] for f in hits(texts(part.column(text_col)), block, least_score)]] = True
                 yield part.filter(pa.array(~hit))
         out = out.mapInArrow(run, docs.schema)
     return out

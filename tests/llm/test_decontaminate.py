@@ -75,7 +75,7 @@ def test_long_items_are_held_part_by_part_and_over_blocks(spark, monkeypatch):
     rows = [(1, "intro words " + " ".join(f"L{i}" for i in range(200, 300)) + " outro"), (2, "nothing here")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame([(1, long_item), (2, " ".join(f"M{i}" for i in range(300)))], "item_id long, text string")
-    for size in (decontaminate.BLOCK, 4):
+    for size in (decontaminate.BLOCK, 16):
         monkeypatch.setattr(decontaminate, "BLOCK", size)
         assert [(r["doc_id"], r["item_id"], r["score"]) for r in decontaminate.find_contamination(df, bench).collect()] == [(1, 1, 1.0)]
         assert decontaminate.drop_contaminated(df, bench).count() == 1
