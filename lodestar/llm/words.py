@@ -169,11 +169,8 @@ def window_ok(first: np.ndarray, n: int) -> np.ndarray:
 
 def cover(starts: np.ndarray, n: int, total: int) -> np.ndarray:
     """Positions covered by windows of ``n`` from ``starts``."""
-    d = np.zeros(total + 1, dtype=np.int32)
-    np.add.at(d, starts, 1) if len(starts) < 1000 else d.__iadd__(np.bincount(starts, minlength=total + 1).astype(np.int32))
-    stops = np.minimum(starts + n, total)
-    d -= np.bincount(stops, minlength=total + 1).astype(np.int32)
-    return np.cumsum(d[:-1]) > 0
+    d = np.bincount(starts, minlength=total + 1) - np.bincount(np.minimum(starts + n, total), minlength=total + 1)
+    return np.cumsum(d[:total]) > 0
 
 
 def per_text(flags: np.ndarray, first: np.ndarray) -> np.ndarray:

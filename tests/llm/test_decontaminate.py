@@ -37,8 +37,9 @@ def bare(text):
 def test_exact_and_edited_copies_are_found_and_clean_documents_are_not(spark):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
-    grams = {tuple(bare(t)[i:i + 3]) for _, t in items for i in range(len(bare(t)) - 2)}
-    clean = [(d, t) for d, t in docs if not any(tuple(bare(t)[i:i + 3]) in grams for i in range(len(bare(t)) - 2))][:200]
+    triples = lambda w: {tuple(w[i:i + 3]) for i in range(len(w) - 2)}
+    grams = set().union(*[triples(bare(t)) for _, t in items])
+    clean = [(d, t) for d, t in docs if not triples(bare(t)) & grams][:200]
     rng, vocabulary = random.Random(6), bare(clean[0][1]) + bare(clean[1][1])
     planted, rows = set(), list(clean[len(items):])
     for k, (item, text) in enumerate(items):
