@@ -35,7 +35,7 @@ def summarize(plan: str) -> dict:
 
 def main(argv):
     from lodestar.session import get_spark
-    from __spark_entry__ import queries
+    from lodestar.plans.catalog import QUERIES
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = get_spark("local[8]", shuffle_partitions=8)
     out = ["# Physical plans of the registered queries", "",
@@ -44,7 +44,7 @@ def main(argv):
     out.append("| query | shuffles | joins | aggregates | scans (bucketed) | Python |")
     out.append("| --- | --- | --- | --- | --- | --- |")
     details = []
-    for name, q in queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, sf)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarize(plan)
