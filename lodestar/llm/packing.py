@@ -29,6 +29,8 @@ from lodestar.llm.tokens import UNSURE, load, special_strings
 from lodestar.llm.words import SPACE, dictionary, find_words, slices, texts, worker_cache
 
 WINDOW = 2048
+#: Bytes of text looked up together: larger slices repeat more of their words.
+SLICE = 4 << 20
 END_ID = 1
 #: Windows of a group: the group's remainders together hold about so many windows.
 GROUP_WINDOWS = 128
@@ -203,7 +205,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDO
             return made
 
         waiting = 0
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             ids, offsets = encoder.encode(texts(part.column("text")))
             if part.num_rows:
                 kinds[0] = part.column("doc_id").type

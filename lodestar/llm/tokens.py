@@ -28,6 +28,8 @@ SUMMARY, HANDED, FREQUENT = 65_536, 4_096, 32_768
 #: Entries of a task's cache of rare pre-tokens.
 CACHE = 300_000
 TOKEN_LIMIT = 512
+#: Bytes of text looked up together: larger slices repeat more of their chunks.
+SLICE = 4 << 20
 
 # fixed values: the pre-token pattern of byte-level BPE vocabularies
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -97,7 +99,7 @@ def frequent_pre_tokens(docs: DataFrame, text_col: str = "text", most: int = FRE
     entry (those at zero go), so it misses only chunks rarer than that."""
     def run(batches):
         kept = Counter()
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             _, distinct, index, _ = chunks(texts(part.column("text")))
             for t, n in zip(distinct, np.bincount(index, minlength=len(distinct)).tolist()):
                 kept[t] += n
@@ -178,7 +180,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = TOKEN_LIMIT,
             n[~odd] = lengths.count(column.filter(pa.array(~odd)))
             return n
 
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             column = texts(part.column("text"))
             n = count(column)
             yield pa.record_batch([part.column("doc_id"), pc.cast(pc.binary_length(column), pa.int64()), pa.array(n), pa.array(n > limit)],
