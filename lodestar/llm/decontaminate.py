@@ -8,11 +8,13 @@ are only scanned, never shuffled:
 1. every document's distinct seeds (word ``SEED``-grams that occur in the block) are
    counted, giving each seed's document frequency over the whole corpus;
 2. a passage's seeds that are at most ``RARE`` times as frequent as the median of those
-   of its seeds that occur at all are rare (so at least half of them stay, however
-   often the passage itself was copied, and chance phrases of common words go); each
-   rare seed found in a document gives a window there around the passage's place;
+   of its seeds that occur at all are rare; each seed found in a document gives a window
+   there around the passage's place;
 3. passage and window are aligned word by word (match 1, mismatch and gap -1); the
-   score is the best local alignment over the passage's length.
+   score is the best local alignment over the passage's length.  Windows with a rare
+   seed are aligned at once; those with frequent seeds only (chance phrases of common
+   words, or what a large group of partial copies keeps) are left out just when the
+   words they share cannot add up to the least score (``can_reach``, a proven bound).
 
 Words are compared in lower case without punctuation around them.
 """
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.words import Words, find_words, hash_spans, ngrams, slices, texts, window_ok
+from lodestar.llm.words import Words, find_words, hash_spans, mix, ngrams, slices, texts, window_ok
 from lodestar.session import shared_dir
 
 SEED, PASSAGE = 3, 64
@@ -39,6 +41,7 @@ SCORE, LEAST = 0.4, 6
 PUNCT = np.zeros(256, dtype=bool)
 PUNCT[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 _FILTER_BITS = 22
+_ENTRIES = 1 << 20
 
 
 def bare_words(column: pa.Array) -> tuple[Words, np.ndarray]:
@@ -67,6 +70,7 @@ class Block:
     entry: np.ndarray     # first entry of each seed; entries: passage and place
     passage: np.ndarray
     place: np.ndarray
+    often: np.ndarray     # entries whose seed is not rare for its passage
     table: np.ndarray     # which top bits of a hash any seed has
 
     @classmethod
@@ -78,7 +82,8 @@ class Block:
         place = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(g)) for g in grams]])
         order = np.argsort(h, kind="stable")
         seed, entry = np.unique(h[order], return_index=True)
-        return cls(item, words, seed, np.append(entry, len(h)), passage[order], place[order], cls.filter(seed))
+        return cls(item, words, seed, np.append(entry, len(h)), passage[order], place[order],
+                   np.zeros(len(h), dtype=bool), cls.filter(seed))
 
     @staticmethod
     def filter(seed: np.ndarray) -> np.ndarray:
@@ -86,21 +91,16 @@ class Block:
         table[(seed >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
         return table
 
-    def rare(self, frequency: np.ndarray) -> Block:
-        """Only the entries whose seed is rare for its passage."""
-        seed_of = np.repeat(np.arange(len(self.seed)), np.diff(self.entry))
-        often = frequency[seed_of]
-        keep = np.zeros(len(often), dtype=bool)
+    def mark(self, frequency: np.ndarray) -> None:
+        """Sets ``often`` from the seeds' document frequencies."""
+        often = np.repeat(frequency, np.diff(self.entry))
         order = np.lexsort((often, self.passage))
         edges = np.searchsorted(self.passage[order], np.arange(len(self.words) + 1))
         for a, b in zip(edges[:-1], edges[1:]):
             mine = order[a:b]
-            mine = mine[often[mine] > 0]
-            if len(mine):
-                keep[mine] = often[mine] <= RARE * often[mine[(len(mine) - 1) // 2]]
-        of, entry = np.unique(seed_of[keep], return_index=True)
-        seed = self.seed[of]
-        return Block(self.item, self.words, seed, np.append(entry, int(keep.sum())), self.passage[keep], self.place[keep], self.filter(seed))
+            some = mine[often[mine] > 0]
+            if len(some):
+                self.often[mine] = often[mine] > RARE * often[some[(len(some) - 1) // 2]]
 
     def find(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(word position, seed number) of every seed in the texts."""
@@ -134,6 +134,55 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return best, end
 
 
+def can_reach(a: np.ndarray, b: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Which rows of ``a`` (0 pads) can have a local alignment of at least ``least`` in
+    those of ``b``.
+
+    An alignment is runs of matches with a penalty between any two.  Runs of ``SEED``
+    words or more lie within the ``c`` words of ``a`` that shared seeds cover; a shorter
+    run has at most 2 words and costs a penalty; all lie within the ``m`` words of ``a``
+    that occur in ``b``.  So the score is at most (m + c) / 2, or m / 2 + 1 without a
+    long run."""
+    row = mix(np.arange(1, len(a) + 1, dtype=np.uint64))[:, None]
+
+    def shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.isin(x ^ row, y ^ row)
+
+    def grams(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(x.shape, dtype=np.uint64)
+        if x.size >= SEED:
+            out.ravel()[:x.size - SEED + 1] = ngrams(x.ravel(), SEED)
+        return out
+
+    real = a != 0
+    m = (shared(a, b) & real).sum(axis=1)
+    start = shared(grams(a), grams(b))[:, :max(0, a.shape[1] - SEED + 1)]
+    covered = np.zeros(a.shape, dtype=bool)
+    for k in range(SEED):
+        covered[:, k:k + start.shape[1]] |= start
+    return m + np.maximum((covered & real).sum(axis=1), 2) >= 2 * least
+
+
+def _windows(at: np.ndarray, seed: np.ndarray, w: Words, block: Block) -> np.ndarray:
+    """Distinct (text, passage, grid, often) of the seeds found, by text and passage; often
+    is 0 for windows with a rare seed.  Taken a bounded number of entries at a time."""
+    size = np.array([len(x) for x in block.words], dtype=np.int64)
+    many = block.entry[seed + 1] - block.entry[seed]
+    chunk = np.cumsum(many) // _ENTRIES
+    out = np.zeros((0, 4), dtype=np.int64)
+    for x in np.split(np.arange(len(at)), np.flatnonzero(np.diff(chunk)) + 1):
+        n = many[x]
+        here = np.repeat(at[x], n)
+        entry = np.repeat(block.entry[seed[x]], n) + np.arange(len(here)) - np.repeat(np.cumsum(n) - n, n)
+        text = np.searchsorted(w.first, here, side="right") - 1
+        passage = block.passage[entry]
+        # windows on a grid of the passage's length, so one repeated in a text many times
+        # gives many bounded windows
+        grid = (here - w.first[text] - block.place[entry]) // size[passage]
+        out = np.unique(np.concatenate([out, np.stack([text, passage, grid, block.often[entry]], axis=1)]), axis=0)
+    return out[np.concatenate([[True], (out[1:, :3] != out[:-1, :3]).any(axis=1)])] if len(out) else out
+
+
 def hits(column: pa.Array, block: Block, least_score: float = SCORE) -> list[tuple]:
     """(text, item, score, first word, word after the last) of every aligned item, the
     best passage of each; positions count the words compared."""
@@ -141,24 +190,14 @@ def hits(column: pa.Array, block: Block, least_score: float = SCORE) -> list[tup
     at, seed = block.find(h, w.first)
     if not len(at):
         return []
-    many = block.entry[seed + 1] - block.entry[seed]
-    at = np.repeat(at, many)
-    start = np.repeat(block.entry[seed], many)
-    entry = start + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
-    text = np.searchsorted(w.first, at, side="right") - 1
-    passage = block.passage[entry]
-    size = np.array([len(x) for x in block.words], dtype=np.int64)[passage]
-    # windows on a grid of the passage's length, so one repeated in a text many times
-    # gives many bounded windows
-    grid = (at - w.first[text] - block.place[entry]) // size
-    todo = np.unique(np.stack([text, passage, grid], axis=1), axis=0)
+    todo = _windows(at, seed, w, block)
     best: dict[tuple[int, int], tuple] = {}
     for k in range(0, len(todo), 512):
         part = todo[k:k + 512]
         words = [block.words[p] for p in part[:, 1]]
         a = np.zeros((len(part), max(map(len, words))), dtype=np.uint64)
         spans = []
-        for i, (t, p, g) in enumerate(part.tolist()):
+        for i, (t, p, g, _) in enumerate(part.tolist()):
             n = len(words[i])
             a[i, :n] = words[i]
             lo = max(int(w.first[t]), int(w.first[t]) + g * n - n // 4 - 1)
@@ -166,9 +205,16 @@ def hits(column: pa.Array, block: Block, least_score: float = SCORE) -> list[tup
         b = np.zeros((len(part), max(y - x for x, y in spans)), dtype=np.uint64)
         for i, (x, y) in enumerate(spans):
             b[i, :y - x] = h[x:y]
-        score, end = align(a, b)
         n = np.array([len(x) for x in words])
-        good = np.flatnonzero((score >= least_score * n) & (score >= np.minimum(n, LEAST)))
+        least = np.maximum(least_score * n, np.minimum(n, LEAST))
+        score, end = np.zeros(len(part), np.int32), np.zeros(len(part), np.int64)
+        live = part[:, 3] == 0
+        if not live.all():
+            live[~live] = can_reach(a[~live], b[~live], least[~live])
+        if not live.any():
+            continue
+        score[live], end[live] = align(a[live], b[live])
+        good = np.flatnonzero(score >= least)
         if not len(good):
             continue
         # the start: the same alignment backwards, from the end found
@@ -203,7 +249,7 @@ def _passages(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def blocks(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text", text_col: str = "text"):
-    """The benchmark's blocks, each with only its rare seeds over all of ``docs``."""
+    """The benchmark's blocks, with the seeds marked that are frequent over all of ``docs``."""
     shared_dir(docs.sparkSession)
     passages = _passages(benchmark, item_col, item_text).checkpoint()
     n = -(-passages.count() // BLOCK)
@@ -228,7 +274,8 @@ def blocks(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", ite
         frequency = np.zeros(len(block.seed), dtype=np.int64)
         for r in rows.mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect():
             frequency[r["seed"]] = r["n"]
-        yield docs.sparkSession.sparkContext.broadcast(vars(block.rare(frequency)))
+        block.mark(frequency)
+        yield docs.sparkSession.sparkContext.broadcast(vars(block))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, least_score: float = SCORE, id_col: str = "doc_id",

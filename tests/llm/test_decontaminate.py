@@ -71,6 +71,30 @@ def test_a_passage_in_most_documents_is_still_found(spark):
     assert all((r["first_word"], r["end_word"], r["score"]) == (1, 31, 1.0) for r in got)
 
 
+def test_partial_and_edited_copies_in_large_groups_are_found(spark):
+    half, edited = [f"h{i}" for i in range(40)], [f"e{i}" for i in range(36)]
+    mend = ["x" if i % 4 == 3 else w for i, w in enumerate(edited)]
+    copies = [half] + [half[:20]] * 60 + [edited] + [mend] * 60
+    rows = [(i, f"s{i} t{i} " + " ".join(w) + " " + " ".join(f"f{i}x{j}" for j in range(50))) for i, w in enumerate(copies)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(1, " ".join(half)), (2, " ".join(edited))], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.find_contamination(df, bench).collect()}
+    want = [1.0] + [0.5] * 60 + [1.0] + [smith_waterman(edited, mend) / 36] * 60
+    assert got == {(i, 1 if i < 61 else 2): s for i, s in enumerate(want)}
+    assert decontaminate.drop_contaminated(df, bench).count() == 0
+
+
+def test_the_bound_loses_no_alignment():
+    rng = np.random.default_rng(8)
+    a, b = rng.integers(1, 9, (400, 14)).astype(np.uint64), rng.integers(1, 9, (400, 30)).astype(np.uint64)
+    a[::2, 9:] = 0
+    b[::3, 20:] = 0
+    score = decontaminate.align(a, b)[0]
+    for extra in (0, 1, 2):
+        assert decontaminate.can_reach(a, b, np.minimum(score, extra + 2)).all()
+    assert decontaminate.can_reach(a, b, score).all() and not decontaminate.can_reach(a, b, np.full(400, 15)).any()
+
+
 def test_long_items_are_held_part_by_part_and_over_blocks(spark, monkeypatch):
     long_item = " ".join(f"L{i}" for i in range(500))
     rows = [(1, "intro words " + " ".join(f"L{i}" for i in range(200, 300)) + " outro"), (2, "nothing here")]
