@@ -40,6 +40,16 @@ class Rule:
         return f"{self.kind}@{hashlib.sha256(text.encode()).hexdigest()[:12]}"
 
 
+# a private key: from its BEGIN line to the END line or, if that is missing, over the
+# header and base64 lines that follow (line ends may be written as \n, as in JSON);
+# possessive quantifiers, so that a long key takes no stack and no second scan
+_LABEL = r"[A-Z0-9\x20]{0,40}PRIVATE KEY(?:\x20BLOCK)?-----"
+_GAP = r"""(?:[\s"'+,;>#*|]|\\++[nrt])*+"""
+_LINE = r"""(?:[\x20\t"'+,;>#*|]|\\++[rt])*+(?:\r?\n|\r|\\++n)""" + _GAP
+PEM = (f"-----BEGIN {_LABEL}(?:[^-]*+(?:-{{1,4}}+[^-]++)*+-----END {_LABEL}"
+       rf"|(?:{_LINE}(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\r\n\\]*+)*+"
+       rf"(?:{_GAP}[A-Za-z0-9+/=]{{24,}}+|{_LINE}[A-Za-z0-9+/=]++(?=[\x20\t]*+(?:[\r\n\"',;\\]|\z)))*+)")
+
 # fixed values: the base rules, in the order that breaks ties of start
 BASE = (
     Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2),
@@ -48,7 +58,7 @@ BASE = (
 )
 # further rules of the method
 RULES = BASE + (
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("pem", PEM),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("ghtoken", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),

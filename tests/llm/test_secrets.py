@@ -68,6 +68,25 @@ def test_redaction(spark):
     assert all(got[d] == [t] for d, t in clean.items())
 
 
+def test_a_whole_private_key_is_redacted(spark):
+    lines = [hashlib.sha512(str(i).encode()).hexdigest()[:64].upper() for i in range(25)] + ["QmFzZTY0+/=="]
+    body, end = "\n".join(lines), "-----END RSA PRIVATE KEY-----"
+    head = "-----BEGIN RSA PRIVATE KEY-----"
+    pgp = "-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2\n\n" + body + "\n=aB3d\n"
+    enc = head + "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123\n\n" + body
+    cases = [(f"a {head}\n{body}\n{end} b", "a [PEM] b"), (f"a\n{head}\n{body}\n\nand more words", "a\n[PEM]\n\nand more words"),
+             (f"a\n{pgp}-----END PGP PRIVATE KEY BLOCK-----\nb", "a\n[PEM]\nb"), (f"a\n{pgp}and more words", "a\n[PEM]\nand more words"),
+             (f"{enc}\n{end}\nb", "[PEM]\nb"), (f"{enc}\nand more words", "[PEM]\nand more words"),
+             ((f'{{"k": "{head}\n{body}\n{end}\n"}}').replace("\n", "\\n"), '{"k": "[PEM]\\n"}'),
+             ((f'{{"k": "{head}\n{body}"}}').replace("\n", "\\n"), '{"k": "[PEM]"}'),
+             (f"{head} {' '.join(lines[:25])} {end} b", "[PEM] b"), (f"{head}\n{body}\n{head}\n{body}\n{end} b", "[PEM]\n[PEM] b"),
+             (f"{head}\n" + (body + "\n") * 3000 + f"{end} b", "[PEM] b"), (f"{head}\n" + (body + "\n") * 3000 + "b c", "[PEM]\nb c"),
+             (f"{head} and more words", "[PEM] and more words"), ("-----BEGIN PUBLIC KEY-----\nabc", "-----BEGIN PUBLIC KEY-----\nabc")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
+
+
 def test_query_and_plan(spark):
     df = QUERIES["op10_secret_scan"](spark, SF)
     plan = df._jdf.queryExecution().toString()
