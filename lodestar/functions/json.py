@@ -85,15 +85,21 @@ def jnum(v, path: str, dtype: str = "decimal(38,18)", lenient: bool = False) ->
     return fn(_col(v), jpath(path), dtype)
 
 
-def jmap(s, schema: str = "map<string,decimal(20,6)>") -> Column:
-    """Flat JSON object text -> MAP; values as DECIMAL, so sums are exact in any order."""
-    return F.from_json(_col(s), schema)
+#: Map values and their totals: below 10^19, 18 places (sums of two fit DECIMAL(38,18)).
+NUMBER = "decimal(37,18)"
+
+
+def jmap(s, dtype: str = NUMBER) -> Column:
+    """Flat JSON object text -> MAP; values (numbers or numeric strings) as DECIMAL, so sums
+    are exact in any order.  Malformed text, repeated keys and values that are no number or
+    do not fit raise; JSON null is NULL."""
+    return F.variant_get(F.parse_json(_col(s)), "$", f"map<string,{dtype}>")
 
 
 def map_sum(m) -> Column:
-    """Sum of a map's values (0 for an empty map, NULL for a NULL map)."""
-    return F.aggregate(F.map_values(_col(m)), F.lit(0).cast("decimal(38,6)"),
-                       lambda acc, x: (acc + F.coalesce(x, F.lit(0).cast("decimal(20,6)"))).cast("decimal(38,6)"))
+    """Sum of a map's values (0 for an empty map, NULL for a NULL map); raises beyond ``NUMBER``."""
+    zero = F.lit(0).cast(NUMBER)
+    return F.aggregate(F.map_values(_col(m)), zero, lambda acc, x: (acc + F.coalesce(x, zero)).cast(NUMBER))
 
 
 def json_null() -> Column:

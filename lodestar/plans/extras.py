@@ -20,15 +20,15 @@ def quote_series(replies: DataFrame, reply_col: str = "reply", element: str = "c
     ).drop(reply_col)
 
 
-def map_totals(df: DataFrame, map_col: str, schema: str = "map<string,decimal(20,6)>") -> DataFrame:
+def map_totals(df: DataFrame, map_col: str) -> DataFrame:
     """Per row: the total of a flat JSON object's values."""
-    return df.withColumn("map_total", map_sum(jmap(F.col(map_col), schema)))
+    return df.withColumn("map_total", map_sum(jmap(F.col(map_col))))
 
 
 def order_totals(maps: DataFrame, map_col: str = "order_map", by: str | None = None) -> DataFrame:
     """Total order value (sum of all map values), formatted to 2 decimals.
     Per-row totals are summed with partial aggregation; ``by`` groups."""
     t = map_totals(maps, map_col)
-    agg = [F.sum("map_total").cast("decimal(38,6)").alias("total_order_value")]
+    agg = [F.sum("map_total").alias("total_order_value")]
     out = t.groupBy(by).agg(*agg) if by else t.agg(*agg)
     return out.withColumn("total_order_value_text", F.col("total_order_value").cast("decimal(38,2)").cast("string"))

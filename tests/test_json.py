@@ -60,6 +60,23 @@ def test_map_total_and_document(spark):
     assert doc == '{"a":1,"c":null}'
 
 
+def test_wide_and_small_map_values_stay_in_the_total(spark):
+    from decimal import Decimal
+
+    import pytest
+    from lodestar.plans.extras import map_totals, order_totals
+    rows = [('{"a":1000000000000000,"b":2}',), ('{"c":0.0000004,"d":0.0000004}',), ('{"e":"1.5","f":null,"g":1.25e2}',),
+            ('{"h":0.000000000000000001,"i":123456789012345678.000000000000000001}',), ("{}",), (None,)]
+    df = spark.createDataFrame(rows, "order_map string")
+    got = [r["map_total"] for r in map_totals(df, "order_map").collect()]
+    want = [Decimal(x) for x in ("1000000000000002", "0.0000008", "126.5", "123456789012345678.000000000000000002", "0")]
+    assert got == want + [None]
+    assert order_totals(df).first()["total_order_value"] == Decimal("124456789012345806.500000800000000002")
+    for bad in ('{"a":1e19,"b":2}', '{"a":"no number","b":2}', '{"a":1,', '{"a":{"b":1}}'):
+        with pytest.raises(Exception):
+            order_totals(spark.createDataFrame([(bad,)], "order_map string")).collect()
+
+
 def test_element_of_array_path(spark, docs):
     df = docs([{"id": "r", "chart": {"result": [{"meta": {"symbol": "NVDA"}}, {"meta": {"symbol": "X"}}]}}])
     assert df.select(jtext("data", "chart.result[0].meta.symbol")).first()[0] == "NVDA"
