@@ -25,7 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.components import components
@@ -58,15 +58,24 @@ def text_fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return sum(1 << int(i) for i in np.flatnonzero(2 * ones > n))
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long.  A null text counts as empty."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text",
+                 digest: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long.  A null text counts as empty.
+    With ``digest`` also the SHA-256 of the text."""
     def run(batches):
         for part in slices(batches):
             made = [text_fingerprint(t, shingle) for t in texts(part.column("text")).to_pylist()]
-            yield pa.record_batch([part.column("doc_id"), pa.array(np.array(made, dtype=np.uint64).view(np.int64))],
-                                  names=["doc_id", "fp"])
+            yield pa.record_batch([part.column("doc_id"), pa.array(np.array(made, dtype=np.uint64).view(np.int64)),
+                                   *[part.column(c) for c in also]], names=["doc_id", "fp", *also])
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    also = ["digest"] if digest else []
+    if digest:
+        rows = rows.withColumn("digest", _digest(F.col("text")))
+    return rows.mapInArrow(run, "doc_id long, fp long" + "".join(f", {c} string" for c in also))
+
+
+def _digest(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
 def segment_bounds(segments: int) -> list[tuple[int, int]]:
@@ -225,28 +234,38 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     component of their fingerprint (null when no id is in it)."""
     shared_dir(docs.sparkSession)
     made = fingerprints(docs, shingle, id_col, text_col).checkpoint()
+    return made.join(_components_of(made, distance), "fp").select("doc_id", "fp", "component_id")
+
+
+def _components_of(made: DataFrame, distance: int) -> DataFrame:
+    """(fp, root, component_id) of the distinct fingerprints; ``root`` is the smallest
+    fingerprint of the component, ``component_id`` its smallest doc_id."""
     nodes = made.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     linked = components(fingerprint_links(nodes, distance))
     root = nodes.join(linked, nodes["fp"] == linked["node"], "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root"))
     # stored, so the join below has an exchange on either side and a hot root is split
     least = root.groupBy("root").agg(F.min("rep").alias("component_id")).checkpoint()
-    by_fp = root.join(least, "root").select("fp", "component_id")
-    return made.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    return root.join(least, "root").select("fp", "root", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: that of the smallest id.
-
-    Of rows that repeat the kept id the smallest stays.  Rows with a null id cannot
-    be named as a copy of another: they pass unjudged."""
-    others = [c for c in docs.columns if c != id_col]
-    kept = (near_duplicates(docs, shingle, distance, id_col, text_col)
-            .where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct())
-    named = docs.where(F.col(id_col).isNotNull())
-    first = [text_col] + [c for c in others if c != text_col]
-    one = (named.join(kept, F.col(id_col).cast("long") == F.col("_kept"), "left_semi")
-           .groupBy(id_col).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in first])).alias("_row"))
-           .select(id_col, *[F.col(f"_row.`{c}`").alias(c) for c in first]).select(*[F.col(f"`{c}`") for c in docs.columns]))
-    return one.unionByName(docs.where(F.col(id_col).isNull()))
+    """``docs`` with one row of each near-duplicate group: that of the smallest id (null
+    ids last), of rows that repeat this id the smallest by text, then the other columns.
+
+    Rows are judged by their own text, so different texts of one id are kept or dropped
+    each; rows with neither an id nor a text pass unjudged."""
+    shared_dir(docs.sparkSession)
+    key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    blank = key.isNull() & text.isNull()
+    judged = docs.where(~blank)
+    made = fingerprints(judged, shingle, id_col, text_col, digest=True).checkpoint()
+    # the (id, digest) pairs that may stay: those of each component's smallest id
+    kept = (made.join(_components_of(made, distance), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("root").alias("_root")).distinct())
+    first = [id_col, text_col] + [c for c in docs.columns if c not in (id_col, text_col)]
+    one = (judged.join(kept, (_digest(text.cast("string")) == F.col("_digest")) & key.cast("long").eqNullSafe(F.col("_id")))
+           .groupBy("_root").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in first])).alias("_row"))
+           .select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns]))
+    return one.unionByName(docs.where(blank))

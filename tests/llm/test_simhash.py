@@ -81,6 +81,16 @@ def test_drop_keeps_one_row_of_each_group_with_its_columns(spark):
     assert sorted(d for d in got if d is not None) == sorted(want) and got.count(None) == 2
 
 
+def test_drop_judges_rows_not_ids(spark):
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(60))
+    rows = [(3, text("b")), (5, text("a")), (5, text("b")), (7, text("c")), (7, text("d")), (7, text("e")), (8, text("d")), (8, text("g")),
+            (None, text("a")), (None, text("f")), (None, text("f")), (None, None), (9, text("f0")), (9, text("f0"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r["doc_id"], r["text"]) for r in simhash.drop_near_duplicates(df).collect()), key=str)
+    want = [(3, "b"), (5, "a"), (7, "c"), (7, "d"), (7, "e"), (8, "g"), (None, "f"), (9, "f0")]
+    assert got == sorted([(d, text(k)) for d, k in want] + [(None, None)], key=str)
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(empty_docs(spark)).count() == 0
     assert simhash.drop_near_duplicates(empty_docs(spark)).count() == 0
