@@ -39,6 +39,16 @@ def expand(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, n).T).view(kind).reshape(n)
 
 
+def squeeze_counts(a: np.ndarray) -> bytes:
+    """Counts of any size: four bytes each, or eight when one of them needs it."""
+    kind = np.uint32 if a.max(initial=0) < 2 ** 32 else np.uint64
+    return np.dtype(kind).itemsize.to_bytes(1, "little") + squeeze(a.astype(kind))
+
+
+def expand_counts(data: bytes) -> np.ndarray:
+    return expand(data[1:], f"u{data[0]}")
+
+
 def squeeze_sorted(a: np.ndarray) -> bytes:
     """Numbers in (mostly) rising order, by their differences."""
     return squeeze(np.diff(a, prepend=np.zeros(1, a.dtype)))
@@ -132,7 +142,7 @@ def tally(requests: DataFrame) -> DataFrame:
             known = [int(np.count_nonzero(total))] + [0] * (len(rows) - 1)
             for at, own, (block, _, _), k in zip(found, owns, rows, known):
                 yield pa.record_batch([pa.array([block], pa.int64()), pa.array([now], pa.int64()),
-                                       pa.array([squeeze(np.minimum(total[at] - own, 2 ** 32 - 1).astype(np.uint32))], pa.binary()),
+                                       pa.array([squeeze_counts(total[at] - own)], pa.binary()),
                                        pa.array([k], pa.int64())], names=["block", "bucket", "totals", "known"])
 
         for batch in batches:
@@ -173,7 +183,7 @@ def replied(batch, row: int) -> dict[int, np.ndarray]:
     """{ask: the counts replied} of a row of ``joined_replies``."""
     got: dict[int, list] = {}
     for r in batch.column("told")[row].as_py() or []:
-        got.setdefault(r["ask"], []).append(expand(r["totals"], np.uint32))
+        got.setdefault(r["ask"], []).append(expand_counts(r["totals"]))
     return {k: np.concatenate(v) for k, v in got.items()}
 
 
@@ -200,6 +210,6 @@ def blocks_of(batches, payload: list[str]):
                     yield now, values, {k: np.concatenate(v) for k, v in got.items()}
                 now, values, got = block, [batch.column(c)[i].as_py() for c in payload], {}
             else:
-                got.setdefault(ask, []).append(expand(columns[2][i].as_py(), np.uint32))
+                got.setdefault(ask, []).append(expand_counts(columns[2][i].as_py()))
     if values is not None:
         yield now, values, {k: np.concatenate(v) for k, v in got.items()}

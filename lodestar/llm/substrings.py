@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.fm import FMIndex
-from lodestar.llm.ledger import ASKED, asked, blocks_of, bucket_count, bucket_edges, distinct_counts, expand, squeeze, tally, with_replies
+from lodestar.llm.ledger import ASKED, asked, blocks_of, bucket_count, bucket_edges, distinct_counts, expand, squeeze, squeeze_counts, tally, with_replies
 from lodestar.llm.words import buffers, cover, find_words, mix, ngrams, per_text, slices, texts, window_ok
 from lodestar.session import shared_dir
 
@@ -214,7 +214,7 @@ def _search(sent: DataFrame, window: int) -> DataFrame:
         def reply():
             for block, flags in search_shard(rows, window):
                 yield pa.record_batch([pa.array([block], pa.int64()), pa.array([now], pa.int64()),
-                                       pa.array([squeeze(flags.astype(np.uint32))], pa.binary())], names=["block", "bucket", "totals"])
+                                       pa.array([squeeze_counts(flags)], pa.binary())], names=["block", "bucket", "totals"])
         for batch in batches:
             for row in zip(*[batch.column(c).to_pylist() for c in ("shard", "block", "meta", "vocabulary", "words")]):
                 if row[0] != now:

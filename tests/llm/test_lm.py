@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lodestar.llm import lm
 from lodestar.llm.ledger import distinct, distinct_counts, expand, expand_sorted, places, squeeze, squeeze_sorted
@@ -80,6 +81,18 @@ def test_empty_table_and_no_training_rows(spark):
     assert [(x["train_tokens"], x["n_known"], x["n_tokens"], x["score"]) for x in r] == [(0, 0, 3, 0.0)]
 
 
+def test_counts_beyond_32_bits_are_replied_whole(spark):
+    from lodestar.llm.ledger import ASKED, asked, joined_replies, replied, tally
+    keys = np.array([2, 4, 6], np.uint64)
+    rows = [r for block, counts in ((0, [7, 1, 0]), (1, [2 ** 32 - 1, 5, 0]), (2, [2 ** 32 - 1, 0, 9]))
+            for r in asked(block, keys, np.array(counts, np.uint32), 1).to_pylist()]
+    told = tally(spark.createDataFrame([(r["bucket"], r["block"], r["keys"], r["counts"]) for r in rows], ASKED)).withColumn("ask", F.lit(1))
+    blocks = spark.createDataFrame([(i,) for i in range(3)], "block long")
+    batch = joined_replies(blocks, [], told).toArrow().combine_chunks().to_batches()[0]
+    got = {batch.column("block")[i].as_py(): replied(batch, i)[1].tolist() for i in range(3)}
+    assert got == {0: [2 ** 33 - 2, 5, 9], 1: [2 ** 32 + 6, 1, 9], 2: [2 ** 32 + 6, 6, 0]}
+
+
 def test_packed_arrays_and_counts():
     rng = np.random.default_rng(0)
     for kind in (np.uint8, np.uint32, np.int64, np.uint64):
