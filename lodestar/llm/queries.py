@@ -90,6 +90,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.sha2(spans_text(base), 256).alias("base_sha256"), spans_text(spans).alias("spans"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm.codes import code_text, compress
+    rows = compress(_table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+    return rows.select("vec_id", code_text(F.col("code")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_substring_dedup": op2_substring_dedup,
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_quality": op8_line_quality,
     "op9_token_counts": op9_token_counts,
     "op10_secret_scan": op10_secret_scan,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLE_SQL: dict[str, str] = {}
