@@ -90,6 +90,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.sha2(spans_text(base), 256).alias("base_sha256"), spans_text(spans).alias("spans"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm.search import rank_documents
+    return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestar.llm.codes import code_text, compress
     rows = compress(_table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
@@ -107,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_quality": op8_line_quality,
     "op9_token_counts": op9_token_counts,
     "op10_secret_scan": op10_secret_scan,
+    "op12_lexical_search": op12_lexical_search,
     "op13_vector_codes": op13_vector_codes,
 }
 

@@ -1,0 +1,99 @@
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+
+from lodestar.llm import search
+from tests.llm.helpers import SF, docs_with_edges, empty_docs
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def brute(docs, items, k=10):
+    counted = [(d, Counter(terms(t))) for d, t in docs]
+    counted = [(d, c, sum(c.values())) for d, c in counted if c]
+    n_docs, n_terms = len(counted), sum(n for _, _, n in counted)
+    df = Counter(t for _, c, _ in counted for t in c)
+    out = []
+    for item, text in items:
+        asked = set(terms(text))
+        w = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) for t in asked}
+        scored = []
+        for d, c, n in counted:
+            m = 10 + (90 * n * n_docs) // n_terms
+            s = sum(w[t] * ((10**9 * c[t]) // (1000 * c[t] + 8 * m)) for t in asked if t in c)
+            if s > 0:
+                scored.append((-s, d is None, d or 0, d, s))
+        out += [(item, r, d, s) for r, (_, _, _, d, s) in enumerate(sorted(scored)[:k], 1)]
+    return out
+
+
+def collected(df):
+    return sorted(map(str, [(r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in df.collect()]))
+
+
+def test_terms():
+    odd = ["", "Ab1_c-É9", "éÀ ßx", "x", "\x7fa\x80b", "一二,三"]
+    h, first = search.find_terms(pa.array(odd))
+    flat = [t for o in odd for t in terms(o)]
+    assert np.diff(first).tolist() == [len(terms(o)) for o in odd]
+    one, _ = search.find_terms(pa.array(flat))
+    assert h.tolist() == one.tolist() and len(set(one.tolist())) == len(set(flat))
+
+
+def test_rankings_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_CELLS", 1 << 15)
+    monkeypatch.setattr(search, "BLOCK_ITEMS", 30)
+    rows, docs = docs_with_edges(spark)
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    items += [(5001, None), (5002, "..!"), (None, "the w1 tail3"), (5003, "w5 tail1 w5"), (5003, "nowhere"), (5004, rows[-3][1])]
+    asked = spark.createDataFrame([(i, t, 1, 2, "x") for i, t in items], "item_id long, text string, row int, query int, doc_id string")
+    assert collected(search.rank_documents(docs, asked)) == sorted(map(str, brute(rows, items)))
+
+
+def test_equal_scores_go_by_id(spark, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_CELLS", 64)
+    rows = [(i, "same words here") for i in (9, 3, 7, 3, 50, 41, 2, 77, 60, 12, 13, 14, 15)] + [(None, "same words here"), (99, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    items = [(1, "words same"), (2, "other same")]
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    assert collected(search.rank_documents(docs, asked)) == sorted(map(str, brute(rows, items)))
+
+
+def test_text_ids_and_empty_tables(spark):
+    docs = spark.createDataFrame([("b", "x y"), ("a", "x y"), ("c", "z")], "doc_id string, text string")
+    asked = spark.createDataFrame([("q", "x")], "item_id string, text string")
+    assert [(r["rank"], r["doc_id"]) for r in search.rank_documents(docs, asked).orderBy("rank").collect()] == [(1, "a"), (2, "b")]
+    assert search.rank_documents(empty_docs(spark), asked).count() == 0
+    assert search.rank_documents(docs, asked.limit(0)).count() == 0
+
+
+def test_bounds_skip_blocks_and_lose_nothing():
+    rng = np.random.default_rng(2)
+    scores = np.where(rng.random((2000, 120)) < 0.05, rng.integers(1, 50, (2000, 120)), 0).astype(float)
+    scores[:200, :10] += rng.integers(200, 400, (200, 10))
+    projection = rng.choice([-1.0, 1.0], (120, search.SKETCH))
+    queries = [np.arange(0, 12), np.arange(5, 40), np.array([3, 100])]
+    members = np.zeros((120, 3))
+    for q, t in enumerate(queries):
+        members[t, q] = 1
+    shard = search.Shard(scores, projection)
+    for t in (0, 50):
+        docs, first, summary = shard.blocks(t)
+        assert sorted(docs) == np.flatnonzero(scores[:, t]).tolist() and len(first) > 3
+        assert all((summary[b] == scores[docs[a:z]].max(axis=0)).all() for b, (a, z) in enumerate(zip(first[:-1], first[1:])))
+    floor = np.zeros(3)
+    q, d, s, scored = shard.search(members, np.arange(120), queries, floor, 10)
+    touched = sum(int((scores[:, t].any(axis=1)).sum()) for t in queries)
+    assert scored < 0.8 * touched
+    for i, t in enumerate(queries):
+        full = scores[:, t].sum(axis=1)
+        least = np.sort(full)[-10]
+        assert sorted(d[q == i]) == np.flatnonzero(full >= least).tolist()
