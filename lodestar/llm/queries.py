@@ -90,6 +90,15 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.sha2(spans_text(base), 256).alias("base_sha256"), spans_text(spans).alias("spans"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm.classifier import score_quality, train_classifier
+    docs = _table(spark, sf_dir, "documents")
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3))
+    model = train_classifier(docs, _table(spark, sf_dir, "labels").where(remainder != 1).select("doc_id", "quality"))
+    return score_quality(docs, model).select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "score",
+                                             (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestar.llm.search import rank_documents
     return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
@@ -112,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_quality": op8_line_quality,
     "op9_token_counts": op9_token_counts,
     "op10_secret_scan": op10_secret_scan,
+    "op11_quality_classifier": op11_quality_classifier,
     "op12_lexical_search": op12_lexical_search,
     "op13_vector_codes": op13_vector_codes,
 }
