@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestar.llm.oracle import ORACLE_SQL  # noqa: F401
 from lodestar.session import configure, shared_dir
 
 
@@ -125,5 +126,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_lexical_search": op12_lexical_search,
     "op13_vector_codes": op13_vector_codes,
 }
-
-ORACLE_SQL: dict[str, str] = {}
