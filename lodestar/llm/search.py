@@ -12,7 +12,8 @@ stored vectors in shards of bounded size and searches each shard's inverted inde
 * a query visits the lists of its terms, rarest first; a block is skipped only if its
   exact bound is below the query's k-th best score so far (equal bounds are scored,
   because ties are broken by id), and the documents of the others are scored exactly,
-  once each, from the shard's vectors.
+  once each, from the shard's vectors; the summary of a whole list (its one maximum)
+  bounds what the lists still to come can add up to, and ends a query the same way.
 
 The k-th best scores carry over from shard to shard of a task, so later shards skip
 most blocks.  A task emits its k best documents of each query; these are ranked by
@@ -114,17 +115,25 @@ class Shard:
         best = [np.zeros(0)] * len(queries)
         found = []
         scored = 0
+        # a document in none of the lists visited so far scores at most the sum of the
+        # maxima of a query's lists to come
+        cap = self.scores.max(axis=0, initial=0)
+        left = cap @ members
         for term in order:
             if self.first[term] == self.first[term + 1]:
                 continue
             asking = np.flatnonzero(members[term])
+            here = left[asking]
+            left[asking] -= cap[term]
+            asking = asking[here >= floor[asking]]
+            if not len(asking):
+                continue
             docs, first, summary = self.blocks(term)
-            # sums of whole numbers below 2^53 are exact
-            bound = summary @ members[:, asking]
-            take = (bound >= floor[asking]) & (bound > 0)
-            for j in np.flatnonzero(take.any(axis=0)):
-                q = asking[j]
-                some = docs[np.repeat(take[:, j], np.diff(first))]
+            size = np.diff(first)
+            for q in asking:
+                # sums of whole numbers below 2^53 are exact
+                bound = summary[:, queries[q]].sum(axis=1)
+                some = docs[np.repeat((bound >= floor[q]) & (bound > 0), size)]
                 some = some[~seen[q, some]]
                 if not len(some):
                     continue
