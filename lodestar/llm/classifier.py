@@ -1,14 +1,14 @@
 """Quality classifier: random-indexing word vectors, a two-layer network, calibration.
 
-Word vectors.  Every word has a sparse index vector of signs at positions given by its
-hash; its context vector is the sum of the index vectors of the words around it, over
-the whole corpus.  Words share ``BUCKETS`` rows by hash, so the table has a fixed size
-however many words the corpus has: tasks add up their own table and the tables are
-added block by block (``totals``).  A word is a run of letters and digits or a run of
-other visible characters, in its case as written.
+Word vectors.  Words share ``BUCKETS`` rows by hash, so the table has a fixed size
+however many words the corpus has.  A row has a sparse index vector of signs at places
+given by a hash; its context vector is the sum of the index vectors at and around its
+words, over the whole corpus: tasks add up their own table and the tables are added
+block by block (``totals``).  A word is a run of letters and digits or a run of other
+visible characters, in its case as written.
 
 Documents.  A document is the weighted mean and deviation of its words' vectors, rare
-words counting more (``RARITY``), and their mean change from word to word.  A two-layer network scores it; the network is
+words counting more (``RARITY``), and the mean change between neighbours.  A two-layer network scores it; the network is
 fitted in numpy on a bounded sample of labelled documents, and the temperature of its
 log-odds on labelled documents kept out of that fit.
 """
@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.totals import pack, total
-from lodestar.llm.words import SPACE, buffers, hash_spans, slices, texts
+from lodestar.llm.words import SPACE, buffers, hash_spans, mix, slices, texts
 
-#: Rows and width of the word table: 2 million cells, 8 MB as broadcast.
-BUCKETS, WIDTH = 1 << 15, 64
+#: Rows and width of the word table; pooling broadcasts 8 MB.
+BUCKETS, WIDTH = 1 << 15, 32
 #: Signs in an index vector; words on either side that make a word's context.
 SIGNS, REACH = 4, 2
 #: A word of relative frequency p weighs RARITY / (RARITY + p).
@@ -57,36 +57,40 @@ def find_pieces(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hash_spans(raw, start, end), np.searchsorted(start, off)
 
 
-def _spread(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket, positions, signs) of words by hash."""
-    bucket = (h & np.uint64(BUCKETS - 1)).astype(np.int64)
-    shift = np.uint64(16) + np.uint64(8) * np.arange(SIGNS, dtype=np.uint64)
-    bits = h[:, None] >> shift
-    return bucket, (bits & np.uint64(WIDTH - 1)).astype(np.int64), 1 - 2 * ((bits >> np.uint64(7)) & np.uint64(1)).astype(np.int64)
+def buckets_of(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(BUCKETS - 1)).astype(np.uint16)
 
 
-def add_contexts(table: np.ndarray, h: np.ndarray, first: np.ndarray) -> None:
+def index_vectors() -> np.ndarray:
+    """The sparse index vector of every bucket (buckets, width): ``SIGNS`` signs at
+    places given by a hash of the bucket."""
+    bits = mix(np.arange(BUCKETS, dtype=np.uint64))
+    out = np.zeros((BUCKETS, WIDTH), np.int8)
+    for k in range(SIGNS):
+        part = bits >> np.uint64(16 * k)
+        np.add.at(out, (np.arange(BUCKETS), (part & np.uint64(WIDTH - 1)).astype(np.int64)), 1 - 2 * ((part >> np.uint64(15)) & np.uint64(1)).astype(np.int8))
+    return out
+
+
+def add_contexts(table: np.ndarray, h: np.ndarray, first: np.ndarray, index: np.ndarray) -> None:
     """Add the contexts of a run of texts to ``table`` (buckets, 1 + width: count, sum)."""
-    flat = table.reshape(-1)
-    for at in range(0, len(h), 4 * GATHER):
+    bucket = buckets_of(h)
+    table[:, 0] += np.bincount(bucket, minlength=BUCKETS)
+    for at in range(0, len(h), GATHER):
         # the words of this run and their neighbours, which may lie outside it
-        low, high = max(0, at - REACH), min(len(h), at + 4 * GATHER + REACH)
-        bucket, place, sign = _spread(h[low:high])
+        low, high = max(0, at - REACH), min(len(h), at + GATHER + REACH)
         text = np.searchsorted(first, np.arange(low, high), side="right")
-        mine = np.arange(at, min(len(h), at + 4 * GATHER)) - low
-        cells = [bucket[mine] * (WIDTH + 1)]
-        signs = [np.ones(len(mine), np.int64)]
-        for step in range(-REACH, REACH + 1):
-            other = mine + step
-            fits = (other >= 0) & (other < len(text))
-            fits[fits] = text[other[fits]] == text[mine[fits]]
-            a, b = mine[fits], other[fits]
-            cells.append((bucket[a, None] * (WIDTH + 1) + 1 + place[b]).ravel())
-            signs.append(sign[b].ravel())
-        cell, sign = np.concatenate(cells), np.concatenate(signs)
-        up = np.bincount(cell[sign > 0], minlength=len(flat))
-        down = np.bincount(cell[sign < 0], minlength=len(flat))
-        flat += up - down
+        vector = index[bucket[low:high]]
+        context = vector.copy()
+        for step in range(1, REACH + 1):
+            same = (text[step:] == text[:-step])[:, None]
+            context[step:] += vector[:-step] * same
+            context[:-step] += vector[step:] * same
+        mine = slice(at - low, min(len(h), at + GATHER) - low)
+        order = np.argsort(bucket[low:high][mine], kind="stable")
+        where = bucket[low:high][mine][order]
+        cut = np.concatenate([[0], np.flatnonzero(np.diff(where)) + 1])
+        table[where[cut], 1:] += np.add.reduceat(context[mine][order], cut, axis=0, dtype=np.int32)
 
 
 def word_table(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -94,51 +98,51 @@ def word_table(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     size = BUCKETS * (WIDTH + 1)
 
     def run(batches):
-        table = np.zeros((BUCKETS, WIDTH + 1), np.int64)
+        table, index = np.zeros((BUCKETS, WIDTH + 1), np.int64), index_vectors()
         for part in slices(batches):
-            add_contexts(table, *find_pieces(texts(part.column("text"))))
+            add_contexts(table, *find_pieces(texts(part.column("text"))), index)
         yield pa.record_batch([pa.array([pack(table.ravel())], pa.binary())], names=["sums"])
     sums = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "sums binary")
     return total(sums, "sums", size).reshape(BUCKETS, WIDTH + 1)
 
 
 def word_vectors(table: np.ndarray) -> np.ndarray:
-    """(buckets, 1 + width) floats: a word's weight, then its unit vector without the
-    corpus' mean context."""
+    """What pooling adds up for each bucket's words (buckets, 1 + 2 * width): a word's
+    weight, its weighted unit vector without the corpus' mean context, the weighted
+    squares of that vector."""
     count, sums = table[:, :1].astype(float), table[:, 1:].astype(float)
     words = max(float(count.sum()), 1.0)
     mean = sums / np.maximum(count, 1) - sums.sum(axis=0) / words
-    unit = mean / np.maximum(np.linalg.norm(mean, axis=1, keepdims=True), 1e-9)
+    unit = mean / np.maximum(np.linalg.norm(mean, axis=1, keepdims=True), 1e-9) * (count > 0)
     weight = RARITY / (RARITY + count / words)
-    return np.concatenate([weight, unit * (count > 0)], axis=1).astype(np.float32)
+    return np.concatenate([weight, weight * unit, weight * unit * unit], axis=1).astype(np.float32)
 
 
 def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """Each text's word vectors pooled (texts, 3 * width + 1): weighted mean and
-    deviation, mean change from word to word, logarithm of the total weight; zeros for
-    a text without words."""
+    deviation, mean change of the weighted vectors from word to word, logarithm of the
+    total weight; zeros for a text without words."""
     h, first = find_pieces(column)
-    bucket = (h & np.uint64(BUCKETS - 1)).astype(np.int64)
+    bucket = buckets_of(h)
     n = len(first) - 1
-    weight, mean, square, change = np.zeros(n), np.zeros((n, WIDTH)), np.zeros((n, WIDTH)), np.zeros((n, WIDTH))
+    sums, change = np.zeros((n, vectors.shape[1])), np.zeros((n, WIDTH))
     for at in range(0, len(h), GATHER):
-        got = vectors[bucket[at:at + GATHER + 1]].astype(np.float64)
-        here = got[:GATHER]
-        w, v = here[:, :1], here[:, 1:]
+        got = vectors[bucket[at:at + GATHER + 1]]
         text = np.searchsorted(first, np.arange(at, at + len(got)), side="right") - 1
+        here = got[:GATHER]
         cut = np.concatenate([[0], np.flatnonzero(np.diff(text[:len(here)])) + 1])
         owner = text[cut]
-        weight[owner] += np.add.reduceat(w[:, 0], cut)
-        mean[owner] += np.add.reduceat(w * v, cut, axis=0)
-        square[owner] += np.add.reduceat(w * v * v, cut, axis=0)
-        step = np.zeros((len(here), WIDTH))
-        inside = np.flatnonzero(text[1:] == text[:-1])
-        step[inside] = np.abs(got[inside + 1, 1:] - got[inside, 1:])
-        change[owner] += np.add.reduceat(step, cut, axis=0)
-    steps = np.maximum(np.diff(first) - 1, 1)[:, None]
-    total_weight = np.maximum(weight, 1e-12)[:, None]
-    mean, square = mean / total_weight, square / total_weight
-    return np.concatenate([mean, np.sqrt(np.maximum(square - mean * mean, 0)), change / steps, np.log1p(weight)[:, None]], axis=1)
+        sums[owner] += np.add.reduceat(here, cut, axis=0)
+        if len(got) > 1:
+            step = np.abs(got[1:, 1:WIDTH + 1] - got[:-1, 1:WIDTH + 1])
+            step *= (text[1:] == text[:-1])[:, None]
+            cut = cut[cut < len(step)]
+            change[text[cut]] += np.add.reduceat(step, cut, axis=0)
+    weight = sums[:, :1]
+    scale = np.maximum(weight, 1e-12)
+    mean, square = sums[:, 1:WIDTH + 1] / scale, sums[:, WIDTH + 1:] / scale
+    steps = np.maximum(np.diff(first) - 1, 1)
+    return np.concatenate([mean, np.sqrt(np.maximum(square - mean * mean, 0)), change / steps[:, None], np.log1p(weight)], axis=1)
 
 
 @dataclass
@@ -219,25 +223,25 @@ def train_classifier(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMEN
 
     Rows of ``labels`` with a null id or label teach nothing, and neither does an id
     with both labels; repeated equal labels count once.  A labelled id without a
-    document is ignored; each of several documents of one id is an example."""
+    document is ignored; of several documents of one id the one whose text has the
+    smallest hash is the example."""
     spark = docs.sparkSession
     vectors = word_vectors(word_table(docs, text_col))
     some = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y is not null")
             .groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("top")).where("y = top and y in (0, 1)")
             .orderBy(F.xxhash64("id"), "id").limit(most).select("id", "y"))
-    # several documents of an id: still at most ``most`` examples
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(some), "id")
-            .select("id", "y", "text", F.xxhash64("text").alias("h")).orderBy(F.xxhash64("id"), "id", "h").limit(most))
+    rows = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(some), "id")
+            .groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first"))
+            .select("id", "y", F.col("first.text").alias("text"), F.pmod(F.hash("id"), F.lit(5)).alias("fold")))
     held = spark.sparkContext.broadcast(vectors)
 
     def run(batches):
         for part in slices(batches):
             x = pooled(texts(part.column("text")), held.value).astype("<f4")
-            yield pa.record_batch([part.column("id"), part.column("y"), part.column("h"), pa.array([r.tobytes() for r in x], pa.binary())],
-                                  names=["id", "y", "h", "x"])
+            yield pa.record_batch([part.column("id"), part.column("y"), part.column("fold"), pa.array([r.tobytes() for r in x], pa.binary())],
+                                  names=["id", "y", "fold", "x"])
     kind = rows.schema["id"].dataType.simpleString()
-    got = (rows.mapInArrow(run, f"id {kind}, y int, h long, x binary")
-           .select("id", "h", "y", "x", F.pmod(F.hash("id"), F.lit(5)).alias("fold")).orderBy("id", "h", "x").collect())
+    got = rows.mapInArrow(run, f"id {kind}, y int, fold int, x binary").orderBy("id").collect()
     y = np.array([r["y"] for r in got], dtype=float)
     if len(set(y.tolist())) < 2:
         return Classifier(vectors, None, float(y[0]) if len(y) else 0.5)

@@ -25,33 +25,36 @@ def test_words_and_contexts_match_brute_force(monkeypatch):
     one, _ = classifier.find_pieces(pa.array([w for ws in words for w in ws]))
     assert h.tolist() == one.tolist()
     table = np.zeros((classifier.BUCKETS, classifier.WIDTH + 1), np.int64)
-    classifier.add_contexts(table, h, first)
+    index = classifier.index_vectors()
+    assert (np.abs(index).sum(axis=1) <= classifier.SIGNS).all() and (np.abs(index).sum(axis=1) > 0).mean() > 0.9
+    classifier.add_contexts(table, h, first, index)
     want = np.zeros_like(table)
     for a, b in zip(first[:-1], first[1:]):
-        bucket, place, sign = classifier._spread(h[a:b])
+        bucket = classifier.buckets_of(h[a:b])
         for i in range(b - a):
             want[bucket[i], 0] += 1
             for j in range(max(0, i - 2), min(b - a, i + 3)):
-                for p, s in zip(place[j], sign[j]):
-                    want[bucket[i], 1 + p] += s
+                want[bucket[i], 1:] += index[bucket[j]]
     assert (table == want).all()
 
 
 def test_pooling_matches_brute_force(monkeypatch):
     monkeypatch.setattr(classifier, "GATHER", 2)
-    vectors = np.random.default_rng(0).random((classifier.BUCKETS, classifier.WIDTH + 1)).astype(np.float32)
+    width = classifier.WIDTH
+    weight = np.random.default_rng(0).random((classifier.BUCKETS, 1)) + 0.1
+    unit = np.random.default_rng(1).normal(size=(classifier.BUCKETS, width)) / 6
+    vectors = np.concatenate([weight, weight * unit, weight * unit * unit], axis=1).astype(np.float32)
     got = classifier.pooled(pa.array(ODD), vectors)
     for text, row in zip(ODD, got):
         h, _ = classifier.find_pieces(pa.array([text]))
-        v = vectors[(h % classifier.BUCKETS).astype(int)].astype(float)
         if not len(h):
             assert (row == 0).all()
             continue
-        w, v = v[:, :1], v[:, 1:]
+        w, v = weight[classifier.buckets_of(h)], unit[classifier.buckets_of(h)]
         mean = (w * v).sum(axis=0) / w.sum()
         spread = np.sqrt(np.maximum((w * v * v).sum(axis=0) / w.sum() - mean ** 2, 0))
-        change = np.abs(np.diff(v, axis=0)).sum(axis=0) / max(len(h) - 1, 1)
-        assert np.allclose(row, np.concatenate([mean, spread, change, [np.log1p(w.sum())]]), atol=1e-6)
+        change = np.abs(np.diff(w * v, axis=0)).sum(axis=0) / max(len(h) - 1, 1)
+        assert np.allclose(row, np.concatenate([mean, spread, change, [np.log1p(w.sum())]]), atol=1e-4)
 
 
 def test_word_table_is_the_sum_over_tasks(spark):
