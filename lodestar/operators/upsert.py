@@ -14,9 +14,12 @@ Spark forms:
   every map task as one row, and no reducer sees the hot key's full history.
 * ``upsert(state, batch)``: the same over state + batch (one shuffle of both).
 * ``merge_state(state, batch)``: the batch reduced per key, then a full outer
-  join with the state.  With the state stored bucketed by key (the daily and
-  streaming paths), only the batch is shuffled and the merged state is written
-  back bucket by bucket from the join tasks.
+  join with the state.  With the state stored bucketed by key, only the batch is
+  shuffled and the merged state is written back bucket by bucket from the join tasks.
+* ``overlay(state, batch)`` (the stored state of ``sources.state``): the same, without
+  the state's documents in a join's build side, a sort or a shuffle.  State rows pass
+  a filter by the batch's keys and stream through; the batch's rows look up only the
+  narrow keep columns.
 """
 
 from __future__ import annotations
@@ -120,6 +123,29 @@ def merge_state(state: DataFrame | None, batch: DataFrame, key: str = "id",
     return j.select(*cols)
 
 
+def overlay(state: DataFrame, batch: DataFrame, key: str = "id", order: Sequence[str] | str | Column = ("batch", "pos"),
+            update_cols: Sequence[str] = UPDATE_COLS, keep_cols: Sequence[str] = KEEP_COLS) -> DataFrame:
+    """Apply one batch to a state bucketed by ``key``: the same result as ``merge_state``.
+
+    Rows of the state that the batch does not touch probe a hash set of the batch's
+    keys (anti join, built from the shuffled keys of the same bucket) and go straight
+    on: their documents are neither shuffled, sorted nor held.  For the batch's own
+    rows, the keep columns of the keys that exist are found by a semi join of the
+    state's narrow columns with the same keys, so what is joined afterwards has the
+    size of the batch."""
+    b = current_state(batch.withColumn(ORDER_COL, _order(order)), key, ORDER_COL, update_cols, keep_cols, keep_order=True)
+    b = b.withColumn(ORDER_COL, _order_text(b))
+    keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
+    # hash joins build from the keys: the state's side is only streamed
+    untouched = (state.select(key, *update_cols, *keep_cols, _order_text(state).alias(ORDER_COL))
+                 .join(keys.hint("shuffle_hash"), key, "left_anti"))
+    known = (state.select(key, F.struct(*keep_cols).alias("_k"))
+             .join(keys.hint("shuffle_hash"), key, "left_semi"))
+    touched = b.join(known.hint("shuffle_hash"), key, "left").select(
+        key, *update_cols, *[F.when(F.col("_k").isNotNull(), F.col(f"_k.{c}")).otherwise(F.col(c)).alias(c) for c in keep_cols], ORDER_COL)
+    return untouched.unionByName(touched)
+
+
 def upsert_stats(state: DataFrame | None, batch: DataFrame, key: str = "id") -> DataFrame:
     """One row (batch_rows, inserted, updated) for applying ``batch`` to ``state``.
 

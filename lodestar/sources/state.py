@@ -1,17 +1,28 @@
 """Keyed state of a collection: a short log of deltas over a bucketed base.
 
 Every batch is reduced to one row per key and appended as a delta of its own size;
-the state is resolved on read, by merging the deltas since the base (shuffled by
-key) into the base (bucketed by key, read in place).  After ``COMPACT_EVERY`` deltas
-the resolved state becomes the new base, so a batch rewrites the state only once in
-that many times and a read merges a bounded number of deltas.
-
-A commit is a small pointer file ``_commits/<version>.json`` that names the live base
-and deltas.  Data is written to its final, unique folder first and the pointer last,
-created without overwriting: versions only rise, whatever ``as_of`` or batch numbers
-say, a crashed writer leaves nothing readable, and of two writers of one version the
-second retries on top of the first.  Nothing is renamed.  Pointers older than
-``KEEP_COMMITS`` and the data only they name are deleted after a compaction.
+the state is resolved on read: base rows pass a filter by the deltas' keys, in place
+and bucket by bucket, and the deltas' rows are added (``operators.upsert.overlay``).
+
+The base is a set of bucket files, listed by a manifest: bucket -> its files and
+bytes.  After ``COMPACT_EVERY`` deltas the buckets that the deltas touch are written
+anew, from their own files only, into a new generation folder, and the next manifest
+names the new files for them and the old ones for the rest; a bucket whose deltas are
+less than ``SHARE`` of it waits, its rows are kept as one delta.  The number of
+buckets follows the state's bytes: when the buckets would outgrow twice
+``TARGET_BYTES`` they double until they fit, each splitting in two, and that one
+compaction writes every bucket.  Spark reads the live files as one bucketed table (a
+table definition over the generation folders with the live names as its file filter).
+
+A commit is a small pointer file ``_commits/<version>.json`` that names the manifest
+and the deltas.  Data is written to its final, unique place first and the pointer
+last, created without overwriting: versions only rise, whatever ``as_of`` or batch
+numbers say, a crashed writer leaves nothing readable, and of two writers of one
+version the second retries on top of the first.  Nothing is renamed.  Pointers older
+than ``KEEP_COMMITS`` and the files only they name are deleted after a compaction.
+
+``changes`` gives what happened between two commits, key by key: the rows before and
+after (``plans.incremental`` keeps gold up to date with it).
 
 A stream's commits carry its own id (from its checkpoint) and batch number, so a
 replayed batch is not applied twice and a new checkpoint is a new stream.
@@ -19,20 +30,25 @@ replayed batch is not applied twice and a new checkpoint is a new stream.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.operators.upsert import KEEP_COLS, ORDER_COL, UPDATE_COLS, current_state, merge_state
-from lodestar.sources.layers import _ddl, _exists, _fs, _read_text, layer_root
+from lodestar.operators.upsert import KEEP_COLS, ORDER_COL, UPDATE_COLS, current_state, merge_state, overlay
+from lodestar.sources.layers import _ddl, _exists, _fs, _read_text, _write_text, layer_root, path_bytes
 
 COMPACT_EVERY = 8
 KEEP_COMMITS = 16
+#: Bytes of a bucket that the number of buckets aims at; buckets double beyond twice that.
+TARGET_BYTES = 256 << 20
+#: A compaction leaves a bucket alone while its deltas are less than this share of it.
+SHARE = 0.02
 
 
 def _base(spark: SparkSession, name: str, root: str | None) -> str:
@@ -97,28 +113,65 @@ def _commit(spark: SparkSession, base: str, change) -> dict | None:
             return commit
 
 
-def _read_base(spark: SparkSession, made: dict) -> DataFrame:
-    table = re.sub(r"\W", "_", "state_" + made["path"].rsplit("/", 1)[-1])
+def _manifest(spark: SparkSession, commit: dict | None) -> dict | None:
+    """The base that a commit names: path, key, buckets, schema, files by bucket."""
+    if not commit or not commit.get("base"):
+        return None
+    return json.loads(_read_text(spark, commit["base"])) | {"path": commit["base"]}
+
+
+def _live_names(files: dict[str, list]) -> str:
+    """A file-name pattern that fits exactly the given bucket files: a generation's
+    buckets share the unique part of their names."""
+    by_writer: dict[str, list[str]] = {}
+    for bucket in files:
+        for name, _ in files[bucket]:
+            writer = re.match(r"part-\d+-(.+)_\d{5}\.", name.rsplit("/", 1)[-1])[1]
+            by_writer.setdefault(writer, []).append(f"{int(bucket):05d}")
+    return "{" + ",".join(f"part-*-{w}_{{{','.join(sorted(set(ids)))}}}.*" for w, ids in sorted(by_writer.items())) + "}"
+
+
+def _table_name(manifest: str, names: str) -> str:
+    return "state_" + hashlib.sha1(f"{manifest}|{names}".encode()).hexdigest()[:24]
+
+
+def _read_buckets(spark: SparkSession, made: dict, root: str, only: Collection[int] | None = None) -> DataFrame | None:
+    """The rows of the base's buckets (of ``only`` these) as a table bucketed by key."""
+    files = {k: v for k, v in made["files"].items() if only is None or int(k) in only}
+    if not files:
+        return None
+    names = _live_names(files)
+    table = _table_name(made["path"], names)
     if not spark.catalog.tableExists(table):
         schema = T.StructType.fromJson(made["schema"])
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(schema)}) USING parquet "
-                  f"CLUSTERED BY (`{made['key']}`) SORTED BY (`{made['key']}`) INTO {made['buckets']} BUCKETS "
-                  f"LOCATION '{made['path']}'")
+                  f"OPTIONS (pathGlobFilter '{names}', recursiveFileLookup 'true') "
+                  f"CLUSTERED BY (`{made['key']}`) SORTED BY (`{made['key']}`) INTO {made['buckets']} BUCKETS LOCATION '{root}/bases'")
     return spark.table(table)
 
 
-def resolve(spark: SparkSession, commit: dict | None, key: str = "id") -> DataFrame | None:
-    """The state that a commit names."""
-    if commit is None:
-        return None
-    base = _read_base(spark, commit["base"]) if commit.get("base") else None
+def _log(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
+    """The rows of deltas, with their order as ``_seq``."""
     log = None
-    for i, path in enumerate(commit["deltas"]):
+    for i, path in enumerate(paths):
         part = spark.read.parquet(path).withColumn("_seq", F.lit(i))
         log = part if log is None else log.unionByName(part)
+    return log
+
+
+def _resolve(base: DataFrame | None, log: DataFrame | None, key: str) -> DataFrame | None:
     if log is None:
         return base
-    return merge_state(base, log, key=key, order="_seq")
+    return merge_state(None, log, key, "_seq") if base is None else overlay(base, log, key, "_seq")
+
+
+def resolve(spark: SparkSession, commit: dict | None, key: str = "id") -> DataFrame | None:
+    """The state that a commit names."""
+    if commit is None:
+        return None
+    made = _manifest(spark, commit)
+    base = _read_buckets(spark, made, commit["root"]) if made else None
+    return _resolve(base, _log(spark, commit["deltas"]), key)
 
 
 def read_state(spark: SparkSession, name: str, key: str = "id", root: str | None = None) -> DataFrame | None:
@@ -127,6 +180,61 @@ def read_state(spark: SparkSession, name: str, key: str = "id", root: str | None
     return None if state is None else state.drop(ORDER_COL)
 
 
+def commit_at(spark: SparkSession, name: str, version: int, root: str | None = None) -> dict | None:
+    """The commit of that version while it is kept."""
+    path = f"{_base(spark, name, root)}/_commits/{version:012d}.json"
+    return json.loads(_read_text(spark, path)) if _exists(spark, path) else None
+
+
+def _history(spark: SparkSession, name: str, since: dict, until: dict, root: str | None) -> list[str] | None:
+    """Deltas applied after ``since`` up to ``until``; None if a commit between is gone."""
+    out = []
+    for version in range(since["version"] + 1, until["version"] + 1):
+        try:
+            commit = commit_at(spark, name, version, root)
+        except ValueError:                  # cut off while it was written: nothing was applied
+            continue
+        if commit is None:
+            return None
+        if commit.get("applied"):
+            out.append(commit["applied"])
+    return out
+
+
+def _rows_of(spark: SparkSession, commit: dict, keys: DataFrame, key: str, project) -> DataFrame | None:
+    """``project`` of a commit's rows with one of ``keys`` (distinct).  Rows meet the
+    keys before their documents are merged: base rows stream past a set of keys, and
+    only their columns that ``project`` uses are read."""
+    made = _manifest(spark, commit)
+    base = _read_buckets(spark, made, commit["root"]) if made else None
+    log = _log(spark, commit["deltas"])
+    if base is not None:
+        base = base.join(keys.hint("shuffle_hash"), key, "left_semi")
+    if log is not None:
+        log = log.join(keys, key, "left_semi")
+    state = _resolve(base, log, key)
+    return None if state is None else project(state.drop(ORDER_COL))
+
+
+def changes(spark: SparkSession, name: str, since: dict | None, until: dict, project, key: str = "id",
+            root: str | None = None) -> DataFrame | None:
+    """What ``project`` (rows of the state -> narrow rows) gives for the keys written
+    after ``since`` up to ``until``: rows before with ``sign`` -1, rows after with +1.
+
+    None when the commits between are not kept any more, or ``since`` is None: then
+    the whole state has to be read.  Several batches are one net change: a key written
+    twice comes once on either side."""
+    paths = _history(spark, name, since, until, root) if since else None
+    if paths is None:
+        return None
+    if not paths:
+        return project(resolve(spark, until, key).drop(ORDER_COL).limit(0)).withColumn("sign", F.lit(1))
+    keys = _log(spark, paths).select(key).distinct()
+    after = _rows_of(spark, until, keys, key, project).withColumn("sign", F.lit(1))
+    before = _rows_of(spark, since, keys, key, project)
+    return after if before is None else after.unionByName(before.withColumn("sign", F.lit(-1)))
+
+
 def append_batch(spark: SparkSession, name: str, batch: DataFrame, key: str = "id",
                  order: Sequence[str] | str | Column = "pos", root: str | None = None,
                  stream: tuple[str, int] | None = None, compact_every: int = COMPACT_EVERY,
@@ -142,8 +250,8 @@ def append_batch(spark: SparkSession, name: str, batch: DataFrame, key: str = "i
     current_state(batch, key, order, UPDATE_COLS, KEEP_COLS).write.parquet(path)
 
     def change(previous: dict | None) -> dict | None:
-        commit = {"base": previous and previous["base"], "deltas": [*(previous["deltas"] if previous else []), path],
-                  "streams": dict(previous["streams"]) if previous else {}}
+        commit = {"root": base, "base": previous and previous["base"], "deltas": [*(previous["deltas"] if previous else []), path],
+                  "applied": path, "streams": dict(previous["streams"]) if previous else {}}
         if stream:
             if commit["streams"].get(stream[0], -1) >= stream[1]:
                 return None
@@ -156,34 +264,94 @@ def append_batch(spark: SparkSession, name: str, batch: DataFrame, key: str = "i
     return commit
 
 
-def compact(spark: SparkSession, name: str, key: str = "id", root: str | None = None,
-            buckets: int | None = None) -> dict | None:
-    """Write the resolved state as the new base, bucketed by key, then drop old commits.
-    Deltas that others append meanwhile stay on top of it."""
+def wanted_buckets(now: int | None, total_bytes: int, least: int, target_bytes: int = TARGET_BYTES) -> int:
+    """Buckets for a state of ``total_bytes``: a first base gets as many as the target
+    asks for; later they double while they average more than twice the target.  Never
+    fewer than ``least``, else joins would shuffle the stored side for parallelism."""
+    if not now:
+        return max(least, -(-total_bytes // target_bytes))
+    while total_bytes > 2 * target_bytes * now:
+        now *= 2
+    return now
+
+
+def _generation(spark: SparkSession, base: str, rows: DataFrame, key: str, buckets: int) -> dict[str, list]:
+    """Write rows bucketed by key as a new generation; its files by bucket."""
+    name = uuid.uuid4().hex
+    path, table = f"{base}/bases/{name}", f"write_{name}"
+    rows.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")          # external: the files stay
+    fs, p = _fs(spark, path)
+    files: dict[str, list] = {}
+    for st in fs.listStatus(p):
+        found = re.search(r"_(\d{5})\.", st.getPath().getName())
+        if found:
+            files.setdefault(str(int(found[1])), []).append([f"{name}/{st.getPath().getName()}", int(st.getLen())])
+    return files
+
+
+def compact(spark: SparkSession, name: str, key: str = "id", root: str | None = None, buckets: int | None = None,
+            target_bytes: int = TARGET_BYTES, share: float = SHARE) -> dict | None:
+    """Fold the deltas into the base buckets they touch, then drop old commits.
+
+    Buckets whose deltas are less than ``share`` of their bytes keep their files; these
+    deltas are merged into one.  Base rows are read in place and written where they
+    were read, without a shuffle.  ``buckets`` asks for that many, else their number
+    follows the state's bytes (``wanted_buckets``); when it changes every bucket is
+    written.  Deltas that others append meanwhile stay on top."""
     base = _base(spark, name, root)
     seen = latest_commit(spark, name, root)
     if seen is None or not seen["deltas"]:
         return None
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    state = resolve(spark, seen, key)
-    path = f"{base}/data/base-{uuid.uuid4().hex}"
-    table = re.sub(r"\W", "_", "write_" + path.rsplit("/", 1)[-1])
-    (state.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table))
-    spark.sql(f"DROP TABLE IF EXISTS {table}")          # external: the files stay
-    made = {"path": path, "buckets": buckets, "key": key, "schema": json.loads(state.schema.json())}
+    made = _manifest(spark, seen)
+    log = _log(spark, seen["deltas"])
+    delta_bytes = sum(path_bytes(spark, p) for p in seen["deltas"])
+    sizes = {int(k): sum(size for _, size in v) for k, v in made["files"].items()} if made else {}
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    want = buckets or wanted_buckets(made and made["buckets"], sum(sizes.values()) + delta_bytes, least, target_bytes)
+    files, rest = {}, None
+    if made and want == made["buckets"]:
+        # rows that the deltas hold for each bucket: one small row a bucket
+        place = F.pmod(F.hash(key), F.lit(want))
+        held = {r["bucket"]: r["count"] for r in log.where(F.col(key).isNotNull()).groupBy(place.alias("bucket")).count().collect()}
+        row_bytes = delta_bytes / max(sum(held.values()), 1)
+        touched = {k for k, n in held.items() if n * row_bytes >= share * sizes.get(k, 0)}
+        files = {k: v for k, v in made["files"].items() if int(k) not in touched}
+        if len(touched) < len(held):
+            waiting = log.where(~place.isin(sorted(touched)))
+            log = log.where(place.isin(sorted(touched)))
+            rest = f"{base}/data/delta-{uuid.uuid4().hex}"
+            current_state(waiting, key, "_seq", UPDATE_COLS, KEEP_COLS).write.parquet(rest)
+        old = _read_buckets(spark, made, base, touched)
+    else:
+        touched, old = None, _read_buckets(spark, made, base) if made else None
+    schema = made["schema"] if made else None
+    if touched is None or touched:
+        state = _resolve(old, log, key)
+        schema = json.loads(state.schema.json())
+        # read in place, rows sit one bucket a task, also where every bucket splits in two
+        if not made or want % made["buckets"]:
+            state = state.repartition(want, key)
+        files = files | _generation(spark, base, state, key, want)
+    manifest = f"{base}/_manifests/{uuid.uuid4().hex}.json"
+    _write_text(spark, manifest, json.dumps({"key": key, "buckets": want, "schema": schema, "files": files}))
 
     def change(previous: dict) -> dict | None:
         if previous["base"] != seen["base"] or previous["deltas"][:len(seen["deltas"])] != seen["deltas"]:
             return None                                  # another compaction was first
-        return {"base": made, "deltas": previous["deltas"][len(seen["deltas"]):], "streams": previous["streams"]}
+        return {"root": base, "base": manifest, "deltas": ([rest] if rest else []) + previous["deltas"][len(seen["deltas"]):],
+                "applied": None, "streams": previous["streams"]}
 
     commit = _commit(spark, base, change)
     _expire(spark, base)
     return commit
 
 
-def _paths(commit: dict) -> set[str]:
-    return {*commit["deltas"], *([commit["base"]["path"]] if commit.get("base") else [])}
+def _paths(spark: SparkSession, commit: dict) -> set[str]:
+    """Everything that a commit needs: deltas, manifest, bucket files."""
+    made = _manifest(spark, commit)
+    files = {f"{commit['root']}/bases/{n}" for v in made["files"].values() for n, _ in v} if made else set()
+    return {*commit["deltas"], *([commit["applied"]] if commit.get("applied") else []), *([commit["base"]] if made else []), *files}
 
 
 def _expire(spark: SparkSession, base: str, keep: int = KEEP_COMMITS) -> None:
@@ -197,12 +365,18 @@ def _expire(spark: SparkSession, base: str, keep: int = KEEP_COMMITS) -> None:
             return json.loads(_read_text(spark, f"{base}/_commits/{n}"))
         except ValueError:
             return {"deltas": []}
+    gone = set()
     for n in names[-keep:]:
-        live |= _paths(read(n))
+        live |= _paths(spark, read(n))
+    for n in old:
+        gone |= _paths(spark, read(n))
+    for path in gone - live:
+        if "/_manifests/" in path:
+            made = json.loads(_read_text(spark, path))
+            spark.sql(f"DROP TABLE IF EXISTS {_table_name(path, _live_names(made['files']))}")     # external: a definition only
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
     for n in old:
-        for path in _paths(read(n)) - live:
-            fs, p = _fs(spark, path)
-            fs.delete(p, True)
         fs, p = _fs(spark, f"{base}/_commits/{n}")
         fs.delete(p, False)
 

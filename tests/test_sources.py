@@ -227,36 +227,6 @@ def test_rejects_of_every_layout(spark):
         assert [r["id"] for r in documents(landed).collect()] == ["a"]
 
 
-def test_state_deltas_compaction_and_retention(spark, monkeypatch):
-    from lodestar.operators.upsert import current_state
-    from lodestar.sources import state
-    monkeypatch.setattr(state, "KEEP_COMMITS", 3)
-    root, logs = _tmp(), []
-    for day in range(10):
-        rows = [(f"k{i}", f"d{day}", i) for i in range(day, day + 4)] + [(None, "x", 9)]
-        b = (spark.createDataFrame(rows, "id string, v string, pos long")
-             .select("id", F.parse_json(F.concat(F.lit('{"v":"'), "v", F.lit('"}'))).alias("data"),
-                     F.lit(f"2024-01-{20 - day:02d} 00:00:00").cast("timestamp_ntz").alias("extracted_at"),
-                     F.lit(f"s{day}").alias("source_system"), F.current_timestamp().cast("timestamp_ntz").alias("created_at"), "pos"))
-        logs.append(b.withColumn("batch", F.lit(day)))
-        files = set(os.listdir(os.path.join(root, "bronze", "t", "data"))) if day else set()
-        state.append_batch(spark, "t", b, root=root, compact_every=4)
-        new = set(os.listdir(os.path.join(root, "bronze", "t", "data"))) - files
-        # a batch writes its own delta; the base only at a compaction
-        assert sum(n.startswith("delta-") for n in new) == 1 and len(new) <= 2
-        assert any(n.startswith("base-") for n in new) == (day % 4 == 3)
-        log = logs[0]
-        for x in logs[1:]:
-            log = log.unionByName(x)
-        view = lambda df: sorted((r["id"], r["v"], r["source_system"]) for r in df.select("id", jtext("data", "v").alias("v"), "source_system").collect())
-        assert view(state.read_state(spark, "t", root=root)) == view(current_state(log.where("id is not null"), order=("batch", "pos")))
-    state.compact(spark, "t", root=root)
-    state._expire(spark, os.path.join(root, "bronze", "t"), keep=1)
-    left = os.listdir(os.path.join(root, "bronze", "t", "data"))
-    assert len(left) == 1 and left[0].startswith("base-")
-    assert state.read_state(spark, "t", root=root).count() == 13
-
-
 def test_two_writers_and_a_cut_pointer(spark):
     from lodestar.sources import state
     root = _tmp()
