@@ -23,6 +23,7 @@ from lodestar.operators.quality import (check_not_null, check_results, check_uni
                                         extraction_summary, gate_rows, layer_report, quality_metrics,
                                         table_checks)
 from lodestar.operators.upsert import current_state, merge_state, upsert_stats
+from lodestar.plans import incremental
 from lodestar.plans.extras import map_totals, order_totals, quote_series
 from lodestar.plans.gold import constellation_snapshot, headline, project_to_target
 from lodestar.plans.silver import parse_launches, parse_satellites
@@ -309,6 +310,45 @@ def q_state_backfill(spark, d):
                                           jtext("data", "spaceTrack.OBJECT_ID").alias("object_id"))
 
 
+def _incremental_counts(spark, d):
+    """The counts of launches and satellites after three batches each, brought forward
+    batch by batch.  Half of the launches land under another name first, so that their
+    later versions take something back; satellites land as in the log.  The state is
+    stored once per source content; a batch applied before is not applied again."""
+    paths = [f"{d.rstrip('/')}/{t}.parquet" for t in ("orders", "lineitem")]
+    key = fingerprint(spark, paths, salt=f"incremental:{DERIVATION_VERSION}")
+    launches, log = bronze_launches(spark, d).withColumn("pos", F.lit(0)), satellite_log(spark, d)
+    half, odd = F.pmod(F.hash("id"), F.lit(2)) == 0, F.split("id", "-")[1].cast("int") % 2 == 1
+    renamed = F.parse_json(F.regexp_replace(F.to_json("data"), r'"name":"[^"]*"', '"name":"Starlink 0 (v1.0)"'))
+    batches = {"launches": [launches.where(half).withColumn("data", renamed), launches, launches.where(half)],
+               "satellites": [log.where("batch = 0"), log.where((F.col("batch") == 1) & odd), log.where((F.col("batch") == 1) & ~odd)]}
+    classes = {"launches": incremental.launch_classes, "satellites": incremental.satellite_classes}
+    out = {}
+    for name, parts in batches.items():
+        for k, part in enumerate(parts):
+            if append_batch(spark, f"{name}_{key}", part, order="pos", stream=("incremental", k)):
+                incremental.refresh_counts(spark, f"{name}_{key}", classes[name])
+        out[name] = incremental.refresh_counts(spark, f"{name}_{key}", classes[name])
+    return out["launches"], out["satellites"]
+
+
+def q_incremental_projection(spark, d):
+    """The projection from counts that three batches brought forward."""
+    return comparable(incremental.projection(*_incremental_counts(spark, d), AS_OF, target=TARGET, recent_year=RECENT_YEAR))
+
+
+def q_incremental_snapshot(spark, d):
+    return comparable(incremental.snapshot(_incremental_counts(spark, d)[1], AS_OF))
+
+
+def q_incremental_metrics(spark, d):
+    return incremental.metrics(*_incremental_counts(spark, d), FRESH_AS_OF)
+
+
+def q_incremental_flag_counts(spark, d):
+    return incremental.flag_counts(*_incremental_counts(spark, d))
+
+
 def q_read_landed_array(spark, d):
     """Several reply files, one JSON array each, that repeat ids: the later reply wins."""
     paths = [f"{d.rstrip('/')}/orders.parquet"]
@@ -528,6 +568,10 @@ QUERIES: dict[str, Query] = {
     "projection_to_target": q_projection_to_target,
     "headline": q_headline,
     "deployment_check": q_deployment_check,
+    "incremental_projection": q_incremental_projection,
+    "incremental_snapshot": q_incremental_snapshot,
+    "incremental_metrics": q_incremental_metrics,
+    "incremental_flag_counts": q_incremental_flag_counts,
 }
 
 

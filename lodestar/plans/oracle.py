@@ -386,3 +386,11 @@ ORACLE_SQL: dict[str, str] = {
              ELSE 'above_estimate' END AS deployment_status
       FROM j""",
 }
+
+# gold brought forward batch by batch equals gold over the whole state
+ORACLE_SQL |= {
+    "incremental_projection": ORACLE_SQL["projection_to_target"],
+    "incremental_snapshot": ORACLE_SQL["constellation_snapshot"],
+    "incremental_metrics": ORACLE_SQL["quality_metrics"],
+    "incremental_flag_counts": ORACLE_SQL["quality_flag_counts"],
+}

@@ -8,9 +8,10 @@ inside whole-stage codegen, with no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.exprs import NUMERIC, age_days, cast_date, cast_int, cast_ts, dow_sunday0
@@ -62,6 +63,10 @@ SATELLITE_COLUMNS = [
 ]
 
 
+def _names(df: DataFrame, keep: Sequence[Column]) -> list[str]:
+    return df.select(*keep).columns if keep else []
+
+
 def is_starlink(name) -> F.Column:
     """Mission-name test; a NULL name is not a Starlink mission."""
     return F.coalesce(contains_ci(name, STARLINK_TERM), F.lit(False))
@@ -81,8 +86,9 @@ def mission_type(name, starlink) -> F.Column:
                      OTHER_TYPE)
 
 
-def parse_launches(bronze: DataFrame, lenient: bool = False) -> DataFrame:
-    """bronze launches (id, data, extracted_at, source_system, ...) -> silver launches."""
+def parse_launches(bronze: DataFrame, lenient: bool = False, keep: Sequence[Column] = ()) -> DataFrame:
+    """bronze launches (id, data, extracted_at, source_system, ...) -> silver launches;
+    ``keep`` adds (aliased) expressions over the bronze columns."""
     v = F.col("data")
     parsed = bronze.where(v.isNotNull()).select(
         jtext(v, "id").alias("launch_id"),
@@ -96,7 +102,7 @@ def parse_launches(bronze: DataFrame, lenient: bool = False) -> DataFrame:
         jtext(v, "launchpad").alias("launchpad_id"),
         jtext(v, "details").alias("mission_details"),
         jlen(v, "payloads").alias("payload_count"),
-        "extracted_at", "source_system",
+        "extracted_at", "source_system", *keep,
     ).where(F.col("launch_id").isNotNull())
 
     name = F.col("mission_name")
@@ -119,7 +125,7 @@ def parse_launches(bronze: DataFrame, lenient: bool = False) -> DataFrame:
         dow_sunday0(ts).alias("launch_day_of_week"),
         mission_type(name, starlink).alias("mission_type"),
     )
-    return out.select(*LAUNCH_COLUMNS)
+    return out.select(*LAUNCH_COLUMNS, *_names(bronze, keep))
 
 
 def is_active(decayed, decay_date) -> F.Column:
@@ -135,9 +141,10 @@ def orbital_regime(semimajor_axis) -> F.Column:
     return band(semimajor_axis - F.lit(EARTH_RADIUS_KM), ORBIT_BANDS, UNKNOWN_ORBIT)
 
 
-def parse_satellites(bronze: DataFrame, as_of, lenient: bool = False) -> DataFrame:
+def parse_satellites(bronze: DataFrame, as_of, lenient: bool = False, keep: Sequence[Column] = ()) -> DataFrame:
     """bronze satellites (current state) -> silver satellites.  ``as_of`` fixes
-    "today" for the age column."""
+    "today" for the age column; ``keep`` adds (aliased) expressions over the bronze
+    columns."""
     v = F.col("data")
     st = "spaceTrack."
     parsed = bronze.where(v.isNotNull()).select(
@@ -160,7 +167,7 @@ def parse_satellites(bronze: DataFrame, as_of, lenient: bool = False) -> DataFra
         jnum(v, "velocity_kms", NUMERIC, lenient).alias("velocity_kms"),
         jtext(v, st + "NORAD_CAT_ID").alias("norad_catalog_id"),
         jtext(v, st + "OBJECT_ID").alias("object_id"),
-        "extracted_at", "source_system",
+        "extracted_at", "source_system", *keep,
     ).where(F.col("satellite_id").isNotNull())
 
     axis = F.col("semimajor_axis_km")
@@ -178,4 +185,4 @@ def parse_satellites(bronze: DataFrame, as_of, lenient: bool = False) -> DataFra
         orbital_regime(axis).alias("orbital_regime"),
         age_days(F.col("launch_date"), as_of).alias("satellite_age_days"),
     )
-    return out.select(*SATELLITE_COLUMNS)
+    return out.select(*SATELLITE_COLUMNS, *_names(bronze, keep))

@@ -63,9 +63,8 @@ def _commit_names(spark: SparkSession, base: str) -> list[str]:
     return sorted(n for n in names if re.fullmatch(r"\d{12}\.json", n))
 
 
-def latest_commit(spark: SparkSession, name: str, root: str | None = None) -> dict | None:
-    """The newest readable commit of a collection."""
-    base = _base(spark, name, root)
+def latest_pointer(spark: SparkSession, base: str) -> dict | None:
+    """The newest readable commit under ``base``."""
     for n in reversed(_commit_names(spark, base)):
         try:
             return json.loads(_read_text(spark, f"{base}/_commits/{n}"))
@@ -74,6 +73,11 @@ def latest_commit(spark: SparkSession, name: str, root: str | None = None) -> di
     return None
 
 
+def latest_commit(spark: SparkSession, name: str, root: str | None = None) -> dict | None:
+    """The newest readable commit of a collection."""
+    return latest_pointer(spark, _base(spark, name, root))
+
+
 def _write_pointer(spark: SparkSession, base: str, commit: dict) -> bool:
     """Create the commit's pointer file; False when that version exists."""
     path = f"{base}/_commits/{commit['version']:012d}.json"
@@ -93,19 +97,12 @@ def _write_pointer(spark: SparkSession, base: str, commit: dict) -> bool:
     return True
 
 
-def _commit(spark: SparkSession, base: str, change) -> dict | None:
+def commit_pointer(spark: SparkSession, base: str, change) -> dict | None:
     """Commit ``change(previous)`` as the next version, again on a newer previous one
     when another writer was first; None when ``change`` gives None."""
     while True:
         names = _commit_names(spark, base)
-        previous = None
-        for n in reversed(names):
-            try:
-                previous = json.loads(_read_text(spark, f"{base}/_commits/{n}"))
-                break
-            except ValueError:
-                continue
-        commit = change(previous)
+        commit = change(latest_pointer(spark, base))
         if commit is None:
             return None
         commit["version"] = 1 + (int(names[-1][:12]) if names else 0)
@@ -258,7 +255,7 @@ def append_batch(spark: SparkSession, name: str, batch: DataFrame, key: str = "i
             commit["streams"][stream[0]] = stream[1]
         return commit
 
-    commit = _commit(spark, base, change)
+    commit = commit_pointer(spark, base, change)
     if commit and len(commit["deltas"]) >= compact_every:
         compact(spark, name, key, root, buckets)
     return commit
@@ -342,8 +339,8 @@ def compact(spark: SparkSession, name: str, key: str = "id", root: str | None =
         return {"root": base, "base": manifest, "deltas": ([rest] if rest else []) + previous["deltas"][len(seen["deltas"]):],
                 "applied": None, "streams": previous["streams"]}
 
-    commit = _commit(spark, base, change)
-    _expire(spark, base)
+    commit = commit_pointer(spark, base, change)
+    expire(spark, base)
     return commit
 
 
@@ -354,7 +351,7 @@ def _paths(spark: SparkSession, commit: dict) -> set[str]:
     return {*commit["deltas"], *([commit["applied"]] if commit.get("applied") else []), *([commit["base"]] if made else []), *files}
 
 
-def _expire(spark: SparkSession, base: str, keep: int = KEEP_COMMITS) -> None:
+def expire(spark: SparkSession, base: str, keep: int = KEEP_COMMITS) -> None:
     names = _commit_names(spark, base)
     old, live = names[:-keep], set()
     if not old:

@@ -53,7 +53,7 @@ def test_deltas_compaction_and_retention(spark, monkeypatch):
         assert _view(state.read_state(spark, "t", root=root)) == _view(current_state(log, order=("batch", "pos")))
     state.compact(spark, "t", root=root)
     base = os.path.join(root, "bronze", "t")
-    state._expire(spark, base, keep=1)
+    state.expire(spark, base, keep=1)
     assert os.listdir(os.path.join(base, "data")) == []
     left = {os.path.join(g, f) for g in os.listdir(os.path.join(base, "bases")) for f in os.listdir(os.path.join(base, "bases", g)) if f.startswith("part")}
     assert left == {n for v in _manifest(spark, "t", root)["files"].values() for n, _ in v}
