@@ -7,6 +7,7 @@ DOUBLE at this boundary only, so results compare with the DuckDB oracles.
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import inspect
 import sys
@@ -24,13 +25,14 @@ from lodestar.operators.quality import (check_not_null, check_results, check_uni
                                         table_checks)
 from lodestar.operators.upsert import current_state, merge_state, upsert_stats
 from lodestar.plans import incremental
+from lodestar.plans.daily import daily_run, setup_check
 from lodestar.plans.extras import map_totals, order_totals, quote_series
 from lodestar.plans.gold import constellation_snapshot, headline, project_to_target
 from lodestar.plans.silver import parse_launches, parse_satellites
 from lodestar.session import configure
 from lodestar.sources.documents import read_documents, stamp
-from lodestar.sources.layers import (aligned, bucketed, buckets_for, fingerprint, landed_text, layer,
-                                     materialized, path_bytes, publish_table)
+from lodestar.sources.layers import (aligned, bucketed, buckets_for, create_text, fingerprint, landed_text, layer, layer_root,
+                                     materialized, open_view, path_bytes, path_exists, publish_table, read_text)
 from lodestar.sources.derived import (SATELLITE_BATCH_SPLIT, faulty_launch_lines, faulty_launches,
                                       launch_documents, launch_json_lines, launch_reply_files, launch_reply_lines,
                                       market_replies, order_maps,
@@ -504,8 +506,53 @@ def q_layer_report(spark, d):
                          "gold_projection": projection_df(spark, d)})
 
 
+def stored_run_log(spark, d):
+    """The run log of the events, stored by day like an appended one; its folder."""
+    key = fingerprint(spark, [f"{d.rstrip('/')}/events.parquet"], salt=f"run_log:{DERIVATION_VERSION}")
+    base = f"{layer_root(spark)}/bronze/run_log_events"
+    pointer = f"{base}/{key}.json"
+    if not path_exists(spark, pointer):
+        path = f"{base}/{uuid.uuid4().hex}"
+        append_runs(run_log_from_events(table(spark, d, "events")), path)
+        create_text(spark, pointer, path)
+    return read_text(spark, pointer)
+
+
 def q_recent_runs(spark, d):
-    return recent_runs(run_log_from_events(table(spark, d, "events")), RUN_LOG_AS_OF, hours=24, k=10)
+    return recent_runs(read_run_log(spark, stored_run_log(spark, d)), RUN_LOG_AS_OF, hours=24, k=10)
+
+
+def _daily_root(spark, d):
+    """The root of a daily run over landings of the driver tables (once per content):
+    launches, every version of the satellites in write order, rockets."""
+    paths = [f"{d.rstrip('/')}/{t}.parquet" for t in ("orders", "lineitem", "customer")]
+    key = fingerprint(spark, paths, salt=f"daily:{DERIVATION_VERSION}")
+    root = f"{layer_root(spark)}/daily/{key}"
+    if not path_exists(spark, f"{root}/gold/_runs"):
+        for k in range(len(STREAM_SLICES) + 1):
+            satellites = landed_satellite_slice(spark, d, k).rsplit("/v=", 1)[0]
+        rockets = landed_text(spark, "rockets_lines", key, lambda: bronze_rockets(spark, d).select(F.to_json("data").alias("value")))
+        daily_run(spark, {"launches": landed_launch_files(spark, d, "lines"), "starlink": satellites, "rockets": rockets},
+                  dt.datetime.fromisoformat(AS_OF), root=root, target=TARGET, recent_year=RECENT_YEAR, gate_rules=())
+    return root
+
+
+def q_daily_projection(spark, d):
+    """The projection that a daily run over the landed collections published."""
+    return comparable(layer(spark, "gold", "projection", _daily_root(spark, d)))
+
+
+def q_setup_check(spark, d):
+    """Layers and bronze relations found after a daily run."""
+    return setup_check(spark, _daily_root(spark, d))
+
+
+def q_view_in_later_session(spark, d):
+    """A stored view opened by another session, which never saw its making."""
+    later = configure(spark.newSession())
+    open_view(later, "silver_launches", _daily_root(spark, d))
+    return later.sql("SELECT mission_type, count(*) AS launches, sum(CAST(estimated_satellite_count AS BIGINT)) AS estimated_satellites "
+                     "FROM silver_launches GROUP BY mission_type")
 
 
 def q_constellation_snapshot(spark, d):
@@ -568,6 +615,9 @@ QUERIES: dict[str, Query] = {
     "projection_to_target": q_projection_to_target,
     "headline": q_headline,
     "deployment_check": q_deployment_check,
+    "daily_projection": q_daily_projection,
+    "setup_check": q_setup_check,
+    "view_in_later_session": q_view_in_later_session,
     "incremental_projection": q_incremental_projection,
     "incremental_snapshot": q_incremental_snapshot,
     "incremental_metrics": q_incremental_metrics,

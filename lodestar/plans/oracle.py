@@ -393,4 +393,8 @@ ORACLE_SQL |= {
     "incremental_snapshot": ORACLE_SQL["constellation_snapshot"],
     "incremental_metrics": ORACLE_SQL["quality_metrics"],
     "incremental_flag_counts": ORACLE_SQL["quality_flag_counts"],
+    "daily_projection": ORACLE_SQL["projection_to_target"],
+    "view_in_later_session": ORACLE_SQL["mission_type_counts"],
+    "setup_check": """SELECT * FROM (VALUES ('layers', 'OK', 'Found 2 of 2 layers'),
+        ('bronze relations', 'OK', 'Found 4 of 4 bronze relations')) AS t (component, status, details)""",
 }

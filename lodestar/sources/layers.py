@@ -4,9 +4,13 @@
   directory; readers only trust versions whose ``_SUCCESS`` marker exists
   (written by Spark at job commit), so a failed or half-written run is never
   read and a rerun simply writes the version again.
+* ``publish_run``    the tables of one run, which appear together: each is written to
+  its own version directory, then one pointer file that names them all is created.
 * ``publish_view``   silver-style relation: a lazy, replaceable view, with a comment
-  that other sessions can read.
-* ``layer``          read the complete version of a relation that was committed last.
+  that other sessions can read.  ``define_view`` / ``open_view`` keep its definition
+  under the root as well, so that any later session can have the view.
+* ``layer``          read the version of a relation that was committed last, by a run's
+  pointer or, for tables published alone, by its ``_SUCCESS`` marker.
 * ``materialized``   read a relation stored under a content fingerprint, building
   and writing it first when missing (the landed bronze of a source).
 * ``bucketed``       the same for a table bucketed by a key (the upsert state), so
@@ -21,11 +25,12 @@ work on any cluster file system.
 from __future__ import annotations
 
 import hashlib
+import importlib
 import json
 import re
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -38,7 +43,7 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
 
@@ -60,7 +65,25 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False when it exists (nothing is overwritten)."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return False
+    try:
+        out = fs.create(p, False)
+    except Exception as exc:  # noqa: BLE001 - the store's own exception comes as a Py4J error
+        if "exist" in str(exc).lower():
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm
     stream = fs.open(p)
@@ -82,9 +105,9 @@ def layer_root(spark: SparkSession, root: str | None = None) -> str:
     return (root or spark.conf.get(WAREHOUSE_CONF, None) or shared_dir(spark) + "/warehouse").rstrip("/")
 
 
-def _latest_version(spark: SparkSession, base: str) -> str | None:
-    """The complete version that was committed last (by the time of its ``_SUCCESS``
-    marker, then by name), however versions are named."""
+def _latest_version(spark: SparkSession, base: str) -> tuple[int, str] | None:
+    """(time, name) of the complete version that was committed last (by the time of its
+    ``_SUCCESS`` marker, then by name), however versions are named."""
     fs, p = _fs(spark, base)
     if not fs.exists(p):
         return None
@@ -94,7 +117,7 @@ def _latest_version(spark: SparkSession, base: str) -> str | None:
         mark = st.getPath().suffix("/_SUCCESS")
         if st.isDirectory() and name.startswith("v=") and fs.exists(mark):
             found.append((fs.getFileStatus(mark).getModificationTime(), name[2:]))
-    return max(found)[1] if found else None
+    return max(found) if found else None
 
 
 def publish_table(df: DataFrame, layer: str, name: str, root: str | None = None,
@@ -114,13 +137,74 @@ def publish_table(df: DataFrame, layer: str, name: str, root: str | None = None,
     return path
 
 
+KEEP_RUNS = 8
+
+
+def _run_names(spark: SparkSession, base: str) -> list[str]:
+    fs, p = _fs(spark, f"{base}/_runs")
+    if not fs.exists(p):
+        return []
+    return sorted(n for n in (st.getPath().getName() for st in fs.listStatus(p)) if re.fullmatch(r"\d{12}\.json", n))
+
+
+def _runs(spark: SparkSession, base: str, most: int | None = None) -> list[tuple[str, dict]]:
+    """The readable run pointers of a layer (at most ``most``), newest first."""
+    out = []
+    for n in reversed(_run_names(spark, base)):
+        if most is not None and len(out) >= most:
+            break
+        try:
+            out.append((n, json.loads(read_text(spark, f"{base}/_runs/{n}"))))
+        except ValueError:                  # cut off while it was written: not committed
+            continue
+    return out
+
+
+def publish_run(spark: SparkSession, tables: Mapping[str, DataFrame], layer_name: str, run: str,
+                root: str | None = None, keep: int = KEEP_RUNS) -> dict[str, str]:
+    """Publish the tables of a run all or nothing; return their paths.
+
+    Every table is written first (``run=<run>`` directories, which no reader looks at
+    by themselves).  One pointer file then names them all: it is created without
+    overwriting and numbered after the last, so readers see either every table of the
+    run or none.  A relation that the run does not write keeps its earlier version,
+    which is named again.  Pointers beyond ``keep`` and the tables that only they name
+    are deleted."""
+    base = f"{layer_root(spark, root)}/{layer_name}"
+    paths = {}
+    for name, df in tables.items():
+        paths[name] = f"{base}/{name}/run={run}"
+        df.write.mode("overwrite").parquet(paths[name])
+    while True:
+        names, runs = _run_names(spark, base), _runs(spark, base, 1)
+        known = dict(runs[0][1]["tables"]) if runs else {}
+        number = 1 + (int(names[-1][:12]) if names else 0)
+        if create_text(spark, f"{base}/_runs/{number:012d}.json", json.dumps({"run": run, "tables": known | paths})):
+            break
+    for name, path in paths.items():
+        spark.read.parquet(path).createOrReplaceTempView(f"{layer_name}_{name}")
+    runs = _runs(spark, base)
+    live = {path for _, r in runs[:keep] for path in r["tables"].values()}
+    for n, r in runs[keep:]:
+        for path in set(r["tables"].values()) - live:
+            remove_path(spark, path)
+        remove_path(spark, f"{base}/_runs/{n}")
+    return paths
+
+
 def layer(spark: SparkSession, layer_name: str, name: str, root: str | None = None) -> DataFrame:
-    """The latest complete version of ``layer.name``."""
-    base = f"{layer_root(spark, root)}/{layer_name}/{name}"
-    version = _latest_version(spark, base)
-    if version is None:
+    """The version of ``layer.name`` that was committed last, by the newest run that
+    names it or by a table published alone (times of the pointer and the marker)."""
+    base = f"{layer_root(spark, root)}/{layer_name}"
+    marked = _latest_version(spark, f"{base}/{name}")
+    found = [(marked[0], f"{base}/{name}/v={marked[1]}")] if marked else []
+    for n, run in _runs(spark, base, 1):
+        if name in run["tables"]:
+            fs, p = _fs(spark, f"{base}/_runs/{n}")
+            found.append((fs.getFileStatus(p).getModificationTime(), run["tables"][name]))
+    if not found:
         raise FileNotFoundError(f"no complete version of {layer_name}.{name} under {base}")
-    return spark.read.parquet(f"{base}/v={version}")
+    return spark.read.parquet(max(found)[1])
 
 
 def publish_view(df: DataFrame, name: str, comment: str | None = None, root: str | None = None) -> DataFrame:
@@ -134,9 +218,35 @@ def publish_view(df: DataFrame, name: str, comment: str | None = None, root: str
     return df.sparkSession.table(name)
 
 
+def define_view(spark: SparkSession, name: str, builder: str, comment: str | None = None, root: str | None = None, **args) -> DataFrame:
+    """Publish a view and keep its definition: ``builder`` (``package.module:function``,
+    called with the session, the layer root and the JSON values ``args``) makes the relation
+    anew whenever the view is opened, so it shows the state of that moment.  The last
+    definition of a name holds."""
+    base = layer_root(spark, root)
+    _write_text(spark, f"{base}/_views/{name}.json", json.dumps({"builder": builder, "args": args, "comment": comment}))
+    return open_view(spark, name, root)
+
+
+def stored_views(spark: SparkSession, root: str | None = None) -> list[str]:
+    fs, p = _fs(spark, f"{layer_root(spark, root)}/_views")
+    if not fs.exists(p):
+        return []
+    return sorted(n[:-5] for n in (st.getPath().getName() for st in fs.listStatus(p)) if n.endswith(".json"))
+
+
+def open_view(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
+    """Register a stored view in this session (any session of any application over the
+    same root) and return it, with its comment."""
+    base = layer_root(spark, root)
+    made = json.loads(read_text(spark, f"{base}/_views/{name}.json"))
+    module, function = made["builder"].split(":")
+    return publish_view(getattr(importlib.import_module(module), function)(spark, base, **made["args"]), name, made["comment"], root)
+
+
 def view_comment(spark: SparkSession, name: str, root: str | None = None) -> str | None:
     path = f"{layer_root(spark, root)}/_comments/{name}.txt"
-    return _read_text(spark, path) if _exists(spark, path) else None
+    return read_text(spark, path) if path_exists(spark, path) else None
 
 
 def relations(spark: SparkSession, root: str | None = None) -> dict[str, list[str]]:
@@ -167,7 +277,7 @@ def landed_text(spark: SparkSession, name: str, key: str, build: Callable[[], Da
     the folder to read."""
     base = f"{layer_root(spark, root)}/landing/{name}"
     path = f"{base}/v={key}"
-    if not _exists(spark, path + "/_SUCCESS"):
+    if not path_exists(spark, path + "/_SUCCESS"):
         tmp = f"{base}/_tmp-{key}-{uuid.uuid4().hex[:8]}"
         w = build().write.mode("overwrite")
         if partition_by:
@@ -193,7 +303,7 @@ def materialized(spark: SparkSession, layer_name: str, name: str, key: str,
     and the loser's copy stays hidden."""
     base = f"{layer_root(spark, root)}/{layer_name}/{name}"
     path = f"{base}/v={key}"
-    if not _exists(spark, path + "/_SUCCESS"):
+    if not path_exists(spark, path + "/_SUCCESS"):
         tmp_version = f"{key}-{uuid.uuid4().hex[:8]}"
         tmp = publish_table(build(), layer_name, name, root, version=tmp_version,
                             partition_by=partition_by, prefix="_tmp-")
@@ -267,7 +377,7 @@ def bucketed(spark: SparkSession, layer_name: str, name: str, key: str, by: str,
     key = f"{key}_{by}_{buckets}"
     path = f"{base}/b={key}"
     table = re.sub(r"\W", "_", f"{layer_name}_{name}_{key}")
-    if not _exists(spark, path + "/_SUCCESS"):
+    if not path_exists(spark, path + "/_SUCCESS"):
         tmp_table = f"{table}_tmp_{uuid.uuid4().hex[:8]}"  # noqa: S608
         tmp = f"{base}/_tmp-{key}-{uuid.uuid4().hex[:8]}"
         built = build()
@@ -285,7 +395,7 @@ def bucketed(spark: SparkSession, layer_name: str, name: str, key: str, by: str,
             fs.rename(_fs(spark, tmp)[1], final)
         spark.sql(f"DROP TABLE IF EXISTS {table}")
     if not spark.catalog.tableExists(table):
-        schema = T.StructType.fromJson(json.loads(_read_text(spark, f"{path}/_schema.json")))
+        schema = T.StructType.fromJson(json.loads(read_text(spark, f"{path}/_schema.json")))
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(schema)}) USING parquet "
                   f"CLUSTERED BY (`{by}`) SORTED BY (`{by}`) INTO {buckets} BUCKETS LOCATION '{path}'")
     return spark.table(table)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.operators.upsert import KEEP_COLS, ORDER_COL, UPDATE_COLS, current_state, merge_state, overlay
-from lodestar.sources.layers import _ddl, _exists, _fs, _read_text, _write_text, layer_root, path_bytes
+from lodestar.sources.layers import _ddl, _fs, _write_text, create_text, layer_root, path_bytes, path_exists, read_text
 
 COMPACT_EVERY = 8
 KEEP_COMMITS = 16
@@ -67,7 +67,7 @@ def latest_pointer(spark: SparkSession, base: str) -> dict | None:
     """The newest readable commit under ``base``."""
     for n in reversed(_commit_names(spark, base)):
         try:
-            return json.loads(_read_text(spark, f"{base}/_commits/{n}"))
+            return json.loads(read_text(spark, f"{base}/_commits/{n}"))
         except ValueError:                  # cut off while it was written: not committed
             continue
     return None
@@ -80,21 +80,7 @@ def latest_commit(spark: SparkSession, name: str, root: str | None = None) -> di
 
 def _write_pointer(spark: SparkSession, base: str, commit: dict) -> bool:
     """Create the commit's pointer file; False when that version exists."""
-    path = f"{base}/_commits/{commit['version']:012d}.json"
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        return False
-    try:
-        out = fs.create(p, False)
-    except Exception as exc:  # noqa: BLE001 - the store's own exception comes as a Py4J error
-        if "exist" in str(exc).lower():
-            return False
-        raise
-    try:
-        out.write(bytearray(json.dumps(commit).encode()))
-    finally:
-        out.close()
-    return True
+    return create_text(spark, f"{base}/_commits/{commit['version']:012d}.json", json.dumps(commit))
 
 
 def commit_pointer(spark: SparkSession, base: str, change) -> dict | None:
@@ -114,7 +100,7 @@ def _manifest(spark: SparkSession, commit: dict | None) -> dict | None:
     """The base that a commit names: path, key, buckets, schema, files by bucket."""
     if not commit or not commit.get("base"):
         return None
-    return json.loads(_read_text(spark, commit["base"])) | {"path": commit["base"]}
+    return json.loads(read_text(spark, commit["base"])) | {"path": commit["base"]}
 
 
 def _live_names(files: dict[str, list]) -> str:
@@ -180,7 +166,7 @@ def read_state(spark: SparkSession, name: str, key: str = "id", root: str | None
 def commit_at(spark: SparkSession, name: str, version: int, root: str | None = None) -> dict | None:
     """The commit of that version while it is kept."""
     path = f"{_base(spark, name, root)}/_commits/{version:012d}.json"
-    return json.loads(_read_text(spark, path)) if _exists(spark, path) else None
+    return json.loads(read_text(spark, path)) if path_exists(spark, path) else None
 
 
 def _history(spark: SparkSession, name: str, since: dict, until: dict, root: str | None) -> list[str] | None:
@@ -359,7 +345,7 @@ def expire(spark: SparkSession, base: str, keep: int = KEEP_COMMITS) -> None:
 
     def read(n):
         try:
-            return json.loads(_read_text(spark, f"{base}/_commits/{n}"))
+            return json.loads(read_text(spark, f"{base}/_commits/{n}"))
         except ValueError:
             return {"deltas": []}
     gone = set()
@@ -369,7 +355,7 @@ def expire(spark: SparkSession, base: str, keep: int = KEEP_COMMITS) -> None:
         gone |= _paths(spark, read(n))
     for path in gone - live:
         if "/_manifests/" in path:
-            made = json.loads(_read_text(spark, path))
+            made = json.loads(read_text(spark, path))
             spark.sql(f"DROP TABLE IF EXISTS {_table_name(path, _live_names(made['files']))}")     # external: a definition only
         fs, p = _fs(spark, path)
         fs.delete(p, True)
@@ -379,4 +365,4 @@ def expire(spark: SparkSession, base: str, keep: int = KEEP_COMMITS) -> None:
 
 
 def state_exists(spark: SparkSession, name: str, root: str | None = None) -> bool:
-    return _exists(spark, f"{_base(spark, name, root)}/_commits") and latest_commit(spark, name, root) is not None
+    return path_exists(spark, f"{_base(spark, name, root)}/_commits") and latest_commit(spark, name, root) is not None

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.json import jtext
 from lodestar.session import shared_dir
 from lodestar.sources.documents import DEFAULT_SOURCE_SYSTEM, natural
-from lodestar.sources.layers import _exists, _fs, _read_text, _write_text, layer_root
+from lodestar.sources.layers import _fs, _write_text, layer_root, path_exists, read_text
 from lodestar.sources.state import append_batch, read_state
 
 
@@ -59,7 +59,7 @@ def _documents(raw: DataFrame, layout: str, key: str) -> DataFrame:
 
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
-    return json.loads(_read_text(spark, f"{checkpoint}/metadata"))["id"]
+    return json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
 
 
 def _store_rejects(docs: DataFrame, path: str, stream: str, batch_id: int) -> None:
@@ -74,8 +74,8 @@ def _first_batch(spark: SparkSession, log_path: str, stream: str) -> int:
     """The log's batch number of the stream's batch 0: after all batches that were
     there when the stream first wrote."""
     note = f"{log_path}/_streams/{stream}.json"
-    if _exists(spark, note):
-        return json.loads(_read_text(spark, note))["first"]
+    if path_exists(spark, note):
+        return json.loads(read_text(spark, note))["first"]
     fs, p = _fs(spark, log_path)
     names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
     first = 1 + max((int(n[6:]) for n in names if n.startswith("batch=")), default=-1)
