@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions.json import jtext
+from lodestar.sources.arrays import read_elements
 
 # Default value of the envelope's source_system column (set ``source_system`` to name another).
 DEFAULT_SOURCE_SYSTEM = "api_v4"
@@ -37,32 +38,18 @@ def read_documents(spark: SparkSession, path: str, layout: str = "lines",
     file range like any text source.
     ``layout="array_lines"``: one reply (a JSON array) per line, splittable likewise.
     ``layout="array"``: each file holds one reply that is a JSON array, as replies
-    are produced; a file is read by one task (it is one JSON value), so a reply has to
-    fit there: use the other layouts for large dumps.
+    are produced; a file is split by byte ranges all the same (``sources.arrays``), and
+    read twice for it.  What cannot be read of a file that is no whole array is rejected.
 
     ``keep_rejects`` adds ``raw`` (the text) and ``reason`` for what cannot be stored
     (malformed text, a reply that is no array, a missing key), see ``rejects`` and
     ``documents``; without it such rows come as they are, with NULL data or id."""
     if layout not in ("lines", "array", "array_lines"):
         raise ValueError(f"unknown layout {layout!r}")
-    text = (spark.read.text(path, wholetext=layout == "array")
-            .select(F.col("value"), F.col("_metadata.file_path").alias("file"),
-                    F.col("_metadata.file_block_start").alias("block"),
-                    F.monotonically_increasing_id().alias("row"))
-            .where(F.length(F.trim("value")) > 0))
-    parsed = text.withColumn("data", F.try_parse_json("value"))
-    malformed = F.col("data").isNull()
-    if layout == "lines":
-        rows = parsed.select("file", "block", "row", F.lit(0).cast("long").alias("idx"), "data",
-                             F.when(malformed, "malformed").alias("reason"), F.when(malformed, F.col("value")).alias("raw"))
+    if layout == "array":
+        rows = _array_rows(spark, path)
     else:
-        elements = F.try_variant_get("data", "$", "array<variant>")
-        reason = F.when(malformed, "malformed").when(elements.isNull(), "not_an_array")
-        # a reply that cannot be read stays as one row without data
-        items = F.when(reason.isNull(), elements).otherwise(F.array(F.lit(None).cast("variant")))
-        rows = (parsed.select("file", "block", "row", reason.alias("reason"), F.when(reason.isNotNull(), F.col("value")).alias("raw"),
-                              F.posexplode(items).alias("idx", "data"))
-                .withColumn("idx", F.col("idx").cast("long")))
+        rows = _line_rows(spark, path, layout)
     ident = jtext("data", key)
     pos = F.struct(natural(F.col("file")).alias("file"), "block", "row", "idx")
     out = rows.select(ident.alias("id"), "data", "file", pos.alias("pos"), "raw", "reason")
@@ -73,6 +60,35 @@ def read_documents(spark: SparkSession, path: str, layout: str = "lines",
     return out.drop("raw", "reason")
 
 
+def _array_rows(spark: SparkSession, path: str) -> DataFrame:
+    parsed = F.try_parse_json("value")
+    reason = F.when(F.col("data").isNull(), "malformed").when(F.col("stray"), "not_an_array")
+    return (read_elements(spark, path).select("file", "block", F.lit(0).cast("long").alias("row"), "idx", "value", "stray", parsed.alias("data"))
+            .withColumn("reason", reason)
+            .select("file", "block", "row", "idx", F.when(F.col("reason").isNull(), F.col("data")).alias("data"), "reason",
+                    F.when(F.col("reason").isNotNull(), F.col("value")).alias("raw")))
+
+
+def _line_rows(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    text = (spark.read.text(path)
+            .select(F.col("value"), F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+            .where(F.length(F.trim("value")) > 0))
+    parsed = text.withColumn("data", F.try_parse_json("value"))
+    malformed = F.col("data").isNull()
+    if layout == "lines":
+        return parsed.select("file", "block", "row", F.lit(0).cast("long").alias("idx"), "data",
+                             F.when(malformed, "malformed").alias("reason"), F.when(malformed, F.col("value")).alias("raw"))
+    elements = F.try_variant_get("data", "$", "array<variant>")
+    reason = F.when(malformed, "malformed").when(elements.isNull(), "not_an_array")
+    # a reply that cannot be read stays as one row without data
+    items = F.when(reason.isNull(), elements).otherwise(F.array(F.lit(None).cast("variant")))
+    return (parsed.select("file", "block", "row", reason.alias("reason"), F.when(reason.isNotNull(), F.col("value")).alias("raw"),
+                          F.posexplode(items).alias("idx", "data"))
+            .withColumn("idx", F.col("idx").cast("long")))
+
+
 def rejects(landed: DataFrame) -> DataFrame:
     """(file, pos, reason, raw) of what a landing read with ``keep_rejects`` cannot store."""
     return landed.where(F.col("reason").isNotNull()).select("file", "pos", "reason", "raw")

@@ -43,7 +43,7 @@ def _documents(raw: DataFrame, layout: str, key: str) -> DataFrame:
     if layout == "lines":
         rows = text.select("file", "block", "row", F.lit(0).cast("long").alias("idx"), "data",
                            F.when(malformed, "malformed").alias("reason"), "value")
-    elif layout == "array":
+    elif layout in ("array", "array_lines"):
         elements = F.try_variant_get("data", "$", "array<variant>")
         reason = F.when(malformed, "malformed").when(elements.isNull(), "not_an_array")
         items = F.when(reason.isNull(), elements).otherwise(F.array(F.lit(None).cast("variant")))
