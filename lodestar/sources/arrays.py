@@ -158,7 +158,7 @@ class _Cutter:
 
     def _emit(self, kind: int, text: bytes):
         self.idx += 1
-        return self.idx, kind, text
+        return self.idx - 1, kind, text
 
     def feed(self, raw: np.ndarray):
         if self.region in ("stray", "after"):
