@@ -2,9 +2,13 @@
 
 Each line with a word gets features from its words (symbols, digits, capitals,
 repeats, separators, sentence marks, lengths); a two-label chain (content or
-boilerplate) is fitted on a bounded sample of labelled documents, whose quality
-label stands in for each line's, and decoded by Viterbi over every line of every
-text.  A document stays when the labelled content is at least ``CONTENT_SHARE`` of
+boilerplate) is fitted on a bounded sample of labelled documents and decoded by Viterbi
+over every line of every text.  Lines have no labels of their own to learn from, so
+these are hidden: they start as the document's, and are then decoded anew by each
+fitted chain, under the constraint that the content share of a good document stays
+above ``CONTENT_SHARE`` and that of a bad one below.  Staying in a label is worth at
+most ``STAY`` more than leaving it, so lines of one kind never carry those of the other
+along whatever their own evidence.  A document stays when the labelled content is at least ``CONTENT_SHARE`` of
 its words and no base rule fails.  Texts are worked through in slices of a few MB,
 whole texts only; decoding runs in step over the texts of a slice.
 """
@@ -26,6 +30,12 @@ CONTENT_SHARE = 0.5
 FIT_DOCUMENTS = 3_000
 #: Lines of a training sequence; longer texts give several sequences.
 FIT_LINES = 64
+#: Most training sequences, by hash order (so at most 50 MB of features).
+FIT_SEQUENCES = 6_000
+#: Bound of a chain weight: a switch costs at most twice this against staying.
+STAY = 0.75
+#: Fits of the chain, each to the labels that the one before decodes.
+FIT_ROUNDS = 4
 
 SYMBOL = np.zeros(256, dtype=bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -181,7 +191,8 @@ def viterbi(score: np.ndarray, step: np.ndarray, first: np.ndarray) -> np.ndarra
 
 def fit_chain(features: np.ndarray, labels: np.ndarray, first: np.ndarray, rounds: int = 250,
               rate: float = 0.3, ridge: float = 1e-5) -> LineModel:
-    """Maximum likelihood of the chain (forward and backward sums, Adam steps)."""
+    """Maximum likelihood of the chain (forward and backward sums, Adam steps), its step
+    weights within ``STAY`` of zero."""
     lines, n_feat = features.shape
     emit, step = np.zeros((2, n_feat)), np.zeros((2, 2))
     order, size = _padded(first)
@@ -219,15 +230,51 @@ def fit_chain(features: np.ndarray, labels: np.ndarray, first: np.ndarray, round
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
         move = rate * (m / (1 - 0.9 ** r)) / (np.sqrt(v / (1 - 0.99 ** r)) + 1e-8) / (1 + r / 50)
         emit += move[:-4].reshape(2, n_feat)
-        step += move[-4:].reshape(2, 2)
+        step = np.clip(step + move[-4:].reshape(2, 2), -STAY, STAY)
     return LineModel(emit, step)
 
 
+def hidden_labels(model: LineModel, features: np.ndarray, good: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Labels of the lines of training sequences (``good``: the label of each one's
+    document): as decoded, but where their content share is on the wrong side, the lines
+    with the most evidence for the document's label take it until the share is right."""
+    score = features @ model.emit.T
+    labels = viterbi(score, model.step, first)
+    words = np.expm1(8 * features[:, FEATURES.index("log_words")])
+    margin = score[:, 0] - score[:, 1]
+    sequence = np.repeat(np.arange(len(good)), np.diff(first))
+    total = np.bincount(sequence, weights=words, minlength=len(good))
+    content = np.bincount(sequence, weights=words * (labels == 0), minlength=len(good))
+    for i in np.flatnonzero((content >= CONTENT_SHARE * total) != good):
+        a, b = first[i], first[i + 1]
+        for j in a + np.argsort(-margin[a:b] if good[i] else margin[a:b], kind="stable"):
+            if (content[i] >= CONTENT_SHARE * total[i]) == good[i]:
+                break
+            if (labels[j] == 0) != good[i]:
+                content[i] += words[j] if good[i] else -words[j]
+                labels[j] = 0 if good[i] else 1
+    return labels
+
+
+def fit_hidden(features: np.ndarray, good: np.ndarray, first: np.ndarray, rounds: int = FIT_ROUNDS) -> LineModel:
+    """Fit the chain with hidden line labels, starting from each document's."""
+    labels = np.repeat(np.where(good, 0, 1), np.diff(first))
+    model = fit_chain(features, labels, first)
+    for _ in range(rounds - 1):
+        again = hidden_labels(model, features, good, first)
+        if (again == labels).all():
+            break
+        labels = again
+        model = fit_chain(features, labels, first)
+    return model
+
+
 def train_line_model(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> LineModel:
     """Fit the chain on at most ``most`` labelled documents (``labels``: doc_id,
-    quality; smallest xxhash64 of doc_id first).  Their lines are measured by the
-    executors; only line features of this bounded sample reach the driver.  Without
-    a labelled document every line counts as content."""
+    quality; smallest xxhash64 of doc_id first), in at most ``FIT_SEQUENCES`` sequences
+    of their lines.  Lines are measured by the executors; only line features of this
+    bounded sample reach the driver.  Without a labelled document every line counts as
+    content."""
     some = (labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id").select("doc_id", "quality", "text")
@@ -243,13 +290,13 @@ def train_line_model(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMEN
                     yield pa.record_batch([pa.array([int(ids[i])], pa.int64()), pa.array([k], pa.int64()), pa.array([int(quality[i])], pa.int64()),
                                            pa.array([got.features[at[k:k + FIT_LINES]].astype("<f8").tobytes()])],
                                           names=["doc_id", "k", "quality", "features"])
-    got = rows.mapInArrow(run, "doc_id long, k long, quality long, features binary").orderBy("doc_id", "k", "features").collect()
+    got = (rows.mapInArrow(run, "doc_id long, k long, quality long, features binary")
+           .orderBy(F.xxhash64("doc_id", "k"), "doc_id", "k", "features").limit(FIT_SEQUENCES).collect())
     blocks = [np.frombuffer(r["features"], "<f8").reshape(-1, len(FEATURES)) for r in got]
     if not blocks:
         return LineModel(np.zeros((2, len(FEATURES))), np.zeros((2, 2)))
-    sizes = [len(b) for b in blocks]
-    return fit_chain(np.concatenate(blocks), np.repeat([1 - min(1, max(0, r["quality"])) for r in got], sizes),
-                     np.concatenate([[0], np.cumsum(sizes)]))
+    first = np.concatenate([[0], np.cumsum([len(b) for b in blocks])])
+    return fit_hidden(np.concatenate(blocks), np.array([r["quality"] >= 1 for r in got]), first)
 
 
 def judge(column: pa.Array, model: LineModel) -> tuple[Measured, np.ndarray, np.ndarray]:

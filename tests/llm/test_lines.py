@@ -76,3 +76,38 @@ def test_no_labels_and_empty_tables(spark):
     one = spark.createDataFrame([(1, "some words " + " ".join(map(str, range(30)))), (2, None)], "doc_id long, text string")
     assert {r["doc_id"]: r["kept"] for r in lines.line_quality(one, model).collect()} == {1: True, 2: False}
     assert EDGES
+
+
+def test_lines_carry_their_own_labels(spark):
+    """Navigation beside sentences is told apart, in either order, and mixed documents
+    are common."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = lines.train_line_model(docs, labels)
+    assert np.abs(model.step).max() <= lines.STAY
+    prose = max((r["text"] for r in docs.join(labels.where("quality = 1"), "doc_id").where("lang = 'en'").collect()), key=len)
+    sentences = "\n".join([s + "." for s in re.sub(r"\s+", " ", prose).split(". ") if len(s.split()) > 6][:6])
+    nav = "\n".join(["Home | About | Contact | Login"] * 12)
+    column = pa.array([nav + "\n" + sentences, sentences + "\n" + nav, sentences + "\n" + nav + "\n" + sentences])
+    got = lines.measure(column)
+    first = np.searchsorted(got.line_text, np.arange(4))
+    labels_of = lines.viterbi(got.features @ model.emit.T, model.step, first).tolist()
+    assert labels_of == [1] * 12 + [0] * 6 + [0] * 6 + [1] * 12 + [0] * 6 + [1] * 12 + [0] * 6
+    judged = lines.line_quality(docs, model).where("n_words > 0").collect()
+    mixed = sum(0 < r["content_words"] < r["n_words"] for r in judged)
+    assert mixed > 0.02 * len(judged)
+
+
+def test_hidden_labels_keep_the_share_of_the_document():
+    rng = np.random.default_rng(8)
+    first = np.concatenate([[0], np.cumsum(rng.integers(1, 9, 200))])
+    features = rng.normal(size=(first[-1], len(lines.FEATURES)))
+    features[:, lines.FEATURES.index("log_words")] = np.log1p(rng.integers(1, 30, first[-1])) / 8
+    model = lines.LineModel(rng.normal(size=(2, len(lines.FEATURES))), np.array([[0.5, -0.5], [-0.5, 0.5]]))
+    good = rng.random(200) < 0.5
+    labels = lines.hidden_labels(model, features, good, first)
+    words = np.expm1(8 * features[:, lines.FEATURES.index("log_words")]).round()
+    for i, (a, b) in enumerate(zip(first[:-1], first[1:])):
+        share = words[a:b][labels[a:b] == 0].sum() / words[a:b].sum()
+        assert (share >= lines.CONTENT_SHARE - 1e-9) == good[i]
+    assert (labels != lines.viterbi(features @ model.emit.T, model.step, first)).mean() < 0.5
