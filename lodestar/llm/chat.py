@@ -58,9 +58,8 @@ def events_of_rows(rows: DataFrame, delta: int = DELTA) -> DataFrame:
     message = F.struct(F.col("turn").alias("turn"), F.col("role").cast("string").alias("role"), F.xxhash64(text).alias("h"),
                        F.monotonically_increasing_id().alias("row"))
     named = rows.select("conv_id", message.alias("message"), F.col("role").cast("string").alias("role"), text.alias("text"))
-    last = F.ceil(F.length("text") / F.lit(delta)).cast("int")
-    chunks = F.transform(F.sequence(F.lit(0), last), lambda i: F.when(i == 0, F.lit("")).otherwise(
-        F.substring(F.col("text"), (i - 1) * delta + 1, F.lit(delta))))
+    # one pass over the text, whatever its length: pieces of up to ``delta`` code points
+    chunks = F.concat(F.array(F.lit("")), F.regexp_extract_all("text", F.lit(f"(?s).{{1,{delta}}}"), F.lit(0)))
     return (named.select("conv_id", "message", "role", F.posexplode(chunks).alias("seq", "piece"))
             .select("conv_id", "message", F.col("seq").cast("long").alias("seq"),
                     F.when(F.col("seq") == 0, "message").otherwise("delta").alias("kind"), "role", F.col("piece").alias("text")))

@@ -9,6 +9,8 @@ again over every blob, the others are not.
 
 Matches and their places come from splitting a text at the rule's pattern: the
 lengths of the parts and of the matches between them add up to code point offsets.
+Arrays are folded in groups of ``GROUP``, and long texts are cleaned in blocks of
+``BLOCK`` code points, so that a fold never copies a long result once a match.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ from pyspark.sql import functions as F
 
 from lodestar.session import shared_dir
 
+#: Matches folded together, and code points of a text cleaned together.
+GROUP, BLOCK = 256, 1 << 14
+
 SPAN = "array<struct<start:int,ord:int,end:int,kind:string>>"
 LEDGER_SCHEMA = f"blob string, rule string, spans {SPAN}"
 
@@ -76,22 +81,42 @@ def spans_of(text: Column, rule: Rule, order: int) -> Column:
     """Spans of one rule in ``text``: leftmost, non-overlapping, failing matches dropped."""
     pattern = F.lit(rule.pattern)
     hits = F.regexp_extract_all(text, pattern, F.lit(0))
-    # one fold over the matches: place so far, spans so far
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
+    parts = F.slice(F.split(text, rule.pattern, -1), 1, F.size(hits))
+    pairs = F.zip_with(parts, hits, lambda p, h: F.struct(
+        F.length(p).alias("gap"), F.length(h).alias("size"),
+        ((F.length(h) if rule.group == 0 else F.length(F.regexp_extract(h, rule.pattern, rule.group))) >= rule.least).alias("good")))
 
+    # within a group, one fold over its matches: place so far, spans so far
     def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.length(pair["part"])
-        end = start + F.length(pair["hit"])
-        size = F.length(pair["hit"]) if rule.group == 0 else F.length(F.regexp_extract(pair["hit"], rule.pattern, rule.group))
+        start = acc["at"] + pair["gap"]
+        end = start + pair["size"]
         span = F.array(F.struct(start.alias("start"), F.lit(order).alias("ord"), end.alias("end"), F.lit(rule.kind).alias("kind")))
-        return F.struct(end.alias("at"), F.when(size >= rule.least, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+        return F.struct(end.alias("at"), F.when(pair["good"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
-    parts = F.slice(F.split(text, rule.pattern, -1), 1, F.size(hits))
-    pairs = F.zip_with(parts, hits, lambda p, h: F.struct(p.alias("part"), h.alias("hit")))
-    found = F.aggregate(pairs, zero, step, lambda acc: acc["spans"])
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
+
+    def shifted(folded: Column) -> Column:
+        # where each group starts: one more fold, over the groups
+        starts = F.aggregate(folded, F.array(F.lit(0)), lambda acc, f: F.concat(acc, F.array(F.element_at(acc, -1) + f["at"])))
+        return F.flatten(F.zip_with(folded, F.slice(starts, 1, F.size(folded)), lambda f, at: F.transform(f["spans"], lambda s: F.struct(
+            (s["start"] + at).alias("start"), s["ord"].alias("ord"), (s["end"] + at).alias("end"), s["kind"].alias("kind")))))
+
+    found = _let(pairs, lambda p: _let(F.transform(_groups(p), lambda g: F.aggregate(g, zero, step)), shifted))
     return F.when(text.rlike(_needs(rule)), found).otherwise(F.array().cast(SPAN))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _groups(items: Column) -> Column:
+    """An array cut into arrays of ``GROUP`` items."""
+    many = F.ceil(F.size(items) / F.lit(GROUP)).cast("int")
+    at = F.when(many > 0, F.sequence(F.lit(0), many - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda i: F.slice(items, i * GROUP + 1, F.lit(GROUP)))
+
+
 def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES,
          path_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(findings, entries): ``findings`` has one row per row of ``versions`` (path, blob,
@@ -139,16 +164,21 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule,
     found = (findings.where(F.size("spans") > 0).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
              .dropDuplicates(["_blob"]))
     text = F.col(f"`{text_col}`").cast("string")
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
-                         F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        inside = s["start"] < acc["at"]
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(inside, acc["out"]).otherwise(fresh).alias("out"))
+    def clean_block(block: Column, i: Column) -> Column:
+        """A block of the text without its spans: an array of the pieces that stay."""
+        low = i * BLOCK
+        reached = F.array_max(F.transform(F.filter("_spans", lambda s: s["start"] < low), lambda s: s["end"]))
+
+        def step(acc: Column, s: Column) -> Column:
+            fresh = F.concat(acc["out"], F.substring(block, acc["at"] - low + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] < acc["at"], acc["out"]).otherwise(fresh).alias("out"))
+        mine = F.filter("_spans", lambda s: (s["start"] >= low) & (s["start"] < low + BLOCK))
+        zero = F.struct(F.greatest(low, F.coalesce(reached, F.lit(0))).alias("at"), F.lit("").alias("out"))
+        return F.aggregate(mine, zero, step, lambda acc: F.concat(acc["out"], F.substring(block, acc["at"] - low + 1, F.lit(BLOCK))))
 
-    clean = F.aggregate("_spans", zero, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    clean = F.array_join(F.transform(blocks, clean_block), "")
     joined = docs.join(found, F.sha2(F.coalesce(text, F.lit("")), 256) == F.col("_blob"), "left")
     return joined.select(*[F.when(F.col("_spans").isNull(), F.col(f"`{c}`")).otherwise(clean).alias(c) if c == text_col
                            else F.col(f"`{c}`") for c in docs.columns])

@@ -67,3 +67,24 @@ def test_one_conversation_with_most_rows(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
     got = chat.digest(chat.format_conversations(chat.events_of_rows(df))).collect()
     assert {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in got} == want(rows)
+
+
+def test_a_very_long_turn_takes_time_in_proportion(spark):
+    import time
+    text = "ab😀</s>" * 2_300_000                      # 16 million code points
+    t = time.time()
+    rows = spark.createDataFrame([(1, 0, "assistant", text)], "conv_id long, turn long, role string, text string")
+    got = chat.digest(chat.format_conversations(chat.events_of_rows(rows))).first()
+    assert got["loss_sha256"] == hashlib.sha256(text.encode()).hexdigest() and got["loss_chars"] == len(text)
+    assert time.time() - t < 100
+
+
+def test_deltas_are_cut_by_code_points(spark):
+    texts = ["", "a", "a" * 1024, "a" * 1025, "😀" * 1500, "\n\r\n " * 700, None]
+    rows = spark.createDataFrame([(i, 0, "user", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    got = {}
+    for r in chat.events_of_rows(rows).orderBy("conv_id", "seq").collect():
+        got.setdefault(r["conv_id"], []).append((r["kind"], r["text"]))
+    for i, t in enumerate(texts):
+        t = t or ""
+        assert got[i] == [("message", "")] + [("delta", t[k:k + 1024]) for k in range(0, len(t), 1024)]

@@ -102,3 +102,27 @@ def test_query_and_plan(spark):
 def test_empty_table(spark):
     findings, entries = secrets.scan(empty_docs(spark))
     assert findings.count() == 0 and entries.count() == 0 and secrets.redact(empty_docs(spark)).count() == 0
+
+
+def test_many_spans_in_one_text(spark):
+    """Time and result stay in proportion: 200,000 spans in one text, redacted too."""
+    import time
+    n = 200_000
+    text = " ".join(f"{i:032x}é" for i in range(n))
+    docs = spark.createDataFrame([(1, text), (2, "x" * 70_000 + " token=abcdefgh1 " + "y" * 40_000)], "doc_id long, text string")
+    t = time.time()
+    spans = {r["path"]: r["spans"] for r in secrets.scan(docs)[0].collect()}
+    assert [(s["start"], s["end"]) for s in spans[1]] == [(34 * i, 34 * i + 32) for i in range(n)]
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert clean[1] == " ".join(["[HEX]é"] * n) and clean[2] == "x" * 70_000 + " [ASSIGN] " + "y" * 40_000
+    assert time.time() - t < 120
+
+
+def test_blocks_and_groups_change_nothing(spark, monkeypatch):
+    rows = [(i, f"é{'z' * (i % 13)} password: {'ab12' * (2 + i % 9)}, AKIA{'Q7' * (6 + i % 5)} {'0f' * (10 + i)} token='x{i:09d}'" * (1 + i % 4)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    view = lambda: (sorted(map(str, secrets.scan(docs)[0].collect())), sorted(map(str, secrets.redact(docs).collect())))
+    want = view()
+    monkeypatch.setattr(secrets, "GROUP", 2)
+    monkeypatch.setattr(secrets, "BLOCK", 7)
+    assert view() == want
