@@ -93,7 +93,10 @@ def jmap(s, dtype: str = NUMBER) -> Column:
     """Flat JSON object text -> MAP; values (numbers or numeric strings) as DECIMAL, so sums
     are exact in any order.  Malformed text, repeated keys and values that are no number or
     do not fit raise; JSON null is NULL."""
-    return F.variant_get(F.parse_json(_col(s)), "$", f"map<string,{dtype}>")
+    made = F.variant_get(F.parse_json(_col(s)), "$", f"map<string,{dtype}>")
+    # documents may repeat keys (a session setting), a map that is added up may not
+    keys = F.json_object_keys(_col(s))
+    return F.when(F.size(keys) > F.size(F.array_distinct(keys)), F.raise_error(F.lit("a map repeats a key"))).otherwise(made)
 
 
 def map_sum(m) -> Column:

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from lodestar.functions.json import (jabsent, jbool, jlen, jmap, jnull, jnum, jpath, jtext,
@@ -63,7 +64,6 @@ def test_map_total_and_document(spark):
 def test_wide_and_small_map_values_stay_in_the_total(spark):
     from decimal import Decimal
 
-    import pytest
     from lodestar.plans.extras import map_totals, order_totals
     rows = [('{"a":1000000000000000,"b":2}',), ('{"c":0.0000004,"d":0.0000004}',), ('{"e":"1.5","f":null,"g":1.25e2}',),
             ('{"h":0.000000000000000001,"i":123456789012345678.000000000000000001}',), ("{}",), (None,)]
@@ -81,3 +81,14 @@ def test_element_of_array_path(spark, docs):
     df = docs([{"id": "r", "chart": {"result": [{"meta": {"symbol": "NVDA"}}, {"meta": {"symbol": "X"}}]}}])
     assert df.select(jtext("data", "chart.result[0].meta.symbol")).first()[0] == "NVDA"
     assert df.select(jtext("data", "chart.result[0]")).first()[0] == '{"meta":{"symbol":"NVDA"}}'
+
+
+def test_a_map_with_a_repeated_key_raises(spark):
+    from lodestar.session import configure
+    configure(spark)
+    rows = spark.createDataFrame([('{"a":1,"b":{"a":2}}',), ('{"a":1,"a":2}',), ("null",), ("{}",)], "s string")
+    total = lambda text: rows.where(F.col("s") == text).select(map_sum(jmap("s")).alias("t")).first()["t"]
+    with pytest.raises(Exception, match="repeats a key"):
+        total('{"a":1,"a":2}')
+    assert total("null") is None and total("{}") == 0
+
