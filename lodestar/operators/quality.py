@@ -41,6 +41,25 @@ def check_not_null(df: DataFrame, cols: Sequence[str], prefix: str = "not_null_"
     return agg.select(F.expr(f"stack({len(cols)}, {pairs}) AS (check, failures)"))
 
 
+def check_unique_batch(stored: DataFrame, batch: DataFrame, key: str, name: str | None = None) -> DataFrame:
+    """``check_unique`` for the keys of a batch only: failures = those of its keys that
+    the stored relation holds more than once.  The batch's distinct keys are shuffled to
+    the stored side's buckets, whose key column is read in place and meets them there
+    before it is counted."""
+    keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
+    counted = stored.select(key).join(keys.hint("shuffle_hash"), key, "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counted.agg(F.count_if(F.col("n") > 1).alias("failures")).select(F.lit(name or f"unique_{key}").alias("check"), "failures")
+
+
+def key_counts(df: DataFrame, key: str = "id") -> DataFrame:
+    """One row: total_rows, distinct_ids, duplicate_rows.  Distinct keys are counted as
+    groups of one key: partial counts absorb hot keys, and a table bucketed by the key
+    is counted bucket by bucket without a shuffle of its keys."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total, distinct = F.coalesce(F.sum("n"), F.lit(0)).cast("long"), F.count(key)
+    return per_key.agg(total.alias("total_rows"), distinct.alias("distinct_ids"), (total - distinct).alias("duplicate_rows"))
+
+
 def check_results(checks: Sequence[DataFrame], severity: str = "warn") -> DataFrame:
     """Union of check rows with the warn/error verdicts."""
     out = None

@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 
 from lodestar.functions.json import jabsent, jbool, jlen, jnull, jnum, jtext, to_document
 from lodestar.operators.consistency import deployment_check
-from lodestar.operators.quality import (check_not_null, check_results, check_unique, duplicates,
-                                        extraction_summary, gate_rows, layer_report, quality_metrics,
+from lodestar.operators.quality import (check_not_null, check_results, check_unique, check_unique_batch, duplicates,
+                                        extraction_summary, gate_rows, key_counts, layer_report, quality_metrics,
                                         table_checks)
 from lodestar.operators.upsert import current_state, merge_state, upsert_stats
 from lodestar.plans import incremental
@@ -468,6 +468,25 @@ def q_duplicate_rows(spark, d):
         (F.count(F.lit(1)) - F.count_distinct("id")).alias("duplicate_rows"))
 
 
+def satellite_history(spark, d):
+    """Every satellite version, stored bucketed by id (the narrow columns)."""
+    paths = [f"{d.rstrip('/')}/lineitem.parquet"]
+    key = fingerprint(spark, paths, salt=f"satellite_history:{DERIVATION_VERSION}")
+    return bucketed(spark, "bronze", "satellite_history", key, "id", buckets_for(spark, path_bytes(spark, paths[0])),
+                    lambda: satellite_log(spark, d).select("id", "batch", "extracted_at"))
+
+
+def q_bucketed_key_counts(spark, d):
+    """Rows, distinct ids and surplus rows of the bucketed history: no id is shuffled."""
+    return key_counts(satellite_history(spark, d), "id")
+
+
+def q_check_unique_batch(spark, d):
+    """Ids of the second batch that the stored history holds more than once."""
+    batch = satellite_log(spark, d).where(F.col("batch") == 1)
+    return check_unique_batch(satellite_history(spark, d), batch, "id", "unique_satellite_history_id").withColumnRenamed("check", "check_name")
+
+
 def q_missing_rows(spark, d):
     v = F.col("data")
     return bronze_launches(spark, d).agg(
@@ -604,6 +623,8 @@ QUERIES: dict[str, Query] = {
     "check_not_null": q_check_not_null,
     "check_results": q_check_results,
     "duplicate_rows": q_duplicate_rows,
+    "bucketed_key_counts": q_bucketed_key_counts,
+    "check_unique_batch": q_check_unique_batch,
     "missing_rows": q_missing_rows,
     "status_counts": q_status_counts,
     "fresh_rows": q_fresh_rows,

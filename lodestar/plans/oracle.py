@@ -387,12 +387,16 @@ ORACLE_SQL: dict[str, str] = {
       FROM j""",
 }
 
-# gold brought forward batch by batch equals gold over the whole state
+# answers that incremental, bucketed or published forms must share with the plain ones
 ORACLE_SQL |= {
     "incremental_projection": ORACLE_SQL["projection_to_target"],
     "incremental_snapshot": ORACLE_SQL["constellation_snapshot"],
     "incremental_metrics": ORACLE_SQL["quality_metrics"],
     "incremental_flag_counts": ORACLE_SQL["quality_flag_counts"],
+    "bucketed_key_counts": ORACLE_SQL["duplicate_rows"],
+    "check_unique_batch": f"""SELECT 'unique_satellite_history_id' AS check_name, count(*) AS failures FROM (
+        SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY l_orderkey, l_linenumber
+        HAVING count(*) > 1 AND max(l_shipdate) >= TIMESTAMP '{SATELLITE_BATCH_SPLIT}')""",
     "daily_projection": ORACLE_SQL["projection_to_target"],
     "view_in_later_session": ORACLE_SQL["mission_type_counts"],
     "setup_check": """SELECT * FROM (VALUES ('layers', 'OK', 'Found 2 of 2 layers'),

@@ -68,3 +68,16 @@ def test_silver_is_one_codegen_stage_without_shuffle(spark, name):
     assert "Exchange" not in plan
     ops = [ln.strip(" +-:") for ln in plan.splitlines() if ln.strip(" +-:")]
     assert all(op.startswith("*(1)") for op in ops if not op.startswith("FileScan")), ops
+
+
+def test_bucketed_keys_are_counted_in_place(spark):
+    """Exact distinct counts and a batch's uniqueness on the bucketed history: at most
+    the batch's keys are shuffled, never the stored side's."""
+    from lodestar.plans import catalog
+    plan = _plan(catalog.q_bucketed_key_counts(spark, SF_SMALL))
+    assert "Bucketed: true" in plan and "hashpartitioning(id" not in plan
+    plan = _plan(catalog.q_check_unique_batch(spark, SF_SMALL))
+    stored = next(i for i, x in enumerate(plan.splitlines()) if "Bucketed: true" in x)
+    assert "LeftSemi, BuildRight" in plan
+    assert all("hashpartitioning(id" not in x for x in plan.splitlines()[:stored])
+
