@@ -253,7 +253,9 @@ def blocks(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", ite
     shared_dir(docs.sparkSession)
     passages = _passages(benchmark, item_col, item_text).checkpoint()
     n = -(-passages.count() // BLOCK)
-    key = F.pmod(F.xxhash64("words"), F.lit(2 * n if n > 1 else 1))     # half full, so a block stays under its bound
+    # half full, so a block stays under its bound; by passage and item, so that many
+    # items which share one passage are spread over the blocks as well
+    key = F.pmod(F.xxhash64("words", "item_id"), F.lit(2 * n if n > 1 else 1))
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
     for k in range(2 * n if n > 1 else n):
         block = Block.of([(r["item_id"], bytes(r["words"])) for r in passages.where(key == k).orderBy("words", "item_id").collect()])

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from lodestar.session import shared_dir
 
-#: Matches folded together, and code points of a text cleaned together.
-GROUP, BLOCK = 256, 1 << 14
+#: Matches folded together; code points of a text cleaned together; spans up to which a
+#: text is cleaned as one block.
+GROUP, BLOCK, FEW = 256, 1 << 14, 64
 
 SPAN = "array<struct<start:int,ord:int,end:int,kind:string>>"
 LEDGER_SCHEMA = f"blob string, rule string, spans {SPAN}"
@@ -101,7 +102,11 @@ def spans_of(text: Column, rule: Rule, order: int) -> Column:
         return F.flatten(F.zip_with(folded, F.slice(starts, 1, F.size(folded)), lambda f, at: F.transform(f["spans"], lambda s: F.struct(
             (s["start"] + at).alias("start"), s["ord"].alias("ord"), (s["end"] + at).alias("end"), s["kind"].alias("kind")))))
 
-    found = _let(pairs, lambda p: _let(F.transform(_groups(p), lambda g: F.aggregate(g, zero, step)), shifted))
+    def fold(p: Column) -> Column:
+        many = _let(F.transform(_groups(p), lambda g: F.aggregate(g, zero, step)), shifted)
+        return F.when(F.size(p) <= GROUP, F.aggregate(p, zero, step, lambda acc: acc["spans"])).otherwise(many)
+
+    found = _let(pairs, fold)
     return F.when(text.rlike(_needs(rule)), found).otherwise(F.array().cast(SPAN))
 
 
@@ -165,20 +170,25 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule,
              .dropDuplicates(["_blob"]))
     text = F.col(f"`{text_col}`").cast("string")
 
-    def clean_block(block: Column, i: Column) -> Column:
-        """A block of the text without its spans: an array of the pieces that stay."""
-        low = i * BLOCK
-        reached = F.array_max(F.transform(F.filter("_spans", lambda s: s["start"] < low), lambda s: s["end"]))
-
+    def without(block: Column, low: Column, at: Column, spans: Column) -> Column:
+        """A block of the text, from code point ``low``, without the spans that start in
+        it; what lies before ``at`` belongs to an earlier span."""
         def step(acc: Column, s: Column) -> Column:
             fresh = F.concat(acc["out"], F.substring(block, acc["at"] - low + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
             return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] < acc["at"], acc["out"]).otherwise(fresh).alias("out"))
+        zero = F.struct(at.alias("at"), F.lit("").alias("out"))
+        return F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(block, acc["at"] - low + 1, F.length(block))))
+
+    def clean_block(block: Column, i: Column) -> Column:
+        low = i * BLOCK
+        reached = F.array_max(F.transform(F.filter("_spans", lambda s: s["start"] < low), lambda s: s["end"]))
         mine = F.filter("_spans", lambda s: (s["start"] >= low) & (s["start"] < low + BLOCK))
-        zero = F.struct(F.greatest(low, F.coalesce(reached, F.lit(0))).alias("at"), F.lit("").alias("out"))
-        return F.aggregate(mine, zero, step, lambda acc: F.concat(acc["out"], F.substring(block, acc["at"] - low + 1, F.lit(BLOCK))))
+        return without(block, low, F.greatest(low, F.coalesce(reached, F.lit(0))), mine)
 
     blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
-    clean = F.array_join(F.transform(blocks, clean_block), "")
+    # few spans: the text is one block
+    clean = (F.when(F.size("_spans") <= FEW, without(text, F.lit(0), F.lit(0), F.col("_spans")))
+             .otherwise(F.array_join(F.transform(blocks, clean_block), "")))
     joined = docs.join(found, F.sha2(F.coalesce(text, F.lit("")), 256) == F.col("_blob"), "left")
     return joined.select(*[F.when(F.col("_spans").isNull(), F.col(f"`{c}`")).otherwise(clean).alias(c) if c == text_col
                            else F.col(f"`{c}`") for c in docs.columns])

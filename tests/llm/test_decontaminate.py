@@ -124,3 +124,17 @@ def test_query_finds_the_tables_passages(spark):
             if f" {' '.join(x)} " in f" {w} ":
                 assert got.pop((r["doc_id"], i)) == 1.0
     assert all(s < 1 for s in got.values())
+
+
+def test_items_that_share_a_passage_are_spread_over_blocks(spark, monkeypatch):
+    passage = " ".join(f"shared{i} word{i}" for i in range(12))
+    items = spark.createDataFrame([(i, passage) for i in range(200)] + [(500, "another passage with words of its own to be found here")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "before " + passage + " after"), (2, "nothing of it at all in here"), (3, passage.replace("word5 ", "w "))], "doc_id long, text string")
+    want = sorted(map(tuple, decontaminate.find_contamination(docs, items).collect()))
+    assert {(d, i) for d, i, *_ in want} == {(d, i) for d in (1, 3) for i in range(200)}
+    monkeypatch.setattr(decontaminate, "BLOCK", 64)
+    sizes = []
+    kept = decontaminate.Block.of
+    monkeypatch.setattr(decontaminate.Block, "of", staticmethod(lambda rows: sizes.append(len(rows)) or kept(rows)))
+    assert sorted(map(tuple, decontaminate.find_contamination(docs, items).collect())) == want
+    assert sum(sizes) == 201 and max(sizes) <= 64

@@ -125,4 +125,5 @@ def test_blocks_and_groups_change_nothing(spark, monkeypatch):
     want = view()
     monkeypatch.setattr(secrets, "GROUP", 2)
     monkeypatch.setattr(secrets, "BLOCK", 7)
+    monkeypatch.setattr(secrets, "FEW", 0)
     assert view() == want
