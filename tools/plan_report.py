@@ -29,7 +29,7 @@ def summarize(plan: str) -> dict:
             pf = re.search(r"PushedFilters: \[(.*?)\]", l)
             bucketed = "Bucketed: true" in l
             scans.append((name, rs.group(1)[:160] if rs else "", pf.group(1)[:120] if pf else "", bucketed))
-    python = any(w in plan for w in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"))
+    python = any(w in plan for w in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas"))
     return {"exchanges": ex, "joins": joins, "aggs": aggs, "scans": scans, "python": python}
 
 
