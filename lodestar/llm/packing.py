@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -97,8 +97,11 @@ class WordIds:
     def lookup(self, words: list[str]) -> np.ndarray:
         if len(self.slot) > CACHE:
             self.reset()
-        missing = [w for w in words if w not in self.slot]
-        if missing:
+        # one look at the cache for every word, a second one for the new words only
+        found = np.fromiter(map(self.slot.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            unseen = missing = [words[i] for i in new.tolist()]
             together = " ".join(missing)
             if UNSURE.search(together) or self.special.search(together):
                 odd = [w for w in missing if UNSURE.search(w) or self.special.search(w)]
@@ -106,10 +109,11 @@ class WordIds:
                 missing = [w for w in missing if w not in self.slot]
             low = [w.lower() for w in missing]
             parts = [[w] if w.isalpha() else self.split(w) for w in low]
-            self.learn(list(set(chain.from_iterable(parts)) - self.pieces.keys()))
             ids = self.pieces
+            self.learn([p for p in set(chain.from_iterable(parts)) if p not in ids])
             self.keep(missing, [ids[p[0]] if len(p) == 1 else list(chain.from_iterable(ids[x] for x in p)) for p in parts])
-        return np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
+            found[new] = np.fromiter(map(self.slot.__getitem__, unseen), np.int64, len(unseen))
+        return found
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, offsets by text)."""
