@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.words import cover, find_words, mix, ngrams, per_text, slices, texts, window_ok
+from lodestar.llm.words import cover, drop_worker_cache, find_words, mix, ngrams, per_text, slices, texts, window_ok
 
 MIN_WORDS, REPEAT_PERCENT, REPEAT_WINDOW = 20, 30, 8
 CONTENT_SHARE = 0.5
+#: Bytes of text measured together: measures take some hundred bytes for each of them.
+SLICE = 1 << 20
 #: Most labelled documents that the model is fitted on (by hash order of doc_id).
 FIT_DOCUMENTS = 3_000
 #: Lines of a training sequence; longer texts give several sequences.
@@ -280,7 +282,8 @@ def train_line_model(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMEN
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id").select("doc_id", "quality", "text")
 
     def run(batches):
-        for part in slices(batches):
+        drop_worker_cache()
+        for part in slices(batches, limit=SLICE):
             got = measure(texts(part.column("text")))
             quality = np.asarray(part.column("quality").to_numpy(zero_copy_only=False))
             ids = np.asarray(part.column("doc_id").to_numpy(zero_copy_only=False))
@@ -314,7 +317,8 @@ def line_quality(docs: DataFrame, model: LineModel, id_col: str = "doc_id", text
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        for part in slices(batches):
+        drop_worker_cache()
+        for part in slices(batches, limit=SLICE):
             got, content, kept = judge(texts(part.column("text")), model)
             yield pa.record_batch(
                 [part.column("doc_id"), *[pa.array(np.asarray(x, np.int64)) for x in (
@@ -329,6 +333,7 @@ def line_quality(docs: DataFrame, model: LineModel, id_col: str = "doc_id", text
 def keep_quality(docs: DataFrame, model: LineModel, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (all columns) that ``line_quality`` keeps."""
     def run(batches):
-        for part in slices(batches, text_col):
+        drop_worker_cache()
+        for part in slices(batches, text_col, SLICE):
             yield part.filter(pa.array(judge(texts(part.column(text_col)), model)[2]))
     return docs.mapInArrow(run, docs.schema)

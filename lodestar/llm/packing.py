@@ -43,13 +43,40 @@ CACHE = 500_000
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+class Runs:
+    """Runs of ids by number, one after another in one array."""
+
+    def __init__(self):
+        self.store, self.bounds, self.count = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> range:
+        """The numbers of new runs of the given sizes, ``ids`` in a row."""
+        used, n = int(self.bounds[self.count]), self.count
+        if used + len(ids) > len(self.store):
+            self.store = np.concatenate([self.store, np.zeros(len(self.store) // 2 + len(ids), np.uint32)])
+        if n + len(sizes) >= len(self.bounds):
+            self.bounds = np.concatenate([self.bounds, np.zeros(len(self.bounds) // 2 + len(sizes), np.int64)])
+        self.store[used:used + len(ids)] = ids
+        self.bounds[n + 1:n + len(sizes) + 1] = used + np.cumsum(sizes)
+        self.count += len(sizes)
+        return range(n, self.count)
+
+    def take(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of these runs in a row, offsets by run)."""
+        start = self.bounds[runs]
+        size = self.bounds[runs + 1] - start
+        total = np.concatenate([[0], np.cumsum(size)])
+        return self.store[np.repeat(start - total[:-1], size) + np.arange(total[-1])], total
+
+
 class WordIds:
     """Ids of texts, word by word: white space never lies inside a pre-token and is
     dropped by the vocabulary, so a text's ids are its words' ids in a row.  Words
-    and their pre-tokens are encoded once per task (bounded caches); unknown
-    pre-tokens go to the library many at a time, told apart again by the end-of-word
-    mark of each one's last token.  Words with a special token's string or characters
-    that two engines might class differently are encoded whole."""
+    and their pre-tokens are encoded once per task (bounded caches: a string and a
+    number each, ids in arrays); unknown pre-tokens go to the library many at a time,
+    told apart again by the end-of-word mark of each one's last token.  Words with a
+    special token's string or characters that two engines might class differently are
+    encoded whole."""
 
     def __init__(self, spec: str):
         import regex
@@ -63,22 +90,16 @@ class WordIds:
 
     def reset(self):
         """Empty the caches."""
-        self.slot, self.start, self.size, self.store, self.used = {}, [], [], np.zeros(1 << 16, np.uint32), 0
-        self.pieces: dict[str, list[int]] = {}
-
-    def keep(self, words: list[str], ids: list[list[int]]):
-        sizes = list(map(len, ids))
-        total = sum(sizes)
-        if self.used + total > len(self.store):
-            self.store = np.concatenate([self.store, np.zeros(len(self.store) + total, np.uint32)])
-        self.store[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
-        self.slot.update(zip(words, range(len(self.start), len(self.start) + len(words))))
-        self.start.extend((np.cumsum([0, *sizes[:-1]]) + self.used).tolist())
-        self.size.extend(sizes)
-        self.used += total
-
-    def whole(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        self.slot: dict[str, int] = {}
+        self.words = Runs()
+        self.piece: dict[str, int] = {}
+        self.pieces = Runs()
+
+    def whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, how many of each word)."""
+        ids = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
 
     def learn(self, pieces: list[str]):
         """Ids of pre-tokens, each a pre-token on its own."""
@@ -87,12 +108,10 @@ class WordIds:
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype=np.int64)
             stops = np.flatnonzero((ids < len(self.closes)) & self.closes[np.minimum(ids, len(self.closes) - 1)]) + 1
             if len(stops) == len(some) and stops[-1] == len(ids):
-                flat, a = ids.tolist(), 0
-                for piece, b in zip(some, stops.tolist()):
-                    self.pieces[piece] = flat[a:b]
-                    a = b
+                sizes = np.diff(stops, prepend=0)
             else:
-                self.pieces.update(zip(some, self.whole(some)))
+                ids, sizes = self.whole(some)
+            self.piece.update(zip(some, self.pieces.add(ids, sizes)))
 
     def lookup(self, words: list[str]) -> np.ndarray:
         if len(self.slot) > CACHE:
@@ -105,13 +124,16 @@ class WordIds:
             together = " ".join(missing)
             if UNSURE.search(together) or self.special.search(together):
                 odd = [w for w in missing if UNSURE.search(w) or self.special.search(w)]
-                self.keep(odd, self.whole(odd))
+                self.slot.update(zip(odd, self.words.add(*self.whole(odd))))
                 missing = [w for w in missing if w not in self.slot]
-            low = [w.lower() for w in missing]
+            # a word that is its own pre-token is kept as one string
+            low = [w if (x := w.lower()) == w else x for w in missing]
             parts = [[w] if w.isalpha() else self.split(w) for w in low]
-            ids = self.pieces
-            self.learn([p for p in set(chain.from_iterable(parts)) if p not in ids])
-            self.keep(missing, [ids[p[0]] if len(p) == 1 else list(chain.from_iterable(ids[x] for x in p)) for p in parts])
+            names = list(chain.from_iterable(parts))
+            self.learn([p for p in set(names) if p not in self.piece])
+            ids, offsets = self.pieces.take(np.fromiter(map(self.piece.__getitem__, names), np.int64, len(names)))
+            ends = offsets[np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))]
+            self.slot.update(zip(missing, self.words.add(ids, np.diff(ends, prepend=0))))
             found[new] = np.fromiter(map(self.slot.__getitem__, unseen), np.int64, len(unseen))
         return found
 
@@ -121,11 +143,9 @@ class WordIds:
         if not len(w.start):
             return np.zeros(0, np.uint32), np.zeros(len(column) + 1, np.int64)
         distinct, index = dictionary(w.raw, ~SPACE[w.raw], w.end - w.start)
-        slot = self.lookup(distinct)[index]
-        length = np.array(self.size, np.int64)[slot]
-        total = np.concatenate([[0], np.cumsum(length)])
-        at = np.repeat(np.array(self.start, np.int64)[slot] - total[:-1], length) + np.arange(total[-1])
-        return self.store[at], total[w.first]
+        slot = self.lookup(distinct)[index]     # this may empty the caches
+        ids, total = self.words.take(slot)
+        return ids, total[w.first]
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:

@@ -8,6 +8,7 @@ Word and n-gram identities are 64-bit hashes.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Iterator
@@ -25,6 +26,13 @@ def worker_cache() -> dict:
     """A dictionary that lives as long as this Python worker, whatever tasks it runs."""
     return sys.modules.setdefault(_WORKER, types.ModuleType(_WORKER)).__dict__
 
+
+def drop_worker_cache() -> None:
+    """Let go what another operator's tasks kept in this Python worker: workers outlive
+    jobs, and a task of another operator needs the memory."""
+    sys.modules.pop(_WORKER, None)
+
+
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -51,9 +59,18 @@ def texts(column) -> pa.Array:
     return pc.fill_null(column, "")
 
 
+def release_memory() -> None:
+    """Give freed memory back: Arrow's pool and the C library keep what a slice's
+    arrays took, and a Python worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into runs of rows with at most ``limit`` bytes of text
-    (a longer text is a run of its own)."""
+    (a longer text is a run of its own); freed memory is given back after each."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -64,6 +81,7 @@ def slices(batches, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa
             base = ends[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(at, to - at)
+            release_memory()
             at = to
 
 

@@ -110,3 +110,27 @@ def test_hidden_labels_keep_the_share_of_the_document():
         share = words[a:b][labels[a:b] == 0].sum() / words[a:b].sum()
         assert (share >= lines.CONTENT_SHARE - 1e-9) == good[i]
     assert (labels != lines.viterbi(features @ model.emit.T, model.step, first)).mean() < 0.5
+
+
+def test_a_task_lets_go_what_another_operator_kept():
+    from lodestar.llm.words import drop_worker_cache, worker_cache
+    worker_cache()["words"] = [1]
+    drop_worker_cache()
+    assert "words" not in worker_cache()
+
+
+def test_freed_memory_is_given_back_after_each_slice(monkeypatch):
+    from lodestar.llm import words as w
+    given = []
+    monkeypatch.setattr(w, "release_memory", lambda: given.append(1))
+    batch = pa.record_batch([pa.array(["x" * 700] * 10)], names=["text"])
+    parts = list(w.slices([batch, batch], limit=1500))
+    assert sum(p.num_rows for p in parts) == 20 and len(given) == len(parts) == 10
+
+
+def test_slices_do_not_change_a_measure(spark, monkeypatch):
+    rows, docs = docs_with_edges(spark)
+    model = lines.LineModel(np.full((2, len(lines.FEATURES)), 0.1), np.zeros((2, 2)))
+    whole = sorted(map(str, lines.line_quality(docs, model).collect()))
+    monkeypatch.setattr(lines, "SLICE", 1 << 10)
+    assert sorted(map(str, lines.line_quality(docs, model).collect())) == whole

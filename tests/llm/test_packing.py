@@ -23,6 +23,23 @@ def test_ids_are_the_librarys(spark):
     assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == want
 
 
+def test_cached_words_take_a_string_and_a_number_each():
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    texts = ["".join(map(chr, row)) + "," for row in rng.integers(97, 123, (60_000, 9))]
+    encoder = packing.WordIds(SPEC)
+    encoder.encode(pa.array(texts[:10]))
+    tracemalloc.start()
+    for at in range(0, len(texts), 10_000):
+        ids, off = encoder.encode(pa.array(texts[at:at + 10_000]))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    # word and pre-token: two strings, two dictionary entries, two numbers, their ids
+    assert held / len(texts) < 400
+    want = [e.ids for e in load(SPEC).encode_batch(texts[at:], add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 2048), min_size=1, max_size=60))
 def test_windows_hold_every_item_once_within_capacity(sizes):
