@@ -157,6 +157,23 @@ def hash_spans(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return h
 
 
+def same_bytes(raw: np.ndarray, start: np.ndarray, store: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Are the bytes of each span of ``raw`` those of ``store`` from ``at``?  Eight bytes
+    a step; ``store`` has eight more bytes than its last span."""
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    a = np.ndarray((len(raw) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    b = np.ndarray((len(store) - 7,), dtype="<u8", buffer=store, strides=(1,))
+    same = ((a[start] ^ b[at]) & _KEEP[np.minimum(size, 8)]) == 0
+    live = np.flatnonzero(same & (size > 8))
+    k = 8
+    while len(live):
+        left = size[live] - k
+        same[live] = ((a[start[live] + k] ^ b[np.minimum(at[live] + k, len(b) - 1)]) & _KEEP[np.minimum(left, 8)]) == 0
+        k += 8
+        live = live[same[live] & (left > 8)]
+    return same
+
+
 def powers(n: int) -> np.ndarray:
     out = np.empty(n, dtype=np.uint64)
     x = 1

@@ -40,6 +40,65 @@ def test_cached_words_take_a_string_and_a_number_each():
     assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == want
 
 
+def same_ids(encoder, texts):
+    ids, off = encoder.encode(pa.array(texts))
+    want = [e.ids for e in load_once().encode_batch(texts, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == want
+
+
+def test_words_in_other_case_or_between_signs_are_not_kept_again():
+    import tracemalloc
+    rng = np.random.default_rng(4)
+    words = ["".join(map(chr, row)) for row in rng.integers(97, 123, (40_000, 9))]
+    encoder = packing.WordIds(SPEC)
+    encoder.encode(pa.array(words))
+    encoder.encode(pa.array([f"X{w},;!?" for w in words[:100]]))
+    tracemalloc.start()
+    for form in (str.upper, str.title, "{}.".format, "({})".format):
+        ids, _ = encoder.encode(pa.array([" ".join(map(form, words))]))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    # a string, a dictionary entry and a number for each of 160,000 words would take 20 MB
+    assert held - ids.nbytes < 4_000_000
+    same_ids(encoder, ["(%s)" % w.title() for w in words[:2000]])
+
+
+_ENCODERS = []
+PARTS = ["'", "'s", "'LL", "don't", "a", "Z", "xy", "7", "42", "²", "¾", "é", "É", "ß", "Ö", "ǅ", "İ", "Ⱥ", "ŉ", "­", "×", "¿", "—", "’", "…", "́", "한", "я",
+         "Σ", "😀", ".", "!?", "<|", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "endof", "text|>", "\x00", "\x01", "\x1c", "\x7f", "\x85", "\xa0", " ", " ", "\t\n", "\u2003"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=12).map("".join), min_size=1, max_size=12))
+def test_units_of_any_texts_are_the_librarys(texts):
+    if not _ENCODERS:
+        _ENCODERS.append(packing.WordIds(SPEC))
+    same_ids(_ENCODERS[0], texts)
+
+
+def test_every_character_cut_here_is_the_librarys():
+    chars = [chr(c) for c in [*range(1, 0x250), *range(0x2010, 0x2060)]]
+    same_ids(packing.WordIds(SPEC), [x for c in chars for x in (c, f"a{c}b", f"A{c}{c}1{c}", f"{c}'s", f".{c}")])
+
+
+def test_units_of_one_hash_are_held_apart(monkeypatch):
+    hashed = packing.hash_spans
+    monkeypatch.setattr(packing, "hash_spans", lambda *spans: hashed(*spans) % np.uint64(7))
+    encoder = packing.WordIds(SPEC)
+    texts = [" ".join(f"word{i} {'long' * 5}{chr(97 + i % 26)} don't l'été{i % 3}" for i in range(at, at + 40)) for at in range(0, 400, 40)]
+    same_ids(encoder, texts + ODD)
+    same_ids(encoder, texts[::-1])
+
+
+def test_bounded_cache_and_long_units(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 50)
+    monkeypatch.setattr(packing, "LONG", 20)
+    encoder = packing.WordIds(SPEC)
+    for at in range(5):
+        same_ids(encoder, [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}{at} " + "x" * i + "Y'" * i + "=" * i for i in range(60)])
+        assert len(encoder.slots) < 400
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 2048), min_size=1, max_size=60))
 def test_windows_hold_every_item_once_within_capacity(sizes):
