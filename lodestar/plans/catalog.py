@@ -103,8 +103,9 @@ def bronze_satellites(spark, d):
     place, path reads its typed sub-columns."""
     paths = [f"{d.rstrip('/')}/lineitem.parquet"]
     key = fingerprint(spark, paths, salt=f"satellites:{DERIVATION_VERSION}")
-    return bucketed(spark, "bronze", "satellites", key, "id", buckets_for(spark, table(spark, d, "lineitem").count()),
-                    lambda: current_state(satellite_log(spark, d), order=("batch", "pos")), prepartitioned=True)
+    rows = table(spark, d, "lineitem").count()
+    return bucketed(spark, "bronze", "satellites", key, "id", buckets_for(spark, rows),
+                    lambda: current_state(satellite_log(spark, d), order=("batch", "pos")), prepartitioned=True, rows=rows)
 
 
 def landed_launch_files(spark, d, layout):
@@ -123,8 +124,9 @@ def satellite_state_before(spark, d):
     paths = [f"{d.rstrip('/')}/lineitem.parquet"]
     key = fingerprint(spark, paths, salt=f"satellite_state_b0:{DERIVATION_VERSION}")
     b0 = satellite_log(spark, d).where(F.col("batch") == 0)
-    return bucketed(spark, "bronze", "satellite_state_b0", key, "id", buckets_for(spark, table(spark, d, "lineitem").count()),
-                    lambda: merge_state(None, b0, order="pos"), prepartitioned=True)
+    rows = table(spark, d, "lineitem").count()
+    return bucketed(spark, "bronze", "satellite_state_b0", key, "id", buckets_for(spark, rows),
+                    lambda: merge_state(None, b0, order="pos"), prepartitioned=True, rows=rows)
 
 
 STREAM_SLICES = ("1995-01-01", SATELLITE_BATCH_SPLIT)     # landings of the streamed log, by ship date

@@ -34,6 +34,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.session import shared_dir
@@ -56,13 +57,19 @@ CODEC = "zstd"
 OPEN_FILES = 32
 #: Documents of a bucket (about a third of a GB in memory, where they are sorted).
 BUCKET_ROWS = 500_000
+#: Documents that are shuffled at a time, and most parts that a write is cut into: each
+#: part reads its rows anew.
+SLICE_ROWS, MAX_SLICES = 1_000_000, 8
+#: Documents of a landed text file.  A compressed file is not split: it is one task's.
+FILE_LINES = 100_000
 
 
 @contextmanager
 def writing(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Writes inside keep their bucket or partition files open side by side, so that rows
-    are not sorted by them first; with ``partitions``, their shuffles have that many."""
-    want = {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}
+    are not sorted by them first; with ``partitions``, their shuffles have that many.
+    Shuffle files go as soon as the job that made them is done."""
+    want = {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
     if partitions:
         want["spark.sql.shuffle.partitions"] = str(partitions)
     before = {k: spark.conf.get(k, None) for k in want}
@@ -78,6 +85,30 @@ def writing(spark: SparkSession, partitions: int | None = None) -> Iterator[None
                 spark.conf.set(k, v)
 
 
+def slices_for(rows: int) -> int:
+    """Into how many parts a write that shuffles ``rows`` documents is cut."""
+    return max(1, min(MAX_SLICES, -(-rows // SLICE_ROWS)))
+
+
+def write_buckets(rows: DataFrame, path: str, by: str, buckets: int, slices: int = 1, prepartitioned: bool = True,
+                  partitions: int | None = None) -> None:
+    """Write ``rows`` to ``path`` bucketed by ``by``.  With ``slices`` this is done in parts
+    of whole buckets, one after the other, and only one part's shuffle files are on disk at
+    a time; ``rows`` are read once a part, so they have to come the same each time.  A
+    filter by the key goes below an aggregation by it, so a part shuffles its own rows.
+    ``partitions``: of the shuffles that make ``rows``."""
+    spark = rows.sparkSession
+    table = f"write_{uuid.uuid4().hex}"
+    slices = min(slices, buckets)
+    for k in range(slices):
+        part = rows if slices == 1 else rows.where(F.pmod(F.hash(by), F.lit(buckets)) % slices == k)
+        if not prepartitioned:
+            part = part.repartition(buckets, by)                # one file per bucket
+        with writing(spark, partitions):
+            part.write.bucketBy(buckets, by).option("compression", CODEC).mode("append").option("path", path).saveAsTable(table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")                  # external: the files stay
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
@@ -202,7 +233,8 @@ def publish_run(spark: SparkSession, tables: Mapping[str, DataFrame], layer_name
     paths = {}
     for name, df in tables.items():
         paths[name] = f"{base}/{name}/run={run}"
-        df.write.mode("overwrite").parquet(paths[name])
+        with writing(spark):
+            df.write.mode("overwrite").parquet(paths[name])
     while True:
         names, runs = _run_names(spark, base), _runs(spark, base, 1)
         known = dict(runs[0][1]["tables"]) if runs else {}
@@ -376,7 +408,7 @@ def bucketed_versions(spark: SparkSession, layer_name: str, name: str, by: str,
 
 def bucketed(spark: SparkSession, layer_name: str, name: str, key: str, by: str, buckets: int,
              build: Callable[[], DataFrame], root: str | None = None,
-             prepartitioned: bool = False) -> DataFrame:
+             prepartitioned: bool = False, rows: int = 0) -> DataFrame:
     """A table stored bucketed by ``by`` into ``buckets`` files, built
     once per ``key``.  Joins and aggregations on ``by`` then read it in place
     without a shuffle.  The bucket layout lives in the table definition, so the
@@ -388,7 +420,8 @@ def bucketed(spark: SparkSession, layer_name: str, name: str, key: str, by: str,
     whole ones), so the write needs no shuffle of its own.  Without it the rows are
     first repartitioned by ``by`` (one file per bucket).  Either way the writer puts
     each row in the bucket of its key; the flag only saves the shuffle.  Rows are not
-    sorted for the write."""
+    sorted for the write.  ``rows``, how many are shuffled, says whether the table is
+    written in parts (``write_buckets``)."""
     base = f"{layer_root(spark, root)}/{layer_name}/{name}"
     # the bucket layout is part of the version: files written with one bucket
     # count must never be registered under another
@@ -396,14 +429,9 @@ def bucketed(spark: SparkSession, layer_name: str, name: str, key: str, by: str,
     path = f"{base}/b={key}"
     table = re.sub(r"\W", "_", f"{layer_name}_{name}_{key}")
     if not path_exists(spark, path + "/_SUCCESS"):
-        tmp_table = f"{table}_tmp_{uuid.uuid4().hex[:8]}"  # noqa: S608
         tmp = f"{base}/_tmp-{key}-{uuid.uuid4().hex[:8]}"
         built = build()
-        rows = built if prepartitioned else built.repartition(buckets, by)   # one file per bucket
-        with writing(spark, buckets):
-            (rows.write.bucketBy(buckets, by).option("compression", CODEC)
-             .mode("overwrite").option("path", tmp).saveAsTable(tmp_table))
-        spark.sql(f"DROP TABLE IF EXISTS {tmp_table}")          # external: files stay
+        write_buckets(built, tmp, by, buckets, slices_for(rows), prepartitioned, buckets)
         # the schema travels with the files (an empty version has no data file
         # to infer it from); hidden name, so readers skip it
         _write_text(spark, f"{tmp}/_schema.json", built.schema.json())

@@ -1,0 +1,53 @@
+"""What stays on disk while documents move: shuffle files of one part at a time, no
+document shuffled to be merged, compressed landings."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from lodestar.functions.json import jtext
+from lodestar.operators.upsert import current_state
+from lodestar.sources.layers import slices_for, write_buckets
+
+
+def _batch(spark, rows, day=1):
+    at = F.lit(f"2024-01-{day:02d} 00:00:00").cast("timestamp_ntz")
+    return (spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(rows)], "id string, v string, pos long")
+            .select("id", F.parse_json(F.to_json(F.struct("v"))).alias("data"), at.alias("extracted_at"), F.lit(f"s{day}").alias("source_system"),
+                    at.alias("created_at"), "pos"))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _view(df):
+    return sorted((r["id"], r["v"], str(r["extracted_at"]), r["source_system"]) for r in df.select("*", jtext("data", "v").alias("v")).collect())
+
+
+def _shuffle_files(spark):
+    dirs = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+    return sum(f.startswith("shuffle_") for d in dirs for _, _, names in os.walk(d.getPath()) for f in names)
+
+
+def test_slices_follow_the_rows():
+    assert [slices_for(n) for n in (0, 10, 1_000_000, 1_000_001, 3_600_000, 10**9)] == [1, 1, 1, 2, 4, 8]
+
+
+def test_a_write_in_parts_holds_the_same_rows_and_no_shuffle_files(spark, tmp_path):
+    rows = [(f"k{i % 90}" if i % 10 else None, f"v{i}") for i in range(400)] + [("hot", f"h{i}") for i in range(200)]
+    made = current_state(_batch(spark, rows), order="pos")
+    before = _shuffle_files(spark)
+    write_buckets(made, f"{tmp_path}/whole", "id", 7, partitions=7)
+    write_buckets(made, f"{tmp_path}/parts", "id", 7, slices=3, partitions=7)
+    assert _shuffle_files(spark) <= before
+    whole, parts = (spark.read.parquet(f"{tmp_path}/{x}") for x in ("whole", "parts"))
+    assert _view(parts) == _view(whole) and parts.count() == parts.select("id").distinct().count()
+    place = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d{5})\.", 1).cast("int")
+    assert parts.where(F.pmod(F.hash("id"), F.lit(7)) != place).count() == 0
+
+
+def test_a_part_shuffles_its_own_rows(spark):
+    made = current_state(_batch(spark, [("a", "1")]), order="pos").where(F.pmod(F.hash("id"), F.lit(8)) % 2 == 0)
+    lines = made._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert next(i for i, x in enumerate(lines) if "Filter" in x) > next(i for i, x in enumerate(lines) if "Aggregate" in x)
