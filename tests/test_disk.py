@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.json import jtext
 from lodestar.operators.upsert import current_state
+from lodestar.sources import layers, state
 from lodestar.sources.layers import slices_for, write_buckets
 
 
@@ -51,3 +52,41 @@ def test_a_part_shuffles_its_own_rows(spark):
     made = current_state(_batch(spark, [("a", "1")]), order="pos").where(F.pmod(F.hash("id"), F.lit(8)) % 2 == 0)
     lines = made._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert next(i for i, x in enumerate(lines) if "Filter" in x) > next(i for i, x in enumerate(lines) if "Aggregate" in x)
+
+
+def test_a_large_stored_batch_is_appended_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layers, "SLICE_ROWS", 100)
+    rows = [(f"k{i % 300}", f"v{i}") for i in range(750)] + [(None, "x")]
+    commit = state.append_batch(spark, "p", _batch(spark, rows), root=str(tmp_path), stored=True)
+    assert len(state._note(spark, commit["deltas"][0])["writers"]) == 8
+    got = {r[0]: r[1] for r in _view(state.read_state(spark, "p", root=str(tmp_path)))}
+    assert got == {f"k{i % 300}": f"v{i}" for i in range(750)}
+
+
+def test_deltas_are_merged_in_place(spark, tmp_path):
+    root = str(tmp_path)
+    for day in (1, 2, 3):
+        state.append_batch(spark, "m", _batch(spark, [(f"k{i}", f"d{day}") for i in range(day * 10, day * 10 + 20)], day), root=root)
+    df = state.read_state(spark, "m", root=root)
+    assert "Exchange" not in _plan(df)
+    got = {r[0]: r[1:] for r in _view(df)}
+    assert len(got) == 40 and got["k25"] == ("d2", "2024-01-02 00:00:00", "s1") and got["k35"] == ("d3", "2024-01-03 00:00:00", "s2")
+    first, last = (state.commit_at(spark, "m", v, root) for v in (1, 3))
+    moved = state.changes(spark, "m", first, last, lambda d: d.select("id", jtext("data", "v").alias("v")), root=root)
+    assert "hashpartitioning" not in _plan(moved)                # a few keys are broadcast
+    assert sorted(map(tuple, moved.where("id IN ('k25', 'k45')").collect())) == [("k25", "d1", -1), ("k25", "d2", 1), ("k45", "d3", 1)]
+
+
+def test_deltas_of_other_layouts_are_read_too(spark, tmp_path):
+    root = str(tmp_path)
+    state.append_batch(spark, "o", _batch(spark, [("a", "1"), ("b", "1")]), root=root)
+    plain = f"{root}/bronze/o/data/delta-plain"                  # as it was before deltas were bucketed
+    current_state(_batch(spark, [("b", "2"), ("c", "2")], 2), order="pos").write.parquet(plain)
+    state.commit_pointer(spark, f"{root}/bronze/o", lambda c: c | {"deltas": [*c["deltas"], plain], "applied": plain})
+    state.append_batch(spark, "o", _batch(spark, []), root=root)                        # holds no file
+    state.append_batch(spark, "o", _batch(spark, [("c", "4")], 4), root=root, buckets=3)
+    expected = [("a", "1", "2024-01-01 00:00:00", "s1"), ("b", "2", "2024-01-02 00:00:00", "s1"), ("c", "4", "2024-01-04 00:00:00", "s2")]
+    assert _view(state.read_state(spark, "o", root=root)) == expected
+    state.compact(spark, "o", root=root)
+    assert _view(state.read_state(spark, "o", root=root)) == expected
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("deltas_", "write_"))]
