@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from lodestar.functions.json import jtext
 from lodestar.operators.upsert import current_state
 from lodestar.sources import layers, state
-from lodestar.sources.layers import slices_for, write_buckets
+from lodestar.sources.documents import read_documents
+from lodestar.sources.layers import landed_text, slices_for, write_buckets
 
 
 def _batch(spark, rows, day=1):
@@ -90,3 +91,15 @@ def test_deltas_of_other_layouts_are_read_too(spark, tmp_path):
     state.compact(spark, "o", root=root)
     assert _view(state.read_state(spark, "o", root=root)) == expected
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("deltas_", "write_"))]
+
+
+def test_landed_lines_are_compressed_and_cut(spark, tmp_path):
+    lines = spark.range(250).select(F.to_json(F.struct(F.col("id").cast("string").alias("id"), F.lit("x" * 200).alias("t"))).alias("value")).coalesce(1)
+    folder = landed_text(spark, "l", "k", lambda: lines, root=str(tmp_path), lines=100)
+    files = [f for f in os.listdir(folder) if f.startswith("part")]
+    assert len(files) == 3 and all(f.endswith(".txt.gz") for f in files)
+    assert sum(os.path.getsize(f"{folder}/{f}") for f in files) < 250 * 200 / 4
+    docs = read_documents(spark, folder)
+    assert [r["id"] for r in docs.orderBy("pos").select("id").collect()] == [str(i) for i in range(250)]
+    whole = landed_text(spark, "w", "k", lambda: lines, root=str(tmp_path), lines=None)
+    assert [f for f in os.listdir(whole) if f.startswith("part")][0].endswith(".txt")
