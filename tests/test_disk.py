@@ -1,6 +1,7 @@
 """What stays on disk while documents move: shuffle files of one part at a time, no
 document shuffled to be merged, compressed landings."""
 
+import json
 import os
 
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from lodestar.operators.upsert import current_state
 from lodestar.sources import layers, state
 from lodestar.sources.documents import read_documents
 from lodestar.sources.layers import landed_text, slices_for, write_buckets
+from lodestar.streaming import stream_state, upsert_stream
 
 
 def _batch(spark, rows, day=1):
@@ -103,3 +105,14 @@ def test_landed_lines_are_compressed_and_cut(spark, tmp_path):
     assert [r["id"] for r in docs.orderBy("pos").select("id").collect()] == [str(i) for i in range(250)]
     whole = landed_text(spark, "w", "k", lambda: lines, root=str(tmp_path), lines=None)
     assert [f for f in os.listdir(whole) if f.startswith("part")][0].endswith(".txt")
+
+
+def test_a_streamed_batch_leaves_its_delta_only(spark, tmp_path):
+    root, landing = f"{tmp_path}/root", f"{tmp_path}/in"
+    os.makedirs(landing)
+    with open(f"{landing}/a.json", "w") as f:
+        f.write("\n".join([json.dumps({"id": "a", "v": "1"}), "broken", json.dumps({"id": "a", "v": "2"})]))
+    upsert_stream(spark, landing, "s", root=root, checkpoint=f"{tmp_path}/ck", extracted_at="2024-01-01 00:00:00").awaitTermination()
+    assert [r["v"] for r in stream_state(spark, "s", root=root).select(jtext("data", "v").alias("v")).collect()] == ["2"]
+    assert spark.read.parquet(f"{root}/bronze/s_rejects").count() == 1
+    assert os.listdir(f"{root}/bronze/s/landed") == []
